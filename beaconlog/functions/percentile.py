@@ -40,8 +40,8 @@ def grouped_percentile(
         return df.groupBy(*keys).agg(*aggs, built_in)
 
     if not keys:
-        rank = _percentile_by_ranges(df.withColumn("_all", F.lit(1)), ["_all"], value, share, name)
-        return df.agg(*aggs).join(F.broadcast(rank.drop("_all")))
+        single = df.withColumn("_all", F.lit(1))
+        return grouped_percentile(single, ["_all"], value, share, name, aggs, group_rows).drop("_all")
 
     # at most total rows / group_rows keys, hence small enough to broadcast
     hot = F.broadcast(materialize(hot, "hot-groups"))

@@ -181,12 +181,12 @@ ROLLUPS = {
 }
 
 
-def signal_rollup(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
-    """All six series in one long table, from one scan for the counts.
+def count_bins(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+    """The five count series in one long table, from one scan and one shuffle.
 
     Columns: time_bin, signal_type, series_key, service, route, requests,
-    errors, value. A log row belongs to up to five count series; it is
-    expanded and combined again before the shuffle.
+    errors. A log row belongs to up to five series; it is expanded and combined
+    again on the map side before the shuffle.
     """
     rows = _history(raw, as_of, cfg)
     service, route = F.col("service"), F.col("route")
@@ -212,24 +212,63 @@ def signal_rollup(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsCo
         member(is_forwarder_drop(cfg), SIG_DROPS, F.lit(KEY_DROPS), forwarder, F.lit(KEY_DROPS)),
         member(http & sha.isNotNull(), SIG_DEPLOY, series_key(service, sha), service, sha),
     )
-    counted = (
+    return (
         rows.select(_bin(cfg).alias("time_bin"), _errors().alias("_e"), F.explode(members).alias("_m"))
         .filter(F.col("_m").isNotNull())
         .groupBy("time_bin", "_m.signal_type", "_m.series_key", "_m.service", "_m.route")
         .agg(F.count("*").alias("requests"), F.sum("_e").cast("double").alias("errors"))
     )
+
+
+def series_frame(counts: DataFrame, latency: DataFrame) -> DataFrame:
+    """Count bins and latency bins as one frame with the scored ``value``."""
     is_rate = F.col("signal_type").isin(SIG_ERROR_RATE, SIG_DEPLOY)
-    counted = counted.withColumn(
-        "value", F.when(is_rate, div0(F.col("errors"), F.col("requests"))).otherwise(F.col("requests").cast("double"))
-    )
-    latency = ts_route_latency(raw, as_of, cfg).select(
-        "time_bin",
-        F.lit(SIG_LATENCY).alias("signal_type"),
-        "series_key",
-        "service",
-        "route",
-        "requests",
-        F.lit(None).cast("double").alias("errors"),
-        F.col("p95_duration_ms").alias("value"),
+    value = F.when(is_rate, div0(F.col("errors"), F.col("requests"))).otherwise(F.col("requests").cast("double"))
+    return counts.withColumn("value", value).unionByName(
+        latency.select(
+            "time_bin",
+            F.lit(SIG_LATENCY).alias("signal_type"),
+            "series_key",
+            "service",
+            "route",
+            "requests",
+            F.lit(None).cast("double").alias("errors"),
+            F.col("p95_duration_ms").alias("value"),
+        )
     )
-    return counted.unionByName(latency)
+
+
+def signal_rollup(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+    """All six series straight from raw logs."""
+    return series_frame(count_bins(raw, as_of, cfg), ts_route_latency(raw, as_of, cfg))
+
+
+def rollups_from_bins(counts: DataFrame, latency: DataFrame) -> dict[str, DataFrame]:
+    """The six roll-ups read back from stored count bins and latency bins."""
+
+    def of(signal: str) -> DataFrame:
+        return counts.filter(F.col("signal_type") == signal)
+
+    rate = div0(F.col("errors"), F.col("requests")).alias("error_rate")
+    errors = F.col("errors").cast("bigint").alias("errors")
+    return {
+        "ts_http_error_rate": of(SIG_ERROR_RATE).select(
+            "time_bin", "series_key", "service", "route", "requests", errors, rate
+        ),
+        "ts_route_latency": latency.select(
+            "time_bin", "series_key", "service", "route", "requests", "avg_duration_ms", "p95_duration_ms"
+        ),
+        "ts_error_signatures": of(SIG_SIGNATURE).select(
+            "time_bin", "series_key", "service", F.col("route").alias("error_signature"),
+            F.col("requests").alias("error_count"),
+        ),
+        "ts_forwarder_freshness": of(SIG_FRESHNESS).select(
+            "time_bin", "series_key", F.col("requests").alias("healthy_events")
+        ),
+        "ts_forwarder_drops": of(SIG_DROPS).select(
+            "time_bin", "series_key", F.col("requests").alias("drop_count")
+        ),
+        "ts_deployment_error_rate": of(SIG_DEPLOY).select(
+            "time_bin", "series_key", "service", F.col("route").alias("deployment_sha"), "requests", rate
+        ),
+    }

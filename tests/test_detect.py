@@ -172,7 +172,7 @@ def test_trend_has_no_threshold(spark):
     raw = generate_log_fixture(spark, ALIGNED)
     trend = detect.anomaly_score_trend(rollups.ts_http_error_rate(raw, ALIGNED), ALIGNED)
     assert trend.columns == ["time_bin", "series_key", "service", "route", "requests", "z_score"]
-    assert trend.filter("z_score < 0").count() > 10 and trend.filter("z_score > 9").count() == 2
+    assert trend.filter("z_score < 0").count() >= 5 and trend.filter("z_score > 9").count() == 2
 
 
 def test_replay_ignores_later_rows(spark):
