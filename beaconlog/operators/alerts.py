@@ -40,6 +40,12 @@ def alert_condition(signals: DataFrame, cfg: ObsConfig = ObsConfig()) -> bool:
     return not _firing(signals, cfg).select(F.lit(1)).isEmpty()
 
 
+def alert_condition_row(signals: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+    """The condition as a table: always one row."""
+    first = _firing(signals, cfg).select(F.lit(1).alias("hit")).limit(1)
+    return first.agg(F.count("*").alias("n")).select(ts_lit(as_of).alias("checked_at"), (F.col("n") > 0).alias("fires"))
+
+
 def top_signals(signals: DataFrame, cfg: ObsConfig = ObsConfig(), limit: int = 10) -> DataFrame:
     """Highest scores first; ties are broken by the naming columns."""
     return (

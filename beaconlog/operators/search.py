@@ -143,7 +143,8 @@ def search_articles(
     scores = (
         kept.join(weighted, "term")
         .groupBy("query_id", "article_id")
-        .agg(F.sum(part).alias("score"))
+        # rounded, so that equal articles tie whatever order the parts are summed in
+        .agg(F.round(F.sum(part), 6).alias("score"))
     )
     hits = _top(scores, k)
     # at most k hits per query; queries were counted above
@@ -231,9 +232,14 @@ def _score_block(ids: Sequence, vectors: Sequence, k: int, id_column: str, vecto
             rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
             sims = matrix @ rows.T
             keys = batch[id_column].to_numpy()
-            for q, query_id in enumerate(ids):
-                # order by score, then id, so that equal scores keep the smaller ids
-                order = np.lexsort((keys, -sims[q]))[:k]
-                yield pd.DataFrame({"query_id": query_id, id_column: keys[order], "score": sims[q][order]})
+            # by score, then id, so that equal scores keep the smaller ids
+            best = [np.lexsort((keys, -row))[:k] for row in sims]
+            yield pd.DataFrame(
+                {
+                    "query_id": [q for q, order in zip(ids, best) for _ in order],
+                    id_column: np.concatenate([keys[order] for order in best]),
+                    "score": np.concatenate([row[order] for row, order in zip(sims, best)]),
+                }
+            )
 
     return score

@@ -27,10 +27,19 @@ def last_seen(rows: DataFrame, cfg: ObsConfig = ObsConfig()) -> DataFrame:
 def track_last_seen(
     logs: DataFrame, path: str, checkpoint: str, cfg: ObsConfig = ObsConfig(), trigger: dict | None = None
 ) -> StreamingQuery:
-    """Write each batch's newest time per service; a repeated batch replaces its own rows."""
+    """Keep the newest time per service in a table of one row per service.
+
+    Batches alternate between two folders: each merges the other folder with
+    its own rows, so a repeated batch gives the same result and one folder is
+    always whole.
+    """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        last_seen(batch, cfg).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        earlier = read_table(batch.sparkSession, f"{path}/slot={(batch_id + 1) % 2}", _SEEN)
+        merged = earlier.unionByName(last_seen(batch, cfg))
+        merged.groupBy("service").agg(F.max("last_seen").alias("last_seen")).write.mode("overwrite").parquet(
+            f"{path}/slot={batch_id % 2}"
+        )
 
     writer = logs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
@@ -40,7 +49,7 @@ def silent_forwarders(
     spark: SparkSession, path: str, as_of: datetime, cfg: ObsConfig = ObsConfig()
 ) -> DataFrame:
     """One row when nothing was sent within the holdback, also if nothing ever was."""
-    seen = read_table(spark, path, _SEEN + ", batch_id bigint")
+    seen = read_table(spark, path, _SEEN + ", slot int")
     return (
         seen.agg(F.max("last_seen").alias("last_seen"))
         .filter(F.col("last_seen").isNull() | (F.col("last_seen") < ts_lit(as_of - cfg.holdback)))
