@@ -32,6 +32,8 @@ class ObsConfig:
     bin_seconds: int = 300
     history: timedelta = timedelta(days=2)
     holdback: timedelta = timedelta(minutes=15)
+    # span recomputed as a whole when new rows touch it
+    refresh_seconds: int = 3600
     # z-score detectors
     z_threshold: float = 1.5
     deploy_z_threshold: float | None = None
@@ -76,10 +78,17 @@ class ObsConfig:
     def __post_init__(self) -> None:
         if 86400 % self.bin_seconds:
             raise ValueError("bin_seconds must divide a day")
+        if 86400 % self.refresh_span:
+            raise ValueError("refresh_seconds must divide a day and hold whole bins")
 
     def with_(self, **changes) -> "ObsConfig":
         return replace(self, **changes)
 
+    @property
+    def refresh_span(self) -> int:
+        """Seconds per refresh span: at least one bin."""
+        return max(self.refresh_seconds, self.bin_seconds)
+
     @property
     def deploy_threshold(self) -> float:
         return self.z_threshold if self.deploy_z_threshold is None else self.deploy_z_threshold

@@ -1,4 +1,4 @@
-from .percentile import grouped_percentile
+from .percentile import grouped_percentile, large_groups
 from .scalar import (
     distinct_list,
     div0,
@@ -11,6 +11,8 @@ from .scalar import (
     round_half_up,
     series_key,
     split_part,
+    sql_list,
+    sql_text,
     time_bin,
     uniform_int,
 )
@@ -22,12 +24,15 @@ __all__ = [
     "iff",
     "is_error",
     "iso_z",
+    "large_groups",
     "parse_double",
     "parse_number",
     "parse_timestamp",
     "round_half_up",
     "series_key",
     "split_part",
+    "sql_list",
+    "sql_text",
     "time_bin",
     "uniform_int",
 ]

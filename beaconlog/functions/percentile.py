@@ -30,13 +30,17 @@ def grouped_percentile(
     name: str,
     aggs: Sequence[Column] = (),
     group_rows: int = 1_000_000,
+    checked_small: bool = False,
 ) -> DataFrame:
-    """``keys``, ``aggs`` and the ``share`` percentile of ``value`` as ``name``."""
+    """``keys``, ``aggs`` and the ``share`` percentile of ``value`` as ``name``.
+
+    ``checked_small`` says that the caller has found no group above
+    ``group_rows`` already (see ``large_groups``).
+    """
     keys = list(keys)
     built_in = F.percentile(value, F.lit(share)).alias(name)
-    sizes = df.groupBy(*keys).agg(F.count(value).alias("_n"))
-    hot = sizes.filter(F.col("_n") > group_rows).drop("_n")
-    if hot.isEmpty():
+    hot = None if checked_small else large_groups(df, keys, value, group_rows)
+    if hot is None or hot.isEmpty():
         return df.groupBy(*keys).agg(*aggs, built_in)
 
     if not keys:
@@ -54,6 +58,12 @@ def grouped_percentile(
     return cold.groupBy(*keys).agg(*aggs, built_in).unionByName(big)
 
 
+def large_groups(df: DataFrame, keys: Sequence[str], value: str, group_rows: int) -> DataFrame:
+    """Keys of the groups with more than ``group_rows`` values."""
+    sizes = df.groupBy(*keys).agg(F.count(value).alias("_n"))
+    return sizes.filter(F.col("_n") > group_rows).drop("_n")
+
+
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
 

@@ -40,8 +40,16 @@ def parse_double(text: Column) -> Column:
     return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
-def div0(a: Column, b: Column) -> Column:
-    """Division giving 0 for a zero divisor and NULL for a NULL one."""
+def div0(a: Column | str, b: Column | str) -> Column:
+    """Division giving 0 for a zero divisor and NULL for a NULL one.
+
+    Takes columns, or SQL text (which needs fewer calls into the JVM).
+    """
+    if isinstance(a, str) and isinstance(b, str):
+        return F.expr(
+            f"CASE WHEN ({b}) = 0 THEN IF(({a}) IS NULL, NULL, 0.0D) "
+            f"ELSE CAST(({a}) AS DOUBLE) / CAST(({b}) AS DOUBLE) END"
+        )
     a, b = a.cast("double"), b.cast("double")
     return F.when(b == 0, F.when(a.isNotNull(), F.lit(0.0))).otherwise(a / b)
 
@@ -52,27 +60,34 @@ def iff(condition: Column, yes, no) -> Column:
     return F.when(condition, yes).otherwise(no)
 
 
-def is_error(status: Column, severity: Column) -> Column:
+def is_error(status: str = "status_code", severity: str = "severity") -> Column:
     """1 for a 5xx or an error severity, else 0 (NULLs count as 0)."""
-    return iff((status >= 500) | severity.isin(*ERROR_SEVERITIES), 1, 0)
+    return F.expr(
+        f"CASE WHEN {status} >= 500 OR {severity} IN {sql_list(ERROR_SEVERITIES)} THEN 1 ELSE 0 END"
+    )
+
+
+def sql_text(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_list(values) -> str:
+    return "(" + ", ".join(sql_text(v) for v in values) + ")"
 
 
-def series_key(*parts: Column) -> Column:
-    """Parts joined by '::'; NULL when any part is NULL."""
-    out = [parts[0]]
-    for part in parts[1:]:
-        out += [F.lit("::"), part]
-    return F.concat(*out)
+def series_key(*parts: str) -> Column:
+    """Columns joined by '::'; NULL when any of them is NULL."""
+    return F.expr("concat(" + ", '::', ".join(parts) + ")")
 
 
 def split_part(text: Column, number: int) -> Column:
     return F.split_part(text, F.lit("::"), F.lit(number))
 
 
-def time_bin(ts: Column, seconds: int) -> Column:
+def time_bin(column: str, seconds: int) -> Column:
     """Start of the epoch-aligned bin, in whole-number arithmetic."""
-    epoch = F.unix_seconds(ts)
-    return F.timestamp_seconds(epoch - F.pmod(epoch, F.lit(seconds)))
+    return F.expr(f"timestamp_seconds(unix_seconds({column}) - pmod(unix_seconds({column}), {seconds}))")
 
 
 def distinct_list(values: Column) -> Column:

@@ -29,7 +29,7 @@ from ..config import (
 )
 from ..functions import div0
 from ..schemas import SIGNAL_COLUMNS
-from .rollups import signal_rollup, since
+from .rollups import latency_groups_small, signal_rollup, since
 
 FRAME = ["time_bin", "signal_type", "series_key", "service", "route", "requests", "errors", "value"]
 
@@ -114,18 +114,15 @@ def deployment_frame(ts: DataFrame) -> DataFrame:
 
 # ── scoring ─────────────────────────────────────────────────────────────────
 
-def _by_signal(choices: dict[str, object], default) -> Column:
-    out = None
-    for signal, value in choices.items():
-        rule = F.col("signal_type") == signal
-        value = value if isinstance(value, Column) else F.lit(value)
-        out = F.when(rule, value) if out is None else out.when(rule, value)
-    return out.otherwise(default)
+# Deployments are judged against the whole service, other series against themselves.
+_BASELINE_KEY = f"IF(signal_type = '{SIG_DEPLOY}', service, series_key) AS base_key"
 
 
-def _baseline_key() -> Column:
-    """Deployments are judged against the whole service, other series against themselves."""
-    return F.when(F.col("signal_type") == SIG_DEPLOY, F.col("service")).otherwise(F.col("series_key"))
+def _gate(cfg: ObsConfig) -> str:
+    return f"""requests >= CASE signal_type WHEN '{SIG_ERROR_RATE}' THEN {cfg.min_requests_error_rate}
+        WHEN '{SIG_LATENCY}' THEN {cfg.min_requests_latency}
+        WHEN '{SIG_SIGNATURE}' THEN {cfg.min_errors_signature}
+        WHEN '{SIG_DEPLOY}' THEN {cfg.min_requests_deploy} ELSE 0 END"""
 
 
 def zscore_detect(
@@ -136,6 +133,9 @@ def zscore_detect(
 ) -> DataFrame:
     """Signals of a series frame: bins of the holdback window against older bins.
 
+    A deployment is judged by its mean over the window's bins and reported at
+    ``as_of``; for every other series a bin stands for itself.
+
     ``recent`` may hold the detection bins when they were computed apart from
     the baseline bins; by default both come from ``past``.
     """
@@ -149,66 +149,39 @@ def zscore_detect(
     if cfg.latest_sha_only:
         past, recent = _latest_sha_only(past, recent)
 
-    deploy = F.col("signal_type") == SIG_DEPLOY
-    baseline = past.groupBy(
-        "signal_type",
-        _baseline_key().alias("base_key"),
-        F.col("service").alias("_service"),
-        F.when(~deploy, F.col("route")).alias("_route"),
-    ).agg(F.avg("value").alias("baseline_mean"), F.stddev_samp("value").alias("baseline_stddev"))
-    baseline = baseline.filter(F.col("baseline_stddev") > 0).drop("_service", "_route")
-
-    gate = _by_signal(
-        {
-            SIG_ERROR_RATE: cfg.min_requests_error_rate,
-            SIG_LATENCY: cfg.min_requests_latency,
-            SIG_SIGNATURE: cfg.min_errors_signature,
-            SIG_DEPLOY: cfg.min_requests_deploy,
-        },
-        F.lit(0),
-    )
-    detection = (
-        recent.groupBy(
+    baseline = (
+        past.groupBy(
             "signal_type",
-            _baseline_key().alias("base_key"),
-            "service",
-            "route",
-            F.when(deploy, ts_lit(as_of)).otherwise(F.col("time_bin")).alias("time_bin"),
-        )
-        .agg(
-            F.avg("value").alias("actual"),
-            F.sum("requests").alias("requests"),
-            F.sum("errors").alias("errors"),
+            F.expr(_BASELINE_KEY),
+            F.expr("service AS _service"),
+            F.expr(f"IF(signal_type = '{SIG_DEPLOY}', NULL, route) AS _route"),
         )
-        .filter(F.col("requests") >= gate)
+        .agg(F.expr("avg(value) AS baseline_mean"), F.expr("stddev_samp(value) AS baseline_stddev"))
+        .filter("baseline_stddev > 0")
+        .drop("_service", "_route")
     )
-
-    rise = F.col("actual") - F.col("baseline_mean")
-    score = div0(F.when(F.col("signal_type") == SIG_FRESHNESS, -rise).otherwise(rise), F.col("baseline_stddev"))
-    limit = _by_signal({SIG_DEPLOY: cfg.deploy_threshold}, F.lit(cfg.z_threshold))
+    detection = (
+        recent.withColumn("time_bin", F.when(F.expr(f"signal_type = '{SIG_DEPLOY}'"), ts_lit(as_of)).otherwise(F.col("time_bin")))
+        .groupBy("signal_type", F.expr(_BASELINE_KEY), "service", "route", "time_bin")
+        .agg(F.expr("avg(value) AS actual"), F.expr("sum(requests) AS requests"), F.expr("sum(errors) AS errors"))
+        .filter(_gate(cfg))
+    )
+    sign = f"IF(signal_type = '{SIG_FRESHNESS}', -1, 1)"
+    limit = f"IF(signal_type = '{SIG_DEPLOY}', {cfg.deploy_threshold}D, {cfg.z_threshold}D)"
     return (
         detection.join(baseline, ["signal_type", "base_key"])
-        .withColumn("anomaly_score", score)
-        .filter(F.col("anomaly_score") >= limit)
-        .select(
+        .selectExpr("*", f"{sign} * (actual - baseline_mean) / baseline_stddev AS anomaly_score")
+        .filter(f"anomaly_score >= {limit}")
+        .selectExpr(
             "time_bin",
             "signal_type",
             "service",
             "route",
-            _by_signal(
-                {SIG_SIGNATURE: F.lit(None).cast("bigint"), SIG_DROPS: F.lit(0).cast("bigint")},
-                F.col("requests"),
-            ).alias("requests"),
-            _by_signal(
-                {
-                    SIG_LATENCY: F.lit(None).cast("double"),
-                    SIG_DEPLOY: F.lit(None).cast("double"),
-                    SIG_FRESHNESS: F.lit(0.0),
-                    SIG_SIGNATURE: F.col("actual"),
-                    SIG_DROPS: F.col("actual"),
-                },
-                F.col("errors"),
-            ).alias("errors"),
+            f"""CASE signal_type WHEN '{SIG_SIGNATURE}' THEN NULL WHEN '{SIG_DROPS}' THEN 0L
+                ELSE requests END AS requests""",
+            f"""CASE WHEN signal_type IN ('{SIG_LATENCY}', '{SIG_DEPLOY}') THEN NULL
+                WHEN signal_type = '{SIG_FRESHNESS}' THEN 0.0D
+                WHEN signal_type IN ('{SIG_SIGNATURE}', '{SIG_DROPS}') THEN actual ELSE errors END AS errors""",
             "actual",
             "baseline_mean",
             "baseline_stddev",
@@ -288,7 +261,10 @@ def recent_anomaly_signals(rollups: dict[str, DataFrame], as_of: datetime, cfg:
 def signals_from_logs(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
     """All signals straight from raw logs: one counting scan of the history."""
     past, recent = split_logs(raw, as_of, cfg)
-    return zscore_detect(signal_rollup(past, as_of, cfg), as_of, cfg, signal_rollup(recent, as_of, cfg))
+    small = latency_groups_small(raw, as_of, cfg)
+    return zscore_detect(
+        signal_rollup(past, as_of, cfg, small), as_of, cfg, signal_rollup(recent, as_of, cfg, small)
+    )
 
 
 def empty_signals(spark) -> DataFrame:
@@ -320,7 +296,7 @@ def anomaly_score_trend(
         "service",
         "route",
         "requests",
-        F.round(div0(F.col("error_rate") - F.col("_mean"), F.col("_stddev")), 2).alias("z_score"),
+        F.round(div0("error_rate - _mean", "_stddev"), 2).alias("z_score"),
     )
 
 

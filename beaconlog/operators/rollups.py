@@ -25,7 +25,16 @@ from ..config import (
     ObsConfig,
     ts_lit,
 )
-from ..functions import div0, grouped_percentile, is_error, series_key, time_bin
+from ..functions import (
+    div0,
+    grouped_percentile,
+    is_error,
+    large_groups,
+    series_key,
+    sql_list,
+    sql_text,
+    time_bin,
+)
 from . import views
 
 
@@ -54,25 +63,18 @@ def _history(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig) -> DataFram
 
 
 def _bin(cfg: ObsConfig) -> Column:
-    return time_bin(F.col("ingest_ts"), cfg.bin_seconds)
-
-
-def _errors() -> Column:
-    return is_error(F.col("status_code"), F.col("severity"))
+    return time_bin("ingest_ts", cfg.bin_seconds)
 
 
 def is_healthy_batch(cfg: ObsConfig) -> Column:
-    return (
-        views.is_forwarder_event(cfg)
-        & (F.col("event_type") == "batch_sent")
-        & ~F.col("severity").isin(*ERROR_SEVERITIES)
-    )
+    """A NULL severity is neither healthy nor failed."""
+    sent = F.expr(f"event_type = 'batch_sent' AND severity NOT IN {sql_list(ERROR_SEVERITIES)}")
+    return views.is_forwarder_event(cfg) & sent
 
 
 def is_forwarder_drop(cfg: ObsConfig) -> Column:
-    return views.is_forwarder_event(cfg) & (
-        (F.col("event_type") == "message_skipped") | F.col("severity").isin(*ERROR_SEVERITIES)
-    )
+    lost = F.expr(f"event_type = 'message_skipped' OR severity IN {sql_list(ERROR_SEVERITIES)}")
+    return views.is_forwarder_event(cfg) & lost
 
 
 def ts_http_error_rate(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
@@ -80,36 +82,51 @@ def ts_http_error_rate(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig =
         _history(raw, as_of, cfg)
         .filter(views.is_http_request())
         .groupBy(_bin(cfg).alias("time_bin"), "service", "route")
-        .agg(F.count("*").alias("requests"), F.sum(_errors()).alias("errors"))
+        .agg(F.count("*").alias("requests"), F.sum(is_error()).alias("errors"))
         .select(
             "time_bin",
-            series_key(F.col("service"), F.col("route")).alias("series_key"),
+            series_key("service", "route").alias("series_key"),
             "service",
             "route",
             "requests",
             "errors",
-            div0(F.col("errors"), F.col("requests")).alias("error_rate"),
+            div0("errors", "requests").alias("error_rate"),
         )
     )
 
 
-def ts_route_latency(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
-    rows = (
+_LATENCY_KEYS = ["time_bin", "service", "route"]
+
+
+def _latency_rows(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig) -> DataFrame:
+    return (
         _history(raw, as_of, cfg)
         .filter(views.is_http_request() & F.col("duration_ms").isNotNull())
         .select(_bin(cfg).alias("time_bin"), "service", "route", "duration_ms")
     )
+
+
+def latency_groups_small(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> bool:
+    """True when every latency bin is small enough for the built-in percentile."""
+    rows = _latency_rows(raw, as_of, cfg)
+    return large_groups(rows, _LATENCY_KEYS, "duration_ms", cfg.percentile_group_rows).isEmpty()
+
+
+def ts_route_latency(
+    raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig(), checked_small: bool = False
+) -> DataFrame:
     return grouped_percentile(
-        rows,
-        ["time_bin", "service", "route"],
+        _latency_rows(raw, as_of, cfg),
+        _LATENCY_KEYS,
         "duration_ms",
         cfg.percentile,
         "p95_duration_ms",
         [F.count("*").alias("requests"), F.avg("duration_ms").alias("avg_duration_ms")],
         cfg.percentile_group_rows,
+        checked_small,
     ).select(
         "time_bin",
-        series_key(F.col("service"), F.col("route")).alias("series_key"),
+        series_key("service", "route").alias("series_key"),
         "service",
         "route",
         "requests",
@@ -126,7 +143,7 @@ def ts_error_signatures(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig =
         .agg(F.count("*").alias("error_count"))
         .select(
             "time_bin",
-            series_key(F.col("service"), F.col("error_signature")).alias("series_key"),
+            series_key("service", "error_signature").alias("series_key"),
             "service",
             "error_signature",
             "error_count",
@@ -159,14 +176,14 @@ def ts_deployment_error_rate(raw: DataFrame, as_of: datetime | None, cfg: ObsCon
         _history(raw, as_of, cfg)
         .filter(views.is_http_request() & F.col("deployment_sha").isNotNull())
         .groupBy(_bin(cfg).alias("time_bin"), "service", "deployment_sha")
-        .agg(F.count("*").alias("requests"), F.sum(_errors()).alias("_errors"))
+        .agg(F.count("*").alias("requests"), F.sum(is_error()).alias("_errors"))
         .select(
             "time_bin",
-            series_key(F.col("service"), F.col("deployment_sha")).alias("series_key"),
+            series_key("service", "deployment_sha").alias("series_key"),
             "service",
             "deployment_sha",
             "requests",
-            div0(F.col("_errors"), F.col("requests")).alias("error_rate"),
+            div0("_errors", "requests").alias("error_rate"),
         )
     )
 
@@ -188,59 +205,55 @@ def count_bins(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfi
     errors. A log row belongs to up to five series; it is expanded and combined
     again on the map side before the shuffle.
     """
-    rows = _history(raw, as_of, cfg)
-    service, route = F.col("service"), F.col("route")
-    signature, sha = F.col("error_signature"), F.col("deployment_sha")
-    forwarder = F.lit(cfg.forwarder_service)
-
-    def member(rule: Column, signal: str, key: Column, svc: Column, rt: Column) -> Column:
-        return F.when(
-            rule,
-            F.struct(
-                F.lit(signal).alias("signal_type"),
-                key.alias("series_key"),
-                svc.alias("service"),
-                rt.alias("route"),
-            ),
-        )
+    forwarder = sql_text(cfg.forwarder_service)
+
+    def member(rule: Column, signal: str, key: str, service: str, route: str) -> Column:
+        fields = f"'{signal}' AS signal_type, {key} AS series_key, {service} AS service, {route} AS route"
+        return F.when(rule, F.expr(f"struct({fields})"))
+
+    def own(signal: str, route: str, rule: Column) -> Column:
+        return member(rule, signal, f"concat(service, '::', {route})", "service", route)
 
     http = views.is_http_request()
     members = F.array(
-        member(http, SIG_ERROR_RATE, series_key(service, route), service, route),
-        member(views.is_application_error(), SIG_SIGNATURE, series_key(service, signature), service, signature),
-        member(is_healthy_batch(cfg), SIG_FRESHNESS, F.lit(KEY_FRESHNESS), forwarder, F.lit(KEY_FRESHNESS)),
-        member(is_forwarder_drop(cfg), SIG_DROPS, F.lit(KEY_DROPS), forwarder, F.lit(KEY_DROPS)),
-        member(http & sha.isNotNull(), SIG_DEPLOY, series_key(service, sha), service, sha),
+        own(SIG_ERROR_RATE, "route", http),
+        own(SIG_SIGNATURE, "error_signature", views.is_application_error()),
+        own(SIG_DEPLOY, "deployment_sha", http & F.expr("deployment_sha IS NOT NULL")),
+        member(is_healthy_batch(cfg), SIG_FRESHNESS, f"'{KEY_FRESHNESS}'", forwarder, f"'{KEY_FRESHNESS}'"),
+        member(is_forwarder_drop(cfg), SIG_DROPS, f"'{KEY_DROPS}'", forwarder, f"'{KEY_DROPS}'"),
     )
     return (
-        rows.select(_bin(cfg).alias("time_bin"), _errors().alias("_e"), F.explode(members).alias("_m"))
-        .filter(F.col("_m").isNotNull())
+        _history(raw, as_of, cfg)
+        .select(_bin(cfg).alias("time_bin"), is_error().alias("_e"), F.explode(members).alias("_m"))
+        .filter("_m IS NOT NULL")
         .groupBy("time_bin", "_m.signal_type", "_m.series_key", "_m.service", "_m.route")
-        .agg(F.count("*").alias("requests"), F.sum("_e").cast("double").alias("errors"))
+        .agg(F.expr("count(*) AS requests"), F.expr("CAST(sum(_e) AS DOUBLE) AS errors"))
     )
 
 
 def series_frame(counts: DataFrame, latency: DataFrame) -> DataFrame:
     """Count bins and latency bins as one frame with the scored ``value``."""
-    is_rate = F.col("signal_type").isin(SIG_ERROR_RATE, SIG_DEPLOY)
-    value = F.when(is_rate, div0(F.col("errors"), F.col("requests"))).otherwise(F.col("requests").cast("double"))
-    return counts.withColumn("value", value).unionByName(
-        latency.select(
+    rates = sql_list((SIG_ERROR_RATE, SIG_DEPLOY))
+    value = f"CASE WHEN signal_type IN {rates} THEN errors / requests ELSE CAST(requests AS DOUBLE) END"
+    return counts.selectExpr("*", f"{value} AS value").unionByName(
+        latency.selectExpr(
             "time_bin",
-            F.lit(SIG_LATENCY).alias("signal_type"),
+            f"'{SIG_LATENCY}' AS signal_type",
             "series_key",
             "service",
             "route",
             "requests",
-            F.lit(None).cast("double").alias("errors"),
-            F.col("p95_duration_ms").alias("value"),
+            "CAST(NULL AS DOUBLE) AS errors",
+            "p95_duration_ms AS value",
         )
     )
 
 
-def signal_rollup(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+def signal_rollup(
+    raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig(), checked_small: bool = False
+) -> DataFrame:
     """All six series straight from raw logs."""
-    return series_frame(count_bins(raw, as_of, cfg), ts_route_latency(raw, as_of, cfg))
+    return series_frame(count_bins(raw, as_of, cfg), ts_route_latency(raw, as_of, cfg, checked_small))
 
 
 def rollups_from_bins(counts: DataFrame, latency: DataFrame) -> dict[str, DataFrame]:
@@ -249,7 +262,7 @@ def rollups_from_bins(counts: DataFrame, latency: DataFrame) -> dict[str, DataFr
     def of(signal: str) -> DataFrame:
         return counts.filter(F.col("signal_type") == signal)
 
-    rate = div0(F.col("errors"), F.col("requests")).alias("error_rate")
+    rate = div0("errors", "requests").alias("error_rate")
     errors = F.col("errors").cast("bigint").alias("errors")
     return {
         "ts_http_error_rate": of(SIG_ERROR_RATE).select(

@@ -6,29 +6,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ERROR_SEVERITIES, ObsConfig
+from ..functions import sql_list, sql_text
 
 
 def is_http_request() -> Column:
-    return (
-        (F.col("event_type") == "http_request")
-        & F.col("service").isNotNull()
-        & F.col("route").isNotNull()
-    )
+    return F.expr("event_type = 'http_request' AND service IS NOT NULL AND route IS NOT NULL")
 
 
 def is_application_error() -> Column:
-    return F.col("severity").isin(*ERROR_SEVERITIES) & F.col("error_signature").isNotNull()
+    return F.expr(f"severity IN {sql_list(ERROR_SEVERITIES)} AND error_signature IS NOT NULL")
 
 
 def is_deployment() -> Column:
-    return (F.col("event_type") == "deployment") | (
-        (F.col("event_type") == "forwarder_start") & F.col("deployment_sha").isNotNull()
+    return F.expr(
+        "event_type = 'deployment' OR (event_type = 'forwarder_start' AND deployment_sha IS NOT NULL)"
     )
 
 
 def is_forwarder_event(cfg: ObsConfig) -> Column:
-    return (F.col("service") == cfg.forwarder_service) | F.col("event_type").isin(
-        "forwarder_start", "batch_sent", "message_skipped"
+    return F.expr(
+        f"service = {sql_text(cfg.forwarder_service)}"
+        " OR event_type IN ('forwarder_start', 'batch_sent', 'message_skipped')"
     )
 
 

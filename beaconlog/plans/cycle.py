@@ -21,6 +21,7 @@ from ..operators.incidents import attach_deployment, dedup_incidents, incident_r
 from ..operators.search import search_articles, search_snippet, signal_search_queries
 from ..session import materialize
 from ..sources.tables import (
+    COUNT_BIN_TABLE,
     append_ml_detections,
     read_cycle_signals,
     read_ml_detections,
@@ -125,11 +126,7 @@ def stream_cycle(
     **options,
 ) -> StreamingQuery:
     """Run a cycle whenever new bins arrive, at most once per trigger."""
-    from ..sources.tables import COUNT_BIN_COLUMNS
-    from ..schemas import ddl
-
-    schema = ddl(COUNT_BIN_COLUMNS) + ", bin_date date, signal_type string"
-    bins = spark.readStream.schema(schema).parquet(f"{store.bins}/count_bins")
+    bins = spark.readStream.schema(COUNT_BIN_TABLE).parquet(f"{store.bins}/count_bins")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         run_cycle(batch.sparkSession, store, clock(), cfg, **options)

@@ -27,12 +27,12 @@ def _up(column: str) -> Column:
 
 
 def _error_measures(total: str, errors: str) -> list[Column]:
-    flag = is_error(F.col("status_code"), F.col("severity"))
+    flag = is_error()
     return [F.count("*").alias(total), F.sum(flag).alias(errors)]
 
 
 def _pct(errors: str, total: str) -> Column:
-    return F.round(div0(F.col(errors), F.col(total)) * 100, 2).alias("error_rate_pct")
+    return F.round(div0(errors, total) * 100, 2).alias("error_rate_pct")
 
 
 def tile_error_rate_by_service(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
@@ -48,7 +48,7 @@ def tile_error_rate_by_service(raw: DataFrame, as_of: datetime, cfg: ObsConfig =
 def tile_request_rate(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
     return (
         views.http_requests(since(raw, as_of, cfg.tile_rate_window, cfg))
-        .groupBy(time_bin(F.col("ingest_ts"), cfg.bin_seconds).alias("time_bin"), "service")
+        .groupBy(time_bin("ingest_ts", cfg.bin_seconds).alias("time_bin"), "service")
         .agg(F.count("*").alias("requests"))
         .orderBy("time_bin", "service")
     )
@@ -119,7 +119,7 @@ def tile_recent_deployments(raw: DataFrame, as_of: datetime, cfg: ObsConfig = Ob
 def tile_forwarder_health(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
     return (
         views.forwarder_health(since(raw, as_of, cfg.tile_rate_window, cfg), cfg)
-        .groupBy(time_bin(F.col("ingest_ts"), cfg.bin_seconds).alias("time_bin"), "event_type")
+        .groupBy(time_bin("ingest_ts", cfg.bin_seconds).alias("time_bin"), "event_type")
         .agg(F.count("*").alias("event_count"))
         .orderBy("time_bin", _up("event_type"))
     )

@@ -89,12 +89,12 @@ def evidence_shas(
 
 
 def evidence_top_routes(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(), limit: int = 10) -> DataFrame:
-    flag = is_error(F.col("status_code"), F.col("severity"))
+    flag = is_error()
     return (
         views.http_requests(since(raw, as_of, cfg.holdback, cfg))
         .groupBy("service", "route")
         .agg(F.count("*").alias("requests"), F.sum(flag).alias("errors"))
-        .withColumn("error_rate_pct", F.round(div0(F.col("errors"), F.col("requests")) * 100, 2))
+        .withColumn("error_rate_pct", F.round(div0("errors", "requests") * 100, 2))
         .orderBy(F.desc("error_rate_pct"), F.desc("requests"), "service", "route")
         .limit(limit)
     )

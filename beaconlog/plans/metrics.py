@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ObsConfig
-from ..functions import div0, grouped_percentile, iff, is_error, time_bin
+from ..functions import div0, grouped_percentile, is_error, time_bin
 from ..operators import views
 from ..operators.rollups import since
 
@@ -30,10 +30,6 @@ class MetricTable:
     percentiles: Mapping[str, tuple[str, float]] = field(default_factory=dict)
 
 
-def _server_errors() -> Column:
-    return F.sum(iff(F.col("status_code") >= 500, 1, 0))
-
-
 METRICS = {
     "http_requests": MetricTable(
         rows=views.http_requests,
@@ -41,8 +37,8 @@ METRICS = {
         dimensions=("service", "route", "method", "status_code", "deployment_sha", "environment"),
         measures={
             "request_count": lambda: F.count("*"),
-            "error_count": lambda: F.sum(is_error(F.col("status_code"), F.col("severity"))),
-            "error_rate": lambda: div0(_server_errors(), F.count("*")),
+            "error_count": lambda: F.sum(is_error()),
+            "error_rate": lambda: div0("count_if(status_code >= 500)", "count(*)"),
             "avg_latency_ms": lambda: F.avg("duration_ms"),
         },
         percentiles={"p95_latency_ms": ("duration_ms", 0.95)},
@@ -108,7 +104,7 @@ def metric_query(
 
     keys = list(dims)
     if grain_seconds:
-        rows = rows.withColumn("_bin", time_bin(F.col(time), grain_seconds))
+        rows = rows.withColumn("_bin", time_bin(time, grain_seconds))
         keys.append("_bin")
     if not measures:
         out = rows.select(*dims, F.col("_bin" if grain_seconds else time).alias(time))

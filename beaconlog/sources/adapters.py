@@ -25,6 +25,7 @@ INCIDENT_START = datetime(2024, 1, 30)
 ARTICLES_FROM = datetime(2024, 1, 1)
 TABLE_CONFIG = ObsConfig(
     bin_seconds=6 * 3600,
+    refresh_seconds=86_400,
     history=timedelta(days=30),
     holdback=timedelta(days=1),
     deploy_z_threshold=1.0,
@@ -49,51 +50,42 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
+# The mapping from events to log columns. ``incident`` and
+# ``fails`` are computed first. The variant envelope is left out.
+_INCIDENT = f"ts >= TIMESTAMP '{INCIDENT_START:%Y-%m-%d %H:%M:%S}+00:00'"
+_FAILS = "event_type = 'error' OR (incident AND event_type = 'click' AND user_id % 2 = 0)"
+_ROUTE = "concat('/api/r', CAST(user_id % 2 AS STRING))"
+_LOG_COLUMNS = {
+    "ingest_ts": "ts",
+    "source_ts": "ts",
+    "service": "CASE event_type WHEN 'signup' THEN 'log-forwarder' WHEN 'view' THEN 'web-frontend' ELSE 'backend' END",
+    "environment": "'production'",
+    "deployment_sha": "CASE WHEN incident THEN 'sha-new' ELSE concat('sha-', CAST(user_id % 3 AS STRING)) END",
+    "severity": "CASE WHEN event_type = 'error' AND event_id % 3 = 0 THEN 'CRITICAL' WHEN fails THEN 'ERROR' ELSE 'INFO' END",
+    "event_type": """CASE WHEN event_type = 'signup' AND (user_id % 5 = 0 OR (incident AND user_id % 5 < 4))
+        THEN 'message_skipped' WHEN event_type = 'signup' THEN 'batch_sent'
+        WHEN event_type = 'purchase' AND event_id % 20 = 0 THEN 'deployment' ELSE 'http_request' END""",
+    "method": "CASE event_type WHEN 'signup' THEN NULL WHEN 'purchase' THEN 'POST' ELSE 'GET' END",
+    "route": _ROUTE,
+    "status_code": "CASE WHEN event_type = 'signup' THEN NULL WHEN fails THEN 500 ELSE 200 END",
+    "duration_ms": "CASE WHEN event_type <> 'signup' THEN value * IF(incident AND user_id % 2 = 0, 30.0D, 10.0D) END",
+    "trace_id": "concat('t', CAST(event_id AS STRING))",
+    "request_id": "concat('q', CAST(event_id AS STRING))",
+    "error_type": "CASE WHEN fails THEN 'E' END",
+    "error_message": f"CASE WHEN fails THEN concat('failed on ', {_ROUTE}) END",
+    "error_signature": f"CASE WHEN fails THEN concat('E:', {_ROUTE}) END",
+    "page": "CASE WHEN event_type = 'view' THEN concat('/page/', CAST(user_id % 4 AS STRING)) END",
+    "api_status": "CASE WHEN event_type = 'view' THEN 'ok' END",
+    "source": "'events'",
+    "insert_id": "concat('i', CAST(event_id AS STRING))",
+    "pubsub_message_id": "concat('m', CAST(event_id AS STRING))",
+}
+
+
 def events_as_logs(df: DataFrame) -> DataFrame:
     """The given events as raw log rows (all columns but the variant envelope)."""
-    kind, user, number = F.col("event_type"), F.col("user_id"), F.col("event_id")
-    incident = F.col("ts") >= ts_lit(INCIDENT_START)
-    signup = kind == "signup"
-    failing_click = incident & (kind == "click") & (user % 2 == 0)
-    fails = (kind == "error") | failing_click
-    route = F.concat(F.lit("/api/r"), (user % 2).cast("string"))
-    service = F.when(signup, "log-forwarder").when(kind == "view", "web-frontend").otherwise("backend")
-    return df.select(
-        F.col("ts").alias("ingest_ts"),
-        F.col("ts").alias("source_ts"),
-        service.alias("service"),
-        F.lit("production").alias("environment"),
-        F.when(incident, "sha-new")
-        .otherwise(F.concat(F.lit("sha-"), (user % 3).cast("string")))
-        .alias("deployment_sha"),
-        F.when(kind == "error", F.when(number % 3 == 0, "CRITICAL").otherwise("ERROR"))
-        .when(failing_click, "ERROR")
-        .otherwise("INFO")
-        .alias("severity"),
-        F.when(
-            signup,
-            F.when((user % 5 == 0) | (incident & (user % 5 < 4)), "message_skipped").otherwise("batch_sent"),
-        )
-        .when((kind == "purchase") & (number % 20 == 0), "deployment")
-        .otherwise("http_request")
-        .alias("event_type"),
-        F.when(~signup, F.when(kind == "purchase", "POST").otherwise("GET")).alias("method"),
-        route.alias("route"),
-        F.when(~signup, F.when(fails, 500).otherwise(200)).alias("status_code"),
-        F.when(
-            ~signup, F.col("value") * F.when(incident & (user % 2 == 0), F.lit(30.0)).otherwise(F.lit(10.0))
-        ).alias("duration_ms"),
-        F.concat(F.lit("t"), number.cast("string")).alias("trace_id"),
-        F.concat(F.lit("q"), number.cast("string")).alias("request_id"),
-        F.when(fails, "E").alias("error_type"),
-        F.when(fails, F.concat(F.lit("failed on "), route)).alias("error_message"),
-        F.when(fails, F.concat(F.lit("E:"), route)).alias("error_signature"),
-        F.when(kind == "view", F.concat(F.lit("/page/"), (user % 4).cast("string"))).alias("page"),
-        F.when(kind == "view", "ok").alias("api_status"),
-        F.lit("events").alias("source"),
-        F.concat(F.lit("i"), number.cast("string")).alias("insert_id"),
-        F.concat(F.lit("m"), number.cast("string")).alias("pubsub_message_id"),
-    )
+    marked = df.selectExpr("*", f"{_INCIDENT} AS incident").selectExpr("*", f"{_FAILS} AS fails")
+    return marked.selectExpr(*[f"{rule} AS {name}" for name, rule in _LOG_COLUMNS.items()])
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:

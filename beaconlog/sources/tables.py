@@ -27,6 +27,7 @@ from ..schemas import (
 
 COUNT_BIN_COLUMNS = [
     ("time_bin", "timestamp"),
+    ("signal_type", "string"),
     ("series_key", "string"),
     ("service", "string"),
     ("route", "string"),
@@ -71,14 +72,27 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 # ── raw logs and load history ───────────────────────────────────────────────
 
+RAW_TABLE = ddl(RAW_LOGS_COLUMNS) + ", ingest_date date, batch_id bigint"
+
+
 def write_raw_logs(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Log files arrive in time order, so tasks write their days without a shuffle."""
     out = rows.select(*names(RAW_LOGS_COLUMNS)).withColumn("ingest_date", F.to_date("ingest_ts"))
-    replace_partitions(out.withColumn("batch_id", F.lit(batch_id)), path, "ingest_date", "batch_id")
+    (
+        out.withColumn("batch_id", F.lit(batch_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("ingest_date", "batch_id")
+        .parquet(path)
+    )
 
 
 def read_raw_logs(spark: SparkSession, path: str) -> DataFrame:
-    schema = ddl(RAW_LOGS_COLUMNS) + ", ingest_date date, batch_id bigint"
-    return read_table(spark, path, schema).drop("batch_id")
+    return read_table(spark, path, RAW_TABLE).drop("batch_id")
+
+
+def read_raw_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    return read_table(spark, path, RAW_TABLE).filter(F.col("batch_id") == batch_id).drop("batch_id")
 
 
 def read_load_history(spark: SparkSession, path: str) -> DataFrame:
@@ -141,21 +155,31 @@ def read_ml_detections(spark: SparkSession, path: str) -> DataFrame:
 
 # ── bins ────────────────────────────────────────────────────────────────────
 
-def write_count_bins(bins: DataFrame, path: str) -> None:
-    out = bins.withColumn("bin_date", F.to_date("time_bin"))
-    replace_partitions(out, f"{path}/count_bins", "bin_date", "signal_type")
+# bins are stored by day and, within it, by refresh span
+_SPAN = "bin_date date, bin_span int"
+COUNT_BIN_TABLE = ddl(COUNT_BIN_COLUMNS) + ", " + _SPAN
+LATENCY_BIN_TABLE = ddl(LATENCY_BIN_COLUMNS) + ", " + _SPAN
+
+
+def _write_bins(bins: DataFrame, path: str, span_seconds: int) -> None:
+    second = F.pmod(F.unix_seconds("time_bin"), F.lit(86400))
+    out = bins.withColumn("bin_date", F.to_date("time_bin")).withColumn(
+        "bin_span", F.floor(second / span_seconds).cast("int")
+    )
+    replace_partitions(out, path, "bin_date", "bin_span")
+
+
+def write_count_bins(bins: DataFrame, path: str, span_seconds: int) -> None:
+    _write_bins(bins.select(*names(COUNT_BIN_COLUMNS)), f"{path}/count_bins", span_seconds)
 
 
-def write_latency_bins(bins: DataFrame, path: str) -> None:
-    out = bins.withColumn("bin_date", F.to_date("time_bin"))
-    replace_partitions(out, f"{path}/latency_bins", "bin_date")
+def write_latency_bins(bins: DataFrame, path: str, span_seconds: int) -> None:
+    _write_bins(bins.select(*names(LATENCY_BIN_COLUMNS)), f"{path}/latency_bins", span_seconds)
 
 
 def read_count_bins(spark: SparkSession, path: str) -> DataFrame:
-    schema = ddl(COUNT_BIN_COLUMNS) + ", bin_date date, signal_type string"
-    return read_table(spark, f"{path}/count_bins", schema)
+    return read_table(spark, f"{path}/count_bins", COUNT_BIN_TABLE).drop("bin_span")
 
 
 def read_latency_bins(spark: SparkSession, path: str) -> DataFrame:
-    schema = ddl(LATENCY_BIN_COLUMNS) + ", bin_date date"
-    return read_table(spark, f"{path}/latency_bins", schema)
+    return read_table(spark, f"{path}/latency_bins", LATENCY_BIN_TABLE).drop("bin_span")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ts_lit
 from ..functions import iff
-from ..schemas import LOAD_HISTORY_COLUMNS, RAW_LOGS_COLUMNS, ddl, names
+from ..schemas import LOAD_HISTORY_COLUMNS, ddl, names
 from ..sources.json_logs import parse_lines, read_log_files, stream_log_files
-from ..sources.tables import read_load_history, read_table, write_raw_logs
+from ..sources.tables import read_load_history, read_raw_batch, read_table, write_raw_logs
 
 # Load states of a file.
 LOADED, PARTIAL, FAILED = "Loaded", "Partially loaded", "Load failed"
@@ -60,12 +60,6 @@ def load_batch(
         parsed.unpersist()
 
 
-def touched_days(rows: DataFrame) -> list[date]:
-    """Calendar days present in ``rows`` (a few dates, never row data)."""
-    days = rows.select(F.to_date("ingest_ts").alias("d")).distinct().collect()
-    return sorted(r.d for r in days if r.d is not None)
-
-
 def stream_ingest(
     spark: SparkSession,
     source: str,
@@ -79,13 +73,14 @@ def stream_ingest(
     skip_bad_files: bool = False,
     null_if: Sequence[str] = (),
     keep_envelope: bool = False,
-    on_days: Callable[[list[date]], None] | None = None,
+    on_rows: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Load new files as they appear; the checkpoint remembers which were read.
 
     ``refresh=False`` leaves out files older than ``started_at`` (those a pipe
     would only load on request); ``refresh_files`` can fetch them later.
-    ``on_days`` is called after each batch with the days it touched.
+    ``on_rows`` is called after each batch with the rows it wrote, for instance
+    to refresh the bins they fall into.
     """
     lines = stream_log_files(spark, source, max_files)
     if not refresh:
@@ -98,11 +93,8 @@ def stream_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         load_batch(batch, raw_path, history_path, batch_id, skip_bad_files)
-        if on_days is not None:
-            written = batch.sparkSession.read.schema(
-                ddl(RAW_LOGS_COLUMNS) + ", ingest_date date, batch_id bigint"
-            ).parquet(raw_path).filter(F.col("batch_id") == batch_id)
-            on_days(touched_days(written))
+        if on_rows is not None:
+            on_rows(read_raw_batch(batch.sparkSession, raw_path, batch_id))
 
     writer = parsed.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()

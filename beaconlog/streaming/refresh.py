@@ -1,45 +1,60 @@
-"""Exact incremental roll-ups: recompute the days that new rows touch."""
+"""Exact incremental roll-ups: recompute the time spans that new rows touch."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date, datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import ObsConfig
+from ..config import EPOCH, ObsConfig, ts_lit
+from ..functions import time_bin
 from ..operators.detect import stored_bins, zscore_detect
 from ..operators.rollups import count_bins, rollups_from_bins, series_frame, ts_route_latency
-from ..schemas import RAW_LOGS_COLUMNS, ddl
 from ..sources.tables import (
+    RAW_TABLE,
     read_count_bins,
     read_latency_bins,
     read_raw_logs,
     write_count_bins,
     write_latency_bins,
 )
-from .ingest import touched_days
+
+
+def touched_spans(rows: DataFrame, cfg: ObsConfig = ObsConfig()) -> list[datetime]:
+    """Starts of the refresh spans that ``rows`` fall into (a few instants)."""
+    start = F.unix_seconds(time_bin("ingest_ts", cfg.refresh_span))
+    found = rows.select(start.alias("s")).distinct().collect()
+    return sorted(EPOCH + timedelta(seconds=r.s) for r in found if r.s is not None)
 
 
 def refresh_bins(
     spark: SparkSession,
     raw_path: str,
     bins_path: str,
-    days: Sequence[date],
+    spans: Sequence[datetime],
     cfg: ObsConfig = ObsConfig(),
 ) -> None:
-    """Recompute every bin of ``days`` from the raw table and replace those days.
+    """Recompute every bin of the given spans from the raw table and replace them.
 
-    Whole days are recomputed, so late rows are absorbed without a watermark
-    and a repeated call changes nothing. Bins never straddle midnight.
+    Whole spans are recomputed, so late rows are absorbed without a watermark
+    and a repeated call changes nothing. Bins never straddle spans. The scan
+    is limited to the days of the spans and to their outer time range.
     """
-    if not days:
+    if not spans:
         return
-    raw = read_raw_logs(spark, raw_path).filter(F.col("ingest_date").isin(list(days)))
-    write_count_bins(count_bins(raw, None, cfg), bins_path)
-    write_latency_bins(ts_route_latency(raw, None, cfg), bins_path)
+    first, last = min(spans), max(spans) + timedelta(seconds=cfg.refresh_span)
+    span = F.unix_seconds(time_bin("ingest_ts", cfg.refresh_span))
+    raw = read_raw_logs(spark, raw_path).filter(
+        F.col("ingest_date").isin(sorted({s.date() for s in spans}))
+        & (F.col("ingest_ts") >= ts_lit(first))
+        & (F.col("ingest_ts") < ts_lit(last))
+        & span.isin([(s - EPOCH) // timedelta(seconds=1) for s in spans])
+    )
+    write_count_bins(count_bins(raw, None, cfg), bins_path, cfg.refresh_span)
+    write_latency_bins(ts_route_latency(raw, None, cfg), bins_path, cfg.refresh_span)
 
 
 def stored_rollups(spark: SparkSession, bins_path: str) -> dict[str, DataFrame]:
@@ -64,12 +79,11 @@ def stream_refresh(
     cfg: ObsConfig = ObsConfig(),
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Follow the raw table and refresh the days each batch of new rows touches."""
-    schema = ddl(RAW_LOGS_COLUMNS) + ", ingest_date date, batch_id bigint"
-    rows = spark.readStream.schema(schema).parquet(raw_path)
+    """Follow the raw table and refresh the spans each batch of new rows touches."""
+    rows = spark.readStream.schema(RAW_TABLE).parquet(raw_path)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        refresh_bins(batch.sparkSession, raw_path, bins_path, touched_days(batch), cfg)
+        refresh_bins(batch.sparkSession, raw_path, bins_path, touched_spans(batch, cfg), cfg)
 
     writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()

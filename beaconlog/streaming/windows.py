@@ -21,15 +21,15 @@ def _window(rows: DataFrame, cfg: ObsConfig, watermark: str, *keys: str):
 
 
 def _errors():
-    return F.sum(is_error(F.col("status_code"), F.col("severity"))).alias("errors")
+    return F.sum(is_error()).alias("errors")
 
 
 def stream_http_error_rate(logs: DataFrame, watermark: str = "15 minutes", cfg: ObsConfig = ObsConfig()) -> DataFrame:
     rows = logs.filter(views.is_http_request())
     out = _window(rows, cfg, watermark, "service", "route").agg(F.count("*").alias("requests"), _errors())
     return out.select(
-        F.col("_w.start").alias("time_bin"), series_key(F.col("service"), F.col("route")).alias("series_key"),
-        "service", "route", "requests", "errors", div0(F.col("errors"), F.col("requests")).alias("error_rate"),
+        F.col("_w.start").alias("time_bin"), series_key("service", "route").alias("series_key"),
+        "service", "route", "requests", "errors", div0("errors", "requests").alias("error_rate"),
     )
 
 
@@ -38,8 +38,8 @@ def stream_deployment_error_rate(logs: DataFrame, watermark: str = "15 minutes",
     out = _window(rows, cfg, watermark, "service", "deployment_sha").agg(F.count("*").alias("requests"), _errors())
     return out.select(
         F.col("_w.start").alias("time_bin"),
-        series_key(F.col("service"), F.col("deployment_sha")).alias("series_key"),
-        "service", "deployment_sha", "requests", div0(F.col("errors"), F.col("requests")).alias("error_rate"),
+        series_key("service", "deployment_sha").alias("series_key"),
+        "service", "deployment_sha", "requests", div0("errors", "requests").alias("error_rate"),
     )
 
 
@@ -48,7 +48,7 @@ def stream_error_signatures(logs: DataFrame, watermark: str = "15 minutes", cfg:
     out = _window(rows, cfg, watermark, "service", "error_signature").agg(F.count("*").alias("error_count"))
     return out.select(
         F.col("_w.start").alias("time_bin"),
-        series_key(F.col("service"), F.col("error_signature")).alias("series_key"),
+        series_key("service", "error_signature").alias("series_key"),
         "service", "error_signature", "error_count",
     )
 
@@ -82,6 +82,6 @@ def latency_from_counts(counts: DataFrame, cfg: ObsConfig = ObsConfig()) -> Data
         F.percentile("duration_ms", F.lit(cfg.percentile), F.col("n")).alias("p95_duration_ms"),
     )
     return out.select(
-        "time_bin", series_key(F.col("service"), F.col("route")).alias("series_key"), "service", "route",
+        "time_bin", series_key("service", "route").alias("series_key"), "service", "route",
         "requests", "avg_duration_ms", "p95_duration_ms",
     )

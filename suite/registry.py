@@ -338,7 +338,7 @@ def refreshed(spark, sf) -> tuple[str, str]:
     early = F.col("service") == "backend"
     for batch, rows in enumerate((df.filter(early), df.filter(~early))):
         tables.write_raw_logs(rows, raw, batch)
-        refresh.refresh_bins(spark, raw, bins, ingest.touched_days(rows), CFG)
+        refresh.refresh_bins(spark, raw, bins, refresh.touched_spans(rows, CFG), CFG)
     return raw, bins
 
 
@@ -994,7 +994,7 @@ def _(spark, sf):
     out = fresh_dir(spark, "cycle")
     store = cycle.Store(out)
     tables.write_raw_logs(with_envelope(logs(spark, sf)), store.raw_logs, 0)
-    refresh.refresh_bins(spark, store.raw_logs, store.bins, ingest.touched_days(logs(spark, sf)), CFG)
+    refresh.refresh_bins(spark, store.raw_logs, store.bins, refresh.touched_spans(logs(spark, sf), CFG), CFG)
     cycle.stream_cycle(spark, store, f"{out}/checkpoint", CFG, lambda: AS_OF,
                        {"availableNow": True}).awaitTermination()
     return tables.read_alert_log(spark, store.alert_log)
@@ -1043,10 +1043,10 @@ def _(spark, sf):
   event_type || '::' || MIN(user_id) AS series_key, CAST(MIN(user_id) AS VARCHAR) AS second_part
   FROM events GROUP BY 1, 2""")
 def _(spark, sf):
-    out = adapters.events(spark, sf).groupBy("event_type", time_bin(F.col("ts"), 300).alias("time_bin")).agg(
+    out = adapters.events(spark, sf).groupBy("event_type", time_bin("ts", 300).alias("time_bin")).agg(
         iso_z(F.min("ts")).alias("first_seen"),
         div0(F.sum("value"), F.sum(F.col("user_id") % 2)).alias("ratio"),
         distinct_list((F.col("user_id") % 7).cast("string")).alias("groups"),
-        series_key(F.first("event_type"), F.min("user_id").cast("string")).alias("series_key"),
-    )
+        F.min("user_id").cast("string").alias("first_user"),
+    ).withColumn("series_key", series_key("event_type", "first_user")).drop("first_user")
     return out.withColumn("second_part", split_part(F.col("series_key"), 2))
