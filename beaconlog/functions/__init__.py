@@ -2,8 +2,10 @@ from .percentile import grouped_percentile, large_groups
 from .scalar import (
     distinct_list,
     div0,
+    epoch_timestamp,
     iff,
     is_error,
+    iso_timestamp,
     iso_z,
     parse_double,
     parse_number,
@@ -15,14 +17,17 @@ from .scalar import (
     sql_text,
     time_bin,
     uniform_int,
+    whole_number,
 )
 
 __all__ = [
     "distinct_list",
     "div0",
+    "epoch_timestamp",
     "grouped_percentile",
     "iff",
     "is_error",
+    "iso_timestamp",
     "iso_z",
     "large_groups",
     "parse_double",
@@ -35,4 +40,5 @@ __all__ = [
     "sql_text",
     "time_bin",
     "uniform_int",
+    "whole_number",
 ]

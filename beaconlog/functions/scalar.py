@@ -13,31 +13,48 @@ EPOCH_MILLIS_FROM = 31_536_000_000
 EPOCH_MICROS_FROM = 31_536_000_000_000
 EPOCH_NANOS_FROM = 31_536_000_000_000_000
 
-_NUMBER = r"(?i)^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|nan|inf|infinity)\s*$"
-
-
-def parse_timestamp(text: Column) -> Column:
-    """Timestamp from ISO text or a digits-only epoch; NULL when unreadable."""
-    digits = F.when(text.rlike(r"^\s*-?[0-9]+\s*$"), F.trim(text).try_cast("bigint"))
-    size = F.abs(digits)
-    epoch = (
-        F.when(size < EPOCH_MILLIS_FROM, F.timestamp_seconds(digits))
-        .when(size < EPOCH_MICROS_FROM, F.timestamp_millis(digits))
-        .when(size < EPOCH_NANOS_FROM, F.timestamp_micros(digits))
-        .otherwise(F.timestamp_micros(F.floor(digits.cast("decimal(20,0)") / 1000).cast("bigint")))
+# Text worth converting at all; keeps failed conversions, which are slow, rare.
+_WHOLE = r"^\s*[+-]?[0-9]+\s*$"
+_NUMBER = r"(?i)^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?\s*$"
+_SPECIAL = r"(?i)^\s*[+-]?(nan|inf|infinity)\s*$"
+
+
+def whole_number(text: Column) -> Column:
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint"))
+
+
+def epoch_timestamp(number: str) -> Column:
+    """Timestamp from the epoch number in SQL expression ``number``, unit by magnitude."""
+    def within(limit: int) -> str:
+        return f"{number} > -{limit} AND {number} < {limit}"
+
+    return F.expr(
+        f"timestamp_micros(CASE WHEN {within(EPOCH_MILLIS_FROM)} THEN {number} * 1000000 "
+        f"WHEN {within(EPOCH_MICROS_FROM)} THEN {number} * 1000 "
+        f"WHEN {within(EPOCH_NANOS_FROM)} THEN {number} ELSE {number} div 1000 END)"
     )
-    iso = F.when(text.rlike(r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"), text.try_cast("timestamp"))
-    return F.when(digits.isNotNull(), epoch).otherwise(iso)
+
+
+def iso_timestamp(text: Column) -> Column:
+    """Timestamp from text that starts with a date; NULL when unreadable."""
+    dated = F.substring(F.ltrim(text), 5, 1) == "-"
+    return F.when(dated, text.try_cast("timestamp"))
+
+
+def parse_timestamp(column: str) -> Column:
+    """Timestamp of a text column: ISO text or a digits-only epoch; NULL when unreadable."""
+    number = f"IF({column} RLIKE '^[ ]*[+-]?[0-9]+[ ]*$', try_cast({column} AS BIGINT), NULL)"
+    return F.coalesce(epoch_timestamp(number), iso_timestamp(F.col(column)))
 
 
 def parse_number(text: Column, digits: int = 5) -> Column:
     """Whole number, rounded half away from zero; NULL if unreadable or too wide."""
-    wide = text.try_cast("decimal(38,0)")
+    wide = F.when(text.rlike(_NUMBER), text.try_cast("decimal(38,0)"))
     return wide.try_cast(f"decimal({digits},0)").cast("int")
 
 
 def parse_double(text: Column) -> Column:
-    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
+    return F.when(text.rlike(_NUMBER) | text.rlike(_SPECIAL), text.try_cast("double"))
 
 
 def div0(a: Column | str, b: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import parse_double, parse_number, parse_timestamp
+from ..functions import epoch_timestamp, iso_timestamp, parse_double, parse_number, whole_number
 from ..schemas import RAW_LOGS_COLUMNS
 
 # Input JSON paths and the log columns they fill (keys are case-sensitive).
@@ -76,43 +76,50 @@ def parse_lines(
 
     A line is parsed once against the declared envelope. Lines that do not fit
     it, such as text where an object is expected, are looked up path by path
-    instead; that path also tells broken JSON from merely unusual JSON.
+    instead; that path also tells broken JSON from merely unusual JSON. Each
+    step is its own projection, so no conversion is evaluated twice.
     """
-    parsed = lines.withColumn(
-        "_p", F.from_json("value", _envelope_schema(), {"columnNameOfCorruptRecord": _CORRUPT})
-    )
-    odd = F.col(f"_p.{_CORRUPT}").isNotNull() | F.col("_p").isNull()
-    document = F.try_parse_json("value")
-
-    def text(name: str) -> Column:
-        path = ENVELOPE[name]
-        slow = F.try_variant_get(document, f"$.{path}", "string")
-        out = F.when(odd, slow).otherwise(F.col(f"_p.{path}"))
-        return F.when(out.isin(list(null_if)), None).otherwise(out) if null_if else out
-
-    texts = parsed.select(
+    envelope = F.from_json("value", _envelope_schema(), {"columnNameOfCorruptRecord": _CORRUPT})
+    # explode() also keeps filters on the result from repeating the parse below it
+    parsed = lines.withColumn("_p", F.explode(F.array(envelope)))
+    parsed = parsed.withColumn("_odd", F.expr(f"_p.{_CORRUPT} IS NOT NULL OR _p IS NULL"))
+    texts = parsed.selectExpr(
         *lines.columns,
-        (odd & document.isNull()).alias("is_bad"),
-        *[text(name).alias(f"_t_{name}") for name in ENVELOPE],
+        "_odd AND try_parse_json(value) IS NULL AS is_bad",
+        *[
+            f"IF(_odd, try_variant_get(try_parse_json(value), '$.{path}', 'string'), _p.{path}) AS _t_{name}"
+            for name, path in ENVELOPE.items()
+        ],
     )
-    typed = {name: F.col(f"_t_{name}") for name in ENVELOPE}
-    typed["ingest_ts"] = parse_timestamp(typed["ingest_ts"])
-    typed["source_ts"] = parse_timestamp(typed["source_ts"])
-    typed["status_code"] = parse_number(typed["status_code"])
-    typed["duration_ms"] = parse_double(typed["duration_ms"])
-    lost = [
-        (F.col(f"_t_{name}").isNotNull() & typed[name].isNull()).cast("int")
-        for name in ("ingest_ts", "source_ts", "status_code", "duration_ms")
-    ]
-    bad_values = lost[0] + lost[1] + lost[2] + lost[3]
-    typed["ingest_ts"] = F.coalesce(typed["ingest_ts"], F.current_timestamp())
-    envelope = F.try_parse_json("value") if keep_envelope else F.lit(None).cast("variant")
-    typed["raw_envelope"] = envelope
-    return texts.select(
+    if null_if:
+        wanted = [
+            F.when(~F.col(c).isin(list(null_if)), F.col(c)).alias(c) if c.startswith("_t_") else F.col(c)
+            for c in texts.columns
+        ]
+        texts = texts.select(*wanted)
+    numbers = texts.withColumns(
+        {f"_n_{c}": whole_number(F.col(f"_t_{c}")) for c in ("ingest_ts", "source_ts")}
+    )
+
+    def moment(name: str) -> Column:
+        return F.coalesce(epoch_timestamp(f"_n_{name}"), iso_timestamp(F.col(f"_t_{name}")))
+
+    convert = {
+        "ingest_ts": moment("ingest_ts"),
+        "source_ts": moment("source_ts"),
+        "status_code": parse_number(F.col("_t_status_code")),
+        "duration_ms": parse_double(F.col("_t_duration_ms")),
+    }
+    typed = numbers.withColumns({f"_v_{name}": rule for name, rule in convert.items()})
+    lost = " + ".join(f"CAST(_t_{c} IS NOT NULL AND _v_{c} IS NULL AS INT)" for c in convert)
+    columns = {name: f"_v_{name}" if name in convert else f"_t_{name}" for name in ENVELOPE}
+    columns["ingest_ts"] = "coalesce(_v_ingest_ts, current_timestamp())"
+    columns["raw_envelope"] = "try_parse_json(value)" if keep_envelope else "CAST(NULL AS VARIANT)"
+    return typed.selectExpr(
         *lines.columns,
         "is_bad",
-        F.when(F.col("is_bad"), 0).otherwise(bad_values).alias("bad_values"),
-        *[typed[name].cast(kind).alias(name) for name, kind in RAW_LOGS_COLUMNS],
+        f"IF(is_bad, 0, {lost}) AS bad_values",
+        *[f"{columns[name]} AS {name}" for name, _ in RAW_LOGS_COLUMNS],
     )
 
 

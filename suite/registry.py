@@ -1018,16 +1018,23 @@ def _(spark, sf):
   floor(value + 0.5e0) AS rounded, CAST(NULL AS DOUBLE) AS too_wide, round(value, 6) AS number,
   CAST(NULL AS DOUBLE) AS no_number, CAST(props ->> '$.k' AS INTEGER) AS from_path FROM events""")
 def _(spark, sf):
-    micros = F.unix_micros("ts")
     text = F.col("value").cast("string")
-    return adapters.events(spark, sf).select(
+    forms = adapters.events(spark, sf).selectExpr(
+        "*",
+        "CAST(unix_seconds(ts) AS STRING) AS s",
+        "CAST(unix_millis(ts) AS STRING) AS ms",
+        "CAST(unix_micros(ts) AS STRING) AS us",
+        "concat(CAST(unix_micros(ts) AS STRING), '999') AS ns",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\") AS iso",
+    )
+    return forms.select(
         "event_id",
-        parse_timestamp(F.unix_seconds("ts").cast("string")).alias("from_seconds"),
-        parse_timestamp(F.unix_millis("ts").cast("string")).alias("from_millis"),
-        parse_timestamp(micros.cast("string")).alias("from_micros"),
-        parse_timestamp(F.concat(micros.cast("string"), F.lit("999"))).alias("from_nanos"),
-        parse_timestamp(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).alias("from_iso"),
-        parse_timestamp(F.col("event_type")).alias("from_junk"),
+        parse_timestamp("s").alias("from_seconds"),
+        parse_timestamp("ms").alias("from_millis"),
+        parse_timestamp("us").alias("from_micros"),
+        parse_timestamp("ns").alias("from_nanos"),
+        parse_timestamp("iso").alias("from_iso"),
+        parse_timestamp("event_type").alias("from_junk"),
         parse_number(text).alias("rounded"),
         parse_number(F.concat(F.lit("1000000"), text)).alias("too_wide"),
         parse_double(text).alias("number"),

@@ -42,11 +42,13 @@ def one(spark, column, **values):
         ("", None),
         ("12:30:00", None),
         ("99999999999999999999999", None),
+        ("-9223372036854775808", datetime(1677, 9, 21, 0, 12, 43, 145225)),
         (None, None),
     ],
 )
 def test_parse_timestamp(spark, text, expected):
-    got = one(spark, F.date_format(parse_timestamp(F.col("t").cast("string")), "yyyy-MM-dd HH:mm:ss.SSSSSS"), t=text)
+    df = spark.createDataFrame([(text,)], "t string").select(parse_timestamp("t").alias("x"))
+    got = df.select(F.date_format("x", "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     assert got == (expected and expected.strftime("%Y-%m-%d %H:%M:%S.%f"))
 
 
