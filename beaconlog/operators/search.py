@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from ..sources.tables import read_table, replace_partitions
 
 K1, B = 1.2, 0.75
@@ -34,7 +35,7 @@ class ArticleIndex:
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of ASCII letters and digits."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda t: t != "")
+    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
 
 
 def _tokenised(articles: DataFrame) -> DataFrame:
@@ -45,16 +46,29 @@ def _tokenised(articles: DataFrame) -> DataFrame:
 def build_article_index(articles: DataFrame, terms: DataFrame | None = None) -> ArticleIndex:
     """Index the bodies; with ``terms`` only postings of those terms are built.
 
-    An article is split inside one task, so the count per term and article is
-    complete before the shuffle.
+    An article's words are sorted and counted as runs inside its own row, so
+    building postings shuffles nothing. explode() of a one-element array pins
+    each step, which the next one refers to many times.
     """
     rows = _tokenised(articles)
-    words = rows.select("article_id", "doc_len", F.explode("_tokens").alias("term"))
+    runs = (
+        rows.select("article_id", "doc_len", F.explode(F.array(F.sort_array("_tokens"))).alias("_s"))
+        .filter("doc_len > 0")
+        .select(
+            "*",
+            F.expr("explode(array(filter(sequence(0, size(_s) - 1), i -> i = 0 OR _s[i] <> _s[i - 1])))").alias("_at"),
+        )
+        .selectExpr(
+            "article_id",
+            "doc_len",
+            """inline(transform(_at, (p, j) -> struct(_s[p] AS term,
+                CAST(coalesce(get(_at, j + 1), size(_s)) - p AS BIGINT) AS tf)))""",
+        )
+    )
     if terms is not None:
-        words = words.join(terms, "term", "left_semi")
-    postings = words.groupBy("term", "article_id", "doc_len").agg(F.count("*").alias("tf"))
+        runs = runs.join(terms, "term", "left_semi")
     return ArticleIndex(
-        rows.select(*ATTRIBUTES, "doc_len"), postings.select("term", "article_id", "tf", "doc_len")
+        rows.select(*ATTRIBUTES, "doc_len"), runs.select("term", "article_id", "tf", "doc_len")
     )
 
 
@@ -121,7 +135,8 @@ def search_articles(
     wanted = _broadcast_if(terms.select("term").distinct(), small)
     if index is None:
         index = build_article_index(articles, wanted)
-        postings = index.postings
+        # the queried postings are needed twice: stored once, in their real size
+        postings = materialize(index.postings, "postings")
     else:
         postings = index.postings.join(wanted, "term", "left_semi")
     n, mean_len = index.docs.agg(F.count("*"), F.avg("doc_len")).first()  # two numbers

@@ -1,0 +1 @@
+"""Ready-made queries and the evaluation cycle built from the operators."""

@@ -1,0 +1 @@
+"""Where rows come from and where results are stored."""

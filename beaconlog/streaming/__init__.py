@@ -1,0 +1 @@
+"""Continuous ingest, exact refresh, watermarked windows, absence detection."""
