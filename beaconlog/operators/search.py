@@ -30,7 +30,7 @@ class ArticleIndex:
     """``docs``: attributes and length per article; ``postings``: term counts."""
 
     docs: DataFrame
-    postings: DataFrame
+    postings: DataFrame | None
 
 
 def tokens(text: Column) -> Column:
@@ -43,8 +43,8 @@ def _tokenised(articles: DataFrame) -> DataFrame:
     return rows.withColumn("doc_len", F.size("_tokens").cast("bigint"))
 
 
-def build_article_index(articles: DataFrame, terms: DataFrame | None = None) -> ArticleIndex:
-    """Index the bodies; with ``terms`` only postings of those terms are built.
+def build_article_index(articles: DataFrame) -> ArticleIndex:
+    """Index all bodies.
 
     An article's words are sorted and counted as runs inside its own row, so
     building postings shuffles nothing. explode() of a one-element array pins
@@ -65,13 +65,22 @@ def build_article_index(articles: DataFrame, terms: DataFrame | None = None) ->
                 CAST(coalesce(get(_at, j + 1), size(_s)) - p AS BIGINT) AS tf)))""",
         )
     )
-    if terms is not None:
-        runs = runs.join(terms, "term", "left_semi")
     return ArticleIndex(
         rows.select(*ATTRIBUTES, "doc_len"), runs.select("term", "article_id", "tf", "doc_len")
     )
 
 
+def queried_postings(articles: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings of the given terms only, for searching articles without an index.
+
+    Other words are dropped before counting. An article is split inside one
+    task, so its counts are complete before the (small) shuffle.
+    """
+    words = _tokenised(articles).select("article_id", "doc_len", F.explode("_tokens").alias("term"))
+    counted = words.join(terms, "term", "left_semi").groupBy("term", "article_id", "doc_len")
+    return counted.agg(F.count("*").alias("tf"))
+
+
 # ── stored index ────────────────────────────────────────────────────────────
 
 def _bucket(buckets: int) -> Column:
@@ -134,9 +143,9 @@ def search_articles(
     small = terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     wanted = _broadcast_if(terms.select("term").distinct(), small)
     if index is None:
-        index = build_article_index(articles, wanted)
-        # the queried postings are needed twice: stored once, in their real size
-        postings = materialize(index.postings, "postings")
+        index = ArticleIndex(_tokenised(articles).select(*ATTRIBUTES, "doc_len"), None)
+        # needed twice: stored once, in their real size
+        postings = materialize(queried_postings(articles, wanted), "postings")
     else:
         postings = index.postings.join(wanted, "term", "left_semi")
     n, mean_len = index.docs.agg(F.count("*"), F.avg("doc_len")).first()  # two numbers
