@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, shard_shuffle, url_rules
+from . import decontaminate, direct_codes, exact_dedup, packing, shard_shuffle, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -36,6 +37,8 @@ URL_RULES = [
     ("org", "/fr/", "allow"),
 ]
 SHARDS = 24
+PACK_FILE, PACK_END = "word_bpe_49k.json", 2
+CODE_FILE, CODE_END = "byte_bpe_50k.json", 0
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -71,6 +74,19 @@ def op3_tree_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.tree_dedup(table(spark, sf_dir, "documents"), keep="largest").drop("n_bytes")
 
 
+@query()
+def op4_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_windows(table(spark, sf_dir, "documents"), public_tokenizers.path(PACK_FILE), PACK_END)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query()
+def op8_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    segments = direct_codes.write_codes(docs, public_tokenizers.path(CODE_FILE), CODE_END)
+    return direct_codes.read_documents(segments)
+
+
 @query()
 def op9_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
