@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, direct_codes, exact_dedup, packing, shard_shuffle, url_rules
+from . import decontaminate, direct_codes, exact_dedup, packing, quality_rank, shard_shuffle, token_counts, url_rules
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,8 @@ URL_RULES = [
 SHARDS = 24
 PACK_FILE, PACK_END = "word_bpe_49k.json", 2
 CODE_FILE, CODE_END = "byte_bpe_50k.json", 0
+COUNT_FILE, COUNT_LIMIT = "piece_bpe_32k.model", 4096
+FOLDS, HELD_OUT_FOLD = 4, 2
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -80,6 +82,27 @@ def op4_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def held_out(id_col: str = "doc_id"):
+    return F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT_FOLD
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality_rank.Model:
+    """Fitted without the rows that are held out."""
+    return quality_rank.train(docs, labels.where(~held_out()))
+
+
+@query()
+def op5_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_model(docs, table(spark, sf_dir, "labels"))
+    return quality_rank.score_documents(docs, model).withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
+
+
+@query()
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_FILE), COUNT_LIMIT)
+
+
 @query()
 def op8_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
