@@ -12,7 +12,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, direct_codes, exact_dedup, packing, quality_rank, shard_shuffle, token_counts, url_rules
+from . import (
+    decontaminate,
+    direct_codes,
+    exact_dedup,
+    packing,
+    pii,
+    quality_rank,
+    shard_shuffle,
+    token_counts,
+    url_rules,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,9 +52,17 @@ CODE_FILE, CODE_END = "byte_bpe_50k.json", 0
 COUNT_FILE, COUNT_LIMIT = "piece_bpe_32k.model", 4096
 FOLDS, HELD_OUT_FOLD = 4, 2
 
+# a stand-in: deployments pass a secret of their own
+PSEUDONYM_KEY = b"registered query"
+
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+@query()
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize_documents(table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 @query(
     f"""
     WITH u AS (
