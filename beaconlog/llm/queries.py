@@ -16,6 +16,7 @@ from . import (
     decontaminate,
     direct_codes,
     exact_dedup,
+    near_dup,
     packing,
     pii,
     quality_rank,
@@ -121,6 +122,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNT_FILE), COUNT_LIMIT)
 
 
+@query()
+def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4)
+
+
 @query()
 def op8_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
