@@ -199,33 +199,11 @@ def _blocked(members: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
     return spread.join(nodes.select("node", "n", "sketch"), "node")
 
 
-def near_duplicates(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle: int = SHINGLE,
-    percent: int = PERCENT,
-    samples: int = SAMPLES,
-    bands: int = BANDS,
-    rows: int = ROWS,
-    bits: int = BITS,
-    seed: int = SEED,
+def _classes(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, samples: int, bands: int, rows: int,
+    bits: int, seed: int,
 ) -> DataFrame:
-    """One row per input row: ``id, n_shingles, component_id, kept``.
-
-    Words are separated by white space (space, 0x09 to 0x0D), A-Z is lower-cased. Two
-    rows are linked if their sets of distinct shingles of ``shingle`` words have a
-    Jaccard similarity of at least ``percent`` in a hundred; equal sets always are.
-    ``component_id`` is the smallest id that links lead to, ``kept`` says that it is the
-    row's own.
-
-    Null, empty and blank texts have no shingles, are linked with nothing and are kept;
-    a text with fewer words is a single shingle. A null id never becomes a
-    ``component_id`` unless the whole component has none; such rows are not kept as long
-    as another row of the component is. Rows that repeat an id are separate rows with
-    the same ``component_id`` if their texts are linked. Other columns are ignored. An
-    empty table gives no rows.
-    """
+    """``id, text_key, n, component, component_id`` per input row; ``component`` is null without shingles."""
     if bits % 64:
         raise ValueError("bits is a multiple of 64")
     words, cut = bits // 64, largest_distance(samples, bits, percent)
@@ -287,10 +265,59 @@ def near_duplicates(
     placed = nodes.select("node", "digest", "low").join(merged, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))
     lowest = placed.groupBy("component").agg(F.min("low").alias("component_id"))
-    by_set = placed.join(lowest, "component").select("digest", "component_id")
-    out = described.select("id", "n", "digest").join(by_set, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    by_set = placed.join(lowest, "component").select("digest", "component", "component_id")
+    return described.select("id", "text_key", "n", "digest").join(by_set, "digest", "left").drop("digest")
+
+
+def near_duplicates(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+    samples: int = SAMPLES,
+    bands: int = BANDS,
+    rows: int = ROWS,
+    bits: int = BITS,
+    seed: int = SEED,
+) -> DataFrame:
+    """One row per input row: ``id, n_shingles, component_id, kept``.
+
+    Words are separated by white space (space, 0x09 to 0x0D), A-Z is lower-cased. Two
+    rows are linked if their sets of distinct shingles of ``shingle`` words have a
+    Jaccard similarity of at least ``percent`` in a hundred; equal sets always are.
+    ``component_id`` is the smallest id that links lead to, ``kept`` says that it is the
+    row's own.
+
+    Null, empty and blank texts have no shingles, are linked with nothing and are kept;
+    a text with fewer words is a single shingle. A null id never becomes a
+    ``component_id`` unless the whole component has none; such rows are not kept as long
+    as another row of the component is. Rows that repeat an id are separate rows with
+    the same ``component_id`` if their texts are linked. Other columns are ignored. An
+    empty table gives no rows.
+    """
+    out = _classes(docs, id_col, text_col, shingle, percent, samples, bands, rows, bits, seed)
+    component = F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return out.select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
         F.col("id").eqNullSafe(component).alias("kept"),
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, percent: int = PERCENT
+) -> DataFrame:
+    """The input's rows and columns, of every group of linked rows the one with the smallest id.
+
+    Of rows with that id the one with the smallest text hash stays; rows that repeat id
+    and text are one row.
+    """
+    out = _classes(docs, id_col, text_col, shingle, percent, SAMPLES, BANDS, ROWS, BITS, SEED)
+    # nulls last: a row without id stays only if its group has no other
+    rank = F.struct(F.col("id").isNull(), "id", "text_key")
+    best = out.where("component is not null").groupBy("component").agg(F.min(rank).alias("r")).select("r.id", "r.text_key")
+    alone = out.where("component is null").select("id", "text_key")
+    stay = store(best.unionByName(alone).distinct(), "near-stay")
+    rows = docs.withColumn("_row_id", F.col(id_col).cast("long")).withColumn("_row_key", text_key(text_col))
+    same = rows["_row_id"].eqNullSafe(stay["id"]) & (rows["_row_key"] == stay["text_key"])
+    return rows.join(stay, same, "left_semi").dropDuplicates(["_row_id", "_row_key"]).select(*docs.columns)
