@@ -1,18 +1,23 @@
 """Benchmark decontamination by a prefix-filtered set join (DataFrame functions only).
 
 Benchmark items are cut into windows of ``window`` consecutive words; an item
-with fewer words is one window. A window can only occur in a document that has
-all of its shingles, so it is enough to look for one of them, the necessary
-prefix of a containment join: the rarest, by the number of times that each
-benchmark shingle occurs in the whole corpus. Documents produce their shingles
-inside generated code and meet the prefixes in a hash join. Each meeting fixes
-where the window would have to start (positional bound) and whether it can end
-inside the document (length bound); what remains is verified word by word.
+with fewer words is one window. A window is the sequence of its shingles, and it
+can only occur in a document that has all of them, so it is enough to look for
+one, the necessary prefix of a containment join: the rarest, by the number of
+times that each benchmark shingle occurs in the whole corpus.
+
+The corpus is read once. Its shingles are produced inside generated code and meet
+the benchmark's in a hash join, verified word by word; only meetings leave the
+scan, as narrow rows, next to one row per document. The shingles' frequencies are
+counted from the meetings, which orders them by rarity. Each meeting with a
+window's rarest shingle fixes where the window would have to start (positional
+bound) and whether it can end inside the document (length bound). What remains is
+verified exactly: every shingle of the window at its place.
 
 The benchmark is the side that does not grow with the corpus. It is joined in
-blocks of at most ``block_windows`` windows, so a broadcast never exceeds what
+blocks of at most ``block_shingles`` shingles, so a broadcast never exceeds what
 one block can hold; a larger benchmark takes more passes, never another method.
-Documents are never shuffled: only verified hits are, as narrow rows.
+Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -28,7 +33,7 @@ from .common import ascii_lower, store, text_key
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 SHINGLE = 5
-BLOCK_WINDOWS = 100_000
+BLOCK_SHINGLES = 200_000
 
 
 def words_of(text: Column) -> Column:
@@ -37,9 +42,9 @@ def words_of(text: Column) -> Column:
     return F.coalesce(words, F.array().cast("array<string>"))
 
 
-def _shingle_at(size: int, at: str, words: str = "w") -> Column:
-    """Hash of ``size`` words from position ``at`` (counted from 0), without building an array."""
-    return F.xxhash64(F.lit(size), *[F.expr(f"{words}[{at} + {k}]") for k in range(size)])
+def _shingle_at(size: int, at: str = "at") -> Column:
+    """Hash of the ``size`` words of ``w`` from position ``at`` on, without building an array."""
+    return F.xxhash64(F.lit(size), *[F.get("w", F.col(at) + k) for k in range(size)])
 
 
 def benchmark_windows(benchmark: DataFrame, window: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
@@ -57,13 +62,17 @@ def benchmark_windows(benchmark: DataFrame, window: int, id_col: str, text_col:
 
 
 def _shingles(rows: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
-    """One row per shingle of ``w``: ``keep``, ``shingle``, its position ``at`` and its ``n`` words."""
-    out = []
-    for n in sizes:
-        starts = F.sequence(F.lit(0), F.size("w") - n)
-        each = rows.where(F.size("w") >= n).select(*keep, "w", F.explode(starts).alias("at"))
-        out.append(each.select(*keep, "w", "at", F.lit(n).alias("n"), _shingle_at(n, "at").alias("shingle")))
-    return functools.reduce(DataFrame.unionByName, out)
+    """``keep``, ``w``, ``at``, ``n``, ``shingle``: a row for every shingle of every size, and one
+    with a null shingle for a row of too few words."""
+    at = rows.select(*keep, "w", F.explode_outer(F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") - 1))).alias("at"))
+    hashes = [F.when(F.col("at") + n <= F.size("w"), _shingle_at(n)) for n in sizes]
+    if len(sizes) == 1:
+        return at.select(*keep, "w", "at", F.lit(sizes[0]).alias("n"), hashes[0].alias("shingle"))
+    each = F.array(*[F.struct(F.lit(n).alias("n"), h.alias("shingle")) for n, h in zip(sizes, hashes)])
+    return at.select(*keep, "w", "at", F.explode(each).alias("e")).select(*keep, "w", "at", "e.n", "e.shingle")
+
+
+HITS = "id long, key string, start int, size int, window_id string"
 
 
 def occurrences(
@@ -75,64 +84,77 @@ def occurrences(
     item_text: str = "text",
     window: int = WINDOW,
     shingle: int = SHINGLE,
-    block_windows: int = BLOCK_WINDOWS,
-) -> tuple[DataFrame, DataFrame]:
-    """All occurrences ``(id, key, start, size, window_id)``, distinct, and ``(window_id, item)``.
+    block_shingles: int = BLOCK_SHINGLES,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Every occurrence, every document, every window's items.
 
-    ``start`` counts words from 0. ``(id, key)`` names a row by its id and text,
-    so rows that repeat both share their occurrences.
+    ``(id, key, start, size, window_id)`` distinct, ``start`` counting words from 0;
+    ``(id, key, n_words)`` per input row; ``(window_id, item)``. ``(id, key)`` names
+    a row by its id and text, so rows that repeat both share their occurrences.
     """
     windows, owners = benchmark_windows(benchmark, window, item_id, item_text)
-    windows = store(windows, "bench-distinct")
-    # shingles have `shingle` words; windows with fewer are one shingle
-    parts = windows.withColumn("n", F.least("size", F.lit(shingle)))
-    sizes = sorted(r[0] for r in parts.select("n").distinct().collect())  # at most `shingle` numbers
+    # shingles have `shingle` words; a window with fewer is one shingle
+    windows = store(windows.withColumn("n", F.least("size", F.lit(shingle))), "bench-distinct")
+    sizes = sorted(r[0] for r in windows.select("n").distinct().collect())  # at most `shingle` numbers
     read = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("key"),
                        words_of(F.col(text_col)).alias("w"))
     if not sizes:
-        none = "id long, key string, start int, size int, window_id string"
-        return docs.sparkSession.createDataFrame([], none), owners
-
-    every = functools.reduce(DataFrame.unionByName, [
-        _shingles(parts.where(F.col("n") == n), [n], "window_id", "size").drop("w") for n in sizes
-    ])
-    every = store(every, "bench-shingles")
-    wanted = every.select("shingle").distinct()
-    blocks = -(-windows.count() // block_windows)
-    block = F.pmod(F.xxhash64("window_id"), F.lit(blocks))
-
-    def in_block(df: DataFrame, name: str, k: int) -> DataFrame:
-        return df.where(F.pmod(F.xxhash64(name), F.lit(blocks)) == k)
-
-    found = _shingles(read, sizes, "id").select("shingle")
-    counted = functools.reduce(DataFrame.unionByName, [
-        found.join(F.broadcast(in_block(wanted, "shingle", k)), "shingle") for k in range(blocks)
-    ])
-    frequency = store(counted.groupBy("shingle").agg(F.count("*").alias("times")), "bench-frequency")
-    # a shingle that no document has ends its window: it cannot occur anywhere
+        rows = read.select("id", "key", F.size("w").alias("n_words"))
+        return docs.sparkSession.createDataFrame([], HITS), rows, owners
+
+    cut = _shingles(windows.withColumnRenamed("n", "own"), sizes, "window_id", "size", "own")
+    cut = cut.where((F.col("n") == F.col("own")) & F.col("shingle").isNotNull())
+    words = F.slice("w", F.col("at") + 1, F.col("n"))
+    every = store(cut.select("window_id", "size", "n", "at", "shingle", words.alias("words")), "bench-shingles")
+    wanted = store(every.select("shingle", "n", "words").distinct(), "bench-wanted")
+    blocks = -(-wanted.count() // block_shingles)
+
+    # one row for every meeting, and from the first pass one for the first word of every document
+    passes, scanned = [], _shingles(read, sizes, "id", "key")
+    first = F.coalesce(F.col("at"), F.lit(0)) == 0
+    for k in range(blocks):
+        side = wanted.where(F.pmod(F.xxhash64("shingle"), F.lit(blocks)) == k)
+        met = scanned.join(F.broadcast(side), ["shingle", "n"], "left" if k == 0 else "inner")
+        agree = F.slice("w", F.col("at") + 1, F.col("n")) == F.col("words")
+        met = met.withColumn("hit", F.coalesce(F.when(F.col("words").isNotNull(), agree), F.lit(False)))
+        opens = (first & (F.col("n") == sizes[0])) if k == 0 else F.lit(False)
+        passes.append(
+            met.where(F.col("hit") | opens)
+            .select("id", "key", F.size("w").alias("n_words"), "at", "n", "shingle", "hit", opens.alias("opens"))
+        )
+    met = store(functools.reduce(DataFrame.unionByName, passes), "bench-meetings")
+    # two shingles with one hash would open a document twice; equal rows open it once each
+    rows = met.where("opens").select("id", "key", "n_words")
+    met = store(met.where("hit").drop("opens", "hit").distinct(), "bench-met")
+
+    frequency = met.groupBy("n", "shingle").agg(F.count("*").alias("times"))
+    # a shingle that no document has rules its windows out
     rank = F.struct(F.coalesce("times", F.lit(0)).alias("times"), F.col("at"), F.col("shingle"))
-    rarest = every.join(frequency, "shingle", "left").groupBy("window_id", "size", "n").agg(F.min(rank).alias("r"))
-    prefix = (
-        rarest.where(F.col("r.times") > 0)
-        .select("window_id", "n", F.col("r.shingle").alias("shingle"), F.col("r.at").alias("before"))
-        .join(windows.select("window_id", F.col("w").alias("item_words"), "size"), "window_id")
-        .withColumn("block", block)
+    rarest = every.join(frequency, ["n", "shingle"], "left").groupBy("window_id", "size", "n").agg(F.min(rank).alias("r"))
+    prefix = rarest.where(F.col("r.times") > 0).select(
+        "window_id", "size", "n", F.col("r.shingle").alias("shingle"), F.col("r.at").alias("before")
     )
     prefix = store(prefix, "bench-prefix")
-
-    hits = []
-    met = _shingles(read, sizes, "id", "key")
-    for k in range(blocks):
-        side = F.broadcast(prefix.where(F.col("block") == k).drop("block"))
-        start = F.col("at") - F.col("before")
-        hits.append(
-            met.join(side, ["shingle", "n"])
-            .withColumn("start", start)
-            .where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.size("w")))
-            .where(F.slice("w", F.col("start") + 1, F.col("size")) == F.col("item_words"))
-            .select("id", "key", "start", "size", "window_id")
-        )
-    return functools.reduce(DataFrame.unionByName, hits).distinct(), owners
+    candidates = (
+        met.join(prefix, ["n", "shingle"])
+        .withColumn("start", F.col("at") - F.col("before"))
+        .where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n_words")))
+        .select("id", "key", "start", "size", "window_id")
+    )
+    needed = candidates.join(every.select("window_id", "n", F.col("at").alias("offset"), "shingle"), "window_id")
+    needed = needed.withColumn("at", F.col("start") + F.col("offset")).alias("a")
+    there = met.alias("b")
+    same = (
+        F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.key") == F.col("b.key"))
+        & (F.col("a.at") == F.col("b.at")) & (F.col("a.n") == F.col("b.n")) & (F.col("a.shingle") == F.col("b.shingle"))
+    )
+    verified = (
+        needed.join(there, same, "left_semi")
+        .groupBy("id", "key", "start", "size", "window_id", "n").agg(F.count("*").alias("found"))
+        .where(F.col("found") == F.col("size") - F.col("n") + 1)
+        .select("id", "key", "start", "size", "window_id")
+    )
+    return verified, rows, owners
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -147,7 +169,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     equal results. A null document id is a value like any other. Other columns of
     either table are ignored. An empty benchmark leaves every row clean.
     """
-    found, owners = occurrences(docs, benchmark, id_col, text_col, **options)
+    found, rows, owners = occurrences(docs, benchmark, id_col, text_col, **options)
     found = store(found, "bench-hits")
     spans = found.groupBy("id", "key", "start").agg(F.max("size").alias("size"))
     row = Window.partitionBy("id", "key").orderBy("start")
@@ -164,14 +186,10 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         words["id"].alias("id"), words["key"].alias("key"), "n_hit", "items"
     )
     hit = store(hit, "bench-verdicts")
-    rows = docs.select(
-        F.col(id_col).cast("long").alias("id"), text_key(text_col).alias("key"),
-        F.size(words_of(F.col(text_col))).cast("long").alias("n_words"),
-    )
     joined = rows.join(hit, rows["id"].eqNullSafe(hit["id"]) & (rows["key"] == hit["key"]), "left")
     items = F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
-        rows["id"].alias(id_col), "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
+        rows["id"].alias(id_col), F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.size(items).cast("long").alias("n_items"), items.alias("items"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
     )
@@ -179,7 +197,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows, with all their columns, in which no window of the benchmark occurs."""
-    found, _ = occurrences(docs, benchmark, id_col, text_col, **options)
+    found, _, _ = occurrences(docs, benchmark, id_col, text_col, **options)
     hit = store(found.select("id", "key").distinct(), "bench-hit-rows")
     out = docs.withColumn("_row_id", F.col(id_col).cast("long")).withColumn("_row_key", text_key(text_col))
     same = out["_row_id"].eqNullSafe(hit["id"]) & (out["_row_key"] == hit["key"])
