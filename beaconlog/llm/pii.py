@@ -6,7 +6,8 @@ that domain, and the permuted number is written back in the very format that was
 found: digits stay digits, separators stay where they are, check digits are
 right again. A permutation is one-to-one, so equal values have equal pseudonyms
 in all documents and however they are punctuated, different values different
-ones, and the holder of the key can undo them.
+ones, and the holder of the key can undo them. (A date is day before month unless
+only the other reading is a date, so undoing month-first dates needs to know that.)
 
 Each row is changed on its own: there is no shuffle and no shared table, whatever
 the frequency of a value. What fails its check is left alone.
@@ -165,12 +166,6 @@ def date(found: str, key: bytes, back: bool = False) -> str | None:
         if not FIRST_DAY <= day <= LAST_DAY:
             return None
         moved = datetime.date.fromordinal(FIRST_DAY + permute(day - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back))
-        if (y, m, d) == (2, 0, 1) and moved.day <= 12:
-            # read again, such a date would be taken for day before month: walk on
-            while moved.day <= 12:
-                moved = datetime.date.fromordinal(
-                    FIRST_DAY + permute(moved.toordinal() - FIRST_DAY, LAST_DAY - FIRST_DAY + 1, key, "date", back)
-                )
         padded = len(parts[m]) == 2 and len(parts[d]) == 2
         parts[y] = f"{moved.year:04d}"
         parts[m], parts[d] = (f"{moved.month:02d}", f"{moved.day:02d}") if padded else (str(moved.month), str(moved.day))
