@@ -46,9 +46,8 @@ class ObsConfig:
     drop_partial_bin: bool = False
     # with replay=True rows after as_of are ignored; live jobs have no upper bound
     replay: bool = False
-    # latency percentile; groups above the row limit use the refinement path
+    # latency percentile
     percentile: float = 0.95
-    percentile_group_rows: int = 1_000_000
     # service names
     forwarder_service: str = "log-forwarder"
     frontend_service: str = "web-frontend"

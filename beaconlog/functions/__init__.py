@@ -1,4 +1,4 @@
-from .percentile import grouped_percentile, large_groups
+from .percentile import counted_percentile, grouped_percentile, join_same, value_percentile
 from .scalar import (
     distinct_list,
     div0,
@@ -24,12 +24,14 @@ __all__ = [
     "distinct_list",
     "div0",
     "epoch_timestamp",
+    "counted_percentile",
     "grouped_percentile",
+    "join_same",
+    "value_percentile",
     "iff",
     "is_error",
     "iso_timestamp",
     "iso_z",
-    "large_groups",
     "parse_double",
     "parse_number",
     "parse_timestamp",

@@ -1,11 +1,13 @@
-"""Exact interpolated percentiles per group, safe for very large groups.
+"""Exact interpolated percentiles per group, one method for groups of any size.
 
 The built-in ``percentile`` keeps every distinct value of a group in one
-aggregation buffer. That is the fastest way for groups up to a known size, so
-group sizes are counted first; groups beyond the limit are answered by
-narrowing value ranges instead: count rows per coarse value range, find the
-range holding the wanted rank, and repeat inside it. Every step there is an
-ordinary two-phase aggregation, so no task ever holds a whole group.
+aggregation buffer. Here rows are first counted per group and value, which is an
+ordinary two-phase aggregation and the only pass over the input. The counts are
+added up per narrow value range, a running sum over a group's ranges (at most
+some hundred thousand, whatever the group's size) finds the one or two that hold
+the wanted ranks, and only the counts in those are put in order. Nothing runs
+before the plan does, and Spark's own size checks choose the joins. The result is
+the built-in's, interpolated by the same formula.
 """
 
 from __future__ import annotations
@@ -16,135 +18,106 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+LOG_STEPS = 512
 
-LOG_STEPS = 64
-LINEAR_STEPS = 65_536
 
+def _log_range(v: Column) -> Column:
+    """Non-decreasing whole-number range of ``v``, about a five hundredth wide; infinities and NaN stand alone."""
+    top = F.lit(1 << 40)
+    size = F.when(F.abs(v) == F.lit(float("inf")), top).otherwise(F.floor(F.log1p(F.abs(v)) * LOG_STEPS))
+    return F.when(F.isnan(v), top + 1).when(v < 0, -size - 1).otherwise(size)
 
-def grouped_percentile(
-    df: DataFrame,
+
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``left`` with the other columns of ``right`` where ``keys`` are equal or both null."""
+    others = [c for c in right.columns if c not in keys]
+    renamed = right.select(*[F.col(k).alias(f"_key_{n}") for n, k in enumerate(keys)], *others)
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{n}")) for n, k in enumerate(keys)], F.lit(True))
+    return left.join(renamed, same).select(*left.columns, *others)
+
+
+def _holding(ranges: DataFrame, keys: list[str], order: str, offset: Column) -> DataFrame:
+    """Rows of ``ranges`` that hold one of the two wanted ranks, with the rows before them."""
+    running = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranges.withColumn("_from", offset + F.sum("_n").over(running) - F.col("_n"))
+    inside = [(F.col(k) >= F.col("_from")) & (F.col(k) < F.col("_from") + F.col("_n")) for k in ("_k0", "_k1")]
+    return placed.filter(inside[0] | inside[1])
+
+
+def counted_percentile(
+    counts: DataFrame,
     keys: Sequence[str],
     value: str,
+    count: str,
     share: float,
     name: str,
-    aggs: Sequence[Column] = (),
-    group_rows: int = 1_000_000,
-    checked_small: bool = False,
+    total: str = "_total",
+    mean: str = "_mean",
 ) -> DataFrame:
-    """``keys``, ``aggs`` and the ``share`` percentile of ``value`` as ``name``.
+    """``keys``, the percentile of ``value`` taken ``count`` times, and the number and mean of the values.
 
-    ``checked_small`` says that the caller has found no group above
-    ``group_rows`` already (see ``large_groups``).
+    Rows of equal values may repeat. Groups without any value are not in the result.
     """
-    keys = list(keys)
-    built_in = F.percentile(value, F.lit(share)).alias(name)
-    hot = None if checked_small else large_groups(df, keys, value, group_rows)
-    if hot is None or hot.isEmpty():
-        return df.groupBy(*keys).agg(*aggs, built_in)
-
-    if not keys:
-        single = df.withColumn("_all", F.lit(1))
-        return grouped_percentile(single, ["_all"], value, share, name, aggs, group_rows).drop("_all")
-
-    # at most total rows / group_rows keys, hence small enough to broadcast
-    hot = F.broadcast(materialize(hot, "hot-groups"))
-    cold = df.join(hot, _same(df, hot, keys), "left_anti")
-    rows = df.join(hot, _same(df, hot, keys), "left_semi")
-    ranked = _percentile_by_ranges(rows, keys, value, share, name)
-    measured = rows.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct()
-    big = measured.join(ranked, _same(measured, ranked, keys), "left")
-    big = big.select(*[measured[c] for c in measured.columns], ranked[name])
-    return cold.groupBy(*keys).agg(*aggs, built_in).unionByName(big)
-
-
-def large_groups(df: DataFrame, keys: Sequence[str], value: str, group_rows: int) -> DataFrame:
-    """Keys of the groups with more than ``group_rows`` values."""
-    sizes = df.groupBy(*keys).agg(F.count(value).alias("_n"))
-    return sizes.filter(F.col("_n") > group_rows).drop("_n")
+    keys, v = list(keys), F.col("_v")
+    groups = keys or ["_all"]
+    own = [F.col(k) for k in keys] or [F.lit(1).alias("_all")]
+    rows = counts.filter(F.col(value).isNotNull()).select(
+        *own, F.col(value).cast("double").alias("_v"), F.col(count).alias("_n")
+    )
+    rows = rows.withColumn("_b", _log_range(v))
 
+    whole = Window.partitionBy(*groups)
+    ranges = rows.groupBy(*groups, "_b").agg(F.sum("_n").alias("_n"), F.sum(v * F.col("_n")).alias("_s"))
+    ranges = ranges.withColumn(total, F.sum("_n").over(whole)).withColumn(mean, F.sum("_s").over(whole) / F.col(total))
+    ranges = ranges.withColumn("_at", (F.col(total) - 1) * F.lit(share))
+    ranges = ranges.withColumn("_k0", F.floor("_at")).withColumn("_k1", F.ceil("_at"))
+    held = _holding(ranges, groups, "_b", F.lit(0)).withColumnRenamed("_from", "_before").drop("_n", "_s")
 
-def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(Column.__and__, [left[k].eqNullSafe(right[k]) for k in keys])
+    step = [*groups, "_b"]
+    picked = _holding(join_same(rows, held, step), step, "_v", F.col("_before"))
 
+    def at_rank(rank: str) -> Column:
+        inside = (F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_from") + F.col("_n"))
+        return F.max(F.when(inside, v))
 
-def _log_range(v: Column) -> Column:
-    """Non-decreasing whole-number range of ``v``, about one percent wide."""
-    top = F.lit(1 << 40)
-    size = F.when(F.abs(v) == F.lit(float("inf")), top).otherwise(
-        F.floor(F.log1p(F.abs(v)) * LOG_STEPS)
+    ends = picked.groupBy(*groups, "_at").agg(
+        at_rank("_k0").alias("_v0"), at_rank("_k1").alias("_v1"), F.max(total).alias(total), F.max(mean).alias(mean)
     )
-    return F.when(F.isnan(v), top + 1).when(v < 0, -size - 1).otherwise(size)
+    # the built-in's formula
+    between = (F.ceil("_at") - F.col("_at")) * F.col("_v0") + (F.col("_at") - F.floor("_at")) * F.col("_v1")
+    result = F.when(F.col("_v0") == F.col("_v1"), F.col("_v0")).otherwise(between)
+    return ends.select(*keys, result.alias(name), total, mean)
 
 
-def _holding(ranges: DataFrame, keys: list[str], order: str, offset: Column) -> DataFrame:
-    """Ranges that hold one of the two wanted ranks, with the rows before them."""
-    running = Window.partitionBy(*keys).orderBy(order)
-    upto = F.sum("_c").over(running.rowsBetween(Window.unboundedPreceding, 0))
-    placed = ranges.withColumn("_from", offset + upto - F.col("_c"))
-    low, high = F.col("_from"), F.col("_from") + F.col("_c")
-    return placed.filter(
-        ((F.col("_k0") >= low) & (F.col("_k0") < high))
-        | ((F.col("_k1") >= low) & (F.col("_k1") < high))
-    )
+def _counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    return df.groupBy(*keys, F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_n"))
 
 
-def _percentile_by_ranges(
-    df: DataFrame, keys: list[str], value: str, share: float, name: str
+def value_percentile(
+    df: DataFrame, keys: Sequence[str], value: str, share: float, name: str, total: str, mean: str
 ) -> DataFrame:
-    v = F.col("_v")
-    rows = (
-        df.select(*keys, F.col(value).cast("double").alias("_v"))
-        .filter(v.isNotNull())
-        .withColumn("_b", _log_range(v))
-    )
+    """Percentile, number and mean of the values that are not null, from one pass over ``df``."""
+    return counted_percentile(_counts(df, keys, value), keys, "_v", "_n", share, name, total, mean)
 
-    coarse = rows.groupBy(*keys, "_b").agg(
-        F.count("*").alias("_c"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")
-    )
-    total = F.sum("_c").over(Window.partitionBy(*keys))
-    coarse = (
-        coarse.withColumn("_at", (total - 1) * F.lit(share))
-        .withColumn("_k0", F.floor("_at"))
-        .withColumn("_k1", F.ceil("_at"))
-    )
-    first = _holding(coarse, keys, "_b", F.lit(0)).withColumnRenamed("_from", "_before")
-    # at most two ranges per large group
-    first = F.broadcast(materialize(first.drop("_c"), "percentile-ranges"))
 
-    step1 = [*keys, "_b"]
-    narrowed = rows.join(first, _same(rows, first, step1)).select(
-        *[rows[c] for c in rows.columns], *[first[c] for c in ("_lo", "_hi", "_before", "_at", "_k0", "_k1")]
-    )
-    narrowed = narrowed.withColumn(
-        "_b2",
-        F.when(
-            F.col("_hi") > F.col("_lo"),
-            F.floor((v - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * LINEAR_STEPS),
-        ).otherwise(F.lit(0).cast("bigint")),
-    )
-    ranks = ["_before", "_at", "_k0", "_k1"]
-    fine = narrowed.groupBy(*step1, "_b2", *ranks).agg(F.count("*").alias("_c"))
-    second = _holding(fine, step1, "_b2", F.col("_before"))
-    second = F.broadcast(materialize(second.drop("_c", *ranks), "percentile-subranges"))
-
-    step2 = [*step1, "_b2"]
-    last = narrowed.join(second, _same(narrowed, second, step2)).select(
-        *[narrowed[c] for c in step2], narrowed["_v"], second["_from"], *[narrowed[c] for c in ("_at", "_k0", "_k1")]
-    )
-    values = last.groupBy(*step2, "_v", "_from", "_at", "_k0", "_k1").agg(F.count("*").alias("_c"))
-    values = values.withColumnRenamed("_from", "_start")
-    picked = _holding(values, step2, "_v", F.col("_start"))
-
-    def at(rank: str) -> Column:
-        inside = (F.col(rank) >= F.col("_from")) & (F.col(rank) < F.col("_from") + F.col("_c"))
-        return F.max(F.when(inside, v))
+def grouped_percentile(
+    df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float], aggs: Sequence[Column] = ()
+) -> DataFrame:
+    """``keys``, the aggregates ``aggs`` and a percentile column for every name in ``shares``.
 
-    ends = picked.groupBy(*keys, "_at").agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"))
-    share_up = F.col("_at") - F.floor("_at")
-    return ends.select(
-        *keys,
-        F.when(F.col("_v0") == F.col("_v1"), F.col("_v0"))
-        .otherwise(F.col("_v0") + (F.col("_v1") - F.col("_v0")) * share_up)
-        .alias(name),
-    )
+    The aggregates cost a second pass. A group without values has null percentiles;
+    without keys there is always one row.
+    """
+    keys = list(keys)
+    counts = _counts(df, keys, value)
+    frames = [df.groupBy(*keys).agg(*(aggs or [F.count("*").alias("_rows")]))]
+    frames += [
+        counted_percentile(counts, keys, "_v", "_n", share, name).drop("_total", "_mean") for name, share in shares.items()
+    ]
+    columns = {c: f.schema[c].dataType for f in frames for c in f.columns if c not in keys}
+    aligned = [
+        f.select(*keys, *[F.col(c) if c in f.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()])
+        for f in frames
+    ]
+    merged = reduce(DataFrame.unionByName, aligned)
+    return merged.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in columns if c != "_rows"])

@@ -29,7 +29,7 @@ from ..config import (
 )
 from ..functions import div0
 from ..schemas import SIGNAL_COLUMNS
-from .rollups import latency_groups_small, signal_rollup, since
+from .rollups import signal_rollup, since
 
 FRAME = ["time_bin", "signal_type", "series_key", "service", "route", "requests", "errors", "value"]
 
@@ -259,12 +259,9 @@ def recent_anomaly_signals(rollups: dict[str, DataFrame], as_of: datetime, cfg:
 
 
 def signals_from_logs(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
-    """All signals straight from raw logs: one counting scan of the history."""
+    """All signals straight from raw logs: each row is read once for the counts and once for the latency."""
     past, recent = split_logs(raw, as_of, cfg)
-    small = latency_groups_small(raw, as_of, cfg)
-    return zscore_detect(
-        signal_rollup(past, as_of, cfg, small), as_of, cfg, signal_rollup(recent, as_of, cfg, small)
-    )
+    return zscore_detect(signal_rollup(past, as_of, cfg), as_of, cfg, signal_rollup(recent, as_of, cfg))
 
 
 def empty_signals(spark) -> DataFrame:

@@ -27,13 +27,12 @@ from ..config import (
 )
 from ..functions import (
     div0,
-    grouped_percentile,
     is_error,
-    large_groups,
     series_key,
     sql_list,
     sql_text,
     time_bin,
+    value_percentile,
 )
 from . import views
 
@@ -106,24 +105,10 @@ def _latency_rows(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig) -> Dat
     )
 
 
-def latency_groups_small(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> bool:
-    """True when every latency bin is small enough for the built-in percentile."""
-    rows = _latency_rows(raw, as_of, cfg)
-    return large_groups(rows, _LATENCY_KEYS, "duration_ms", cfg.percentile_group_rows).isEmpty()
-
-
-def ts_route_latency(
-    raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig(), checked_small: bool = False
-) -> DataFrame:
-    return grouped_percentile(
-        _latency_rows(raw, as_of, cfg),
-        _LATENCY_KEYS,
-        "duration_ms",
-        cfg.percentile,
-        "p95_duration_ms",
-        [F.count("*").alias("requests"), F.avg("duration_ms").alias("avg_duration_ms")],
-        cfg.percentile_group_rows,
-        checked_small,
+def ts_route_latency(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+    return value_percentile(
+        _latency_rows(raw, as_of, cfg), _LATENCY_KEYS, "duration_ms", cfg.percentile,
+        "p95_duration_ms", "requests", "avg_duration_ms",
     ).select(
         "time_bin",
         series_key("service", "route").alias("series_key"),
@@ -249,11 +234,9 @@ def series_frame(counts: DataFrame, latency: DataFrame) -> DataFrame:
     )
 
 
-def signal_rollup(
-    raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig(), checked_small: bool = False
-) -> DataFrame:
-    """All six series straight from raw logs."""
-    return series_frame(count_bins(raw, as_of, cfg), ts_route_latency(raw, as_of, cfg, checked_small))
+def signal_rollup(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+    """All six series straight from raw logs: one pass for the counts, one for the latency."""
+    return series_frame(count_bins(raw, as_of, cfg), ts_route_latency(raw, as_of, cfg))
 
 
 def rollups_from_bins(counts: DataFrame, latency: DataFrame) -> dict[str, DataFrame]:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ObsConfig
-from ..functions import div0, grouped_percentile, is_error, time_bin
+from ..functions import div0, is_error, time_bin, value_percentile
 from ..operators import views
 from ..operators.detect import anomaly_score_trend
 from ..operators.rollups import since
@@ -56,11 +56,7 @@ def tile_request_rate(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfi
 
 def tile_p95_by_route(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(), limit: int = 20) -> DataFrame:
     rows = views.http_requests(since(raw, as_of, cfg.tile_window, cfg)).filter("duration_ms IS NOT NULL")
-    grouped = grouped_percentile(
-        rows, ["route", "service"], "duration_ms", cfg.percentile, "p95_ms",
-        [F.count("*").alias("requests"), F.avg("duration_ms").alias("avg_ms")],
-        cfg.percentile_group_rows,
-    )
+    grouped = value_percentile(rows, ["route", "service"], "duration_ms", cfg.percentile, "p95_ms", "requests", "avg_ms")
     return (
         grouped.select("route", "service", "requests", F.round("avg_ms", 1).alias("avg_ms"),
                        F.round("p95_ms", 1).alias("p95_ms"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import ObsConfig
-from ..functions import div0, grouped_percentile, is_error, time_bin
+from ..functions import div0, grouped_percentile, is_error, join_same, time_bin
 from ..operators import views
 from ..operators.rollups import since
 
@@ -110,11 +110,13 @@ def metric_query(
         out = rows.select(*dims, F.col("_bin" if grain_seconds else time).alias(time))
     else:
         plain = [model.measures[m]().alias(m) for m in measures if m in model.measures]
-        wanted = [m for m in measures if m in model.percentiles]
-        if wanted:
-            name = wanted[0]
-            column, share = model.percentiles[name]
-            out = grouped_percentile(rows, keys, column, share, name, plain, cfg.percentile_group_rows)
+        shares: dict[str, dict[str, float]] = {}
+        for m in measures:
+            if m in model.percentiles:
+                column, share = model.percentiles[m]
+                shares.setdefault(column, {})[m] = share
+        if shares:
+            out = _with_percentiles(rows, keys, shares, plain)
         else:
             out = rows.groupBy(*keys).agg(*plain)
         bins = [F.col("_bin").alias(time)] if grain_seconds else []
@@ -124,6 +126,17 @@ def metric_query(
     return out if limit is None else out.limit(limit)
 
 
+def _with_percentiles(rows: DataFrame, keys: list[str], shares: dict[str, dict[str, float]], plain: list[Column]) -> DataFrame:
+    """Percentiles of any number of columns next to the plain measures."""
+    frames = []
+    for column, wanted in shares.items():
+        frames.append(grouped_percentile(rows, keys, column, wanted, aggs=plain if not frames else ()))
+    out = frames[0]
+    for frame in frames[1:]:
+        out = join_same(out, frame, keys)
+    return out
+
+
 # ── verified queries ────────────────────────────────────────────────────────
 
 def vq_error_rate_last_hour(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(),

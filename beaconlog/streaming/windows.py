@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import KEY_DROPS, KEY_FRESHNESS, ObsConfig
-from ..functions import div0, is_error, series_key
+from ..functions import counted_percentile, div0, is_error, series_key
 from ..operators import views
 from ..operators.rollups import is_forwarder_drop, is_healthy_batch
 
@@ -76,10 +76,9 @@ def stream_latency_counts(logs: DataFrame, watermark: str = "15 minutes", cfg: O
 
 def latency_from_counts(counts: DataFrame, cfg: ObsConfig = ObsConfig()) -> DataFrame:
     """T2 from duration counts (a batch read of the stream's output table)."""
-    out = counts.groupBy("time_bin", "service", "route").agg(
-        F.sum("n").alias("requests"),
-        (F.sum(F.col("duration_ms") * F.col("n")) / F.sum("n")).alias("avg_duration_ms"),
-        F.percentile("duration_ms", F.lit(cfg.percentile), F.col("n")).alias("p95_duration_ms"),
+    keys = ["time_bin", "service", "route"]
+    out = counted_percentile(
+        counts, keys, "duration_ms", "n", cfg.percentile, "p95_duration_ms", "requests", "avg_duration_ms"
     )
     return out.select(
         "time_bin", series_key("service", "route").alias("series_key"), "service", "route",

@@ -326,8 +326,10 @@ _register_rollup("ts_deployment_error_rate", f"SELECT {sql.T6_LIST} FROM t6")
 
 @query("route_latency_large_groups", sql.rollups(f"SELECT {sql.T2_LIST} FROM t2"))
 def _(spark, sf):
-    # the path for groups too large for one buffer, here taken by most groups
-    return rollups.ts_route_latency(logs(spark, sf), AS_OF, CFG.with_(percentile_group_rows=4))
+    # from counts per duration, as the stream keeps them
+    rows = rollups.since(logs(spark, sf), AS_OF, CFG.history, CFG).filter(views.is_http_request() & F.expr("duration_ms IS NOT NULL"))
+    counts = rows.groupBy(time_bin("ingest_ts", CFG.bin_seconds).alias("time_bin"), "service", "route", "duration_ms")
+    return windows.latency_from_counts(counts.agg(F.count("*").alias("n")), CFG)
 
 
 def refreshed(spark, sf) -> tuple[str, str]:
@@ -664,9 +666,8 @@ def _(spark, sf):
 @query("metric_query_total", sql.logs("""SELECT COUNT(*) AS request_count,
   round(quantile_cont(duration_ms, 0.95), 6) AS p95_latency_ms FROM http"""))
 def _(spark, sf):
-    # one group holding every request: answered by narrowing value ranges
-    return metrics.metric_query(logs(spark, sf), "http_requests", ["request_count", "p95_latency_ms"],
-                                cfg=CFG.with_(percentile_group_rows=100))
+    # one group holding every request
+    return metrics.metric_query(logs(spark, sf), "http_requests", ["request_count", "p95_latency_ms"], cfg=CFG)
 
 
 @query("metric_query_errors", sql.logs(f"""SELECT service, error_signature, error_type, error_message, deployment_sha,

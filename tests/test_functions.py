@@ -1,3 +1,5 @@
+import math
+import struct
 import random
 from datetime import datetime
 
@@ -9,6 +11,7 @@ from beaconlog.functions import (
     distinct_list,
     div0,
     grouped_percentile,
+    value_percentile,
     iff,
     iso_z,
     parse_double,
@@ -115,35 +118,58 @@ def samples(kind):
         return [1000 + i * 1e-9 for i in range(900)]
     if kind == "infinite":
         return [1.0, 2.0, float("inf"), float("inf")]
+    if kind == "minus infinite":
+        return [float("-inf"), 1.0]
+    if kind == "nan":
+        return [float("nan"), 1.0, 2.0, float("inf"), float("nan"), -3.0]
     return [3.0]
 
 
-@pytest.mark.parametrize("kind", ["skewed", "equal", "two values", "signed", "close", "infinite", "single"])
-@pytest.mark.parametrize("share", [0.95, 0.5, 0.0, 1.0])
-def test_percentile_by_ranges_is_exact(spark, kind, share):
+def same_bits(a, b):
+    return struct.pack("<d", a) == struct.pack("<d", b) or (math.isnan(a) and math.isnan(b))
+
+
+KINDS = ["skewed", "equal", "two values", "signed", "close", "infinite", "single", "minus infinite", "nan"]
+
+
+@pytest.mark.parametrize("kind", KINDS)
+def test_percentile_is_the_built_in_bit_for_bit(spark, kind):
     values = samples(kind)
     df = spark.createDataFrame([("k", None, v) for v in values] + [("k", None, None)], "a string, b string, v double")
-    got = grouped_percentile(df, ["a", "b"], "v", share, "p", [F.count("*").alias("n")], group_rows=0).collect()
-    want = df.agg(F.percentile("v", F.lit(share))).first()[0]
+    shares = {"p95": 0.95, "p50": 0.5, "p0": 0.0, "p100": 1.0, "p1": 0.01}
+    got = grouped_percentile(df, ["a", "b"], "v", shares, [F.count("*").alias("n")]).collect()
+    want = df.agg(*[F.percentile("v", F.lit(s)).alias(n) for n, s in shares.items()]).first()
     assert len(got) == 1 and got[0].n == len(values) + 1
-    assert got[0].p == pytest.approx(want, rel=1e-12)
-
-
-def test_percentile_mixes_small_and_large_groups(spark):
-    df = spark.range(5000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 400).cast("string"))).alias("k"),
-        ((F.col("id") * 7919) % 1009).cast("double").alias("v"),
-    )
-    aggs = [F.count("*").alias("n"), F.avg("v").alias("m")]
-    mixed = grouped_percentile(df, ["k"], "v", 0.95, "p", aggs, group_rows=100)
-    plain = grouped_percentile(df, ["k"], "v", 0.95, "p", aggs)
-    key = lambda r: (r.k, r.n, round(r.m, 9), round(r.p, 9))
-    assert sorted(map(key, mixed.collect())) == sorted(map(key, plain.collect()))
+    for name in shares:
+        assert same_bits(got[0][name], want[name]), (name, got[0][name], want[name])
+
+
+def test_percentile_of_random_groups_is_the_built_in(spark):
+    df = spark.range(20000).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 7 == 0, None)
+        .otherwise(F.concat(F.lit("g"), (F.col("id") % 400).cast("string"))).alias("k"),
+        F.when(F.col("id") % 11 > 0, F.randn(5) * F.exp(F.randn(6) * 4)).alias("v"),
+    ).cache()
+    got = grouped_percentile(df, ["k"], "v", {"p": 0.95, "q": 0.3}, [F.count("*").alias("n"), F.avg("v").alias("m")]).collect()
+    want = df.groupBy("k").agg(F.percentile("v", F.lit(0.95)).alias("p"), F.percentile("v", F.lit(0.3)).alias("q"),
+                               F.count("*").alias("n"), F.avg("v").alias("m")).collect()
+    key = lambda r: (r.k or "", r.n, r.p, r.q, round(r.m, 9))
+    assert sorted(map(key, got)) == sorted(map(key, want))
+
+
+def test_percentile_starts_no_job_and_reads_once(spark, tmp_path):
+    spark.range(1000).selectExpr("id % 5 AS k", "CAST(id AS DOUBLE) AS v").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    spark.sparkContext.setJobGroup("planning", "percentile")
+    out = value_percentile(df, ["k"], "v", 0.95, "p", "n", "m")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("after", "percentile")
+    rows = {r.k: (r.n, r.p, r.m) for r in out.collect()}
+    assert rows[0] == (200, pytest.approx(945.25), pytest.approx(497.5))
 
 
 def test_percentile_without_keys_and_without_rows(spark):
     df = spark.range(100).select(F.col("id").cast("double").alias("v"))
-    for limit in (10, 1000):
-        assert grouped_percentile(df, [], "v", 0.95, "p", group_rows=limit).first().p == pytest.approx(94.05)
-    empty = grouped_percentile(df.filter("v < 0"), [], "v", 0.95, "p", [F.count("*").alias("n")]).collect()
+    assert grouped_percentile(df, [], "v", {"p": 0.95}).first().p == pytest.approx(94.05)
+    empty = grouped_percentile(df.filter("v < 0"), [], "v", {"p": 0.95}, [F.count("*").alias("n")]).collect()
     assert [(r.n, r.p) for r in empty] == [(0, None)]
