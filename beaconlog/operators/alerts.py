@@ -130,6 +130,26 @@ def alert_forwarder_silent(raw: DataFrame, as_of: datetime, cfg: ObsConfig = Obs
     )
 
 
+def fixed_alerts(
+    errors: DataFrame, latency: DataFrame, raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()
+) -> DataFrame:
+    """What the three fixed limits find: error rate, latency, and a forwarder that is silent."""
+    rate = alert_backend_error_rate(errors, as_of, cfg).select(
+        F.lit("backend_error_rate").alias("alert"), "time_bin", "service", "route", "requests",
+        F.col("error_rate").cast("double").alias("value"),
+    )
+    slow = alert_route_latency_high(latency, as_of, cfg).select(
+        F.lit("route_latency_high").alias("alert"), "time_bin", "service", "route", "requests",
+        F.col("p95_duration_ms").alias("value"),
+    )
+    silent = alert_forwarder_silent(raw, as_of, cfg).select(
+        F.lit("forwarder_silent").alias("alert"), F.col("checked_at").alias("time_bin"),
+        F.lit(cfg.forwarder_service).alias("service"), F.lit(None).cast("string").alias("route"),
+        F.col("batches").alias("requests"), F.lit(None).cast("double").alias("value"),
+    )
+    return rate.unionByName(slow).unionByName(silent)
+
+
 def evaluate_alerts(
     spark: SparkSession,
     signals: DataFrame,

@@ -29,7 +29,7 @@ from ..config import (
 )
 from ..functions import div0
 from ..schemas import SIGNAL_COLUMNS
-from .rollups import signal_rollup, since
+from .rollups import latest_shas, signal_rollup, since
 
 FRAME = ["time_bin", "signal_type", "series_key", "service", "route", "requests", "errors", "value"]
 
@@ -130,6 +130,7 @@ def zscore_detect(
     as_of: datetime,
     cfg: ObsConfig = ObsConfig(),
     recent: DataFrame | None = None,
+    latest: DataFrame | None = None,
 ) -> DataFrame:
     """Signals of a series frame: bins of the holdback window against older bins.
 
@@ -138,6 +139,10 @@ def zscore_detect(
 
     ``recent`` may hold the detection bins when they were computed apart from
     the baseline bins; by default both come from ``past``.
+
+    With ``cfg.latest_sha_only``, ``latest`` names the newest SHA per service
+    (``rollups.latest_shas``). Bins do not tell the order of SHAs within a bin, so
+    without it the greatest SHA of the newest bin is taken.
     """
     recent = past if recent is None else recent
     cut = ts_lit(as_of - cfg.holdback)
@@ -147,7 +152,7 @@ def zscore_detect(
         whole = ts_lit(as_of - timedelta(seconds=cfg.bin_seconds))
         recent = recent.filter(F.col("time_bin") <= whole)
     if cfg.latest_sha_only:
-        past, recent = _latest_sha_only(past, recent)
+        past, recent = _latest_sha_only(past, recent, latest)
 
     baseline = (
         past.groupBy(
@@ -190,14 +195,19 @@ def zscore_detect(
     )
 
 
-def _latest_sha_only(past: DataFrame, recent: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _latest_sha_only(
+    past: DataFrame, recent: DataFrame, latest: DataFrame | None
+) -> tuple[DataFrame, DataFrame]:
     """Judge only the newest SHA of a service, against the bins of its other SHAs."""
     deploy = F.col("signal_type") == SIG_DEPLOY
-    latest = (
-        recent.filter(deploy)
-        .groupBy("signal_type", "service")
-        .agg(F.max_by("route", F.struct("time_bin", "route")).alias("route"))
-    )
+    if latest is None:
+        latest = (
+            recent.filter(deploy)
+            .groupBy("signal_type", "service")
+            .agg(F.max_by("route", F.struct("time_bin", "route")).alias("route"))
+        )
+    else:
+        latest = latest.select(F.lit(SIG_DEPLOY).alias("signal_type"), "service", F.col("deployment_sha").alias("route"))
     keys = ["signal_type", "service", "route"]
     kept = recent.filter(deploy).join(latest, keys, "left_semi").select(*recent.columns)
     return (
@@ -261,7 +271,8 @@ def recent_anomaly_signals(rollups: dict[str, DataFrame], as_of: datetime, cfg:
 def signals_from_logs(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
     """All signals straight from raw logs: each row is read once for the counts and once for the latency."""
     past, recent = split_logs(raw, as_of, cfg)
-    return zscore_detect(signal_rollup(past, as_of, cfg), as_of, cfg, signal_rollup(recent, as_of, cfg))
+    latest = latest_shas(recent, as_of, cfg) if cfg.latest_sha_only else None
+    return zscore_detect(signal_rollup(past, as_of, cfg), as_of, cfg, signal_rollup(recent, as_of, cfg), latest)
 
 
 def empty_signals(spark) -> DataFrame:

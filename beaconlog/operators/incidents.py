@@ -60,6 +60,18 @@ def remediation_candidates(
     return strong.join(known, same, "left_anti")
 
 
+def still_open(incidents: DataFrame, closed: DataFrame, as_of: datetime) -> DataFrame:
+    """Keys of stored incidents that fired before ``as_of`` and were not closed since."""
+    before = incidents.filter(F.col("fired_at") < ts_lit(as_of))
+    newest = before.groupBy(*KEY).agg(F.max("fired_at").alias("_fired"))
+    done = closed.filter(F.col("closed_at") <= ts_lit(as_of)).groupBy(*KEY).agg(F.max("closed_at").alias("_closed"))
+    done = done.select(*[F.col(k).alias(f"_{k}") for k in KEY], "_closed")
+    same = F.col("_closed") >= F.col("_fired")
+    for key in KEY:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return newest.join(done, same, "left_anti").select(*KEY)
+
+
 def dedup_incidents(candidates: DataFrame) -> DataFrame:
     """The strongest signal per service, route and SHA (combined before the shuffle)."""
     rest = [c for c in candidates.columns if c not in KEY]

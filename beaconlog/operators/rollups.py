@@ -44,12 +44,16 @@ def since(
     cfg: ObsConfig,
     column: str = "ingest_ts",
 ) -> DataFrame:
-    """Rows of the last ``window``; prunes day partitions when the table has them."""
+    """Rows of the last ``window``; prunes day partitions when the table has them.
+
+    Rows are stored by the day of their ingest time, which says nothing certain
+    about their source time, so only a window of ingest times prunes.
+    """
     start = as_of - window
     out = df.filter(F.col(column) >= ts_lit(start))
     if cfg.replay:
         out = out.filter(F.col(column) <= ts_lit(as_of))
-    if "ingest_date" in df.columns:
+    if column == "ingest_ts" and "ingest_date" in df.columns:
         out = out.filter(F.col("ingest_date") >= F.to_date(ts_lit(start)))
         if cfg.replay:
             out = out.filter(F.col("ingest_date") <= F.to_date(ts_lit(as_of)))
@@ -173,6 +177,16 @@ def ts_deployment_error_rate(raw: DataFrame, as_of: datetime | None, cfg: ObsCon
     )
 
 
+def latest_shas(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+    """The SHA of each service's newest request; of SHAs in the same instant the greater one."""
+    return (
+        _history(raw, as_of, cfg)
+        .filter(views.is_http_request() & F.col("deployment_sha").isNotNull())
+        .groupBy("service")
+        .agg(F.max_by("deployment_sha", F.struct("ingest_ts", "deployment_sha")).alias("deployment_sha"))
+    )
+
+
 ROLLUPS = {
     "ts_http_error_rate": ts_http_error_rate,
     "ts_route_latency": ts_route_latency,

@@ -15,13 +15,12 @@ from ..session import materialize
 from ..sources.tables import read_table, replace_partitions
 
 K1, B = 1.2, 0.75
-# rows up to which the query side is broadcast; beyond it the joins shuffle
-BROADCAST_ROWS = 200_000
 # query vectors scored in one pass over the articles
 DENSE_BLOCK = 1024
 
 ATTRIBUTES = ["article_id", "title", "category", "service", "tags"]
 _DOCS = "article_id string, title string, category string, service string, tags array<string>, doc_len bigint"
+_LAYOUT = "buckets int"
 _POSTINGS = "term string, article_id string, tf bigint, doc_len bigint"
 
 
@@ -87,34 +86,46 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("article_id"), F.lit(buckets)).cast("int")
 
 
-def save_article_index(articles: DataFrame, path: str, buckets: int = 64) -> None:
-    """Write the index in article buckets; only buckets present are replaced."""
-    index = build_article_index(articles)
-    replace_partitions(index.docs.withColumn("bucket", _bucket(buckets)), f"{path}/docs", "bucket")
-    replace_partitions(index.postings.withColumn("bucket", _bucket(buckets)), f"{path}/postings", "bucket")
+def _write_buckets(articles: DataFrame, path: str, buckets: int, numbers: Sequence[int]) -> None:
+    """Replace the buckets ``numbers``; a row without id marks each, so that emptied ones are replaced too."""
+    spark, index = articles.sparkSession, build_article_index(articles)
+    marks = spark.createDataFrame([(n,) for n in numbers], "bucket int")
+    for part, name in ((index.docs, "docs"), (index.postings, "postings")):
+        rows = part.withColumn("bucket", _bucket(buckets)).unionByName(marks, allowMissingColumns=True)
+        replace_partitions(rows, f"{path}/{name}", "bucket")
 
 
-def refresh_article_index(articles: DataFrame, path: str, changed_since: Column, buckets: int = 64) -> None:
-    """Rebuild the buckets that hold articles updated at or after ``changed_since``."""
-    changed = articles.filter(F.col("updated_at") >= changed_since).select(_bucket(buckets).alias("b"))
-    numbers = [r.b for r in changed.distinct().collect()]  # at most ``buckets`` numbers
+def save_article_index(articles: DataFrame, path: str, buckets: int = 64) -> None:
+    """Write the whole index in article buckets; their number is stored with it."""
+    spark = articles.sparkSession
+    spark.createDataFrame([(buckets,)], _LAYOUT).write.mode("overwrite").parquet(f"{path}/layout")
+    _write_buckets(articles, path, buckets, range(buckets))
+
+
+def refresh_article_index(articles: DataFrame, path: str, changed_since: Column) -> None:
+    """Rebuild the buckets with articles that are new, gone, or updated at or after ``changed_since``."""
+    spark = articles.sparkSession
+    buckets = read_table(spark, f"{path}/layout", _LAYOUT).first().buckets
+    there = articles.filter(F.col("body").isNotNull()).select("article_id", "updated_at")
+    stored = load_article_index(spark, path).docs.select("article_id")
+    changed = there.filter(F.col("updated_at") >= changed_since).select("article_id")
+    new = there.join(stored, "article_id", "left_anti").select("article_id")
+    gone = stored.join(there, "article_id", "left_anti")
+    touched = changed.unionByName(new).unionByName(gone).select(_bucket(buckets).alias("b")).distinct()
+    numbers = sorted(r.b for r in touched.collect())  # at most ``buckets`` numbers
     if numbers:
-        save_article_index(articles.filter(_bucket(buckets).isin(numbers)), path, buckets)
+        _write_buckets(articles.filter(_bucket(buckets).isin(numbers)), path, buckets, numbers)
 
 
 def load_article_index(spark: SparkSession, path: str) -> ArticleIndex:
     return ArticleIndex(
-        read_table(spark, f"{path}/docs", _DOCS + ", bucket int").drop("bucket"),
-        read_table(spark, f"{path}/postings", _POSTINGS + ", bucket int").drop("bucket"),
+        read_table(spark, f"{path}/docs", _DOCS + ", bucket int").drop("bucket").filter("article_id IS NOT NULL"),
+        read_table(spark, f"{path}/postings", _POSTINGS + ", bucket int").drop("bucket").filter("article_id IS NOT NULL"),
     )
 
 
 # ── word search ─────────────────────────────────────────────────────────────
 
-def _broadcast_if(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
-
-
 def _apply_filters(docs: DataFrame, filters: Mapping[str, object] | None) -> DataFrame:
     for name, wanted in (filters or {}).items():
         if name == "tags":
@@ -140,8 +151,7 @@ def search_articles(
     word statistics. Ties go to the smaller article id.
     """
     terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
-    small = terms.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    wanted = _broadcast_if(terms.select("term").distinct(), small)
+    wanted = terms.select("term").distinct()
     if index is None:
         index = ArticleIndex(_tokenised(articles).select(*ATTRIBUTES, "doc_len"), None)
         # needed twice: stored once, in their real size
@@ -153,11 +163,8 @@ def search_articles(
         n, mean_len = 0, 1.0
 
     frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
-    weighted = _broadcast_if(
-        terms.join(_broadcast_if(frequency, small), "term").withColumn(
-            "idf", F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-        ),
-        small,
+    weighted = terms.join(frequency, "term").withColumn(
+        "idf", F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     )
     kept = postings
     if filters:
@@ -171,8 +178,7 @@ def search_articles(
         .agg(F.round(F.sum(part), 6).alias("score"))
     )
     hits = _top(scores, k)
-    # at most k hits per query; queries were counted above
-    return index.docs.join(_broadcast_if(hits, small), "article_id").select(
+    return index.docs.join(hits, "article_id").select(
         "query_id", "rank", "article_id", "title", "category", "service", "tags", "score"
     )
 

@@ -13,16 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import ObsConfig, utc_now
+from ..config import ObsConfig, ts_lit, utc_now
 from ..operators import forecast
-from ..operators.alerts import alert_source, evaluate_alerts
+from ..operators.alerts import alert_source, evaluate_alerts, fixed_alerts
 from ..operators.detect import stored_bins
-from ..operators.incidents import attach_deployment, dedup_incidents, incident_report, remediation_candidates
+from ..operators.incidents import (
+    KEY,
+    attach_deployment,
+    dedup_incidents,
+    incident_report,
+    remediation_candidates,
+    still_open,
+)
 from ..operators.search import search_articles, search_snippet, signal_search_queries
+from ..schemas import CLOSED_INCIDENT_COLUMNS, FIXED_ALERT_COLUMNS, INCIDENT_COLUMNS, names
 from ..session import materialize
 from ..sources.tables import (
     COUNT_BIN_TABLE,
     append_ml_detections,
+    read_cycles,
     read_cycle_signals,
     read_ml_detections,
     read_raw_logs,
@@ -102,20 +111,49 @@ def run_cycle(
     use: str = "zscore",
     articles: DataFrame | None = None,
     open_incidents: DataFrame | None = None,
+    incidents: bool = False,
 ) -> bool:
-    """Detect, alert and assemble incidents at ``as_of``; True when an alert fired."""
+    """Detect, alert and assemble incidents at ``as_of``; True when an alert fired.
+
+    With ``incidents`` (or with ``open_incidents`` from elsewhere) incident rows are
+    written, except for what the store remembers as open: incidents of earlier cycles
+    that ``close_incidents`` has not closed. The fixed limits are checked in every
+    cycle, also when no signal and no log row has arrived.
+    """
     zscore = stored_signals(spark, store.bins, as_of, cfg)
     ml = detect_with_models(spark, store, as_of, cfg) if use == "forecast" else None
     write_signals(alert_source(zscore, ml, use), store.signals, as_of)
     signals = read_cycle_signals(spark, store.signals, as_of)
     fired = evaluate_alerts(spark, signals, as_of, store.alert_log, store.outbox, cfg)
-    if fired and open_incidents is not None:
-        raw = read_raw_logs(spark, store.raw_logs)
-        rows = build_incidents(signals, raw, open_incidents, as_of, cfg, articles)
-        write_cycle(rows, store.incidents, as_of)
+    raw = read_raw_logs(spark, store.raw_logs)
+    bins = stored_rollups(spark, store.bins)
+    fixed = fixed_alerts(
+        stored_bins(bins["ts_http_error_rate"], as_of, cfg), stored_bins(bins["ts_route_latency"], as_of, cfg), raw, as_of, cfg
+    )
+    write_cycle(fixed.select(*names(FIXED_ALERT_COLUMNS)), store.fixed_alerts, as_of)
+    if fired and (incidents or open_incidents is not None):
+        known = remembered_incidents(spark, store, as_of)
+        if open_incidents is not None:
+            known = known.unionByName(open_incidents.select(*KEY))
+        rows = build_incidents(signals, raw, known, as_of, cfg, articles)
+        write_cycle(rows.select(*names(INCIDENT_COLUMNS)), store.incidents, as_of)
     return fired
 
 
+def remembered_incidents(spark: SparkSession, store: Store, as_of: datetime) -> DataFrame:
+    """Service, route and SHA of the store's incidents that are open at ``as_of``."""
+    return still_open(
+        read_cycles(spark, store.incidents, INCIDENT_COLUMNS),
+        read_cycles(spark, store.closed_incidents, CLOSED_INCIDENT_COLUMNS),
+        as_of,
+    )
+
+
+def close_incidents(closed: DataFrame, store: Store, as_of: datetime) -> None:
+    """Remember that the incidents of ``closed`` (service, route, SHA) were closed at ``as_of``."""
+    write_cycle(closed.select(*KEY, ts_lit(as_of).alias("closed_at")), store.closed_incidents, as_of)
+
+
 def stream_cycle(
     spark: SparkSession,
     store: Store,
@@ -125,7 +163,10 @@ def stream_cycle(
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Run a cycle whenever new bins arrive, at most once per trigger."""
+    """Run a cycle whenever new bins arrive, at most once per trigger.
+
+    In silence no bins arrive; ``clock_cycle`` runs on time alone.
+    """
     bins = spark.readStream.schema(COUNT_BIN_TABLE).parquet(f"{store.bins}/count_bins")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -133,3 +174,16 @@ def stream_cycle(
 
     writer = bins.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
+
+
+def clock_cycle(
+    spark: SparkSession, store: Store, checkpoint: str, cfg: ObsConfig = ObsConfig(), clock=utc_now,
+    every: str = "5 minutes", **options,
+) -> StreamingQuery:
+    """Run a cycle at every tick, whether or not anything has arrived."""
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        run_cycle(batch.sparkSession, store, clock(), cfg, **options)
+
+    return ticks.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(processingTime=every).start()

@@ -100,11 +100,8 @@ def evidence_top_routes(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsCon
     )
 
 
-def evidence_sha_trend(ts: DataFrame) -> DataFrame:
-    """Error-rate bins of the SHA each service ran last."""
-    latest = ts.groupBy("service").agg(
-        F.max_by("deployment_sha", F.struct("time_bin", "deployment_sha")).alias("deployment_sha")
-    )
+def evidence_sha_trend(ts: DataFrame, latest: DataFrame) -> DataFrame:
+    """Error-rate bins of the SHA each service ran last (``latest``: see ``latest_shas``)."""
     return ts.join(latest, ["service", "deployment_sha"]).select(
         "time_bin", "service", "deployment_sha", "requests", "error_rate"
     )

@@ -93,6 +93,34 @@ ARTICLE_COLUMNS = [
     ("updated_at", "timestamp"),
 ]
 
+INCIDENT_COLUMNS = [
+    ("title", "string"),
+    ("signal_type", "string"),
+    ("service", "string"),
+    ("route", "string"),
+    ("deployment_sha", "string"),
+    ("anomaly_score", "double"),
+    ("body", "string"),
+    ("labels", "string"),
+    ("fired_at", "timestamp"),
+]
+
+CLOSED_INCIDENT_COLUMNS = [
+    ("service", "string"),
+    ("route", "string"),
+    ("deployment_sha", "string"),
+    ("closed_at", "timestamp"),
+]
+
+FIXED_ALERT_COLUMNS = [
+    ("alert", "string"),
+    ("time_bin", "timestamp"),
+    ("service", "string"),
+    ("route", "string"),
+    ("requests", "bigint"),
+    ("value", "double"),
+]
+
 OPEN_INCIDENT_COLUMNS = [
     ("service", "string"),
     ("route", "string"),

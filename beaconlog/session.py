@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not base:
         base = spark.conf.get("beaconlog.scratch.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="beaconlog-")
         spark.conf.set("beaconlog.scratch.dir", base)

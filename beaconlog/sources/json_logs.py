@@ -66,6 +66,7 @@ def _lines(lines: DataFrame) -> DataFrame:
         "value",
         F.col("_metadata.file_path").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_time"),
+        F.col("_metadata.file_block_start").alias("file_block"),
     ).filter(F.length(F.trim("value")) > 0)
 
 

@@ -19,15 +19,25 @@ from ..sources.tables import read_load_history, read_raw_batch, read_table, writ
 LOADED, PARTIAL, FAILED = "Loaded", "Partially loaded", "Load failed"
 
 
+# characters of a broken line that its message repeats
+MESSAGE_CHARS = 200
+
+
 def load_record(parsed: DataFrame, skip_bad_files: bool = False) -> DataFrame:
-    """One row per file: what was read, what failed, when."""
+    """One row per file: what was read, what failed, when.
+
+    ``parsed`` holds the lines in the order of their files, a split of a file in one
+    task; the first bad line is the one with the least split and place in it.
+    """
     bad = F.col("is_bad")
-    message = F.when(bad, F.concat(F.lit("Error parsing JSON: "), F.col("value")))
-    per_file = parsed.groupBy("file_name").agg(
+    message = F.concat(F.lit("Error parsing JSON: "), F.substring("value", 1, MESSAGE_CHARS))
+    block = F.col("file_block") if "file_block" in parsed.columns else F.lit(0)
+    first = F.min_by(message, F.when(bad, F.struct(block, "_line")))
+    per_file = parsed.withColumn("_line", F.monotonically_increasing_id()).groupBy("file_name").agg(
         F.current_timestamp().alias("last_load_time"),
         F.count("*").alias("_lines"),
         F.count_if(bad).alias("error_count"),
-        F.min(message).alias("first_error_message"),
+        first.alias("first_error_message"),
         F.sum("bad_values").cast("bigint").alias("bad_values"),
     )
     good = F.col("_lines") - F.col("error_count")
@@ -67,7 +77,7 @@ def stream_ingest(
     history_path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    max_files: int | None = None,
+    max_files: int = 1000,
     refresh: bool = True,
     started_at: datetime | None = None,
     skip_bad_files: bool = False,
@@ -77,6 +87,7 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Load new files as they appear; the checkpoint remembers which were read.
 
+    A batch takes ``max_files`` files at most, also the first one over a full prefix.
     ``refresh=False`` leaves out files older than ``started_at`` (those a pipe
     would only load on request); ``refresh_files`` can fetch them later.
     ``on_rows`` is called after each batch with the rows it wrote, for instance

@@ -726,10 +726,12 @@ def _(spark, sf):
 
 @query("evidence_sha_trend", sql.rollups("""SELECT time_bin, t6.service, t6.deployment_sha, requests,
   round(error_rate, 6) AS error_rate FROM t6 JOIN (
-  SELECT service, deployment_sha, row_number() OVER (PARTITION BY service ORDER BY time_bin DESC, deployment_sha DESC)
-  AS rn FROM t6) l ON l.rn = 1 AND l.service = t6.service AND l.deployment_sha = t6.deployment_sha"""))
+  SELECT service, deployment_sha, row_number() OVER (PARTITION BY service ORDER BY ingest_ts DESC, deployment_sha DESC)
+  AS rn FROM http WHERE deployment_sha IS NOT NULL) l
+  ON l.rn = 1 AND l.service = t6.service AND l.deployment_sha = t6.deployment_sha"""))
 def _(spark, sf):
-    return evidence.evidence_sha_trend(rollups.ts_deployment_error_rate(logs(spark, sf), AS_OF, CFG))
+    latest = rollups.latest_shas(logs(spark, sf), AS_OF, CFG)
+    return evidence.evidence_sha_trend(rollups.ts_deployment_error_rate(logs(spark, sf), AS_OF, CFG), latest)
 
 
 @query("related_signals", sql.signals("""SELECT a.signal_type, a.service, a.route, b.signal_type AS related_type,

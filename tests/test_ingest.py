@@ -105,7 +105,7 @@ def poll(spark, place, **options):
 def test_each_file_once_and_history(spark, place):
     folder, _ = place
     (folder / "a.jsonl").write_text(line() + "\n\n" + line(insertId="i2") + "\nnot json\n")
-    (folder / "b.jsonl").write_text("broken\n{also broken\n")
+    (folder / "b.jsonl").write_text("broken\nalso broken\n{a third\n")
     (folder / "empty.jsonl").write_text("")
     raw, history = poll(spark, place)
     assert raw.count() == 2 and raw.columns == names(RAW_LOGS_COLUMNS) + ["ingest_date"]
@@ -115,7 +115,7 @@ def test_each_file_once_and_history(spark, place):
     raw, history = poll(spark, place)
     assert sorted(r.insert_id for r in raw.collect()) == ["i1", "i2", "i3"]
     got = {r.file_name.rsplit("/", 1)[1]: (r.status, r.row_count, r.error_count, r.bad_values) for r in history.collect()}
-    assert got == {"a.jsonl": ("Partially loaded", 2, 1, 0), "b.jsonl": ("Load failed", 0, 2, 0),
+    assert got == {"a.jsonl": ("Partially loaded", 2, 1, 0), "b.jsonl": ("Load failed", 0, 3, 0),
                    "c.jsonl": ("Loaded", 1, 0, 1)}
     errors = ingest.recent_load_errors(history, utc_now()).collect()
     assert [r.file_name.rsplit("/", 1)[1] for r in errors] == ["b.jsonl"]

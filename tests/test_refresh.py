@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from beaconlog.config import ObsConfig
 from beaconlog.operators import detect, forecast, rollups
 from beaconlog.plans import cycle
+from beaconlog.schemas import FIXED_ALERT_COLUMNS, INCIDENT_COLUMNS
 from beaconlog.sources import tables
 from beaconlog.sources.fixture import generate_log_fixture
 from beaconlog.streaming import presence, refresh
@@ -134,3 +135,54 @@ def test_ml_signals_take_the_latest_run(spark):
     table = spark.createDataFrame(rows, ddl(ML_DETECTION_COLUMNS))
     assert [r.anomaly_score for r in forecast.recent_anomaly_signals_ml(table, AS_OF).collect()] == [4.0]
     assert forecast.recent_anomaly_signals_ml(table, AS_OF, dedup=False).count() == 2
+
+
+def test_cycle_remembers_incidents_and_checks_fixed_limits(spark, tmp_path):
+    store = cycle.Store(str(tmp_path))
+    rows = generate_log_fixture(spark, AS_OF)
+    tables.write_raw_logs(rows, store.raw_logs, 0)
+    refresh.refresh_bins(spark, store.raw_logs, store.bins, refresh.touched_spans(rows, CFG), CFG)
+    count = lambda: tables.read_cycles(spark, store.incidents, INCIDENT_COLUMNS).count()
+    later = AS_OF + timedelta(seconds=30)
+    assert cycle.run_cycle(spark, store, AS_OF, CFG, incidents=True)
+    first = count()
+    assert first == 2
+    # the same again, and a later cycle: nothing new; a repeated cycle keeps its own rows
+    assert cycle.run_cycle(spark, store, later, CFG, incidents=True) and count() == first
+    assert cycle.run_cycle(spark, store, AS_OF, CFG, incidents=True) and count() == first
+
+    known = cycle.remembered_incidents(spark, store, later)
+    assert known.count() == 2
+    one = known.filter("route = deployment_sha")
+    assert one.count() == 1
+    cycle.close_incidents(one, store, later)
+    assert cycle.run_cycle(spark, store, later + timedelta(seconds=30), CFG, incidents=True) and count() == first + 1
+    fixed = tables.read_cycles(spark, store.fixed_alerts, FIXED_ALERT_COLUMNS)
+    assert {r.alert for r in fixed.collect()} >= {"backend_error_rate"}
+    # silence: no signals, but the forwarder is reported
+    quiet = AS_OF + timedelta(days=3)
+    assert not cycle.run_cycle(spark, store, quiet, CFG, incidents=True)
+    told = tables.read_cycles(spark, store.fixed_alerts, FIXED_ALERT_COLUMNS).filter(F.col("time_bin") >= F.lit(quiet))
+    assert [r.alert for r in told.collect()] == ["forwarder_silent"]
+
+
+def test_source_time_window_keeps_rows_of_other_days(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    base = generate_log_fixture(spark, AS_OF).limit(3)
+    noon = datetime(2026, 1, 2, 12)
+    shifted = base.withColumn("n", F.monotonically_increasing_id() % 3).withColumn("source_ts", F.lit(noon))
+    days = F.when(F.col("n") == 0, F.lit(datetime(2026, 1, 3, 1))).when(F.col("n") == 1, F.lit(datetime(2026, 1, 1, 23))).otherwise(F.lit(noon))
+    tables.write_raw_logs(shifted.withColumn("ingest_ts", days).drop("n"), raw, 0)
+    table, end = tables.read_raw_logs(spark, raw), noon + timedelta(hours=1)
+    for cfg in (CFG, CFG.with_(replay=True)):
+        assert rollups.since(table, end, timedelta(hours=2), cfg, "source_ts").count() == 3
+
+
+def test_latest_sha_by_time(spark):
+    at = AS_OF - timedelta(minutes=3)
+    rows = [(at, "zz-old"), (at + timedelta(seconds=20), "aa-new")]
+    raw = spark.createDataFrame(rows, "ingest_ts timestamp, deployment_sha string").selectExpr(
+        "ingest_ts", "ingest_ts AS source_ts", "deployment_sha", "'backend' AS service", "'/a' AS route",
+        "'http_request' AS event_type", "'INFO' AS severity", "200 AS status_code", "1.0D AS duration_ms", "'GET' AS method",
+    )
+    assert [r.deployment_sha for r in rollups.latest_shas(raw, AS_OF, CFG).collect()] == ["aa-new"]

@@ -53,9 +53,9 @@ def hits(df):
     return out
 
 
-@pytest.mark.parametrize("limit", [search.BROADCAST_ROWS, 0])
-def test_word_search_equals_brute_force(spark, corpus, monkeypatch, limit):
-    monkeypatch.setattr(search, "BROADCAST_ROWS", limit)  # 0: the path without broadcasts
+@pytest.mark.parametrize("threshold", ["10m", "-1"])
+def test_word_search_equals_brute_force(spark, corpus, threshold):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)  # -1: without broadcasts
     rows, articles = corpus
     asked = spark.createDataFrame(QUERIES, "query_id string, query string")
     want = {q: brute(rows, text, 5) for q, text in QUERIES if brute(rows, text, 5)}
@@ -63,6 +63,7 @@ def test_word_search_equals_brute_force(spark, corpus, monkeypatch, limit):
     runbooks = {q: brute(rows, text, 3, lambda r: r[2] == "runbook" and "1" in r[4]) for q, text in QUERIES}
     got = hits(search.search_articles(asked, articles, 3, {"category": "runbook", "tags": "1"}))
     assert got == {q: v for q, v in runbooks.items() if v}
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_stored_index_and_refresh(spark, corpus, tmp_path):
@@ -74,9 +75,15 @@ def test_stored_index_and_refresh(spark, corpus, tmp_path):
     assert before == hits(search.search_articles(asked, articles))
     changed = [r[:5] + ("cache cache cache", r[6], datetime(2026, 2, 1)) if r[0] == "a20" else r for r in rows]
     now = spark.createDataFrame(changed, ddl(ARTICLE_COLUMNS))
-    search.refresh_article_index(now, path, F.lit(datetime(2026, 1, 15)), buckets=4)
+    search.refresh_article_index(now, path, F.lit(datetime(2026, 1, 15)))
     after = hits(search.search_articles(asked, index=search.load_article_index(spark, path)))
     assert after == hits(search.search_articles(asked, now)) and after["q2"][0][0] == "a20"
+    # deleted articles leave the index, also the last ones of a bucket
+    few = now.filter("article_id IN ('a03', 'a04')")
+    search.refresh_article_index(few, path, F.lit(datetime(2027, 1, 1)))
+    index = search.load_article_index(spark, path)
+    assert sorted(r.article_id for r in index.docs.collect()) == ["a03", "a04"]
+    assert hits(search.search_articles(asked, index=index)) == hits(search.search_articles(asked, few))
 
 
 def test_snippet_and_queries(spark):
