@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,8 +36,29 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+_SCOPE = "beaconlog.scratch.scope"
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/beaconlog/{label}-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/beaconlog{spark.conf.get(_SCOPE, '')}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[None]:
+    """Folders that jobs take inside the block are deleted at its end.
+
+    For jobs that write their results elsewhere; a frame that still reads an
+    intermediate table must not leave the block.
+    """
+    outer = spark.conf.get(_SCOPE, "")
+    scope = f"{outer}/{label}-{uuid.uuid4().hex}"
+    spark.conf.set(_SCOPE, scope)
+    try:
+        yield
+    finally:
+        spark.conf.set(_SCOPE, outer)
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/beaconlog{scope}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,3 +1,4 @@
+import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from beaconlog.config import ObsConfig
 from beaconlog.operators import detect, forecast, rollups
 from beaconlog.plans import cycle
 from beaconlog.schemas import FIXED_ALERT_COLUMNS, INCIDENT_COLUMNS
+from beaconlog.session import shared_dir
 from beaconlog.sources import tables
 from beaconlog.sources.fixture import generate_log_fixture
 from beaconlog.streaming import presence, refresh
@@ -159,6 +161,8 @@ def test_cycle_remembers_incidents_and_checks_fixed_limits(spark, tmp_path):
     assert cycle.run_cycle(spark, store, later + timedelta(seconds=30), CFG, incidents=True) and count() == first + 1
     fixed = tables.read_cycles(spark, store.fixed_alerts, FIXED_ALERT_COLUMNS)
     assert {r.alert for r in fixed.collect()} >= {"backend_error_rate"}
+    # intermediate tables are gone
+    assert not [p for p in os.listdir(shared_dir(spark) + "/beaconlog") if p.startswith(("cycle-", "fit-"))]
     # silence: no signals, but the forwarder is reported
     quiet = AS_OF + timedelta(days=3)
     assert not cycle.run_cycle(spark, store, quiet, CFG, incidents=True)
