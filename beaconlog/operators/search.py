@@ -18,6 +18,14 @@ K1, B = 1.2, 0.75
 # query vectors scored in one pass over the articles
 DENSE_BLOCK = 1024
 
+# The search texts of a signal; its name stands between the two parts of a variant.
+SERIES_TEXT = "runbook remediation root cause"
+VARIANT_TEXTS = [
+    ("", " failure root cause"),
+    ("", " runbook remediation steps"),
+    ("similar incidents ", ""),
+]
+
 ATTRIBUTES = ["article_id", "title", "category", "service", "tags"]
 _DOCS = "article_id string, title string, category string, service string, tags array<string>, doc_len bigint"
 _LAYOUT = "buckets int"
@@ -193,13 +201,9 @@ def signal_search_queries(signals: DataFrame, variants: bool = False) -> DataFra
     """Search texts for each signal series; identical texts share one query."""
     series = signals.select("signal_type", "service", "route").distinct()
     name = F.col("signal_type")
-    texts = [F.concat_ws(" ", "signal_type", "service", "route", F.lit("runbook remediation root cause"))]
+    texts = [F.concat_ws(" ", "signal_type", "service", "route", F.lit(SERIES_TEXT))]
     if variants:
-        texts += [
-            F.concat(name, F.lit(" failure root cause")),
-            F.concat(name, F.lit(" runbook remediation steps")),
-            F.concat(F.lit("similar incidents "), name),
-        ]
+        texts += [F.concat(F.lit(before), name, F.lit(after)) for before, after in VARIANT_TEXTS]
     return (
         series.select("signal_type", "service", "route", F.posexplode(F.array(*texts)).alias("variant", "query"))
         .withColumn("query_id", F.sha2("query", 256))

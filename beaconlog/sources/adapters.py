@@ -96,8 +96,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(DOCUMENTS).parquet(f"{sf_dir}/documents.parquet")
 
 
+# what an article is about, so that searches for signals find some
+_SUBJECTS = ["remediation steps", "root cause", "similar incidents", "failure", "deployment"]
+
+
 def documents_as_articles(df: DataFrame) -> DataFrame:
+    """Documents as articles; the body begins with the category and a subject."""
     number = F.col("doc_id")
+    subject = F.element_at(F.array(*[F.lit(s) for s in _SUBJECTS]), (number % len(_SUBJECTS) + 1).cast("int"))
     category = (
         F.when(number % 4 == 0, "postmortem")
         .when(number % 4 == 1, "runbook")
@@ -111,7 +117,7 @@ def documents_as_articles(df: DataFrame) -> DataFrame:
         category.alias("category"),
         F.col("source").alias("service"),
         F.array("lang", "source").alias("tags"),
-        F.col("text").alias("body"),
+        F.concat(category, F.lit(" "), subject, F.lit("\n"), F.col("text")).alias("body"),
         written.alias("authored_at"),
         written.alias("updated_at"),
     )

@@ -1,7 +1,8 @@
 """Row generator for a repeatable end-to-end scenario (tests and demos).
 
 Two days of steady traffic on one route, then ten minutes in which most
-requests fail and slow down. Noise is a fixed function of the row index.
+requests fail and slow down. Noise is a fixed function of the row index. Row counts,
+steps and texts are fixed values: the scenario's results depend on them.
 """
 
 from __future__ import annotations

@@ -25,6 +25,7 @@ from ..schemas import (
     names,
 )
 
+# Columns of the stored bins.
 COUNT_BIN_COLUMNS = [
     ("time_bin", "timestamp"),
     ("signal_type", "string"),

@@ -799,6 +799,7 @@ def _(spark, sf):
                                   {"category": ["runbook", "postmortem"], "tags": "en"})
 
 
+# The search texts of a signal.
 SIGNAL_QUERIES = """sq AS (SELECT DISTINCT signal_type, service, route, variant, query, sha256(query) AS query_id FROM (
   SELECT signal_type, service, route, 0 AS variant,
     signal_type || ' ' || service || ' ' || route || ' runbook remediation root cause' AS query FROM signals
@@ -820,9 +821,9 @@ def _(spark, sf):
     return search.search_articles(asked.select("query_id", "query").distinct(), adapters.articles(spark, sf))
 
 
-@query("search_snippet", """SELECT CAST(doc_id AS VARCHAR) AS article_id,
-  CASE WHEN text IS NULL OR text = '' THEN '(no body)' ELSE substring(text, 1, 300) || '...' END AS snippet
-  FROM documents""")
+@query("search_snippet", sql.with_(sql.ARTICLES, select="""SELECT article_id,
+  CASE WHEN body IS NULL OR body = '' THEN '(no body)' ELSE substring(body, 1, 300) || '...' END AS snippet
+  FROM articles"""))
 def _(spark, sf):
     return adapters.articles(spark, sf).select("article_id", search.search_snippet(F.col("body")).alias("snippet"))
 

@@ -110,7 +110,10 @@ signals AS (SELECT * FROM d1 UNION ALL SELECT * FROM d2 UNION ALL SELECT * FROM
 ARTICLES = """
 articles AS (SELECT CAST(doc_id AS VARCHAR) AS article_id, substring(text, 1, 60) AS title,
   CASE doc_id % 4 WHEN 0 THEN 'postmortem' WHEN 1 THEN 'runbook' WHEN 2 THEN 'architecture' ELSE 'faq' END AS category,
-  source AS service, lang || ',' || source AS tags, text AS body,
+  source AS service, lang || ',' || source AS tags,
+  CASE doc_id % 4 WHEN 0 THEN 'postmortem' WHEN 1 THEN 'runbook' WHEN 2 THEN 'architecture' ELSE 'faq' END || ' ' ||
+  CASE doc_id % 5 WHEN 0 THEN 'remediation steps' WHEN 1 THEN 'root cause' WHEN 2 THEN 'similar incidents'
+    WHEN 3 THEN 'failure' ELSE 'deployment' END || chr(10) || text AS body,
   TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(doc_id AS INTEGER)) AS updated_at FROM documents)"""
 
 INDEX = """
