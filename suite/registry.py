@@ -847,10 +847,9 @@ def _(spark, sf):
 # ── incidents ───────────────────────────────────────────────────────────────
 
 def open_incidents(spark, sf) -> DataFrame:
-    errors = views.application_errors(logs(spark, sf))
-    return errors.filter("severity = 'CRITICAL' AND route = '/api/r1'").select(
-        "service", "route", "deployment_sha"
-    ).distinct()
+    """Incidents that earlier signature spikes have opened: some of today's candidates among them."""
+    spikes = attached(spark, sf).filter("signal_type = 'error_signature_spike'")
+    return spikes.select("service", "route", "deployment_sha").distinct()
 
 
 def attached(spark, sf) -> DataFrame:

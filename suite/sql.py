@@ -167,8 +167,8 @@ shas AS (SELECT signal_type, service, route, deployment_sha FROM (
 attached AS (SELECT s.*, CASE WHEN s.signal_type = 'post_deployment_regression' THEN s.route ELSE h.deployment_sha END
   AS deployment_sha FROM signals s LEFT JOIN shas h
   ON s.signal_type = h.signal_type AND s.service = h.service AND s.route = h.route),
-open_incidents AS (SELECT DISTINCT service, route, deployment_sha FROM errs
-  WHERE severity = 'CRITICAL' AND route = '/api/r1'),
+open_incidents AS (SELECT DISTINCT service, route, deployment_sha FROM attached
+  WHERE signal_type = 'error_signature_spike'),
 candidates AS (SELECT * FROM attached a WHERE anomaly_score >= 2.0
   AND signal_type IN ('backend_http_error_rate','error_signature_spike','post_deployment_regression')
   AND deployment_sha IS NOT NULL AND NOT EXISTS (SELECT 1 FROM open_incidents o WHERE o.service = a.service
