@@ -12,8 +12,8 @@ Bytes of a segment (all numbers little-endian):
     document offsets: u64 per document and one for the end
     per level: chunks u64, then the chunks, the bitmap, and the directory (u32 per 512 bits)
 
-Segments are rows of a Parquet table (``part, segment, docs, ids, payload``), so
-they are written by Spark's committer and can lie in any store it reaches. Parts
+Segments are rows of a Parquet table (``part, segment, docs, ids, inside, payload``;
+``inside`` counts the ids before the segment in its part), so they are written by Spark's committer and can lie in any store it reaches. Parts
 are ranges of document ids in ascending order, segments follow one another in a
 part, and a directory of parts tells the position of a segment's first id.
 """
@@ -28,7 +28,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from .common import running_base, store
 from .tokens import encoder
@@ -109,7 +108,7 @@ def _segments(path: str, end_id: int, limit: int):
     end = struct.pack("<I", end_id)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, held, docs, size, part, number = encoder(path).encode, [], [], 0, 0, 0
+        encode, held, docs, size, part, number, written = encoder(path).encode, [], [], 0, 0, 0, 0
 
         def flush():
             ids = np.frombuffer(b"".join(held), "<u4")
@@ -117,6 +116,7 @@ def _segments(path: str, end_id: int, limit: int):
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "segment": pa.array([number], pa.int32()),
                 "docs": pa.array([docs], pa.list_(pa.int64())), "ids": pa.array([ids.size], pa.int64()),
+                "inside": pa.array([written], pa.int64()),
                 "payload": pa.array([pack(ids, offsets)], pa.binary()),
             })
 
@@ -127,6 +127,7 @@ def _segments(path: str, end_id: int, limit: int):
                 size += len(held[-1]) // 4
                 if size >= limit:
                     yield flush()
+                    written += size
                     held, docs, size, number = [], [], 0, number + 1
         if held:
             yield flush()
@@ -134,7 +135,7 @@ def _segments(path: str, end_id: int, limit: int):
     return run
 
 
-SEGMENT_SCHEMA = "part int, segment int, docs array<bigint>, ids long, payload binary"
+SEGMENT_SCHEMA = "part int, segment int, docs array<bigint>, ids long, inside long, payload binary"
 
 
 def write_codes(
@@ -158,12 +159,9 @@ def write_codes(
     )
     segments = store(ordered.mapInArrow(_segments(tokenizer_path, end_id, segment_ids), SEGMENT_SCHEMA), "token-codes")
     parts = segments.groupBy("part").agg(F.sum("ids").alias("n"))
-    inside = Window.partitionBy("part").orderBy("segment").rowsBetween(Window.unboundedPreceding, -1)
-    own = segments.select(
-        "part", "segment", F.coalesce(F.sum("ids").over(inside), F.lit(0)).alias("inside")
-    ).join(running_base(parts, "part", "n", "base").select("part", "base"), "part")
-    own = own.select("part", "segment", (F.col("base") + F.col("inside")).alias("start"))
-    return segments.join(own, ["part", "segment"])
+    # one row of two numbers per task of the pass above, far less than the driver keeps of each task anyway
+    base = F.broadcast(running_base(parts, "part", "n", "base").select("part", "base"))
+    return segments.join(base, "part").withColumn("start", F.col("base") + F.col("inside")).drop("base", "inside")
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
