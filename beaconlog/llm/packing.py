@@ -117,7 +117,8 @@ def pack_windows(
     pieces = store(rows.mapInArrow(run, PIECE_SCHEMA), "packed-pieces")
     parts = pieces.groupBy("part").agg((F.max("window") + 1).alias("n"))
     base = running_base(parts, "part", "n", "base").select("part", "base")
-    return pieces.join(base, "part").select(
+    # one row of two numbers per task of the pass above, far less than the driver keeps of each task anyway
+    return pieces.join(F.broadcast(base), "part").select(
         F.col("doc_id").alias(id_col), "start", "length", "doc_tokens",
         (F.col("base") + F.col("window")).alias("sequence_id"), "offset", "ids",
     )
