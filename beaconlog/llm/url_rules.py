@@ -94,7 +94,8 @@ def interval_sweep(points: DataFrame, keys: DataFrame, label: str) -> DataFrame:
     so_far = Window.partitionBy("part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, 0)
     swept = ranged.withColumn("seen", F.last("open", ignorenulls=True).over(so_far)).where(F.col("kind") == POINT)
     none = F.array().cast(stack)
-    return swept.join(carried, "part").select(
+    # one row per range: as many as the sort has tasks
+    return swept.join(F.broadcast(carried), "part").select(
         "key", "point", F.coalesce("seen", "carried", none).alias("stack")
     )
 
