@@ -5,14 +5,20 @@ the samples band keys and an odd sketch: a bitmap of parities whose XOR with
 another one counts the samples in which two sets differ. Texts with equal sets
 are one node from here on, so copies cost nothing further.
 
-Nodes that share a band key meet in a bucket. Candidates are proposed in rounds:
-first every member of a bucket with its smallest, then with its largest member,
-then every two members of different components. A proposal must have sizes that
-allow the similarity and a sketch distance that does; it counts only after the
-full sets have been compared. Components are merged after every round, and what
-is in one component need not meet again, so a group of thousands of near copies
-costs a few proposals per member, not all pairs. The rounds end when no bucket
-has an untested pair of different components that the sketches allow.
+Nodes that share a band key meet in a bucket. First every member of a bucket is
+proposed with its smallest and with its largest member; a proposal must have
+sizes that allow the similarity and a sketch distance that does, and links only
+after the full sets have been compared. So a group of thousands of near copies
+becomes one component with one or two comparisons per member.
+
+What is left are buckets with members of several components. Their members are
+compared by sketches in blocks, without a row per pair: a block tells only which
+members are connected by allowed pairs of different components. Members that are
+connected form a cluster, meet once more in blocks that hold their texts, and all
+allowed pairs of different components are compared on full sets there; a block
+tells only the links that join components. Blocks of one large component do not
+meet each other, so a large group costs as much as it has members. Every allowed
+pair of a bucket is thus either compared or already inside one component.
 
 With 40 bands of 4 samples, a pair at a similarity of 0.8 misses all buckets with
 a chance below 1e-9; the sketch bound lies six standard deviations beyond 0.8.
@@ -37,8 +43,8 @@ SHINGLE = 5
 PERCENT = 80
 SAMPLES, BANDS, ROWS, BITS, SEED = 256, 40, 4, 1024, 20
 GROUP = 64  # texts that are compared with one other in a task at a time
-BLOCK = 8192  # members of a bucket that are compared with one another in a task at a time
-PARTNERS = 8  # proposals per member and bucket in the first round of all pairs; four times as many in each next
+BLOCK = 8192  # members of a bucket whose sketches are compared with one another in a task at a time
+TEXT_BLOCK, TEXT_BLOCK_SHINGLES = 512, 500_000  # the same for full sets: members and their shingles in all
 
 
 def _describe(size: int, samples: int, bands: int, rows: int, bits: int, seed: int):
@@ -102,8 +108,15 @@ def _compare(size: int):
     return run
 
 
-def confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """``a, b, linked`` for distinct pairs of nodes, from the full sets of both.
+def _texts_of(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node, text``, by the ``id`` and ``text_key`` of ``nodes``; rows that repeat both count once."""
+    same = F.col("t.id").eqNullSafe(F.col("p.id")) & (F.col("t.text_key") == F.col("p.text_key"))
+    found = texts.alias("t").join(nodes.alias("p"), same).select("p.node", "t.text")
+    return found.dropDuplicates(["node"])
+
+
+def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``a, b, linked`` for distinct pairs of nodes, from the full sets of both; ``texts`` is ``node, text``.
 
     The texts of all partners of a node meet its own in groups of ``GROUP``, so a node
     with any number of partners is spread over as many tasks as it needs.
@@ -111,15 +124,8 @@ def confirm(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, per
     counted = pairs.groupBy("a").agg(F.ceil(F.count("*") / GROUP).alias("groups"))
     partners = pairs.join(counted, "a").select("a", F.pmod(F.xxhash64("b"), F.col("groups")).alias("salt"), F.col("b").alias("node"))
     centers = counted.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)).alias("salt"), F.col("a").alias("node"))
-    places = partners.unionByName(centers).join(nodes.select("node", "id", "text_key"), "node")
-    places = store(places, "near-places")
-    same = F.col("t.id").eqNullSafe(F.col("p.id")) & (F.col("t.text_key") == F.col("p.text_key"))
-    wanted = (
-        texts.alias("t").join(places.select("id", "text_key").distinct().alias("p"), same, "left_semi")
-        .dropDuplicates(["id", "text_key"])
-    )
-    met = wanted.alias("t").join(places.alias("p"), same).select("p.a", "p.salt", "p.node", "t.text")
-    found = met.groupBy("a", "salt").applyInArrow(_compare(size), "a long, b long, shared long, total long")
+    places = store(partners.unionByName(centers), "near-places")
+    found = places.join(texts, "node").groupBy("a", "salt").applyInArrow(_compare(size), "a long, b long, shared long, total long")
     return found.select("a", "b", (F.col("shared") * 100 >= F.col("total") * percent).alias("linked"))
 
 
@@ -139,46 +145,101 @@ def _star(members: DataFrame, nodes: DataFrame, pick, words: int, cut: int, perc
     return best.select(F.least("node", "best.center").alias("a"), F.greatest("node", "best.center").alias("b")).distinct()
 
 
-def _all_pairs(cut: int, percent: int, limit: int):
-    """Of a block of a bucket: per member, the closest ``limit`` allowed members of other components.
+def _allowed(table: dict, left: np.ndarray, right: np.ndarray, cut: int, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places of pairs of different components that sizes and sketches allow, in bounded portions."""
+    comp, n, sketch = table["component"], table["n"], table["sketch"]
+    step = max(1, (1 << 20) // max(right.size, 1))
+    for at in range(0, left.size, step):
+        part = left[at:at + step]
+        ok = comp[part][:, None] != comp[right][None, :]
+        sizes = n[part][:, None], n[right][None, :]
+        ok &= np.minimum(*sizes) * 100 >= np.maximum(*sizes) * percent
+        x, y = np.nonzero(ok)
+        x, y = part[x], right[y]
+        d = np.zeros(x.size, "i4")
+        for w in range(sketch.shape[1]):
+            d += np.bitwise_count(sketch[x, w] ^ sketch[y, w])
+        yield x[d <= cut], y[d <= cut]
 
-    ``more`` tells that there were others. ``side`` 0 meets side 1; both in one block meet each other.
-    """
+
+def _columns(table: pa.Table) -> dict:
+    out = {c: table.column(c).to_numpy() for c in ("node", "component", "n", "side")}
+    out["sketch"] = np.stack(table.column("sketch").to_numpy(zero_copy_only=False)).astype("i8").view("u8")
+    return out
+
+
+def _sides(columns: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Places that meet: all with all in a block of its own, else side 0 with side 1."""
+    side = columns["side"]
+    if side.max() == 0:
+        return (np.arange(side.size),) * 2
+    return np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+
+
+class _Forest:
+    """Union-find that keeps the pairs that joined something."""
+
+    def __init__(self):
+        self.above: dict = {}
+        self.pairs: list[tuple[int, int]] = []
+
+    def root(self, x):
+        while (up := self.above.get(x, x)) != x:
+            self.above[x] = x = self.above.get(up, up)
+        return x
+
+    def join(self, x, y, pair) -> None:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.above[max(x, y)] = min(x, y)
+            self.pairs.append(pair)
+
+    def table(self) -> pa.Table:
+        a, b = zip(*self.pairs) if self.pairs else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _connect(cut: int, percent: int):
+    """A forest of the members of a block that allowed pairs connect."""
+
+    def run(table: pa.Table) -> pa.Table:
+        columns, forest = _columns(table), _Forest()
+        node = columns["node"]
+        for x, y in _allowed(columns, *_sides(columns), cut, percent):
+            for a, b in zip(node[x].tolist(), node[y].tolist()):
+                forest.join(a, b, (a, b))
+        return forest.table()
+
+    return run
+
+
+def _link(size: int, cut: int, percent: int):
+    """A forest of the components of a block of texts that links on full sets join."""
 
     def run(table: pa.Table) -> pa.Table:
-        node, comp, n, side = (table.column(c).to_numpy() for c in ("node", "component", "n", "side"))
-        sketch = np.stack(table.column("sketch").to_numpy(zero_copy_only=False)).astype("i8").view("u8")
-        whole = bool(table.column("whole")[0].as_py())
-        rows, cols = (np.arange(node.size),) * 2 if whole else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
-        out_a, out_b, out_more = [], [], []
-        step = max(1, (1 << 21) // max(cols.size, 1))
-        for at in range(0, rows.size, step):
-            part = rows[at:at + step]
-            allowed = comp[part][:, None] != comp[cols][None, :]
-            allowed &= np.minimum(n[part][:, None], n[cols][None, :]) * 100 >= np.maximum(n[part][:, None], n[cols][None, :]) * percent
-            left, right = np.nonzero(allowed)
-            if not left.size:
-                continue
-            d = np.zeros(left.size, "i4")
-            for w in range(sketch.shape[1]):
-                d += np.bitwise_count(sketch[part[left], w] ^ sketch[cols[right], w])
-            near = d <= cut
-            left, right, d = left[near], right[near], d[near]
-            order = np.lexsort((node[cols[right]], d, left))
-            left, right = left[order], right[order]
-            first = np.concatenate([[True], left[1:] != left[:-1]]) if left.size else np.zeros(0, bool)
-            begin = np.flatnonzero(first)
-            rank = np.arange(left.size) - np.repeat(begin, np.diff(np.append(begin, left.size)))
-            crowded = np.isin(left, left[rank >= limit])
-            keep = rank < limit
-            out_a.append(node[part[left[keep]]])
-            out_b.append(node[cols[right[keep]]])
-            out_more.append(crowded[keep])
-        a = np.concatenate(out_a) if out_a else np.zeros(0, "i8")
-        b = np.concatenate(out_b) if out_b else np.zeros(0, "i8")
-        more = np.concatenate(out_more) if out_more else np.zeros(0, bool)
-        return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64()),
-                         "more": pa.array(more, pa.bool_())})
+        columns, forest = _columns(table), _Forest()
+        node, comp = columns["node"], columns["component"]
+        texts, sets = table.column("text").to_pylist(), {}
+        for x, y in _allowed(columns, *_sides(columns), cut, percent):
+            for a in np.unique(x).tolist():
+                # each pair of a block of its own comes twice; once is enough
+                others = [b for b in y[x == a].tolist() if (node[b] > node[a] or columns["side"].max() > 0)
+                          and forest.root(("c", int(comp[a]))) != forest.root(("c", int(comp[b])))]
+                for b in others:
+                    for k in (a, b):
+                        if k not in sets:
+                            sets[k] = shingles(texts[k], size)
+                if not others:
+                    continue
+                ends = np.cumsum([sets[b].size for b in others])
+                values = np.concatenate([sets[b] for b in others])
+                place = np.minimum(np.searchsorted(sets[a], values), sets[a].size - 1)
+                found = np.concatenate([[0], np.cumsum(sets[a][place] == values)])
+                shared = found[ends] - found[np.concatenate([[0], ends[:-1]])]
+                for b, k in zip(others, shared.tolist()):
+                    if k * 100 >= (sets[a].size + sets[b].size - k) * percent:
+                        forest.join(("c", int(comp[a])), ("c", int(comp[b])), (int(node[a]), int(node[b])))
+        return forest.table()
 
     return run
 
@@ -194,11 +255,36 @@ def _blocked(members: DataFrame, nodes: DataFrame, block: int) -> DataFrame:
     others = F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
     spread = dealt.withColumn("other", F.explode(others)).select(
         "key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"), (F.col("own") == F.col("other")).alias("whole"),
+        (F.col("own") > F.col("other")).cast("int").alias("side"),
     )
     return spread.join(nodes.select("node", "n", "sketch"), "node")
 
 
+def _text_blocks(active: DataFrame) -> DataFrame:
+    """Members of clusters (``node, cluster, component, n``), dealt to pairs of blocks of texts.
+
+    A component with many active members has blocks of its own; the rest of a cluster
+    shares blocks. Two blocks of one component have nothing to compare.
+    """
+    size = lambda: F.greatest(
+        F.ceil(F.count("*") / TEXT_BLOCK), F.ceil(F.sum("n") / TEXT_BLOCK_SHINGLES)
+    ).alias("blocks")
+    per_comp = active.groupBy("cluster", "component").agg((F.count("*") >= TEXT_BLOCK / 8).alias("large"))
+    owned = active.join(per_comp, ["cluster", "component"]).withColumn("owner", F.when(F.col("large"), F.col("component")).otherwise(-1))
+    sizes = store(owned.groupBy("cluster", "owner").agg(size()), "near-blocks")
+    blocks = sizes.select("cluster", "owner", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    place = F.struct("owner", "block")
+    left = blocks.select("cluster", place.alias("i"))
+    right = blocks.select("cluster", place.alias("j"))
+    met = left.join(right, "cluster").where("i <= j AND (i.owner = -1 OR i.owner <> j.owner)")
+    sides = met.select("cluster", "i", "j", F.col("i").alias("own"), F.lit(0).alias("side")).unionByName(
+        met.where("i <> j").select("cluster", "i", "j", F.col("j").alias("own"), F.lit(1).alias("side"))
+    )
+    dealt = owned.join(sizes, ["cluster", "owner"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")))
+    dealt = dealt.select("cluster", F.struct("owner", "block").alias("own"), "node", "component", "n")
+    return dealt.join(sides, ["cluster", "own"]).select("cluster", "i", "j", "side", "node", "component", "n")
+
+
 def _classes(
     docs: DataFrame, id_col: str, text_col: str, shingle: int, percent: int, samples: int, bands: int, rows: int,
     bits: int, seed: int,
@@ -224,8 +310,11 @@ def _classes(
     members = store(met.join(shared, "key"), "near-members")
     nodes_only = nodes.drop("keys", "digest")
 
+    # the only other pass over the texts: of nodes that share a bucket with another one
+    sharing = members.select("node").distinct().join(nodes.select("node", "id", "text_key"), "node")
+    held = store(_texts_of(texts, sharing), "near-texts")
+
     links: list[DataFrame] = []
-    tested: list[DataFrame] = []
     merged: DataFrame | None = None
 
     def labelled() -> DataFrame:
@@ -234,31 +323,25 @@ def _classes(
         own = members.join(merged, "node", "left")
         return own.withColumn("component", F.coalesce("component", "node"))
 
-    def test(pairs: DataFrame) -> int:
-        nonlocal merged
-        for done in tested:
-            pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = store(pairs, "near-pairs")
-        fresh = pairs.count()
-        if fresh:
-            tested.append(store(confirm(pairs, nodes_only, texts, shingle, percent), "near-tested"))
-            links.append(tested[-1].where("linked").select("a", "b"))
-            merged = store(components(functools.reduce(DataFrame.unionByName, links)), "near-merged")
-        return fresh
-
-    for pick in (F.min, F.max):
-        open_members = labelled()
-        mixed = open_members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        test(_star(members.join(mixed.select("key"), "key", "left_semi"), nodes_only, pick, words, cut, percent))
-    limit = PARTNERS
-    while True:
-        blocks = _blocked(labelled(), nodes_only, BLOCK)
-        proposed = blocks.groupBy("key", "i", "j").applyInArrow(_all_pairs(cut, percent, limit), "a long, b long, more boolean")
-        proposed = store(proposed.groupBy("a", "b").agg(F.max("more").alias("more")), "near-proposed")
-        crowded = not proposed.where("more").isEmpty()
-        if not test(proposed.select("a", "b")) and not crowded:
-            break
-        limit *= 4
+    stars = [_star(members, nodes_only, pick, words, cut, percent) for pick in (F.min, F.max)]
+    pairs = store(stars[0].unionByName(stars[1]).distinct(), "near-pairs")
+    if not pairs.isEmpty():
+        found = store(confirm(pairs, held, shingle, percent), "near-tested")
+        links.append(found.where("linked").select("a", "b"))
+        merged = store(components(links[0]), "near-merged")
+
+    blocks = _blocked(labelled(), nodes_only, BLOCK)
+    joined = blocks.groupBy("key", "i", "j").applyInArrow(_connect(cut, percent), "a long, b long")
+    joined = store(joined.distinct(), "near-connected")
+    if not joined.isEmpty():
+        active = components(joined, "near-clusters").withColumnRenamed("component", "cluster")
+        own = active.join(merged, "node", "left") if merged is not None else active.withColumn("component", F.lit(None).cast("long"))
+        own = own.withColumn("component", F.coalesce("component", "node")).join(nodes_only.select("node", "n"), "node")
+        dealt = _text_blocks(store(own, "near-active")).drop("n")
+        dealt = store(dealt.join(nodes_only.select("node", "n", "sketch"), "node"), "near-dealt")
+        found = dealt.join(held, "node").groupBy("cluster", "i", "j").applyInArrow(_link(shingle, cut, percent), "a long, b long")
+        links.append(store(found, "near-linked"))
+        merged = store(components(functools.reduce(DataFrame.unionByName, links)), "near-merged")
 
     if merged is None:
         merged = docs.sparkSession.createDataFrame([], "node long, component long")

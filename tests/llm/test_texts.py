@@ -174,10 +174,10 @@ def _chained(seed, groups, copies):
     return [(int(k) * 3, texts[k]) for k in order]
 
 
-@pytest.mark.parametrize("seed,block,partners,group", [(1, 8192, 8, 64), (2, 4, 1, 2)])
-def test_near_duplicates(spark, monkeypatch, seed, block, partners, group):
+@pytest.mark.parametrize("seed,block,text_block,group", [(1, 8192, 512, 64), (2, 4, 3, 2), (3, 5, 16, 2)])
+def test_near_duplicates(spark, monkeypatch, seed, block, text_block, group):
     monkeypatch.setattr(near_dup, "BLOCK", block)
-    monkeypatch.setattr(near_dup, "PARTNERS", partners)
+    monkeypatch.setattr(near_dup, "TEXT_BLOCK", text_block)
     monkeypatch.setattr(near_dup, "GROUP", group)
     rows = _chained(seed, 14, 9)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
