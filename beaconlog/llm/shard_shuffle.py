@@ -25,6 +25,8 @@ from pyspark.sql import types as T
 from .common import running_base, store
 
 BUCKET_BYTES = 32 << 20
+# beyond, buckets grow instead: the manifest stays below 16 MB, and 100 TB make buckets of 100 MB
+MAX_BUCKETS = 1_000_000
 ROW_OVERHEAD = 64
 
 
@@ -56,7 +58,7 @@ def external_shuffle(
         raise ValueError(f"reserved column names: {clash}")
     text = F.coalesce(F.col(text_col), F.lit(""))
     total = docs.agg(F.sum(F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("long")).first()[0] or 0
-    buckets = max(1, -(-total // bucket_bytes))
+    buckets = min(max(1, -(-total // bucket_bytes)), MAX_BUCKETS)
     placed = docs.withColumn("_place", F.monotonically_increasing_id())
     placed = placed.withColumn("_hash", F.xxhash64(F.lit(seed), F.col(id_col), text, F.col("_place")))
     placed = placed.withColumn("_bucket", F.pmod("_hash", F.lit(buckets)).cast("int"))
@@ -65,7 +67,8 @@ def external_shuffle(
     stored = store(shuffled, "shuffled-buckets")
     sizes = stored.groupBy("_bucket").agg(F.count("*").alias("_n"))
     base = running_base(sizes, "_bucket", "_n", "_base").select("_bucket", "_base")
-    return stored.join(base, "_bucket").withColumn("_position", F.col("_base") + F.col("_index")).drop("_base")
+    # at most MAX_BUCKETS rows of two numbers: the texts need not move again
+    return stored.join(F.broadcast(base), "_bucket").withColumn("_position", F.col("_base") + F.col("_index")).drop("_base")
 
 
 def shards(shuffled: DataFrame, count: int) -> DataFrame:
