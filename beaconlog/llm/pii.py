@@ -9,6 +9,12 @@ in all documents and however they are punctuated, different values different
 ones, and the holder of the key can undo them. (A date is day before month unless
 only the other reading is a date, so undoing month-first dates needs to know that.)
 
+Where a value ends is not always where its run of groups ends: a year, a security
+code or another value may follow. Ends are tried at the borders between groups, the
+length that the country prescribes first, then the longest; none may cut through an
+address, date or number that passes its own check. If no end passes, the search goes
+on right behind the start. (``restore`` undoes by the spans and does not search again.)
+
 Each row is changed on its own: there is no shuffle and no shared table, whatever
 the frequency of a value. What fails its check is left alone.
 """
@@ -45,6 +51,13 @@ NUMBERS = re.compile(
 )
 TELLTALE = re.compile("[0-9]", re.ASCII)
 
+# digits behind the country code where the numbering plan is closed; codes of three digits are not kept by phone()
+NATIONAL = {
+    "1": [10], "7": [10], "27": [9], "30": [10], "31": [9], "32": [9, 8], "33": [9], "34": [9], "36": [9, 8], "40": [9],
+    "41": [9], "44": [10], "45": [8], "47": [8], "48": [9], "52": [10], "54": [10], "55": [11, 10], "57": [10],
+    "61": [9], "65": [8], "81": [10, 9], "86": [11, 10], "90": [10], "91": [10],
+}
+
 
 # ── the permutation ─────────────────────────────────────────────────────────
 
@@ -184,6 +197,59 @@ FORMATS: dict[str, Callable[..., str | None]] = {
 }
 
 
+# ── where a value ends ──────────────────────────────────────────────────────
+
+def _ends(text: str, start: int, end: int, kind: str, part: bool) -> tuple[list[int], list[int]]:
+    """The places where its country lets the value end, and the others, longest first.
+
+    ``part``: the value begins inside a run that failed.
+    """
+    if kind != "phone" or text[start] == "(":
+        return [], [end]
+    borders = [k for k in range(end - 1, start, -1) if text[k] in " .-" and text[k - 1].isalnum() and text[k + 1].isalnum()]
+    ends = [end, *borders]
+    code = next((c for c in (text[start + 1], text[start + 1:start + 3]) if c in NATIONAL), "")
+    due = [len(code) + n + text.count("(0)", start, end) for n in NATIONAL.get(code, [])]
+    size = lambda k: len(_digits(text[start:k]))
+    return [k for n in due for k in ends if size(k) == n], [k for k in ends if size(k) not in due]
+
+
+def _plain(text: str, at: int, key: bytes, cards: bool) -> int | None:
+    """The end of the value with a check of its own that begins here, not a phone or an IBAN."""
+    m = NUMBERS.match(text, at)
+    if m is None or m.lastgroup not in ("ssn", "date", "ip", "card")[:3 + cards]:
+        return None
+    return next((e for e in _ends(text, at, m.end(), m.lastgroup, True)[1] if _made(text, at, e, m.lastgroup, key)), None)
+
+
+def _made(text: str, start: int, end: int, kind: str, key: bytes, back: bool = False) -> str | None:
+    found = text[start:end]
+    if kind == "card" and not 13 <= len(_digits(found)) <= 19:
+        return None
+    return FORMATS[kind](found, key, back)
+
+
+def _value(text: str, m: re.Match, limit: int, key: bytes, back: bool, part: bool) -> tuple[int, str] | None:
+    """The end, at most ``limit``, and the pseudonym of the value that begins where ``m`` does."""
+    start, kind = m.start(), m.lastgroup
+    due, free = _ends(text, start, m.end(), kind, part)
+    made = {e: _made(text, start, e, kind, key, back) for e in due + free if e <= limit}
+    due, free = ([e for e in ends if made.get(e) is not None] for ends in (due, free))
+    if (due or free) and kind in ("iban", "phone", "card"):
+        # other values that begin inside the run and may not be cut
+        starts = [k for k in range(start + 1, m.end()) if text[k - 1] == " " and text[k].isdigit()]
+        others = {k: stop for k in starts if (stop := _plain(text, k, key, False)) is not None}
+        if kind == "phone":
+            # one in ten digit strings passes for a card: only the one that reaches furthest, where the phone can have ended
+            cards = {k: stop for k in starts if k - 1 in (due or free) and (stop := _plain(text, k, key, True)) is not None}
+            if cards:
+                best = max(cards, key=lambda k: (cards[k], k))
+                others[best] = cards[best]
+        due, free = ([e for e in ends if not any(k < e < stop for k, stop in others.items())] for ends in (due, free))
+        free.sort(key=lambda e: e + 1 not in others)  # stable: longest first among those before another value
+    return next(((e, made[e]) for e in due + free), None)
+
+
 def pseudonymize(text: str, key: bytes, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and ``(kind, start, end)`` of each in the new text."""
     found: list[tuple[int, int, str, str]] = []
@@ -194,13 +260,34 @@ def pseudonymize(text: str, key: bytes, back: bool = False) -> tuple[str, list[t
                 found.append((m.start(1), m.end(1), "email", local))
     if TELLTALE.search(text):
         taken = [(m.start(), m.end()) for m in EMAIL.finditer(text)] if found else []
-        for m in NUMBERS.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b in taken):
+        at = failed = mail = 0
+        while m := NUMBERS.search(text, at):
+            while mail < len(taken) and taken[mail][1] <= m.start():
+                mail += 1
+            limit, behind = taken[mail] if mail < len(taken) else (len(text), 0)
+            if limit <= m.start():
+                at = behind
                 continue
-            made = FORMATS[m.lastgroup](m[0], key, back)
-            if made is not None:
-                found.append((m.start(), m.end(), m.lastgroup, made))
+            value = _value(text, m, limit, key, back, m.start() < failed)
+            if value is None:
+                at, failed = m.start() + 1, max(failed, m.end())
+            else:
+                found.append((m.start(), value[0], m.lastgroup, value[1]))
+                at = value[0]
         found.sort()
+    return _replace(text, found)
+
+
+def restore(text: str, spans: list[tuple[str, int, int]], key: bytes) -> str:
+    """The text as it was before ``pseudonymize``, which gave ``text`` and ``spans``."""
+    made = [
+        (a, b, kind, permute_text(text[a:b], key, kind, True) if kind == "email" else FORMATS[kind](text[a:b], key, True))
+        for kind, a, b in spans
+    ]
+    return _replace(text, made)[0]
+
+
+def _replace(text: str, found: list[tuple[int, int, str, str]]) -> tuple[str, list[tuple[str, int, int]]]:
     out, spans, at, size = [], [], 0, 0
     for start, end, kind, made in found:
         out += [text[at:start], made]
