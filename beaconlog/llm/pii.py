@@ -13,7 +13,9 @@ Where a value ends is not always where its run of groups ends: a year, a securit
 code or another value may follow. Ends are tried at the borders between groups, the
 length that the country prescribes first, then the longest; none may cut through an
 address, date or number that passes its own check. If no end passes, the search goes
-on right behind the start. (``restore`` undoes by the spans and does not search again.)
+on right behind the start. (A foreign number behind a card that passes the check
+together with it, one in ten, counts as part of it, before or after the change:
+``restore`` undoes by the spans and does not depend on that.)
 
 Each row is changed on its own: there is no shuffle and no shared table, whatever
 the frequency of a value. What fails its check is left alone.
@@ -57,6 +59,21 @@ NATIONAL = {
     "41": [9], "44": [10], "45": [8], "47": [8], "48": [9], "52": [10], "54": [10], "55": [11, 10], "57": [10],
     "61": [9], "65": [8], "81": [10, 9], "86": [11, 10], "90": [10], "91": [10],
 }
+IBAN_CHARS = {
+    code: int(n)
+    for n, codes in (
+        line.split(":")
+        for line in (
+            "15:NO", "16:BE", "18:DK FO FI GL NL SD", "19:MK SI", "20:AT BA EE KZ LT LU MN XK", "21:CH HR LI LV",
+            "22:BG BH CR DE GB GE IE ME RS VA", "23:AE GI IL IQ OM SO TL", "24:AD CZ ES MD PK RO SA SE SK TN VG",
+            "25:LY PT ST", "26:IS TR", "27:BI DJ FR GR IT MC MR SM", "28:AL AZ BY CY DO GT HU LB NI PL SV",
+            "29:BR EG PS QA UA", "30:JO KW MU", "31:MT SC", "32:LC", "33:RU",
+        )
+    )
+    for code in codes.split()
+}
+# a card that is only part of its run of digits has groups of so many at least: lists of short numbers are no cards
+PART_DIGITS = 3
 
 
 # ── the permutation ─────────────────────────────────────────────────────────
@@ -204,13 +221,21 @@ def _ends(text: str, start: int, end: int, kind: str, part: bool) -> tuple[list[
 
     ``part``: the value begins inside a run that failed.
     """
-    if kind != "phone" or text[start] == "(":
+    if kind not in ("iban", "phone", "card") or text[start] == "(":
         return [], [end]
     borders = [k for k in range(end - 1, start, -1) if text[k] in " .-" and text[k - 1].isalnum() and text[k + 1].isalnum()]
+    if kind == "card":
+        groups = [len(g) for g in re.split("[ -]", text[start:end])]
+        ends = [] if part and min(groups) < PART_DIGITS else [end]
+        return [], ends + [k for k in borders if min(map(len, re.split("[ -]", text[start:k]))) >= PART_DIGITS]
     ends = [end, *borders]
-    code = next((c for c in (text[start + 1], text[start + 1:start + 3]) if c in NATIONAL), "")
-    due = [len(code) + n + text.count("(0)", start, end) for n in NATIONAL.get(code, [])]
-    size = lambda k: len(_digits(text[start:k]))
+    if kind == "iban":
+        due = [IBAN_CHARS.get(text[start:start + 2])]
+        size = lambda k: k - start - text.count(" ", start, k)
+    else:
+        code = next((c for c in (text[start + 1], text[start + 1:start + 3]) if c in NATIONAL), "")
+        due = [len(code) + n + text.count("(0)", start, end) for n in NATIONAL.get(code, [])]
+        size = lambda k: len(_digits(text[start:k]))
     return [k for n in due for k in ends if size(k) == n], [k for k in ends if size(k) not in due]
 
 
@@ -239,6 +264,11 @@ def _value(text: str, m: re.Match, limit: int, key: bytes, back: bool, part: boo
         # other values that begin inside the run and may not be cut
         starts = [k for k in range(start + 1, m.end()) if text[k - 1] == " " and text[k].isdigit()]
         others = {k: stop for k in starts if (stop := _plain(text, k, key, False)) is not None}
+        if kind == "iban" and not due:
+            # no length but its country's goes over the start of an IBAN
+            inner = (n for n in NUMBERS.finditer(text[:m.end()], start + 1) if n.lastgroup == "iban")
+            before = [n.start() for n in inner if any(_made(text, n.start(), e, "iban", key) for e in _ends(text, n.start(), n.end(), "iban", True)[0])]
+            free = [e for e in free if not before or e < before[0]]
         if kind == "phone":
             # one in ten digit strings passes for a card: only the one that reaches furthest, where the phone can have ended
             cards = {k: stop for k in starts if k - 1 in (due or free) and (stop := _plain(text, k, key, True)) is not None}

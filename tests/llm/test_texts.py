@@ -96,14 +96,16 @@ def _planted(text, *values):
     assert pii.restore(new, spans, KEY) == text
 
 
-@pytest.mark.parametrize("left", [p for p in PLANTED if p[0] == "phone"])
+@pytest.mark.parametrize("left", PLANTED)
 def test_adjacent_values(left):
     for right in PLANTED:
         _planted(f"x {left[1]} {right[1]} y", left, right)
 
 
 @pytest.mark.parametrize("kind, value, behind", [
-    ("phone", "+1 652 555 4544", "2021"), ("phone", "+33 1 23 45 67 89", "12"),
+    ("phone", "+1 652 555 4544", "2021"), ("phone", "+33 1 23 45 67 89", "12"), ("card", "4111 1111 1111 1111", "123"),
+    ("card", "4111111111111111", "12"), ("card", "378282246310005", "2021"), ("iban", "BE68 5390 0754 7034", "2021"),
+    ("iban", "BE68 5390 0754 7034", "EURO"), ("iban", "NO93 8601 1117 947", "PAID"), ("card", "4111 1111 1111 1111", "7@example.org"),
 ])
 def test_what_follows_a_value_stays(kind, value, behind):
     new, spans = pii.pseudonymize(f"x {value} {behind}", KEY)
@@ -113,6 +115,9 @@ def test_what_follows_a_value_stays(kind, value, behind):
 
 def test_what_precedes_a_value_stays():
     _planted("no 12 4111 1111 1111 1111", ("card", "4111 1111 1111 1111"))
+    _planted("AB12 3456 7890 BE68 5390 0754 7034", ("iban", "BE68 5390 0754 7034"))
+    numbers = " ".join(map(str, range(1, 60)))
+    assert pii.pseudonymize(numbers, KEY) == (numbers, [])
 
 
 def test_pseudonymize_documents(spark, sf_dir, odd_docs, no_docs):
