@@ -6,13 +6,14 @@ can only occur in a document that has all of them, so it is enough to look for
 one, the necessary prefix of a containment join: the rarest, by the number of
 times that each benchmark shingle occurs in the whole corpus.
 
-The corpus is read once. Its shingles are produced inside generated code and meet
-the benchmark's in a hash join, verified word by word; only meetings leave the
-scan, as narrow rows, next to one row per document. The shingles' frequencies are
-counted from the meetings, which orders them by rarity. Each meeting with a
-window's rarest shingle fixes where the window would have to start (positional
-bound) and whether it can end inside the document (length bound). What remains is
-verified exactly: every shingle of the window at its place.
+The corpus is read twice. Its shingles are produced inside generated code and meet
+the benchmark's in a hash join, verified word by word. The first reading only
+counts how often each benchmark shingle occurs, on the map side, and stores one row
+per shingle. The second one joins the rarest shingle of each window and nothing
+else; only these meetings leave the scan, as narrow rows with the words around
+them, next to one row per document. A meeting fixes where the window would have to
+start (positional bound) and whether it can end inside the document (length
+bound). What remains is verified exactly, against all words of the window.
 
 The benchmark is the side that does not grow with the corpus. It is joined in
 blocks of at most ``block_shingles`` shingles, so a broadcast never exceeds what
@@ -72,6 +73,12 @@ def _shingles(rows: DataFrame, sizes: list[int], *keep: str) -> DataFrame:
     return at.select(*keep, "w", "at", F.explode(each).alias("e")).select(*keep, "w", "at", "e.n", "e.shingle")
 
 
+def _blocks(shingles: DataFrame, most: int) -> list[DataFrame]:
+    """The table in blocks of about ``most`` rows, one block at least."""
+    blocks = max(1, -(-shingles.count() // most))
+    return [shingles.where(F.pmod(F.xxhash64("shingle"), F.lit(blocks)) == k) for k in range(blocks)]
+
+
 HITS = "id long, key string, start int, size int, window_id string"
 
 
@@ -107,52 +114,48 @@ def occurrences(
     words = F.slice("w", F.col("at") + 1, F.col("n"))
     every = store(cut.select("window_id", "size", "n", "at", "shingle", words.alias("words")), "bench-shingles")
     wanted = store(every.select("shingle", "n", "words").distinct(), "bench-wanted")
-    blocks = -(-wanted.count() // block_shingles)
+
+    scanned = _shingles(read, sizes, "id", "key")
+    agree = F.slice("w", F.col("at") + 1, F.col("n")) == F.col("words")
+    counts = [
+        scanned.join(F.broadcast(side), ["shingle", "n"]).where(agree).groupBy("n", "shingle").agg(F.count("*").alias("times"))
+        for side in _blocks(wanted, block_shingles)
+    ]
+    frequency = store(functools.reduce(DataFrame.unionByName, counts), "bench-frequency")
+    # a shingle that no document has rules its windows out
+    rank = F.struct(F.coalesce("times", F.lit(0)).alias("times"), F.col("at"), F.col("shingle"))
+    rarest = every.join(frequency, ["n", "shingle"], "left").groupBy("window_id", "size", "n").agg(F.min(rank).alias("r"))
+    prefix = rarest.where(F.col("r.times") > 0).select(
+        "window_id", "size", "n", F.col("r.shingle").alias("shingle"), F.col("r.at").alias("before")
+    )
+    prefix = store(prefix.join(windows.select("window_id", F.col("w").alias("all")), "window_id"), "bench-prefix")
+    rare = store(wanted.join(prefix.select("shingle", "n"), ["shingle", "n"], "left_semi"), "bench-rare")
 
     # one row for every meeting, and from the first pass one for the first word of every document
-    passes, scanned = [], _shingles(read, sizes, "id", "key")
+    passes = []
     first = F.coalesce(F.col("at"), F.lit(0)) == 0
-    for k in range(blocks):
-        side = wanted.where(F.pmod(F.xxhash64("shingle"), F.lit(blocks)) == k)
+    left = F.greatest(F.col("at") - (window - 1), F.lit(0))
+    for k, side in enumerate(_blocks(rare, block_shingles)):
         met = scanned.join(F.broadcast(side), ["shingle", "n"], "left" if k == 0 else "inner")
-        agree = F.slice("w", F.col("at") + 1, F.col("n")) == F.col("words")
         met = met.withColumn("hit", F.coalesce(F.when(F.col("words").isNotNull(), agree), F.lit(False)))
         opens = (first & (F.col("n") == sizes[0])) if k == 0 else F.lit(False)
+        around = F.when(F.col("hit"), F.slice("w", left + 1, F.lit(2 * window - 1)))
         passes.append(
-            met.where(F.col("hit") | opens)
-            .select("id", "key", F.size("w").alias("n_words"), "at", "n", "shingle", "hit", opens.alias("opens"))
+            met.where(F.col("hit") | opens).select(
+                "id", "key", F.size("w").alias("n_words"), "at", "n", "shingle", left.alias("left"), around.alias("around"),
+                "hit", opens.alias("opens"),
+            )
         )
     met = store(functools.reduce(DataFrame.unionByName, passes), "bench-meetings")
     # two shingles with one hash would open a document twice; equal rows open it once each
     rows = met.where("opens").select("id", "key", "n_words")
-    met = store(met.where("hit").drop("opens", "hit").distinct(), "bench-met")
-
-    frequency = met.groupBy("n", "shingle").agg(F.count("*").alias("times"))
-    # a shingle that no document has rules its windows out
-    rank = F.struct(F.coalesce("times", F.lit(0)).alias("times"), F.col("at"), F.col("shingle"))
-    rarest = every.join(frequency, ["n", "shingle"], "left").groupBy("window_id", "size", "n").agg(F.min(rank).alias("r"))
-    prefix = rarest.where(F.col("r.times") > 0).select(
-        "window_id", "size", "n", F.col("r.shingle").alias("shingle"), F.col("r.at").alias("before")
-    )
-    prefix = store(prefix, "bench-prefix")
-    candidates = (
-        met.join(prefix, ["n", "shingle"])
-        .withColumn("start", F.col("at") - F.col("before"))
-        .where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n_words")))
-        .select("id", "key", "start", "size", "window_id")
-    )
-    needed = candidates.join(every.select("window_id", "n", F.col("at").alias("offset"), "shingle"), "window_id")
-    needed = needed.withColumn("at", F.col("start") + F.col("offset")).alias("a")
-    there = met.alias("b")
-    same = (
-        F.col("a.id").eqNullSafe(F.col("b.id")) & (F.col("a.key") == F.col("b.key"))
-        & (F.col("a.at") == F.col("b.at")) & (F.col("a.n") == F.col("b.n")) & (F.col("a.shingle") == F.col("b.shingle"))
-    )
+    start = F.col("at") - F.col("before")
     verified = (
-        needed.join(there, same, "left_semi")
-        .groupBy("id", "key", "start", "size", "window_id", "n").agg(F.count("*").alias("found"))
-        .where(F.col("found") == F.col("size") - F.col("n") + 1)
-        .select("id", "key", "start", "size", "window_id")
+        met.where("hit").join(prefix, ["n", "shingle"])
+        .withColumn("start", start)
+        .where((F.col("start") >= 0) & (F.col("start") + F.col("size") <= F.col("n_words")))
+        .where(F.slice("around", F.greatest(F.col("start") - F.col("left"), F.lit(0)) + 1, F.col("size")) == F.col("all"))
+        .select("id", "key", "start", "size", "window_id").distinct()
     )
     return verified, rows, owners
 

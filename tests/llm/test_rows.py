@@ -144,3 +144,15 @@ def test_decontaminate(spark, odd_docs, no_docs, blocks):
     assert clean.columns == odd_docs.columns and clean.count() == sum(not w[-1] for w in want)
     assert decontaminate.decontaminate(no_docs, bench).count() == 0
     assert not decontaminate.decontaminate(odd_docs, bench.limit(0)).where("contaminated").count()
+
+
+def test_only_the_rarest_shingle_is_joined(spark, monkeypatch):
+    common, rare = "a b c d e f g", "a b c d e f g x y z"
+    docs = spark.createDataFrame([(k, common) for k in range(50)] + [(50, f"o {rare} o"), (51, "a b c d e x y z")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, rare)], "item_id long, text string")
+    stored, store = {}, decontaminate.store
+    monkeypatch.setattr(decontaminate, "store", lambda df, label: stored.setdefault(label, store(df, label)))
+    got = decontaminate.decontaminate(docs, bench).where("contaminated").collect()
+    assert [(r.doc_id, r.n_hit, r.items) for r in got] == [(50, 10, ["1"])]
+    # a row for each document and one for the window's rarest shingle, none for the three common ones
+    assert stored["bench-meetings"].where("hit").count() == 1 and stored["bench-meetings"].count() == 53
