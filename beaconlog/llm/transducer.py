@@ -16,8 +16,10 @@ transitions' counts. A count can be negative: ``th`` may be two tokens where
 A space or an unknown character ends what can merge. After it every state is the
 same state, so a chunk of text acts on the incoming state only up to its first
 such place: its map is (the characters before it, the tokens from there on, the
-state at its end). Two maps compose into one, and composition is associative, so
-chunks of a long text are read independently and combined by a scan.
+state at its end). Two maps compose into one, and composition is associative.
+Maps are texts, not tables of states: composing joins the tail and the head and
+reads that word from the start, so a text without spaces is read in one go, and
+all chunks of a text are read and folded by one task.
 """
 
 from __future__ import annotations
