@@ -1,7 +1,9 @@
-"""Exact de-duplication by a tree-merge of sorted digest runs (DataFrame functions only).
+"""Exact de-duplication by aggregations over a tree of digest runs (DataFrame functions only).
 
 Every input partition becomes a run: its rows reduced to a digest, a byte length
-and an identifier, sorted by digest and stored. Runs are then merged in rounds.
+and an identifier, sorted by digest and stored. Runs are then combined in rounds, each a
+two-phase aggregation; the exchange is by digest and run and makes no use of the
+order, since a merge of sorted rows would end in one task that reads all of them.
 In round r the runs whose numbers agree without their lowest ``r * bits`` bits
 meet, ``2 ** bits`` at a time, and of equal digests the best identifier and the
 number of rows survive. Equality is verified at every level by the full SHA-256
