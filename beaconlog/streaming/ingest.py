@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ts_lit
 from ..functions import iff
 from ..schemas import LOAD_HISTORY_COLUMNS, ddl, names
+from ..session import materialize
 from ..sources.json_logs import parse_lines, read_log_files, stream_log_files
 from ..sources.tables import read_load_history, read_raw_batch, read_table, write_raw_logs
 
@@ -27,13 +28,16 @@ def load_record(parsed: DataFrame, skip_bad_files: bool = False) -> DataFrame:
     """One row per file: what was read, what failed, when.
 
     ``parsed`` holds the lines in the order of their files, a split of a file in one
-    task; the first bad line is the one with the least split and place in it.
+    task, or their numbers as ``_line``; the first bad line is the one with the least
+    split and place in it.
     """
     bad = F.col("is_bad")
     message = F.concat(F.lit("Error parsing JSON: "), F.substring("value", 1, MESSAGE_CHARS))
     block = F.col("file_block") if "file_block" in parsed.columns else F.lit(0)
     first = F.min_by(message, F.when(bad, F.struct(block, "_line")))
-    per_file = parsed.withColumn("_line", F.monotonically_increasing_id()).groupBy("file_name").agg(
+    if "_line" not in parsed.columns:
+        parsed = parsed.withColumn("_line", F.monotonically_increasing_id())
+    per_file = parsed.groupBy("file_name").agg(
         F.current_timestamp().alias("last_load_time"),
         F.count("*").alias("_lines"),
         F.count_if(bad).alias("error_count"),
@@ -121,23 +125,24 @@ def ingest_available(spark: SparkSession, source: str, raw_path: str, history_pa
 
 def refresh_files(spark: SparkSession, source: str, raw_path: str, history_path: str,
                   run_id: int, **options) -> int:
-    """Batch rescan: load files of the prefix that have no load record yet.
+    """Batch rescan: load files of the prefix that have no load record yet; how many.
 
-    ``run_id`` names the batch; use numbers no stream batch uses (negative).
+    ``run_id`` names the batch; use numbers no stream batch uses (negative). The
+    names of the files stay in a join and are never collected.
     """
-    listed = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
-        .filter(F.col("length") > 0)
-        .select(F.col("path").alias("file_name"))
-    )
-    known = read_load_history(spark, history_path).select("file_name").distinct()
-    same = F.regexp_replace(listed["file_name"], "^file:/+", "/") == F.regexp_replace(
-        known["file_name"], "^file:/+", "/"
-    )
-    paths = [r.file_name for r in listed.join(known, same, "left_anti").collect()]
-    if paths:
-        load_batch(parse_lines(read_log_files(spark, paths)), raw_path, history_path, run_id, **options)
-    return len(paths)
+    # stored, since the records of this batch are written while they are read
+    known = materialize(read_load_history(spark, history_path).select(_plain_path("file_name").alias("_known")).distinct(), "known")
+    # numbered before the join, which does not keep the order of lines
+    lines = read_log_files(spark, source).withColumn("_line", F.monotonically_increasing_id())
+    new = lines.join(known, _plain_path("file_name") == F.col("_known"), "left_anti")
+    if new.isEmpty():
+        return 0
+    load_batch(parse_lines(new), raw_path, history_path, run_id, **options)
+    return read_table(spark, f"{history_path}/batch_id={run_id}", ddl(LOAD_HISTORY_COLUMNS)).count()
+
+
+def _plain_path(name: str) -> Column:
+    return F.regexp_replace(name, "^file:/+", "/")
 
 
 def recent_load_errors(

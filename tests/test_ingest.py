@@ -153,6 +153,23 @@ def test_rescan_loads_only_unknown_files(spark, place):
     assert tables.read_raw_logs(spark, f"{base}/raw").count() == 1
 
 
+def test_rescan_reads_the_prefix(spark, place, monkeypatch):
+    folder, base = place
+    asked, read = [], ingest.read_log_files
+    monkeypatch.setattr(ingest, "read_log_files", lambda spark, path: asked.append(path) or read(spark, path))
+    args = (spark, str(folder), f"{base}/raw", f"{base}/history")
+    (folder / "a b.jsonl").write_text(line() + "\nfirst bad\n" + "second bad\n" * 50)
+    assert ingest.refresh_files(*args, run_id=-1) == 1
+    (folder / "c.jsonl").write_text(line(insertId="i2") + "\n")
+    assert ingest.refresh_files(*args, run_id=-2) == 1
+    # nothing is new: what the batch holds stays
+    assert ingest.refresh_files(*args, run_id=-2) == 0
+    assert sorted(r.insert_id for r in tables.read_raw_logs(spark, f"{base}/raw").collect()) == ["i1", "i2"]
+    history = {r.row_count: r for r in tables.read_load_history(spark, f"{base}/history").collect() if r.error_count}
+    assert history[1].error_count == 51 and history[1].first_error_message.endswith("first bad")
+    assert asked == [str(folder)] * 3
+
+
 def test_dedup_keeps_rows_without_id(spark):
     rows = json_logs.extract_log_rows(
         spark.createDataFrame(
