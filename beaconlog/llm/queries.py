@@ -16,12 +16,15 @@ from . import (
     decontaminate,
     direct_codes,
     exact_dedup,
+    language_id,
+    merkle,
     near_dup,
     packing,
     pii,
     quality_rank,
     shard_shuffle,
     token_counts,
+    turn_repair,
     url_rules,
 )
 from .common import table
@@ -176,3 +179,137 @@ _WORDS = "coalesce(regexp_extract_all(" + _LOWER.format("text") + r", '[^\x00-\x
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
+LANG_FOLDS, LANG_HELD_OUT_FOLD = 5, 0
+
+
+@query()
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % LANG_FOLDS
+    model = language_id.train(docs.where(fold != LANG_HELD_OUT_FOLD))
+    named = language_id.identify(docs, model)
+    return named.withColumn("held_out", F.coalesce(fold == LANG_HELD_OUT_FOLD, F.lit(False)))
+
+
+# unsigned CRC-32 of an ASCII string, bit by bit
+_CRC32 = (
+    "xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length({0}) + 1), lambda i: ord({0}[i])::BIGINT)),"
+    " lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),"
+    " lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"
+)
+
+
+def _step(state: str, keep: str, after: str, turned: str) -> str:
+    """Cheapest edits of a row and what follows in one grammar state; an insertion is weighed later."""
+    line = "chr(10) || '{}:' || txt"
+    return f"""list_min([
+        {{'c': 4 + p.{state}.c, 'a': 'D' || p.{state}.a, 't': p.{state}.t}},
+        CASE WHEN NOT gone AND initial IN ({keep}) THEN CASE initial
+          {" ".join(f"WHEN '{k}' THEN {{'c': extra + p.{g}.c, 'a': 'K' || p.{g}.a, 't': chr(10) || role || ':' || txt || p.{g}.t}}" for k, g in after.items())} END END,
+        CASE WHEN NOT gone THEN {{'c': 3 + extra + p.{turned[0]}.c, 'a': 'R' || p.{turned[0]}.a, 't': {line.format(turned)} || p.{turned[0]}.t}} END])"""
+
+
+def _inserted(to: str, of: str) -> str:
+    return f"{{'c': 3 + {of}.c, 'a': 'I' || {of}.a, 't': chr(10) || '{to}:' || {of}.t}}"
+
+
+@query(
+    f"""
+    WITH RECURSIVE k AS (
+      SELECT *, {_CRC32.format("key")} % 20 AS m FROM (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS txt,
+               coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations)),
+    d AS (
+      SELECT conv_id, turn, CASE WHEN m = 4 THEN 'user' ELSE role END AS role,
+             CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(txt, '[.!?]', '', 'g') ELSE txt END AS txt,
+             unnest(CASE WHEN m = 3 THEN [0, 1] ELSE [0] END) AS copy
+      FROM k WHERE m <> 0),
+    o AS (
+      SELECT *, role[1] AS initial, row_number() OVER c AS pos, coalesce(lag(role) OVER c, '')[1] AS prior,
+             row_number() OVER (PARTITION BY conv_id, role, txt ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+             regexp_extract(txt, '([^ \t-\r])[ \t-\r]*$', 1) AS final
+      FROM d WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, txt, copy)),
+    f AS (
+      SELECT *, final = '' OR again AS gone, CASE WHEN final NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS extra FROM o),
+    n AS (
+      SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (final = '') AS blank, count(*) FILTER (final <> '' AND again) AS duplicate,
+             count(*) FILTER (NOT gone AND extra > 0) AS truncated,
+             count(*) FILTER (pos > 1 AND prior || initial NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM f GROUP BY conv_id),
+    p(conv_id, pos, o, s, u, a) AS (
+      SELECT conv_id, n + 1, {{'c': 0, 'a': '', 't': ''}}, {{'c': 6, 'a': 'II', 't': chr(10) || 'user:' || chr(10) || 'assistant:'}},
+             {{'c': 3, 'a': 'I', 't': chr(10) || 'assistant:'}}, {{'c': 0, 'a': '', 't': ''}} FROM n
+      UNION ALL
+      SELECT conv_id, pos, list_min([o, {_inserted("user", "u2")}]), list_min([s, {_inserted("user", "u2")}]), u2, a2 FROM (
+        SELECT *, list_min([u, {_inserted("assistant", "a")}]) AS u2, list_min([a, {_inserted("user", "u")}]) AS a2 FROM (
+          SELECT p.conv_id, f.pos, {_step("o", "'s', 'u'", {"s": "s", "u": "u"}, "user")} AS o,
+                 {_step("s", "'u'", {"u": "u"}, "user")} AS s, {_step("u", "'a'", {"a": "a"}, "assistant")} AS u,
+                 {_step("a", "'u'", {"u": "u"}, "user")} AS a
+          FROM p JOIN f ON p.conv_id IS NOT DISTINCT FROM f.conv_id AND f.pos = p.pos - 1)))
+    SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+           coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(p.o.c, 0)::BIGINT AS cost,
+           coalesce(p.o.a, '') AS audit, sha256(coalesce(p.o.t[2:], '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) c
+    LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+    LEFT JOIN p ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND p.pos = 1
+    """
+)
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = turn_repair.repair(turn_repair.damage(table(spark, sf_dir, "conversations")))
+    return found.withColumn("conv_id", F.col("conv").cast("long")).drop("conv", "signature")
+
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode({0}::VARCHAR)) || ':' || {0} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_FIELD.format(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+@query(
+    f"""
+    WITH RECURSIVE d AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx FROM (
+        SELECT doc_id, lang, {_leaf("text")} AS leaf, {_leaf(_LOWER.format("text"))} AS lowered,
+               coalesce({_CRC32.format("(doc_id::VARCHAR)")} % 3 = 0, false) AS changed
+        FROM documents)),
+    l(lang, level, nodes) AS (
+      SELECT lang, 0, list(leaf ORDER BY idx) FROM d GROUP BY lang
+      UNION ALL
+      SELECT lang, level + 1, list_transform(range(0, len(nodes), 8), lambda k: sha256(array_to_string(nodes[k + 1:k + 8], '')))
+      FROM l WHERE len(nodes) > 1),
+    sub AS (SELECT lang, nodes[1] AS subroot, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS top_at FROM l WHERE len(nodes) = 1),
+    t(level, nodes) AS (
+      SELECT 0, list(subroot ORDER BY top_at) FROM sub
+      UNION ALL
+      SELECT level + 1, list_transform(range(0, len(nodes), 8), lambda k: sha256(array_to_string(nodes[k + 1:k + 8], '')))
+      FROM t WHERE len(nodes) > 1),
+    steps AS (
+      SELECT d.idx, d.lang, false AS upper, l.level, l.nodes, d.idx // (8 ** l.level)::BIGINT AS p
+      FROM d JOIN l ON l.lang IS NOT DISTINCT FROM d.lang AND len(l.nodes) > 1
+      UNION ALL
+      SELECT d.idx, d.lang, true, t.level, t.nodes, s.top_at // (8 ** t.level)::BIGINT
+      FROM d JOIN sub s ON s.lang IS NOT DISTINCT FROM d.lang JOIN t ON len(t.nodes) > 1),
+    sides AS (
+      SELECT idx, lang, row_number() OVER (PARTITION BY lang, idx ORDER BY upper, level) AS step,
+             array_to_string(nodes[p - p % 8 + 1:p], '') AS before, array_to_string(nodes[p + 2:p - p % 8 + 8], '') AS after
+      FROM steps),
+    proofs AS (SELECT idx, lang, sha256(string_agg(before || after, '' ORDER BY step)) AS proof FROM sides GROUP BY idx, lang),
+    folds(idx, lang, step, node) AS (
+      SELECT idx, lang, 0, CASE WHEN changed THEN lowered ELSE leaf END FROM d
+      UNION ALL
+      SELECT f.idx, f.lang, f.step + 1, sha256(s.before || f.node || s.after)
+      FROM folds f JOIN sides s ON s.idx = f.idx AND s.lang IS NOT DISTINCT FROM f.lang AND s.step = f.step + 1),
+    ends AS (SELECT idx, lang, arg_max(node, step) AS folded_root FROM folds GROUP BY idx, lang)
+    SELECT d.doc_id, d.leaf, sub.subroot, root.nodes[1] AS root, coalesce(proof, sha256('')) AS proof_sha256, folded_root,
+           folded_root = root.nodes[1] AS verified
+    FROM d JOIN sub ON sub.lang IS NOT DISTINCT FROM d.lang JOIN t root ON len(root.nodes) = 1
+    JOIN ends ON ends.idx = d.idx AND ends.lang IS NOT DISTINCT FROM d.lang
+    LEFT JOIN proofs ON proofs.idx = d.idx AND proofs.lang IS NOT DISTINCT FROM d.lang
+    """
+)
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"), merkle.tampered()).drop("lang")
