@@ -6,13 +6,21 @@ piece are remembered by the worker. A piece that is new goes to the library: one
 that consists of plain letters and marks directly to its BPE model, any other
 through the library's full pipeline (normalisation, special strings and all).
 Where a text's white space does not allow the cut, the library gets the text whole.
+
+Where words carry the space before them, the new plain pieces of a text go to the
+model in one call: no merge of the file joins a plain character with the space of
+the next piece or with a character of another kind (looked up in the file, not
+taken for granted), so the ids of the row of pieces are those of the pieces in a row.
 """
 
 from __future__ import annotations
 
 import array
+import json
 import re
 
+import numpy as np
+
 from .common import worker_memo
 
 # Unicode White_Space
@@ -22,6 +30,8 @@ LETTERS = "A-Za-zµÀ-ÖØ-öø-ÿ"
 MARKS = "!-&(-/:;=>?@\\[-`{-~"
 # pieces in the young half of the memo; the old half is as large
 MEMO_PIECES = 500_000
+# new pieces that go to the model in one call at most
+CALL_PIECES = 4096
 
 
 def _byte_letters() -> dict[int, str]:
@@ -56,7 +66,9 @@ class PieceMemo(dict):
             if ids is None:
                 ids = self.old_words.get(word)
                 if ids is None:
-                    mapped = word.encode("utf-8").decode("latin-1").translate(self.bytes)
+                    # the stand-in of a printable ASCII byte is the character itself
+                    plain = word.isascii() and word.isprintable() and " " not in word
+                    mapped = word if plain else word.encode("utf-8").decode("latin-1").translate(self.bytes)
                     ids = array.array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
                 if len(self.words) >= MEMO_PIECES:
                     self.old_words, self.words = self.words, {}
@@ -78,22 +90,68 @@ class PieceMemo(dict):
         return ids
 
 
+# letters whose UTF-8 form begins with one and the same byte, next to the ASCII ones
+SPACE_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+
+
 class SpacePieces(PieceMemo):
     """For byte-level BPE whose words carry the space before them."""
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.simple = re.compile(f"(?:[{LETTERS}]+|[{MARKS}]+|\n(?!\n))*")
+        self.now: dict[str, bytes] = {}  # an exact dict, which a set can be compared with by look-ups
+        plain = f"{SPACE_LETTERS}{MARKS}0-9"
+        self.plain = re.compile(f"[{plain}](?:[{plain}]|\n(?!\n))*")
+        # a row of pieces, each behind its space, of which at least one is not plain
+        self.odd = re.compile(f"[^{plain}\n ]| [ \n]|\n\n| \\Z")
         # white space on both sides of a space: the tokenizer joins the run
         self.joined = re.compile(f"[{SPACE}] (?:[{SPACE}]|\\Z)")
+        letters = [c for c in map(chr, range(0xC0, 0x100)) if re.match(f"[{SPACE_LETTERS}]", c)]
+        self.letters = {c: c.encode("utf-8").decode("latin-1").translate(self.bytes) for c in letters}
+        self.letters |= {" ": self.bytes[0x20], "\n": self.bytes[0x0A]}
+        self.alone = frozenset(c for c in map(chr, range(0x21, 0x7F)) if re.match(f"[{MARKS}]", c))
+        self.opens = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.opens[[k for t, k in self.tokenizer.get_vocab().items() if t.startswith(self.bytes[0x20])]] = True
+        self.in_rows = self._kinds_stay_apart(path)
+
+    def _kinds_stay_apart(self, path: str) -> bool:
+        """True when no merge of the file makes a token that runs over a border between plain pieces or kinds."""
+        with open(path) as file:
+            merges = json.load(file)["model"]["merges"]
+        back = {c: chr(b) for b, c in self.bytes.items()}
+        kinds = re.compile("[\x80-\xbf]?(?: ?(?:[A-Za-z]|\xc3[\x80-\xbf])*\xc3?| ?[0-9]*| *| ?\n*| ?[!-/:-@\\[-`{-~]*)")
+        possible = re.compile("[\x80-\xbf]?(?:[\n -~]|\xc3[\x80-\xbf])*\xc3?")
+        for merge in merges:
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            made = "".join(back.get(c, c) for c in left + right)
+            if possible.fullmatch(made) and "'" not in made and not kinds.fullmatch(made):
+                return False
+        return True
 
     def fresh(self, piece: str) -> bytes:
-        if piece and piece[0] != "\n" and self.simple.fullmatch(piece):
-            words = self.parts.findall(piece)
-            words[0] = " " + words[0]
-            return self.by_model(words)
         return self.library(" " + piece)
 
+    def learn(self, pieces: list[str]) -> None:
+        """Remember the ids of new pieces."""
+        for at in range(0, len(pieces), CALL_PIECES):
+            some = pieces[at:at + CALL_PIECES]
+            if not self.in_rows or self.odd.search(" " + " ".join(some)):
+                odd = [p for p in some if not self.in_rows or not self.plain.fullmatch(p)]
+                self.now.update((p, self.fresh(p)) for p in odd)
+                some = [p for p in some if p not in self.now]
+            if not some:
+                continue
+            row = " " + " ".join(some)
+            for c in set(row).intersection(self.letters):  # for few letters far quicker than translate()
+                row = row.replace(c, self.letters[c])
+            row = self.model.tokenize(row)
+            ids = np.array([t.id for t in row], "<u4")
+            starts = np.flatnonzero(self.opens[ids]).tolist()
+            if len(starts) != len(some):
+                raise ValueError("the tokenizer file joins pieces across spaces")
+            raw = ids.tobytes()
+            self.now.update(zip(some, (raw[4 * a:4 * b] for a, b in zip(starts, [*starts[1:], len(ids)]))))
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -101,7 +159,36 @@ class SpacePieces(PieceMemo):
             return self.library(text)
         pieces = text.split(" ")
         first = self.library(pieces[0]) if pieces[0] else b""
-        return first + b"".join(map(self.__getitem__, pieces[1:]))
+        del pieces[0]
+        if len(self.now) >= MEMO_PIECES:
+            self.old, self.now = self.now, {}
+        found = list(map(self.now.get, pieces))
+        if None in found:
+            self.learn_all({p for p, ids in zip(pieces, found) if ids is None})
+            found = map(self.now.__getitem__, pieces)
+        return first + b"".join(found)
+
+    def learn_all(self, pieces: set[str]) -> None:
+        now, old, alone, new = self.now, self.old, self.alone, []
+        for p in pieces:
+            ids = old.get(p)
+            if ids is None and self.in_rows and p[-1:] in alone and p[-2:-1].isalnum():
+                # one mark behind a plain word is a word of its own
+                stem = now.get(p[:-1]) or old.get(p[:-1])
+                if stem is not None and self.plain.fullmatch(p):
+                    ids = stem + self.mark(p[-1])
+            if ids is None:
+                new.append(p)
+            else:
+                now[p] = ids
+        if new:
+            self.learn(new)
+
+    def mark(self, mark: str) -> bytes:
+        ids = self.words.get(mark)
+        if ids is None:
+            ids = self.words[mark] = self.library(mark)
+        return ids
 
 
 class WordPieces(PieceMemo):
@@ -136,8 +223,6 @@ def encoder(path: str):
     """The worker's encoder for a tokenizer file; the file's own settings choose the cut."""
     memo = worker_memo()
     if ("ids", path) not in memo:
-        import json
-
         with open(path) as file:
             settings = json.load(file)
         plain = settings["model"]["type"] == "BPE" and not any(
