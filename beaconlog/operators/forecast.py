@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import ObsConfig, ts_lit
 from ..schemas import ML_DETECTION_COLUMNS, names
+from ..sources.snapshots import KEY, Change, commit, pinned, place, read
 
 # Model names, the roll-up and column each learns from, and the
 # signal type of its detections. The third model is trained but not scheduled.
@@ -96,19 +97,25 @@ def fit_series_model(train: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConf
     return SeriesModel(coef, phase, resid)
 
 
+# stored tables of a model
+_MODEL_TABLES = {
+    "coef": "series_key string, slope double, intercept double, sigma double, points bigint, fitted_at timestamp",
+    "phase": "series_key string, phase bigint, phase_level double",
+    "resid": "series_key string, resid double",
+}
+
+
 def save_model(model: SeriesModel, path: str) -> None:
-    for name in ("resid", "phase", "coef"):
-        getattr(model, name).write.mode("overwrite").parquet(f"{path}/{name}")
+    """The tables of the new model replace those of the old one in one commit."""
+    root, name = place(path)
+    changes = [Change(f"{name}/{t}", getattr(model, t).withColumn(KEY, F.lit("model")), {"model"}) for t in _MODEL_TABLES]
+    commit(model.coef.sparkSession, root, changes)
 
 
 def load_model(spark, path: str) -> SeriesModel:
-    return SeriesModel(
-        spark.read.schema(
-            "series_key string, slope double, intercept double, sigma double, points bigint, fitted_at timestamp"
-        ).parquet(f"{path}/coef"),
-        spark.read.schema("series_key string, phase bigint, phase_level double").parquet(f"{path}/phase"),
-        spark.read.schema("series_key string, resid double").parquet(f"{path}/resid"),
-    )
+    root, name = place(path)
+    with pinned(spark, root):
+        return SeriesModel(**{t: read(spark, root, f"{name}/{t}", s).drop(KEY) for t, s in _MODEL_TABLES.items()})
 
 
 def detect_anomalies(

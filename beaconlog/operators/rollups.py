@@ -201,7 +201,7 @@ def count_bins(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfi
     """The five count series in one long table, from one scan and one shuffle.
 
     Columns: time_bin, signal_type, series_key, service, route, requests,
-    errors. A log row belongs to up to five series; it is expanded and combined
+    errors, last_seen. A log row belongs to up to five series; it is expanded and combined
     again on the map side before the shuffle.
     """
     forwarder = sql_text(cfg.forwarder_service)
@@ -223,10 +223,12 @@ def count_bins(raw: DataFrame, as_of: datetime | None, cfg: ObsConfig = ObsConfi
     )
     return (
         _history(raw, as_of, cfg)
-        .select(_bin(cfg).alias("time_bin"), is_error().alias("_e"), F.explode(members).alias("_m"))
+        .select("ingest_ts", _bin(cfg).alias("time_bin"), is_error().alias("_e"), F.explode(members).alias("_m"))
         .filter("_m IS NOT NULL")
         .groupBy("time_bin", "_m.signal_type", "_m.series_key", "_m.service", "_m.route")
-        .agg(F.expr("count(*) AS requests"), F.expr("CAST(sum(_e) AS DOUBLE) AS errors"))
+        .agg(
+            F.expr("count(*) AS requests"), F.expr("CAST(sum(_e) AS DOUBLE) AS errors"), F.expr("max(ingest_ts) AS last_seen")
+        )
     )
 
 
@@ -234,7 +236,7 @@ def series_frame(counts: DataFrame, latency: DataFrame) -> DataFrame:
     """Count bins and latency bins as one frame with the scored ``value``."""
     rates = sql_list((SIG_ERROR_RATE, SIG_DEPLOY))
     value = f"CASE WHEN signal_type IN {rates} THEN errors / requests ELSE CAST(requests AS DOUBLE) END"
-    return counts.selectExpr("*", f"{value} AS value").unionByName(
+    return counts.drop("last_seen").selectExpr("*", f"{value} AS value").unionByName(
         latency.selectExpr(
             "time_bin",
             f"'{SIG_LATENCY}' AS signal_type",

@@ -28,8 +28,9 @@ from ..operators.incidents import (
 from ..operators.search import search_articles, search_snippet, signal_search_queries
 from ..schemas import CLOSED_INCIDENT_COLUMNS, FIXED_ALERT_COLUMNS, INCIDENT_COLUMNS, names
 from ..session import materialize, scratch
+from ..sources.snapshots import added_by, pinned, place, stream_commits
 from ..sources.tables import (
-    COUNT_BIN_TABLE,
+    COUNT_BINS,
     append_ml_detections,
     read_cycles,
     read_cycle_signals,
@@ -100,7 +101,7 @@ def detect_with_models(
         recent = forecast.ml_detect_input(ts, value, as_of, cfg)
         model = forecast.load_model(spark, f"{store.models}/{name}")
         found = forecast.run_detection(name, model, recent, as_of, cfg)
-        append_ml_detections(found, store.ml_detections, as_of)
+        append_ml_detections(found, store.ml_detections, as_of, name)
     return forecast.recent_anomaly_signals_ml(read_ml_detections(spark, store.ml_detections), as_of, cfg)
 
 
@@ -120,8 +121,11 @@ def run_cycle(
     written, except for what the store remembers as open: incidents of earlier cycles
     that ``close_incidents`` has not closed. The fixed limits are checked in every
     cycle, also when no signal and no log row has arrived.
+
+    Everything is read as of one commit, the newest at the start: both kinds of bins belong to one
+    refresh, and rows that arrive meanwhile wait for the next cycle.
     """
-    with scratch(spark, "cycle"):
+    with pinned(spark, store.root), scratch(spark, "cycle"):
         zscore = stored_signals(spark, store.bins, as_of, cfg)
         ml = detect_with_models(spark, store, as_of, cfg) if use == "forecast" else None
         write_signals(alert_source(zscore, ml, use), store.signals, as_of)
@@ -165,16 +169,17 @@ def stream_cycle(
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Run a cycle whenever new bins arrive, at most once per trigger.
+    """Run a cycle whenever a commit brings new bins, at most once per trigger.
 
     In silence no bins arrive; ``clock_cycle`` runs on time alone.
     """
-    bins = spark.readStream.schema(COUNT_BIN_TABLE).parquet(f"{store.bins}/count_bins")
+    table = place(store.bins, COUNT_BINS)[1]
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        run_cycle(batch.sparkSession, store, clock(), cfg, **options)
+        if added_by(batch, table):
+            run_cycle(batch.sparkSession, store, clock(), cfg, **options)
 
-    writer = bins.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = stream_commits(spark, store.root).writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()
 
 

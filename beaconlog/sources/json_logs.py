@@ -48,8 +48,8 @@ def _envelope_schema() -> str:
     return ", ".join(parts + [f"{_CORRUPT} string"])
 
 
-def read_log_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line, with the file it came from; blank lines hold no document."""
+def read_log_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per line, with the file it came from; blank lines hold no document. Takes a prefix or files."""
     lines = spark.read.option("recursiveFileLookup", "true").text(path)
     return _lines(lines)
 

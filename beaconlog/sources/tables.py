@@ -1,19 +1,21 @@
 """Stored tables: raw logs, bins, detections, audit log, outbox, load history.
 
-All are plain parquet folders in shared storage with declared schemas. Writers
-replace exactly the partition a job is responsible for, so running a job again
+All are parquet folders in shared storage with declared schemas, read and written
+through the commit log of their common parent (:mod:`snapshots`). A write replaces exactly
+the batch, spans or cycle a job is responsible for, so running a job again
 (after a lost executor, a restart or a backfill) leaves no second copy.
 """
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import datetime, timedelta
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import as_utc
+from ..config import EPOCH, as_utc
 from ..schemas import (
     ALERT_LOG_COLUMNS,
     LOAD_HISTORY_COLUMNS,
@@ -24,6 +26,8 @@ from ..schemas import (
     ddl,
     names,
 )
+from . import snapshots
+from .snapshots import KEY, Change, place
 
 # Columns of the stored bins.
 COUNT_BIN_COLUMNS = [
@@ -34,6 +38,7 @@ COUNT_BIN_COLUMNS = [
     ("route", "string"),
     ("requests", "bigint"),
     ("errors", "double"),
+    ("last_seen", "timestamp"),
 ]
 LATENCY_BIN_COLUMNS = [
     ("time_bin", "timestamp"),
@@ -73,47 +78,59 @@ def replace_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 # ── raw logs and load history ───────────────────────────────────────────────
 
-RAW_TABLE = ddl(RAW_LOGS_COLUMNS) + ", ingest_date date, batch_id bigint"
+RAW_SCHEMA, RAW_DAY = ddl(RAW_LOGS_COLUMNS), "ingest_date"
 
 
-def write_raw_logs(rows: DataFrame, path: str, batch_id: int) -> None:
+def raw_change(rows: DataFrame, path: str, key: str) -> Change:
     """Log files arrive in time order, so tasks write their days without a shuffle."""
-    out = rows.select(*names(RAW_LOGS_COLUMNS)).withColumn("ingest_date", F.to_date("ingest_ts"))
-    (
-        out.withColumn("batch_id", F.lit(batch_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("ingest_date", "batch_id")
-        .parquet(path)
-    )
+    out = rows.select(*names(RAW_LOGS_COLUMNS), F.to_date("ingest_ts").alias(RAW_DAY), F.lit(key).alias(KEY))
+    return Change(place(path)[1], out, {key}, RAW_DAY)
+
+
+def history_change(records: DataFrame, path: str, key: str) -> Change:
+    return Change(place(path)[1], records.select(*names(LOAD_HISTORY_COLUMNS), F.lit(key).alias(KEY)), {key})
+
+
+def write_raw_logs(rows: DataFrame, path: str, batch_id: int | str) -> None:
+    snapshots.commit(rows.sparkSession, place(path)[0], [raw_change(rows, path, str(batch_id))])
 
 
 def read_raw_logs(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, RAW_TABLE).drop("batch_id")
+    return snapshots.read(spark, *place(path), RAW_SCHEMA, RAW_DAY).drop(KEY)
+
+
+def read_raw_batch(spark: SparkSession, path: str, batch_id: int | str) -> DataFrame:
+    """Rows of one batch, from its own parts."""
+    key = str(batch_id)
+    rows = snapshots.read(spark, *place(path), RAW_SCHEMA, RAW_DAY, only=lambda p: key in p.keys, newest=True)
+    return rows.filter(F.col(KEY) == key).drop(KEY)
 
 
-def read_raw_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
-    return read_table(spark, path, RAW_TABLE).filter(F.col("batch_id") == batch_id).drop("batch_id")
+def read_raw_paths(spark: SparkSession, path: str, parts: Sequence[str]) -> DataFrame:
+    return snapshots.read_paths(spark, *place(path), parts, RAW_SCHEMA, RAW_DAY).drop(KEY)
 
 
 def read_load_history(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, path, ddl(LOAD_HISTORY_COLUMNS) + ", batch_id bigint").drop("batch_id")
+    return snapshots.read(spark, *place(path), ddl(LOAD_HISTORY_COLUMNS)).drop(KEY)
 
 
 # ── per-cycle tables ────────────────────────────────────────────────────────
 
-def _cycle_path(path: str, as_of: datetime) -> str:
+def _cycle(as_of: datetime) -> tuple[str, str]:
     moment = as_utc(as_of)
-    return f"{path}/day={moment:%Y-%m-%d}/cycle={moment:%H%M%S%f}"
+    return f"{moment:%Y-%m-%d}", f"{moment:%H%M%S%f}"
 
 
-def write_cycle(df: DataFrame, path: str, as_of: datetime) -> None:
-    """Rows of one evaluation cycle; the same cycle replaces its own rows."""
-    df.write.mode("overwrite").parquet(_cycle_path(path, as_of))
+def write_cycle(df: DataFrame, path: str, as_of: datetime, variant: str = "") -> None:
+    """Rows of one evaluation cycle; the same cycle (and variant) replaces its own rows."""
+    day, key = _cycle(as_of)
+    key += variant
+    rows = df.withColumns({"day": F.lit(day).cast("date"), KEY: F.lit(key)})
+    snapshots.commit(df.sparkSession, place(path)[0], [Change(place(path)[1], rows, {day: {key}}, "day")])
 
 
-def read_cycles(spark: SparkSession, path: str, columns: list[tuple[str, str]]) -> DataFrame:
-    return read_table(spark, path, ddl(columns) + ", day date, cycle string").drop("cycle")
+def read_cycles(spark: SparkSession, path: str, columns: list[tuple[str, str]], newest: bool = False) -> DataFrame:
+    return snapshots.read(spark, *place(path), ddl(columns), "day", newest=newest).drop(KEY)
 
 
 def write_alert_log(row: DataFrame, path: str, as_of: datetime) -> None:
@@ -137,50 +154,63 @@ def write_signals(signals: DataFrame, path: str, as_of: datetime) -> None:
 
 
 def read_cycle_signals(spark: SparkSession, path: str, as_of: datetime) -> DataFrame:
-    return read_table(spark, _cycle_path(path, as_of), ddl(SIGNAL_COLUMNS))
+    day, key = _cycle(as_of)
+    rows = snapshots.read(
+        spark, *place(path), ddl(SIGNAL_COLUMNS), "day", only=lambda p: p.day == day and key in p.keys, newest=True
+    )
+    return rows.filter(F.col(KEY) == key).drop("day", KEY)
 
 
-def append_ml_detections(detections: DataFrame, path: str, as_of: datetime) -> None:
-    """Flagged anomalies of one run, one folder per model run."""
-    out = detections.select(*names(ML_DETECTION_COLUMNS))
-    out = out.withColumn("day", F.to_date("detected_at")).withColumn(
-        "cycle", F.lit(f"{as_utc(as_of):%H%M%S%f}")
-    ).withColumn("model", F.col("model_name"))
-    replace_partitions(out, path, "day", "cycle", "model")
+def append_ml_detections(detections: DataFrame, path: str, as_of: datetime, model: str = "") -> None:
+    """Flagged anomalies of one run; the same run of a model replaces its rows."""
+    write_cycle(detections.select(*names(ML_DETECTION_COLUMNS)), path, as_of, f"/{model}")
 
 
 def read_ml_detections(spark: SparkSession, path: str) -> DataFrame:
-    schema = ddl(ML_DETECTION_COLUMNS) + ", day date, cycle string, model string"
-    return read_table(spark, path, schema).drop("cycle", "model")
+    return read_cycles(spark, path, ML_DETECTION_COLUMNS, newest=True)
 
 
 # ── bins ────────────────────────────────────────────────────────────────────
 
-# bins are stored by day and, within it, by refresh span
-_SPAN = "bin_date date, bin_span int"
-COUNT_BIN_TABLE = ddl(COUNT_BIN_COLUMNS) + ", " + _SPAN
-LATENCY_BIN_TABLE = ddl(LATENCY_BIN_COLUMNS) + ", " + _SPAN
+COUNT_BINS, LATENCY_BINS, BIN_DAY = "count_bins", "latency_bins", "bin_date"
+
 
+def bin_changes(counts: DataFrame, latency: DataFrame, path: str, spans: Sequence[datetime], span_seconds: int) -> list[Change]:
+    """Bins that replace all bins of ``spans``, in both tables.
 
-def _write_bins(bins: DataFrame, path: str, span_seconds: int) -> None:
+    The rebalance hint lets AQE split a crowded day over several tasks
+    and merge sparse ones, so neither one hot day nor many tiny files result.
+    """
+    keys: dict[str, set[str]] = {}
+    for start in spans:
+        second = (start - EPOCH) % timedelta(days=1) // timedelta(seconds=1)
+        keys.setdefault(f"{start:%Y-%m-%d}", set()).add(str(second // span_seconds))
     second = F.pmod(F.unix_seconds("time_bin"), F.lit(86400))
-    out = bins.withColumn("bin_date", F.to_date("time_bin")).withColumn(
-        "bin_span", F.floor(second / span_seconds).cast("int")
-    )
-    replace_partitions(out, path, "bin_date", "bin_span")
+    own = {BIN_DAY: F.to_date("time_bin"), KEY: F.floor(second / span_seconds).cast("int").cast("string")}
+    return [
+        Change(place(path, name)[1], rows.select(*names(columns)).withColumns(own).hint("rebalance", F.col(BIN_DAY)), keys, BIN_DAY)
+        for name, rows, columns in ((COUNT_BINS, counts, COUNT_BIN_COLUMNS), (LATENCY_BINS, latency, LATENCY_BIN_COLUMNS))
+    ]
 
 
-def write_count_bins(bins: DataFrame, path: str, span_seconds: int) -> None:
-    _write_bins(bins.select(*names(COUNT_BIN_COLUMNS)), f"{path}/count_bins", span_seconds)
+def read_count_bins(spark: SparkSession, path: str) -> DataFrame:
+    return snapshots.read(spark, *place(path, COUNT_BINS), ddl(COUNT_BIN_COLUMNS), BIN_DAY).drop(KEY)
 
 
-def write_latency_bins(bins: DataFrame, path: str, span_seconds: int) -> None:
-    _write_bins(bins.select(*names(LATENCY_BIN_COLUMNS)), f"{path}/latency_bins", span_seconds)
+def read_latency_bins(spark: SparkSession, path: str) -> DataFrame:
+    return snapshots.read(spark, *place(path, LATENCY_BINS), ddl(LATENCY_BIN_COLUMNS), BIN_DAY).drop(KEY)
 
 
-def read_count_bins(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, f"{path}/count_bins", COUNT_BIN_TABLE).drop("bin_span")
+# ── upkeep ──────────────────────────────────────────────────────────────────
 
+# day columns of the tables below a store's root, for compaction
+DAYS = {
+    "raw_logs": RAW_DAY, "load_history": None, f"bins/{COUNT_BINS}": BIN_DAY, f"bins/{LATENCY_BINS}": BIN_DAY,
+    "signals": "day", "alert_log": "day", "outbox": "day", "fixed_alerts": "day", "ml_detections": "day",
+    "incidents": "day", "closed_incidents": "day",
+}
 
-def read_latency_bins(spark: SparkSession, path: str) -> DataFrame:
-    return read_table(spark, f"{path}/latency_bins", LATENCY_BIN_TABLE).drop("bin_span")
+
+def compact_store(spark: SparkSession, root: str, **options) -> int:
+    """Merge the small parts of all tables of a store; how many parts were merged."""
+    return snapshots.compact(spark, root, DAYS, **options)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import re
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
@@ -11,10 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ts_lit
 from ..functions import iff
-from ..schemas import LOAD_HISTORY_COLUMNS, ddl, names
+from ..schemas import LOAD_HISTORY_COLUMNS, names
 from ..session import materialize
 from ..sources.json_logs import parse_lines, read_log_files, stream_log_files
-from ..sources.tables import read_load_history, read_raw_batch, read_table, write_raw_logs
+from ..sources.snapshots import commit, place
+from ..sources.tables import history_change, raw_change, read_load_history, read_raw_batch
 
 # Load states of a file.
 LOADED, PARTIAL, FAILED = "Loaded", "Partially loaded", "Load failed"
@@ -22,6 +26,8 @@ LOADED, PARTIAL, FAILED = "Loaded", "Partially loaded", "Load failed"
 
 # characters of a broken line that its message repeats
 MESSAGE_CHARS = 200
+# files that a rescan loads in one commit, about
+RESCAN_FILES = 1000
 
 
 def load_record(parsed: DataFrame, skip_bad_files: bool = False) -> DataFrame:
@@ -53,23 +59,27 @@ def load_record(parsed: DataFrame, skip_bad_files: bool = False) -> DataFrame:
 
 
 def load_batch(
-    parsed: DataFrame, raw_path: str, history_path: str, batch_id: int, skip_bad_files: bool = False
-) -> None:
-    """Write one batch of parsed lines and its load records.
+    parsed: DataFrame, raw_path: str, history_path: str, batch_id: int | str, skip_bad_files: bool = False
+) -> int:
+    """Write one batch of parsed lines and its load records; how many files it held.
 
-    Both writes replace what an earlier attempt of the same batch left behind.
+    Tables of one folder appear together, in one commit; otherwise the rows come first and
+    the records last, so that a file never counts as loaded without its rows. The
+    batch replaces what an earlier attempt of it left behind.
     """
-    spark = parsed.sparkSession
-    record_path = f"{history_path}/batch_id={batch_id}"
+    spark, key = parsed.sparkSession, str(batch_id)
     parsed = parsed.persist()
     try:
-        load_record(parsed, skip_bad_files).write.mode("overwrite").parquet(record_path)
+        # a small stored table, which Spark broadcasts by its real size
+        records = materialize(load_record(parsed, skip_bad_files), "load-records")
         rows = parsed.filter(~F.col("is_bad"))
         if skip_bad_files:
-            # read back: a small stored table, which Spark broadcasts by its real size
-            records = read_table(spark, record_path, ddl(LOAD_HISTORY_COLUMNS))
             rows = rows.join(records.filter(F.col("status") == FAILED), "file_name", "left_anti")
-        write_raw_logs(rows, raw_path, batch_id)
+        changes = [(raw_path, raw_change(rows, raw_path, key)), (history_path, history_change(records, history_path, key))]
+        roots = list(dict.fromkeys(place(path)[0] for path, _ in changes))
+        for root in roots:
+            commit(spark, root, [change for path, change in changes if place(path)[0] == root])
+        return records.count()
     finally:
         parsed.unpersist()
 
@@ -124,21 +134,30 @@ def ingest_available(spark: SparkSession, source: str, raw_path: str, history_pa
 
 
 def refresh_files(spark: SparkSession, source: str, raw_path: str, history_path: str,
-                  run_id: int, **options) -> int:
+                  run_id: int, group_files: int = RESCAN_FILES, **options) -> int:
     """Batch rescan: load files of the prefix that have no load record yet; how many.
 
-    ``run_id`` names the batch; use numbers no stream batch uses (negative). The
-    names of the files stay in a join and are never collected.
+    The prefix is listed by name; only files without a record are opened, about ``group_files`` in one
+    commit of rows and records. A rescan that fails leaves what it has committed and
+    loads the rest the next time. ``run_id`` names the rescan in the batches' names.
     """
-    # stored, since the records of this batch are written while they are read
-    known = materialize(read_load_history(spark, history_path).select(_plain_path("file_name").alias("_known")).distinct(), "known")
-    # numbered before the join, which does not keep the order of lines
-    lines = read_log_files(spark, source).withColumn("_line", F.monotonically_increasing_id())
-    new = lines.join(known, _plain_path("file_name") == F.col("_known"), "left_anti")
-    if new.isEmpty():
-        return 0
-    load_batch(parse_lines(new), raw_path, history_path, run_id, **options)
-    return read_table(spark, f"{history_path}/batch_id={run_id}", ddl(LOAD_HISTORY_COLUMNS)).count()
+    known = read_load_history(spark, history_path).select(F.col("file_name").alias("_known")).distinct()
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(source)
+    # names only: the content is not read. Empty files have no lines and no record
+    named = found.filter("length > 0").select("path", F.col("_metadata.file_path").alias("file_name"))
+    new = named.join(known, _plain_path("file_name") == _plain_path("_known"), "left_anti").select("path")
+    new = materialize(new, "new-files")
+    groups, loaded = math.ceil(new.count() / group_files), 0
+    for number in range(groups):
+        paths = [r.path for r in new.filter(F.pmod(F.xxhash64("path"), F.lit(groups)) == number).collect()]
+        if paths:
+            lines = read_log_files(spark, [_no_glob(p) for p in paths])
+            loaded += load_batch(parse_lines(lines), raw_path, history_path, f"{run_id}/{uuid.uuid4().hex}", **options)
+    return loaded
+
+
+def _no_glob(path: str) -> str:
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
 def _plain_path(name: str) -> Column:

@@ -9,18 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import EPOCH, ObsConfig, ts_lit
+from ..config import EPOCH, SIG_DEPLOY, ObsConfig, ts_lit
 from ..functions import time_bin
-from ..operators.detect import stored_bins, zscore_detect
+from ..operators.detect import first_recent_bin, stored_bins, zscore_detect
 from ..operators.rollups import count_bins, rollups_from_bins, series_frame, ts_route_latency
-from ..sources.tables import (
-    RAW_TABLE,
-    read_count_bins,
-    read_latency_bins,
-    read_raw_logs,
-    write_count_bins,
-    write_latency_bins,
-)
+from ..sources.snapshots import added_by, commit, place, stream_commits
+from ..sources.tables import bin_changes, read_count_bins, read_latency_bins, read_raw_logs, read_raw_paths
 
 
 def touched_spans(rows: DataFrame, cfg: ObsConfig = ObsConfig()) -> list[datetime]:
@@ -41,20 +35,25 @@ def refresh_bins(
 
     Whole spans are recomputed, so late rows are absorbed without a watermark
     and a repeated call changes nothing. Bins never straddle spans. The scan
-    is limited to the days of the spans and to their outer time range.
+    is limited to the days of the spans and to their outer time range. Counts and
+    latency appear together, in one commit.
     """
     if not spans:
         return
     first, last = min(spans), max(spans) + timedelta(seconds=cfg.refresh_span)
-    span = F.unix_seconds(time_bin("ingest_ts", cfg.refresh_span))
     raw = read_raw_logs(spark, raw_path).filter(
-        F.col("ingest_date").isin(sorted({s.date() for s in spans}))
+        F.col("ingest_date").between(F.lit(first.date()), F.lit(last.date()))
         & (F.col("ingest_ts") >= ts_lit(first))
         & (F.col("ingest_ts") < ts_lit(last))
-        & span.isin([(s - EPOCH) // timedelta(seconds=1) for s in spans])
     )
-    write_count_bins(count_bins(raw, None, cfg), bins_path, cfg.refresh_span)
-    write_latency_bins(ts_route_latency(raw, None, cfg), bins_path, cfg.refresh_span)
+    if len(spans) * timedelta(seconds=cfg.refresh_span) < last - first:
+        # spans between them that nothing touched; a handful of numbers per day
+        wanted = spark.createDataFrame([((s - EPOCH) // timedelta(seconds=1),) for s in spans], "_span bigint")
+        raw = raw.withColumn("_span", F.unix_seconds(time_bin("ingest_ts", cfg.refresh_span))).join(
+            wanted, "_span", "left_semi"
+        ).drop("_span")
+    changes = bin_changes(count_bins(raw, None, cfg), ts_route_latency(raw, None, cfg), bins_path, spans, cfg.refresh_span)
+    commit(spark, place(bins_path)[0], changes)
 
 
 def stored_rollups(spark: SparkSession, bins_path: str) -> dict[str, DataFrame]:
@@ -68,7 +67,16 @@ def stored_signals(
     """All signals from stored bins; only the history window's days are read."""
     counts = stored_bins(read_count_bins(spark, bins_path), as_of, cfg)
     latency = stored_bins(read_latency_bins(spark, bins_path), as_of, cfg)
-    return zscore_detect(series_frame(counts, latency), as_of, cfg)
+    latest = None
+    if cfg.latest_sha_only:
+        latest = latest_stored_shas(counts.filter(F.col("time_bin") >= ts_lit(first_recent_bin(as_of, cfg))))
+    return zscore_detect(series_frame(counts, latency), as_of, cfg, latest=latest)
+
+
+def latest_stored_shas(counts: DataFrame) -> DataFrame:
+    """The SHA of each service's newest request, from stored bins; as ``rollups.latest_shas`` tells it from logs."""
+    newest = F.max_by("route", F.struct("last_seen", "route")).alias("deployment_sha")
+    return counts.filter(F.col("signal_type") == SIG_DEPLOY).groupBy("service").agg(newest)
 
 
 def stream_refresh(
@@ -79,11 +87,15 @@ def stream_refresh(
     cfg: ObsConfig = ObsConfig(),
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Follow the raw table and refresh the spans each batch of new rows touches."""
-    rows = spark.readStream.schema(RAW_TABLE).parquet(raw_path)
+    """Follow the commits of the raw table and refresh the spans their rows touch."""
+    root, table = place(raw_path)
+    commits = stream_commits(spark, root)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        refresh_bins(batch.sparkSession, raw_path, bins_path, touched_spans(batch, cfg), cfg)
+        session, parts = batch.sparkSession, added_by(batch, table)
+        if parts:
+            rows = read_raw_paths(session, raw_path, parts)
+            refresh_bins(session, raw_path, bins_path, touched_spans(rows, cfg), cfg)
 
-    writer = rows.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    writer = commits.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "5 minutes"})).start()

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from beaconlog.config import utc_now
 from beaconlog.schemas import RAW_LOGS_COLUMNS, names
-from beaconlog.sources import json_logs, tables
+from beaconlog.sources import json_logs, snapshots, tables
 from beaconlog.streaming import ingest
 
 GOOD = {
@@ -153,21 +153,46 @@ def test_rescan_loads_only_unknown_files(spark, place):
     assert tables.read_raw_logs(spark, f"{base}/raw").count() == 1
 
 
-def test_rescan_reads_the_prefix(spark, place, monkeypatch):
+def test_rescan_opens_only_new_files(spark, place, monkeypatch):
     folder, base = place
     asked, read = [], ingest.read_log_files
-    monkeypatch.setattr(ingest, "read_log_files", lambda spark, path: asked.append(path) or read(spark, path))
+    monkeypatch.setattr(ingest, "read_log_files", lambda spark, paths: asked.append(sorted(paths)) or read(spark, paths))
     args = (spark, str(folder), f"{base}/raw", f"{base}/history")
-    (folder / "a b.jsonl").write_text(line() + "\nfirst bad\n" + "second bad\n" * 50)
+    (folder / "a b[1].jsonl").write_text(line() + "\nfirst bad\n" + "second bad\n" * 50)
     assert ingest.refresh_files(*args, run_id=-1) == 1
     (folder / "c.jsonl").write_text(line(insertId="i2") + "\n")
+    (folder / "empty.jsonl").write_text("")
     assert ingest.refresh_files(*args, run_id=-2) == 1
     # nothing is new: what the batch holds stays
     assert ingest.refresh_files(*args, run_id=-2) == 0
     assert sorted(r.insert_id for r in tables.read_raw_logs(spark, f"{base}/raw").collect()) == ["i1", "i2"]
     history = {r.row_count: r for r in tables.read_load_history(spark, f"{base}/history").collect() if r.error_count}
     assert history[1].error_count == 51 and history[1].first_error_message.endswith("first bad")
-    assert asked == [str(folder)] * 3
+    assert [[p.rsplit("/", 1)[1].replace("\\", "") for p in paths] for paths in asked] == [["a b[1].jsonl"], ["c.jsonl"]]
+
+
+@pytest.mark.parametrize("failing", [1, 2])
+def test_rescan_survives_a_failing_writer(spark, place, monkeypatch, failing):
+    """No file counts as loaded without its rows, whichever write or the commit fails."""
+    folder, base = place
+    for k in range(6):
+        (folder / f"{k}.jsonl").write_text(line(insertId=f"i{k}") + "\n")
+    args, calls, stage = (spark, str(folder), f"{base}/raw", f"{base}/history"), [], snapshots._stage
+
+    def broken(*a):
+        calls.append(a)
+        if len(calls) == failing:
+            raise OSError("disk gone")
+        return stage(*a)
+
+    monkeypatch.setattr(snapshots, "_stage", broken)
+    with pytest.raises(OSError):
+        ingest.refresh_files(*args, run_id=-1, group_files=2)
+    assert tables.read_load_history(spark, f"{base}/history").count() == tables.read_raw_logs(spark, f"{base}/raw").count() == 0
+    monkeypatch.setattr(snapshots, "_stage", stage)
+    assert ingest.refresh_files(*args, run_id=-1, group_files=2) == 6
+    assert ingest.refresh_files(*args, run_id=-1, group_files=2) == 0
+    assert sorted(r.insert_id for r in tables.read_raw_logs(spark, f"{base}/raw").collect()) == [f"i{k}" for k in range(6)]
 
 
 def test_dedup_keeps_rows_without_id(spark):

@@ -75,7 +75,7 @@ def test_cycle(spark, tmp_path):
     assert len(log) == 1 and log[0].signal_count == 5 and log[0].top_signal == "route_latency_p95"
     assert round(log[0].top_score, 4) == 32.5880
     assert tables.read_outbox(spark, store.outbox).count() == 1
-    found = spark.read.parquet(store.incidents).collect()
+    found = tables.read_cycles(spark, store.incidents, INCIDENT_COLUMNS).collect()
     assert sorted((r.signal_type, r.deployment_sha) for r in found) == [
         ("backend_http_error_rate", "spike-sha"), ("post_deployment_regression", "spike-sha")]
     body = [r.body for r in found if r.signal_type == "backend_http_error_rate"][0]
