@@ -30,7 +30,7 @@ from beaconlog.operators import alerts, detect, forecast, incidents, rollups, se
 from beaconlog.plans import cycle, dashboard, evidence, metrics
 from beaconlog.schemas import ML_DETECTION_COLUMNS, RAW_LOGS_COLUMNS, SIGNAL_COLUMNS, ddl, names
 from beaconlog.session import fresh_dir, materialize, tune
-from beaconlog.sources import adapters, json_logs, tables
+from beaconlog.sources import adapters, json_logs, snapshots, tables
 from beaconlog.sources.adapters import AS_OF, TABLE_CONFIG as CFG
 from beaconlog.streaming import ingest, presence, refresh, windows
 
@@ -216,14 +216,15 @@ def _(spark, sf):
 
 
 @query("recent_load_errors", sql.logs("""SELECT 'Load failed' AS status,
-  'day=' || strftime(ingest_ts, '%Y-%m-%d') AS folder, CAST(0 AS BIGINT) AS row_count, COUNT(*) AS error_count
+  'day=' || strftime(ingest_ts, '%Y-%m-%d') AS folder, CAST(0 AS BIGINT) AS row_count, COUNT(*) AS error_count,
+  'Error parsing JSON: {"service":"' || any_value(service) || '", cut off' AS first_error_message
   FROM logs WHERE event_type = 'message_skipped' GROUP BY 2 ORDER BY 2 LIMIT 25"""))
 def _(spark, sf):
     out, _ = ingested(spark, sf)
     history = tables.read_load_history(spark, f"{out}/history")
     now = history.agg(F.max("last_load_time")).first()[0]
     return ingest.recent_load_errors(history, now).select(
-        "status", F.regexp_extract("file_name", "day=[0-9-]+", 0).alias("folder"), "row_count", "error_count"
+        "status", F.regexp_extract("file_name", "day=[0-9-]+", 0).alias("folder"), "row_count", "error_count", "first_error_message"
     )
 
 
@@ -350,6 +351,47 @@ def _(spark, sf):
     return refresh.stored_rollups(spark, bins)["ts_http_error_rate"]
 
 
+@query("snapshot_commits", sql.rollups("""SELECT 'logs' AS stored, service, COUNT(*) AS stored_rows FROM logs
+  WHERE service = 'backend' GROUP BY 1, 2 UNION ALL SELECT 'rates', service, COUNT(*) FROM t1 WHERE service = 'backend'
+  GROUP BY 1, 2 UNION ALL SELECT 'latency', service, COUNT(*) FROM t2 WHERE service = 'backend' GROUP BY 1, 2"""))
+def _(spark, sf):
+    # a reader that started after the first wave: both kinds of bins belong to it, the second wave is not there yet
+    out = fresh_dir(spark, "snapshots")
+    raw, bins = f"{out}/raw", f"{out}/bins"
+    df = with_envelope(logs(spark, sf))
+    early = F.col("service") == "backend"
+
+    def load(batch, rows):
+        tables.write_raw_logs(rows, raw, batch)
+        refresh.refresh_bins(spark, raw, bins, refresh.touched_spans(rows, CFG), CFG)
+
+    load(0, df.filter(early))
+    with snapshots.pinned(spark, out):
+        # written while the reader is at work
+        tables.write_raw_logs(df.filter(~early), raw, 1)
+        seen = tables.read_raw_logs(spark, raw)
+        stored = refresh.stored_rollups(spark, bins)
+    frames = {"logs": seen, "rates": stored["ts_http_error_rate"], "latency": stored["ts_route_latency"]}
+    counted = [f.groupBy("service").agg(F.count("*").alias("stored_rows")).withColumn("stored", F.lit(k)) for k, f in frames.items()]
+    return functools.reduce(DataFrame.unionByName, counted)
+
+
+@query("compact_tables", sql.logs("""SELECT strftime(ingest_ts, '%Y-%m-%d') AS ingest_date, service, COUNT(*) AS log_rows,
+  TRUE AS few_parts FROM logs GROUP BY 1, 2"""))
+def _(spark, sf):
+    # every batch brings rows of every day; merged as they come
+    out = fresh_dir(spark, "compaction")
+    df, batches = with_envelope(logs(spark, sf)), 12
+    for batch in range(batches):
+        tables.write_raw_logs(df.filter(F.pmod(F.xxhash64("insert_id"), F.lit(batches)) == batch), f"{out}/raw_logs", batch)
+        tables.compact_store(spark, out, fan_in=4)
+    parts = snapshots.manifest(spark, out).tables["raw_logs"]
+    days = {p.day for p in parts}
+    few = max(sum(p.day == d for p in parts) for d in days) <= 6
+    raw = tables.read_raw_logs(spark, f"{out}/raw_logs")
+    return raw.groupBy("ingest_date", "service").agg(F.count("*").alias("log_rows")).withColumn("few_parts", F.lit(few))
+
+
 # ── detectors ───────────────────────────────────────────────────────────────
 
 def _register_detector(number: int, name: str, detector, rollup) -> None:
