@@ -8,11 +8,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from ..sources.tables import read_table, replace_partitions
 
 K1, B = 1.2, 0.75
 # query vectors scored in one pass over the articles
@@ -27,9 +26,6 @@ VARIANT_TEXTS = [
 ]
 
 ATTRIBUTES = ["article_id", "title", "category", "service", "tags"]
-_DOCS = "article_id string, title string, category string, service string, tags array<string>, doc_len bigint"
-_LAYOUT = "buckets int"
-_POSTINGS = "term string, article_id string, tf bigint, doc_len bigint"
 
 
 @dataclass(frozen=True)
@@ -88,50 +84,6 @@ def queried_postings(articles: DataFrame, terms: DataFrame) -> DataFrame:
     return counted.agg(F.count("*").alias("tf"))
 
 
-# ── stored index ────────────────────────────────────────────────────────────
-
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("article_id"), F.lit(buckets)).cast("int")
-
-
-def _write_buckets(articles: DataFrame, path: str, buckets: int, numbers: Sequence[int]) -> None:
-    """Replace the buckets ``numbers``; a row without id marks each, so that emptied ones are replaced too."""
-    spark, index = articles.sparkSession, build_article_index(articles)
-    marks = spark.createDataFrame([(n,) for n in numbers], "bucket int")
-    for part, name in ((index.docs, "docs"), (index.postings, "postings")):
-        rows = part.withColumn("bucket", _bucket(buckets)).unionByName(marks, allowMissingColumns=True)
-        replace_partitions(rows, f"{path}/{name}", "bucket")
-
-
-def save_article_index(articles: DataFrame, path: str, buckets: int = 64) -> None:
-    """Write the whole index in article buckets; their number is stored with it."""
-    spark = articles.sparkSession
-    spark.createDataFrame([(buckets,)], _LAYOUT).write.mode("overwrite").parquet(f"{path}/layout")
-    _write_buckets(articles, path, buckets, range(buckets))
-
-
-def refresh_article_index(articles: DataFrame, path: str, changed_since: Column) -> None:
-    """Rebuild the buckets with articles that are new, gone, or updated at or after ``changed_since``."""
-    spark = articles.sparkSession
-    buckets = read_table(spark, f"{path}/layout", _LAYOUT).first().buckets
-    there = articles.filter(F.col("body").isNotNull()).select("article_id", "updated_at")
-    stored = load_article_index(spark, path).docs.select("article_id")
-    changed = there.filter(F.col("updated_at") >= changed_since).select("article_id")
-    new = there.join(stored, "article_id", "left_anti").select("article_id")
-    gone = stored.join(there, "article_id", "left_anti")
-    touched = changed.unionByName(new).unionByName(gone).select(_bucket(buckets).alias("b")).distinct()
-    numbers = sorted(r.b for r in touched.collect())  # at most ``buckets`` numbers
-    if numbers:
-        _write_buckets(articles.filter(_bucket(buckets).isin(numbers)), path, buckets, numbers)
-
-
-def load_article_index(spark: SparkSession, path: str) -> ArticleIndex:
-    return ArticleIndex(
-        read_table(spark, f"{path}/docs", _DOCS + ", bucket int").drop("bucket").filter("article_id IS NOT NULL"),
-        read_table(spark, f"{path}/postings", _POSTINGS + ", bucket int").drop("bucket").filter("article_id IS NOT NULL"),
-    )
-
-
 # ── word search ─────────────────────────────────────────────────────────────
 
 def _apply_filters(docs: DataFrame, filters: Mapping[str, object] | None) -> DataFrame:
@@ -155,7 +107,7 @@ def search_articles(
     """Top ``k`` articles per query (``query_id``, ``query``), all queries at once.
 
     Give the ``articles`` to search them directly (only the queried terms are
-    then counted), or a stored ``index``. Filters narrow the hits, not the
+    then counted), or an ``index`` in memory; :mod:`article_index` searches a stored one. Filters narrow the hits, not the
     word statistics. Ties go to the smaller article id.
     """
     terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))

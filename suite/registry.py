@@ -26,7 +26,7 @@ from beaconlog.functions import (
     split_part,
     time_bin,
 )
-from beaconlog.operators import alerts, detect, forecast, incidents, rollups, search, views
+from beaconlog.operators import alerts, article_index, detect, forecast, incidents, rollups, search, views
 from beaconlog.plans import cycle, dashboard, evidence, metrics
 from beaconlog.schemas import ML_DETECTION_COLUMNS, RAW_LOGS_COLUMNS, SIGNAL_COLUMNS, ddl, names
 from beaconlog.session import fresh_dir, materialize, tune
@@ -821,10 +821,21 @@ def _(spark, sf):
     now = adapters.articles(spark, sf)
     outdated = F.pmod(F.col("article_id").cast("bigint"), F.lit(3)) == 0
     clock = F.when(outdated, ts_lit(AS_OF)).otherwise(F.col("updated_at"))
-    search.save_article_index(now.withColumn("body", F.when(outdated, F.lit("draft")).otherwise(F.col("body"))), path)
-    search.refresh_article_index(now.withColumn("updated_at", clock), path, ts_lit(AS_OF))
-    index = search.load_article_index(spark, path)
-    return search.search_articles(bench_queries(spark, sf), k=5, index=index)
+    drafts = now.withColumn("body", F.when(outdated, F.lit("draft")).otherwise(F.col("body")))
+    article_index.save_article_index(drafts, path, buckets=16)
+    article_index.refresh_article_index(now.withColumn("updated_at", clock), path, ts_lit(AS_OF))
+    return article_index.search_index(article_index.load_article_index(spark, path), bench_queries(spark, sf), k=5)
+
+
+@query("search_article_index", sql.with_(
+    sql.ARTICLES, sql.INDEX,
+    sql.bm25(BENCH_QUERIES, 3, "a.category IN ('runbook','postmortem') AND a.tags LIKE 'en,%'"),
+    select="SELECT * FROM hits"))
+def _(spark, sf):
+    path = fresh_dir(spark, "index")
+    article_index.save_article_index(adapters.articles(spark, sf), path, buckets=16)
+    index = article_index.load_article_index(spark, path)
+    return article_index.search_index(index, bench_queries(spark, sf), 3, {"category": ["runbook", "postmortem"], "tags": "en"})
 
 
 @query("search_articles", sql.with_(sql.ARTICLES, sql.INDEX, sql.bm25(BENCH_QUERIES, 5), select="SELECT * FROM hits"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from beaconlog.operators import search
+from beaconlog.operators import article_index, search
 from beaconlog.schemas import ARTICLE_COLUMNS, ddl
 
 WORDS = "alpha beta gamma delta error rate timeout pool backend route deploy cache".split()
@@ -70,20 +70,49 @@ def test_stored_index_and_refresh(spark, corpus, tmp_path):
     rows, articles = corpus
     asked = spark.createDataFrame(QUERIES, "query_id string, query string")
     path = str(tmp_path / "index")
-    search.save_article_index(articles, path, buckets=4)
-    before = hits(search.search_articles(asked, index=search.load_article_index(spark, path)))
-    assert before == hits(search.search_articles(asked, articles))
+    found = lambda k=5, **f: hits(article_index.search_index(article_index.load_article_index(spark, path), asked, k, **f))
+    article_index.save_article_index(articles, path, buckets=4)
+    assert found() == hits(search.search_articles(asked, articles))
     changed = [r[:5] + ("cache cache cache", r[6], datetime(2026, 2, 1)) if r[0] == "a20" else r for r in rows]
     now = spark.createDataFrame(changed, ddl(ARTICLE_COLUMNS))
-    search.refresh_article_index(now, path, F.lit(datetime(2026, 1, 15)))
-    after = hits(search.search_articles(asked, index=search.load_article_index(spark, path)))
+    assert article_index.refresh_article_index(now, path, F.lit(datetime(2026, 1, 15))) == 1
+    after = found()
     assert after == hits(search.search_articles(asked, now)) and after["q2"][0][0] == "a20"
+    assert article_index.refresh_article_index(now, path, F.lit(datetime(2027, 1, 1))) == 0
+    assert article_index.merge_segments(spark, path, fan_in=2) > 0 and found() == after
+    runbooks = {"category": "runbook", "tags": "1"}
+    assert found(3, filters=runbooks) == hits(search.search_articles(asked, now, 3, runbooks))
     # deleted articles leave the index, also the last ones of a bucket
     few = now.filter("article_id IN ('a03', 'a04')")
-    search.refresh_article_index(few, path, F.lit(datetime(2027, 1, 1)))
-    index = search.load_article_index(spark, path)
-    assert sorted(r.article_id for r in index.docs.collect()) == ["a03", "a04"]
-    assert hits(search.search_articles(asked, index=index)) == hits(search.search_articles(asked, few))
+    assert article_index.refresh_article_index(few, path, F.lit(datetime(2027, 1, 1))) == 57
+    index = article_index.load_article_index(spark, path)
+    assert sorted(r.article_id for r in index.docs.collect()) == ["a03", "a04"] and index.size()[0] == 2
+    assert found() == hits(search.search_articles(asked, few))
+
+
+def test_index_opens_the_files_of_its_terms_and_skips_blocks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(article_index, "RARE", 10)
+    monkeypatch.setattr(article_index, "BLOCK", 8)
+    rng = random.Random(4)
+    rows = []
+    for i in range(600):
+        body = " ".join(["common"] * rng.randint(1, 4) + [f"w{rng.randint(0, 300)}" for _ in range(rng.randint(2, 30))])
+        rows.append((f"a{i:03}", "t", "faq", None, ["x"], body + (" needle" * (i % 97 == 0)), datetime(2026, 1, 1), datetime(2026, 1, 1)))
+    articles, path = spark.createDataFrame(rows, ddl(ARTICLE_COLUMNS)), str(tmp_path / "index")
+    asked = spark.createDataFrame([("q1", "common needle"), ("q2", "common w5 w6"), ("q3", "nowhere")], "query_id string, query string")
+    article_index.save_article_index(articles, path, buckets=32)
+    index = article_index.load_article_index(spark, path)
+    opened, table = [], article_index.StoredIndex.table
+
+    def watched(self, name, schema, cut=None, buckets=None):
+        opened.append((name, buckets))
+        return table(self, name, schema, cut, buckets)
+
+    monkeypatch.setattr(article_index.StoredIndex, "table", watched)
+    assert hits(article_index.search_index(index, asked, 3)) == {q: brute(rows, text, 3) for q, text in asked.collect() if brute(rows, text, 3)}
+    assert all(b is not None and len(b) <= 5 for name, b in opened if name in ("postings", "terms"))
+    matching = sum(1 for r in rows for q in ({"common", "needle"}, {"common", "w5", "w6"}) if q & set(r[5].split()))
+    assert article_index.candidates(index, asked, 3)[0].count() < 0.1 * matching
 
 
 def test_snippet_and_queries(spark):
