@@ -28,15 +28,15 @@ from pyspark.sql.window import Window
 
 from .common import store, worker_memo
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 5_000
 ENTRIES = 400_000
 LONGEST = 5
 UNKNOWN = "und"
 # words beyond which the score does not get surer, and words that a worker remembers
 SURE_WORDS = 20
 MEMO_WORDS = 400_000
-# different words and grams that a counting task holds before it passes them on
-HELD = 200_000
+# different words that a counting task holds before it passes them and their grams on
+HELD = 50_000
 
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -88,8 +88,8 @@ class Scorer:
             parts = grams(word, size)
             found = [r for r in map(known[size].get, parts) if r is not None]
             if found:
-                missing = len(parts) - len(found)
-                return (values[size][found].sum(axis=0) + missing * self.model.penalty) / len(parts)
+                missing = (len(parts) - len(found)) * self.model.penalty
+                return (np.add.reduce(values[size].take(found, axis=0)) + missing) / len(parts)
         return np.full(len(self.model.langs), self.model.penalty)
 
     def place(self, word: str) -> int:
@@ -119,28 +119,30 @@ class Scorer:
 # ── training ────────────────────────────────────────────────────────────────
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``lang, size, gram, n``: words as size 0, and their grams; added up within a task as memory allows."""
+    """``lang, size, gram, n``: words as size 0, and the grams of each different word; added up within a task as memory allows."""
     names = ["lang", "size", "gram", "n"]
     held: Counter = Counter()
 
     def flush():
-        keys = list(held)
-        rows = pa.RecordBatch.from_arrays([
-            pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()),
-            pa.array([k[2] for k in keys], pa.string()), pa.array(held.values(), pa.int64()),
-        ], names)
+        found: Counter = Counter()
+        for (lang, word), n in held.items():
+            found[lang, 0, word] += n
+            for size in range(1, LONGEST + 1):
+                for gram in grams(word, size):
+                    found[lang, size, gram] += n
         held.clear()
-        return rows
+        lang, size, gram = zip(*found)
+        return pa.RecordBatch.from_arrays([
+            pa.array(lang, pa.string()), pa.array(size, pa.int32()), pa.array(gram, pa.string()),
+            pa.array(list(found.values()), pa.int64()),
+        ], names)
 
     for batch in batches:
         for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
             for word, n in Counter(words_of(text)).items():
-                held[lang, 0, word] += n
-                for size in range(1, LONGEST + 1):
-                    for gram in grams(word, size):
-                        held[lang, size, gram] += n
-                if len(held) > HELD:
-                    yield flush()
+                held[lang, word] += n
+            if len(held) > HELD:
+                yield flush()
     if held:
         yield flush()
 
