@@ -29,6 +29,7 @@ from ..config import (
 )
 from ..functions import div0
 from ..schemas import SIGNAL_COLUMNS
+from ..session import materialize
 from .rollups import latest_shas, signal_rollup, since
 
 FRAME = ["time_bin", "signal_type", "series_key", "service", "route", "requests", "errors", "value"]
@@ -269,10 +270,14 @@ def recent_anomaly_signals(rollups: dict[str, DataFrame], as_of: datetime, cfg:
 
 
 def signals_from_logs(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> DataFrame:
-    """All signals straight from raw logs: each row is read once for the counts and once for the latency."""
-    past, recent = split_logs(raw, as_of, cfg)
-    latest = latest_shas(recent, as_of, cfg) if cfg.latest_sha_only else None
-    return zscore_detect(signal_rollup(past, as_of, cfg), as_of, cfg, signal_rollup(recent, as_of, cfg), latest)
+    """All signals straight from raw logs: each row is read once for the counts and once for the latency.
+
+    The bins of the whole history are stored first, far fewer rows than the logs; the baseline
+    and the detection window are both read from there.
+    """
+    latest = latest_shas(split_logs(raw, as_of, cfg)[1], as_of, cfg) if cfg.latest_sha_only else None
+    bins = materialize(signal_rollup(raw, as_of, cfg), "signal-bins")
+    return zscore_detect(bins, as_of, cfg, latest=latest)
 
 
 def empty_signals(spark) -> DataFrame:
