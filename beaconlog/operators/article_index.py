@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ..session import materialize
 from ..sources import snapshots
 from ..sources.snapshots import KEY, Change
-from .search import ATTRIBUTES, K1, B, _apply_filters, _tokenised, _top, build_article_index, tokens
+from .search import ATTRIBUTES, K1, B, _apply_filters, _tokenised, _top, build_article_index, search_snippet, tokens
 
 BLOCK = 128
 BUCKETS = 256
@@ -43,7 +43,7 @@ RARE = 1024
 # bounds are sums of doubles in another order than the scores, which are rounded to six places
 SLACK = 1e-5
 
-DOCS = "article_id string, title string, category string, service string, tags array<string>, doc_len bigint, counts map<string, bigint>"
+DOCS = "article_id string, title string, category string, service string, tags array<string>, snippet string, doc_len bigint, counts map<string, bigint>"
 POSTINGS = "term string, block int, max_tf bigint, min_len bigint, entries array<struct<article_id:string,tf:bigint,doc_len:bigint>>"
 TERMS = "term string, df bigint, max_tf bigint, min_len bigint"
 STATS = "articles bigint, words bigint"
@@ -133,7 +133,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _segment(articles: DataFrame, segment: str, buckets: int, mean: float) -> dict[str, DataFrame]:
     """The tables of a segment, from articles with a body."""
-    index = build_article_index(articles)
+    index = build_article_index(articles.withColumn("snippet", search_snippet(F.col("body"))), ("snippet",))
     postings = materialize(
         index.postings.filter("article_id IS NOT NULL").withColumn("term_bucket", _bucket("term", buckets)), "postings"
     )
@@ -293,13 +293,14 @@ def candidates(
 
 
 def search_index(
-    index: StoredIndex, queries: DataFrame, k: int = 5, filters: Mapping[str, object] | None = None,
+    index: StoredIndex, queries: DataFrame, k: int = 5, filters: Mapping[str, object] | None = None, snippet: bool = False,
 ) -> DataFrame:
     """Top ``k`` articles per query (``query_id``, ``query``): the hits of ``search.search_articles`` from a stored index.
 
     Filters narrow the hits, not the word statistics. Ties go to the smaller article id.
     """
     found, asked, mean = candidates(index, queries, k, filters)
+    shown = [*ATTRIBUTES, *(["snippet"] if snippet else [])]
     buckets = {str(r.b) for r in found.select(_bucket("article_id", index.buckets).alias("b")).distinct().collect()}
     docs = index.live(index.table("docs", DOCS, DOC_BUCKET, buckets))
     rows = docs.join(found, "article_id").join(asked.select("query_id", "term", "idf"), "query_id")
@@ -307,6 +308,6 @@ def search_index(
     part = F.col("idf") * F.col("_tf") * (K1 + 1) / (F.col("_tf") + K1 * (1 - B + B * F.col("doc_len") / F.lit(mean or 1.0)))
     # rounded, so that equal articles tie whatever order the parts are summed in
     scored = rows.groupBy("query_id", "article_id").agg(
-        F.round(F.sum(part), 6).alias("score"), *[F.first(c).alias(c) for c in ATTRIBUTES if c != "article_id"]
+        F.round(F.sum(part), 6).alias("score"), *[F.first(c).alias(c) for c in shown if c != "article_id"]
     )
-    return _top(scored, k).select("query_id", "rank", *ATTRIBUTES, "score")
+    return _top(scored, k).select("query_id", "rank", *shown, "score")

@@ -18,6 +18,7 @@ from ..config import (
     ts_lit,
 )
 from ..functions import iso_z
+from ..session import materialize
 
 KEY = ["service", "route", "deployment_sha"]
 LABELS = "observability, anomaly, critical"
@@ -84,6 +85,73 @@ def dedup_incidents(candidates: DataFrame) -> DataFrame:
     )
 
 
+# ── one incident per cause ──────────────────────────────────────────────────
+
+def _clues(rows: DataFrame) -> DataFrame:
+    """``node, clue``: what a signal tells about its cause. Signals with a clue in common belong together.
+
+    A clue is a SHA or a route of a service. A signature names the route behind its last colon, and
+    a deployment signal carries its SHA in ``route``, so neither is a route itself.
+    """
+    kind, route = F.col("signal_type"), F.col("route")
+    behind = F.regexp_extract("route", ":(/.*)$", 1)
+    place = F.when(kind == SIG_DEPLOY, F.lit(None)).when(kind == SIG_SIGNATURE, F.nullif(behind, F.lit(""))).otherwise(route)
+    clue = lambda name, value: F.when(value.isNotNull(), F.struct(F.lit(name).alias("kind"), "service", value.alias("value")))
+    clues = F.array_compact(F.array(clue("sha", F.col("deployment_sha")), clue("route", place)))
+    return rows.select("node", F.explode(clues).alias("clue"))
+
+
+def connected(edges: DataFrame) -> DataFrame:
+    """``node, cause``: the least node that can be reached over shared clues, for nodes with any clue.
+
+    Labels go from nodes to clues and back, each time two-phase minima; a node then takes the label of its label
+    as well, so long chains are halved. Rounds are stored, so they neither grow the plan nor hang on an executor.
+    """
+    labels = materialize(edges.groupBy("node").agg(F.col("node").alias("cause")).distinct(), "causes")
+    while True:
+        met = edges.join(labels, "node").groupBy("clue").agg(F.min("cause").alias("cause"))
+        least = edges.join(met, "clue").groupBy("node").agg(F.min("cause").alias("_near"))
+        far = labels.select(F.col("node").alias("_near"), F.col("cause").alias("_far"))
+        step = labels.join(least, "node").join(far, "_near", "left")
+        step = step.select("node", F.least("cause", "_near", "_far").alias("_new"), "cause")
+        moved = materialize(step, "causes")
+        labels = moved.select("node", F.col("_new").alias("cause"))
+        if moved.filter("_new <> cause").isEmpty():
+            return labels
+
+
+def group_incidents(candidates: DataFrame, open_incidents: DataFrame) -> DataFrame:
+    """One row per cause: the strongest signal, ``incident_id``, and the number of signals behind it.
+
+    Signals and open incidents that share a SHA or a route of a service, directly or over others, have
+    one cause. A cause with an open incident gets no row, so a later cycle adds none to it.
+    ``open_incidents`` has service, route, SHA and, if known, ``signal_type``; their ``route`` is taken for a route or a
+    SHA as it is. The id is a hash of the cause's least clue and of the first bin in which it was seen.
+    """
+    own = candidates.columns
+    told = open_incidents
+    if "signal_type" not in told.columns:
+        told = told.withColumn("signal_type", F.when(F.col("route") == F.col("deployment_sha"), SIG_DEPLOY).otherwise(
+            F.when(F.col("route").rlike("^[^/].*:/"), SIG_SIGNATURE)))
+    told = told.select("signal_type", "service", "route", "deployment_sha").distinct()
+    node = F.sha2(F.to_json(F.struct("_open", "signal_type", "service", "route", "deployment_sha")), 256)
+    both = materialize(
+        candidates.withColumn("_open", F.lit(False)).unionByName(told.withColumn("_open", F.lit(True)), allowMissingColumns=True)
+        .withColumn("node", node), "signal-nodes",
+    )
+    clues = materialize(_clues(both).distinct(), "clues")
+    causes = connected(clues)
+    known = both.filter("_open").join(causes, "node").select("cause").distinct()
+    signals = both.filter("NOT _open").join(causes, "node").join(known, "cause", "left_anti")
+    first = clues.join(causes, "node").groupBy("cause").agg(F.min("clue").alias("_clue"))
+    order = F.struct("anomaly_score", "time_bin", "signal_type", "route")
+    best = signals.groupBy("cause").agg(
+        F.max_by(F.struct(*own), order).alias("_row"), F.count_distinct("node").alias("signals"), F.min("time_bin").alias("_seen")
+    )
+    key = F.sha2(F.to_json(F.struct("_clue", F.unix_seconds("_seen").alias("seen"))), 256)
+    return best.join(first, "cause").select("_row.*", F.substring(key, 1, 32).alias("incident_id"), "signals")
+
+
 def _span(window: timedelta) -> str:
     seconds = int(window.total_seconds())
     for size, unit in ((86400, "day"), (3600, "hour"), (60, "min")):
@@ -136,9 +204,11 @@ def incident_report(
         name = F.when(F.col("signal_type") == signal, text).otherwise(name)
     z = F.format_string("%.2f", F.round("anomaly_score", 2))
     article = F.concat(F.lit("Related article: "), F.col("_title"), F.lit("\n"), F.col("_snippet"))
+    more = [F.concat(F.lit("Signals of this cause: "), F.col("signals").cast("string"))] if "signals" in out.columns else []
     text = F.concat_ws(
         "\n",
         F.concat(F.lit("Signal: "), F.col("signal_type")),
+        *more,
         F.concat(F.lit("Service: "), F.col("service"), F.lit(" | Route: "), F.col("route")),
         F.concat(F.lit("Anomaly score: "), z, F.lit(f" (threshold {cfg.z_threshold})")),
         F.concat(F.lit("Actual: "), _shown(F.col("actual")), F.lit(" | Baseline mean: "),
@@ -159,4 +229,5 @@ def incident_report(
         text.alias("body"),
         F.lit(LABELS).alias("labels"),
         ts_lit(as_of).alias("fired_at"),
+        *[c for c in ("incident_id", "signals") if c in out.columns],
     )

@@ -46,8 +46,8 @@ def _tokenised(articles: DataFrame) -> DataFrame:
     return rows.withColumn("doc_len", F.size("_tokens").cast("bigint"))
 
 
-def build_article_index(articles: DataFrame) -> ArticleIndex:
-    """Index all bodies.
+def build_article_index(articles: DataFrame, extra: Sequence[str] = ()) -> ArticleIndex:
+    """Index all bodies; ``extra`` columns of the articles go with their attributes.
 
     An article's words are sorted and counted as runs inside its own row, so
     building postings shuffles nothing. explode() of a one-element array pins
@@ -69,7 +69,7 @@ def build_article_index(articles: DataFrame) -> ArticleIndex:
         )
     )
     return ArticleIndex(
-        rows.select(*ATTRIBUTES, "doc_len"), runs.select("term", "article_id", "tf", "doc_len")
+        rows.select(*ATTRIBUTES, *extra, "doc_len"), runs.select("term", "article_id", "tf", "doc_len")
     )
 
 

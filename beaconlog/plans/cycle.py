@@ -15,12 +15,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ObsConfig, ts_lit, utc_now
 from ..operators import forecast
+from ..operators.article_index import StoredIndex, search_index
 from ..operators.alerts import alert_source, evaluate_alerts, fixed_alerts
 from ..operators.detect import stored_bins
 from ..operators.incidents import (
     KEY,
     attach_deployment,
     dedup_incidents,
+    group_incidents,
     incident_report,
     remediation_candidates,
     still_open,
@@ -55,13 +57,16 @@ class Store:
         return f"{self.root}/{name}"
 
 
-def best_articles(signals: DataFrame, articles: DataFrame) -> DataFrame:
+def best_articles(signals: DataFrame, articles: DataFrame | StoredIndex) -> DataFrame:
     """The best article per signal series, with a snippet of its body."""
     queries = materialize(signal_search_queries(signals), "queries")
     asked = queries.select("query_id", "query").distinct()
-    hits = materialize(search_articles(asked, articles, k=1), "hits")
-    bodies = articles.select("article_id", search_snippet(F.col("body")).alias("snippet"))
-    hits = hits.select("query_id", "article_id", "title").join(bodies, "article_id")
+    if isinstance(articles, StoredIndex):
+        hits = search_index(articles, asked, k=1, snippet=True).select("query_id", "title", "snippet")
+    else:
+        hits = materialize(search_articles(asked, articles, k=1), "hits")
+        bodies = articles.select("article_id", search_snippet(F.col("body")).alias("snippet"))
+        hits = hits.select("query_id", "article_id", "title").join(bodies, "article_id")
     return queries.join(hits, "query_id").select("signal_type", "service", "route", "title", "snippet")
 
 
@@ -71,12 +76,17 @@ def build_incidents(
     open_incidents: DataFrame,
     as_of: datetime,
     cfg: ObsConfig = ObsConfig(),
-    articles: DataFrame | None = None,
+    articles: DataFrame | StoredIndex | None = None,
+    grouped: bool = False,
 ) -> DataFrame:
-    """Incident rows for stored ``signals``."""
+    """Incident rows for stored ``signals``: one per service, route and SHA, or one per cause (``grouped``)."""
     shas = evidence_shas(signals, raw, as_of, cfg)
-    candidates = remediation_candidates(attach_deployment(signals, shas), open_incidents, cfg)
-    chosen = materialize(dedup_incidents(candidates), "incidents")
+    attached = attach_deployment(signals, shas)
+    if grouped:
+        strong = remediation_candidates(attached, open_incidents.limit(0), cfg)
+        chosen = materialize(group_incidents(strong, open_incidents), "incidents")
+    else:
+        chosen = materialize(dedup_incidents(remediation_candidates(attached, open_incidents, cfg)), "incidents")
     evidence = evidence_errors(chosen, raw, as_of, cfg)
     hits = None if articles is None else best_articles(chosen, articles)
     return incident_report(chosen, evidence, hits, as_of, cfg)
@@ -111,15 +121,15 @@ def run_cycle(
     as_of: datetime,
     cfg: ObsConfig = ObsConfig(),
     use: str = "zscore",
-    articles: DataFrame | None = None,
+    articles: DataFrame | StoredIndex | None = None,
     open_incidents: DataFrame | None = None,
     incidents: bool = False,
 ) -> bool:
     """Detect, alert and assemble incidents at ``as_of``; True when an alert fired.
 
     With ``incidents`` (or with ``open_incidents`` from elsewhere) incident rows are
-    written, except for what the store remembers as open: incidents of earlier cycles
-    that ``close_incidents`` has not closed. The fixed limits are checked in every
+    written, one per cause, except for causes of what the store remembers as open: incidents of earlier cycles
+    that ``close_incidents`` has not closed. ``articles`` are best given as a stored index. The fixed limits are checked in every
     cycle, also when no signal and no log row has arrived.
 
     Everything is read as of one commit, the newest at the start: both kinds of bins belong to one
@@ -141,7 +151,7 @@ def run_cycle(
             known = remembered_incidents(spark, store, as_of)
             if open_incidents is not None:
                 known = known.unionByName(open_incidents.select(*KEY))
-            rows = build_incidents(signals, raw, known, as_of, cfg, articles)
+            rows = build_incidents(signals, raw, known, as_of, cfg, articles, grouped=True)
             write_cycle(rows.select(*names(INCIDENT_COLUMNS)), store.incidents, as_of)
         return fired
 

@@ -103,6 +103,8 @@ INCIDENT_COLUMNS = [
     ("body", "string"),
     ("labels", "string"),
     ("fired_at", "timestamp"),
+    ("incident_id", "string"),
+    ("signals", "bigint"),
 ]
 
 CLOSED_INCIDENT_COLUMNS = [
