@@ -11,7 +11,7 @@ import functools
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from beaconlog.config import ts_lit
@@ -25,6 +25,7 @@ from beaconlog.functions import (
     series_key,
     split_part,
     time_bin,
+    uniform_int,
 )
 from beaconlog.operators import alerts, article_index, detect, forecast, incidents, rollups, search, views
 from beaconlog.plans import cycle, dashboard, evidence, metrics
@@ -705,6 +706,18 @@ def _(spark, sf):
                                 grain_seconds=86400, time="source_ts", cfg=CFG)
 
 
+@query("metric_query_filtered", sql.logs(f"""SELECT service, time_bucket(INTERVAL '6 hours', ingest_ts) AS ingest_ts,
+  COUNT(*) AS request_count, round(quantile_cont(duration_ms, 0.95), 6) AS p95_latency_ms
+  FROM http WHERE {SINCE} AND method = 'GET' AND status_code < 500 GROUP BY 1, 2
+  ORDER BY request_count DESC, service, 2 LIMIT 25"""))
+def _(spark, sf):
+    # filters, a grain within a window, order and limit
+    return metrics.metric_query(
+        logs(spark, sf), "http_requests", ["request_count", "p95_latency_ms"], ["service"], AS_OF, MONTH,
+        filters=[F.col("method") == "GET", F.col("status_code") < 500], grain_seconds=21600, time="ingest_ts",
+        order=[F.desc("request_count"), F.col("service"), F.col("ingest_ts")], limit=25, cfg=CFG)
+
+
 @query("metric_query_total", sql.logs("""SELECT COUNT(*) AS request_count,
   round(quantile_cont(duration_ms, 0.95), 6) AS p95_latency_ms FROM http"""))
 def _(spark, sf):
@@ -932,6 +945,31 @@ def _(spark, sf):
     return incidents.dedup_incidents(found)
 
 
+# signals and clues as a graph; a cause is what can be reached
+CAUSES = """
+nodes AS (SELECT DISTINCT signal_type, service, route, deployment_sha FROM attached WHERE anomaly_score >= 2.0
+  AND signal_type IN ('backend_http_error_rate','error_signature_spike','post_deployment_regression')
+  AND deployment_sha IS NOT NULL),
+clues AS (SELECT *, 'sha|' || service || '|' || deployment_sha AS clue FROM nodes UNION ALL
+  SELECT *, 'route|' || service || '|' || CASE signal_type WHEN 'post_deployment_regression' THEN NULL
+    WHEN 'error_signature_spike' THEN nullif(regexp_extract(route, ':(/.*)$', 1), '') ELSE route END FROM nodes),
+near AS (SELECT DISTINCT a.clue, b.clue AS other FROM clues a JOIN clues b USING (signal_type, service, route, deployment_sha)
+  WHERE a.clue IS NOT NULL AND b.clue IS NOT NULL),
+reach(clue, other) AS (SELECT clue, other FROM near UNION SELECT r.clue, n.other FROM reach r JOIN near n ON n.clue = r.other),
+causes AS (SELECT c.signal_type, c.service, c.route, c.deployment_sha, MIN(r.other) AS cause
+  FROM clues c JOIN reach r ON r.clue = c.clue GROUP BY 1, 2, 3, 4),
+grouped AS (SELECT a.*, cause, COUNT(DISTINCT (signal_type, service, route, deployment_sha)) OVER (PARTITION BY cause) AS signals,
+  row_number() OVER (PARTITION BY cause ORDER BY anomaly_score DESC, time_bin DESC, signal_type DESC, route DESC) AS rn
+  FROM attached a JOIN causes USING (signal_type, service, route, deployment_sha) WHERE anomaly_score >= 2.0)"""
+
+
+@query("group_incidents", sql.signals(f"SELECT {sql.SIGNAL_LIST}, deployment_sha, signals FROM grouped WHERE rn = 1",
+                                      sql.EVIDENCE, CAUSES).replace("WITH ", "WITH RECURSIVE ", 1))
+def _(spark, sf):
+    strong = incidents.remediation_candidates(attached(spark, sf), open_incidents(spark, sf).limit(0), CFG)
+    return incidents.group_incidents(strong, open_incidents(spark, sf).limit(0)).drop("incident_id")
+
+
 def _shown(column: str) -> str:
     return f"""CASE WHEN signal_type IN ('backend_http_error_rate','post_deployment_regression')
   THEN printf('%.1f%%', round({column} * 100, 1)) ELSE printf('%.1f', round({column}, 1)) END"""
@@ -1099,6 +1137,26 @@ def _(spark, sf):
     )
 
 
+@query("null_order", sql.logs("""SELECT coalesce(deployment_sha, 'none') AS sha, COUNT(*) AS log_rows,
+  row_number() OVER (ORDER BY deployment_sha DESC NULLS FIRST) AS place_down,
+  row_number() OVER (ORDER BY deployment_sha ASC NULLS LAST) AS place_up FROM logs GROUP BY deployment_sha"""))
+def _(spark, sf):
+    # where the dashboard's orders put rows without a value
+    counted = logs(spark, sf).groupBy("deployment_sha").agg(F.count("*").alias("log_rows"))
+    place = lambda order: F.row_number().over(Window.orderBy(order)).cast("bigint")
+    return counted.select(
+        F.coalesce("deployment_sha", F.lit("none")).alias("sha"), "log_rows",
+        place(dashboard._down("deployment_sha")).alias("place_down"), place(dashboard._up("deployment_sha")).alias("place_up"),
+    )
+
+
+@query("uniform_integers", """SELECT 3 + (event_id * 7919) % 15 AS drawn, CAST(event_id % 4 AS BIGINT) AS kind,
+  COUNT(*) AS drawn_rows FROM events GROUP BY 1, 2""")
+def _(spark, sf):
+    drawn = adapters.events(spark, sf).select(uniform_int(F.col("event_id"), 3, 17).alias("drawn"), F.expr("event_id % 4").alias("kind"))
+    return drawn.groupBy("drawn", "kind").agg(F.count("*").alias("drawn_rows"))
+
+
 @query("scalar_rules", """SELECT event_type, time_bucket(INTERVAL '5 minutes', ts) AS time_bin,
   strftime(MIN(ts), '%Y-%m-%dT%H:%M:%SZ') AS first_seen,
   round(CASE WHEN SUM(user_id % 2) = 0 THEN 0 ELSE SUM(value) / SUM(user_id % 2) END, 6) AS ratio,
