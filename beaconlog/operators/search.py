@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 K1, B = 1.2, 0.75
-# query vectors scored in one pass over the articles
-DENSE_BLOCK = 1024
+# query vectors and vectors that meet in one matrix product, about
+DENSE_BLOCK, VECTOR_BLOCK = 1024, 8192
+# vectors from which cells are made, and the most cells
+CELL_SAMPLE, MOST_CELLS = 4096, 256
 
 # The search texts of a signal; its name stands between the two parts of a variant.
 SERIES_TEXT = "runbook remediation root cause"
@@ -169,6 +171,106 @@ def search_snippet(body: Column, length: int = 300) -> Column:
 
 # ── vector search ───────────────────────────────────────────────────────────
 
+def _unit(vectors: Sequence) -> np.ndarray:
+    rows = np.stack([np.asarray(v, dtype="float64") for v in vectors])
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
+
+
+def fit_cells(vectors: DataFrame, id_column: str, vector_column: str, sample: int = CELL_SAMPLE, most: int = MOST_CELLS) -> np.ndarray:
+    """Centres of cells by k-means over at most ``sample`` vectors (those with the least hash of their id).
+
+    The centres only decide how much is compared, never what is found.
+    """
+    some = vectors.filter(F.col(vector_column).isNotNull()).select(id_column, vector_column)
+    picked = some.orderBy(F.xxhash64(id_column), id_column).limit(sample).toPandas()  # bounded
+    if picked.empty:
+        return np.zeros((0, 0))
+    rows = _unit(picked[vector_column])
+    centres = rows[:: max(1, len(rows) // min(most, max(1, int(len(rows) ** 0.5))))][:most].copy()
+    for _ in range(8):
+        nearest = (rows @ centres.T - (centres**2).sum(axis=1) / 2).argmax(axis=1)
+        for c in np.unique(nearest):
+            centres[c] = rows[nearest == c].mean(axis=0)
+    return centres
+
+
+def _assign(centres: np.ndarray, id_column: str, vector_column: str):
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch[batch[vector_column].notna()]
+            if batch.empty:
+                continue
+            rows = _unit(batch[vector_column])
+            cell = (rows @ centres.T - (centres**2).sum(axis=1) / 2).argmax(axis=1)
+            gap = np.linalg.norm(rows - centres[cell], axis=1)
+            yield pd.DataFrame({id_column: batch[id_column], vector_column: batch[vector_column], "cell": cell.astype("int32"), "gap": gap})
+
+    return assign
+
+
+def _able_cells(centres: np.ndarray, stats: dict[int, tuple[int, float]], k: int):
+    """Rows of queries to the cells that may hold one of their best ``k``.
+
+    The product with a vector lies within the cell's radius of that with its centre. Cells in the order of
+    their lower bounds that hold ``k`` vectors give a floor; a cell whose upper bound is below it cannot win.
+    """
+    cells = np.array(sorted(stats), dtype="int32")
+    count = np.array([stats[c][0] for c in cells])
+    radius = np.array([stats[c][1] for c in cells])
+
+    def able(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch = batch[batch["vector"].notna()]
+            if batch.empty:
+                continue
+            middle = _unit(batch["vector"]) @ centres[cells].T
+            for query_id, vector, row in zip(batch["query_id"], batch["vector"], middle):
+                order = np.argsort(-(row - radius), kind="stable")
+                enough = np.searchsorted(np.cumsum(count[order]), k)
+                floor = (row - radius)[order[enough]] if enough < len(order) else -np.inf
+                chosen = cells[row + radius >= floor - 1e-9]
+                yield pd.DataFrame({"query_id": query_id, "vector": [vector] * len(chosen), "cell": chosen})
+
+    return able
+
+
+def _score_block(k: int, id_column: str, vector_column: str):
+    def score(queries: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"query_id": queries["query_id"][:0], id_column: vectors[id_column][:0], "score": np.zeros(0)})
+        if queries.empty or vectors.empty:
+            return empty
+        # rounded, so that equal directions tie whatever order the parts are summed in
+        sims = np.round(_unit(queries["vector"]) @ _unit(vectors[vector_column]).T, 9)
+        keys = vectors[id_column].to_numpy()
+        # by score, then id, so that equal scores keep the smaller ids
+        best = [np.lexsort((keys, -row))[:k] for row in sims]
+        return pd.DataFrame({
+            "query_id": np.repeat(queries["query_id"].to_numpy(), [len(b) for b in best]),
+            id_column: np.concatenate([keys[b] for b in best]),
+            "score": np.concatenate([row[b] for row, b in zip(sims, best)]),
+        })
+
+    return score
+
+
+def able_pairs(queries: DataFrame, vectors: DataFrame, k: int, id_column: str, vector_column: str) -> tuple[DataFrame, DataFrame, dict]:
+    """Queries with the cells that may win, vectors with their cell, and ``cell -> (vectors, radius)``."""
+    centres = fit_cells(vectors, id_column, vector_column)
+    kind = f"`{id_column}` {dict(vectors.dtypes)[id_column]}, `{vector_column}` {dict(vectors.dtypes)[vector_column]}"
+    placed = vectors.select(id_column, vector_column).mapInPandas(
+        _assign(centres, id_column, vector_column), f"{kind}, cell int, gap double"
+    )
+    placed = materialize(placed, "cells")
+    found = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("gap").alias("r")).collect()  # a row per cell
+    stats = {r.cell: (r.n, r.r) for r in found}
+    types = dict(queries.dtypes)
+    schema = f"query_id {types['query_id']}, vector {types['vector']}, cell int"
+    asked = queries.select("query_id", "vector")
+    if not stats:
+        return queries.sparkSession.createDataFrame([], schema), placed, stats
+    return materialize(asked.mapInPandas(_able_cells(centres, stats, k), schema), "able-cells"), placed, stats
+
+
 def search_articles_dense(
     queries: DataFrame,
     vectors: DataFrame,
@@ -178,54 +280,33 @@ def search_articles_dense(
 ) -> DataFrame:
     """Exact cosine top ``k`` per query vector (``query_id``, ``vector``).
 
-    Each Arrow batch of vectors is compared with a block of query vectors by
-    one matrix product and reduced to its own best k, so what leaves a task is
-    k rows per query and batch, not every pair. More queries than a block
-    holds are spread over several passes.
+    Vectors lie in cells of near directions. A query meets only the cells that can
+    still win by the triangle inequality. Cells are cut into blocks of bounded size on both
+    sides, a block is one matrix product, and what leaves it is k rows per
+    query, not every pair. Neither side goes through the driver.
+
+    Null vectors find nothing and are not found; one of zeros has the score 0 with all. Hits of
+    equal query ids are ranked together. Scores are rounded to nine places, ties go to the smaller id.
     """
-    total = queries.count()
-    passes = max(1, math.ceil(2 * total / DENSE_BLOCK)) if total > DENSE_BLOCK else 1
-    kind = dict(vectors.dtypes)[id_column]
-    schema = f"query_id {dict(queries.dtypes)['query_id']}, {id_column} {kind}, score double"
-    found = None
-    for number in range(passes):
-        block = queries
-        if passes > 1:
-            block = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(passes)) == number)
-        pdf = block.select("query_id", "vector").toPandas()  # one bounded block
-        if pdf.empty:
-            continue
-        part = vectors.select(id_column, vector_column).mapInPandas(
-            _score_block(pdf["query_id"].tolist(), pdf["vector"].tolist(), k, id_column, vector_column), schema
-        )
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return queries.sparkSession.createDataFrame([], schema + ", rank int")
+    spark = queries.sparkSession
+    able, placed, stats = able_pairs(queries, vectors, k, id_column, vector_column)
+    schema = f"query_id {dict(queries.dtypes)['query_id']}, `{id_column}` {dict(vectors.dtypes)[id_column]}, score double"
+    if not stats:
+        return spark.createDataFrame([], schema + ", rank int")
+    asked = {r.cell: r.n for r in able.groupBy("cell").agg(F.count("*").alias("n")).collect()}  # a row per cell
+    sizes = [(c, math.ceil(n / VECTOR_BLOCK), math.ceil(asked.get(c, 0) / DENSE_BLOCK)) for c, (n, _) in stats.items()]
+    blocks = F.broadcast(spark.createDataFrame(sizes, "cell int, vector_blocks int, query_blocks int"))  # a row per cell
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        """Rows with a random block of their own side, once for every block of the other."""
+        rows = rows.join(blocks, "cell").filter("query_blocks > 0")
+        chance = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.col(f"{own}_blocks"))
+        rows = rows.withColumn(f"{own}_block", chance.cast("int"))
+        every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_blocks") - 1))
+        return rows.withColumn(f"{other}_block", every).drop("vector_blocks", "query_blocks")
+
+    keys = ["cell", "vector_block", "query_block"]
+    left, right = dealt(able, "query", "vector"), dealt(placed.drop("gap"), "vector", "query")
+    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(_score_block(k, id_column, vector_column), schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), id_column)
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-
-
-def _score_block(ids: Sequence, vectors: Sequence, k: int, id_column: str, vector_column: str):
-    matrix = np.array([np.asarray(v, dtype="float64") for v in vectors])
-    matrix = matrix / np.maximum(np.linalg.norm(matrix, axis=1, keepdims=True), 1e-300)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch = batch[batch[vector_column].notna()]
-            if batch.empty:
-                continue
-            rows = np.stack(batch[vector_column].to_numpy()).astype("float64")
-            rows = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
-            sims = matrix @ rows.T
-            keys = batch[id_column].to_numpy()
-            # by score, then id, so that equal scores keep the smaller ids
-            best = [np.lexsort((keys, -row))[:k] for row in sims]
-            yield pd.DataFrame(
-                {
-                    "query_id": [q for q, order in zip(ids, best) for _ in order],
-                    id_column: np.concatenate([keys[order] for order in best]),
-                    "score": np.concatenate([row[order] for row, order in zip(sims, best)]),
-                }
-            )
-
-    return score

@@ -127,7 +127,8 @@ def test_snippet_and_queries(spark):
 
 @pytest.mark.parametrize("block", [search.DENSE_BLOCK, 4])
 def test_dense_search_equals_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(search, "DENSE_BLOCK", block)  # 4: several passes
+    monkeypatch.setattr(search, "DENSE_BLOCK", block)  # 4: several blocks of queries and of vectors
+    monkeypatch.setattr(search, "VECTOR_BLOCK", 8 * block)
     rng = np.random.default_rng(5)
     vectors = rng.normal(size=(300, 8)).astype("float32")
     vectors[7] = vectors[3] * 2  # same direction: a tie
@@ -145,3 +146,27 @@ def test_dense_search_equals_brute_force(spark, monkeypatch, block):
     for q in range(11):
         best = np.argsort(-sims[q], kind="stable")[:3]
         assert sorted(got[q]) == sorted((int(i), round(float(sims[q][i]), 6)) for i in best)
+
+
+def test_dense_search_skips_cells(spark):
+    """Of well separated directions a query meets its own and few others; odd vectors do no harm."""
+    rng = np.random.default_rng(6)
+    middles = rng.normal(size=(20, 16))
+    vectors = [middles[k % 20] + 0.05 * rng.normal(size=16) for k in range(1000)] + [np.zeros(16)]
+    df = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(vectors)] + [(5000, None)], "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id % 50 = 0").selectExpr("vec_id AS query_id", "embedding AS vector")
+    able, _, stats = search.able_pairs(asked, df, 5, "vec_id", "embedding")
+    met = sum(stats[r.cell][0] for r in able.filter("query_id < 1000").collect())
+    assert met < 0.4 * 20 * len(vectors)
+    found = search.search_articles_dense(asked, df, 5).collect()
+    got = {}
+    for r in sorted(found, key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    rows = np.stack(vectors)
+    rows /= np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
+    for q in range(0, 1001, 50):
+        want = np.lexsort((np.arange(len(rows)), -np.round(rows @ rows[q], 9)))[:5]
+        assert got[q] == want.tolist(), q
+    nothing = df.limit(0)
+    assert search.search_articles_dense(asked, nothing, 5).count() == 0
+    assert search.search_articles_dense(nothing.selectExpr("vec_id AS query_id", "embedding AS vector"), df, 5).count() == 0
