@@ -17,6 +17,9 @@ on right behind the start. (A foreign number behind a card that passes the check
 together with it, one in ten, counts as part of it, before or after the change:
 ``restore`` undoes by the spans and does not depend on that.)
 
+Letters of a mail address move within their alphabet or script; marks stay. Not looked for: secrets,
+IPv6 addresses, phone numbers without country code in groups other than 3-3-4, and letters of other scripts than those listed.
+
 Each row is changed on its own: there is no shuffle and no shared table, whatever
 the frequency of a value. What fails its check is left alone.
 """
@@ -40,13 +43,20 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 ACCENTED = "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 ALPHABETS = ["0123456789", LOWER, LOWER.upper(), ACCENTED]
 
-EMAIL = re.compile(r"(?<![\w.+-])([\w.+-]{1,64})@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![\w-])")
+# letters of other scripts, first and last: they move among those of their own range
+SCRIPTS = [
+    (0x391, 0x3A1), (0x3A3, 0x3A9), (0x3B1, 0x3C9), (0x410, 0x42F), (0x430, 0x44F), (0x5D0, 0x5EA), (0x621, 0x63A), (0x641, 0x64A),
+    (0x904, 0x939), (0xE01, 0xE2E), (0x3041, 0x3096), (0x30A1, 0x30FA), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3),
+]
+
+# the part before the @ may hold most marks that mail systems allow, but does not begin with one that quotes or joins
+EMAIL = re.compile(r"(?<![\w.+-])([\w+-][\w.!#$%&'*^~+-]{0,63})@(?:[A-Za-z0-9-]{1,63}\.)+[A-Za-z]{2,24}(?![\w-])")
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 NUMBERS = re.compile(
     r"(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
-    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w)])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d))"
+    r"|(?P<phone>(?<![\w+])\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){1,4}(?!\d)|(?<![\w)])\(\d{3}\) ?\d{3}[-. ]\d{4}(?!\d)|(?<![\w.-])\d{3}-\d{3}-\d{4}(?![\w-]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
-    r"|(?P<date>(?<![\w./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?![\w/-]|\.\d))"
+    r"|(?P<date>(?<![\w./-])(?:\d{4}(?P<a>[-/.])\d{1,2}(?P=a)\d{1,2}|\d{1,2}(?P<b>[-/.])\d{1,2}(?P=b)\d{4})(?!(?!T\d)[\w/-]|\.\d))"
     rf"|(?P<ip>(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\w|\.\d))"
     r"|(?P<card>(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-]))",
     re.ASCII,
@@ -103,22 +113,35 @@ def permute(value: int, size: int, key: bytes, kind: str, back: bool = False) ->
 
 def permute_text(text: str, key: bytes, kind: str, back: bool = False) -> str:
     """Every character moves within its alphabet; characters of none stay."""
-    places = [(k, a) for k, c in enumerate(text) for a in ALPHABETS if c in a]
+    places = [(k, *p) for k, c in enumerate(text) if (p := _alphabet(c)) is not None]
     if not places:
         return text
-    value, size = 0, 1
-    for k, alphabet in places:
-        value, size = value * len(alphabet) + alphabet.index(text[k]), size * len(alphabet)
+    value, total = 0, 1
+    for _, _, at, size in places:
+        value, total = value * size + at, total * size
     # what stays belongs to the format, so the permutation is of texts of this shape
-    shape = kind + ":" + "".join(next((str(n) for n, a in enumerate(ALPHABETS) if c in a), c) for c in text)
-    value = permute(value, size, key, shape, back)
+    shape = list(text)
+    for k, name, _, _ in places:
+        shape[k] = str(name)
+    value = permute(value, total, key, kind + ":" + "".join(shape), back)
     out = list(text)
-    for k, alphabet in reversed(places):
-        value, at = divmod(value, len(alphabet))
-        out[k] = alphabet[at]
+    for k, name, _, size in reversed(places):
+        value, at = divmod(value, size)
+        out[k] = ALPHABETS[name][at] if name < len(ALPHABETS) else chr(SCRIPTS[name - len(ALPHABETS)][0] + at)
     return "".join(out)
 
 
+def _alphabet(c: str) -> tuple[int, int, int] | None:
+    """Number of the character's alphabet, its place there and the alphabet's size."""
+    for n, letters in enumerate(ALPHABETS):
+        if c in letters:
+            return n, letters.index(c), len(letters)
+    for n, (first, last) in enumerate(SCRIPTS, len(ALPHABETS)):
+        if first <= ord(c) <= last:
+            return n, ord(c) - first, last - first + 1
+    return None
+
+
 def _digits(found: str) -> str:
     return re.sub(r"\D", "", found, flags=re.ASCII)
 
@@ -221,7 +244,7 @@ def _ends(text: str, start: int, end: int, kind: str, part: bool) -> tuple[list[
 
     ``part``: the value begins inside a run that failed.
     """
-    if kind not in ("iban", "phone", "card") or text[start] == "(":
+    if kind not in ("iban", "phone", "card") or (kind == "phone" and text[start] != "+"):
         return [], [end]
     borders = [k for k in range(end - 1, start, -1) if text[k] in " .-" and text[k - 1].isalnum() and text[k + 1].isalnum()]
     if kind == "card":

@@ -113,6 +113,21 @@ def test_what_follows_a_value_stays(kind, value, behind):
     assert "@" in behind or (len(spans) == 1 and new.endswith(f" {behind}"))
 
 
+@pytest.mark.parametrize("text,span", [
+    ("an иван@example.com bitte", "иван"), ("李雷@example.com", "李雷"), ("иван1984@example.org", "иван1984"),
+    ("o'brien@example.com", "o'brien"), ("first%last@example.com", "first%last"), ("at 2024-01-05T10:00:00Z", "2024-01-05"),
+    ("call 555-123-4567 now", "555-123-4567"), ("μαρία@example.gr", "μαρ"),
+])
+def test_values_in_other_scripts_and_forms(text, span):
+    new, spans = pii.pseudonymize(text, KEY)
+    assert len(new) == len(text) and len(spans) == 1
+    kept = [a for a, b in zip(text, new) if a == b]
+    start = text.index(span)
+    assert new[:start] == text[:start] and sum(a != b for a, b in zip(text[start:], new[start:])) >= len(span) // 2, kept
+    assert all(a.isalnum() == b.isalnum() for a, b in zip(text, new))
+    assert pii.pseudonymize(f"x {text} y", KEY)[0] == f"x {new} y"
+
+
 def test_what_precedes_a_value_stays():
     _planted("no 12 4111 1111 1111 1111", ("card", "4111 1111 1111 1111"))
     _planted("AB12 3456 7890 BE68 5390 0754 7034", ("iban", "BE68 5390 0754 7034"))
