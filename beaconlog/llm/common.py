@@ -54,6 +54,16 @@ def running_base(parts: DataFrame, key: str, size: str, base: str, chunk: int =
     )
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` with as many underscores in front as it takes not to meet a column of ``df``."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def text_key(text: str = "text") -> Column:
     """128 bits of the text; with the id it names a row, and equal rows alike."""
     value = F.coalesce(F.col(text), F.lit(""))

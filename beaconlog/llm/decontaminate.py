@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import ascii_lower, store, text_key
+from .common import ascii_lower, free_names, store, text_key
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
@@ -199,9 +199,15 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows, with all their columns, in which no window of the benchmark occurs."""
+    """The rows, with all their columns, in which no window of the benchmark occurs.
+
+    Null and empty texts have no words and stay, as does everything when the benchmark has none.
+    Rows may repeat and ids be null: a row is judged by its id and text. Columns of any name go
+    through unchanged. An empty table gives no rows.
+    """
+    own_id, own_key, hit_id, hit_key = free_names(docs, "_id", "_key", "_hit_id", "_hit_key")
     found, _, _ = occurrences(docs, benchmark, id_col, text_col, **options)
-    hit = store(found.select("id", "key").distinct(), "bench-hit-rows")
-    out = docs.withColumn("_row_id", F.col(id_col).cast("long")).withColumn("_row_key", text_key(text_col))
-    same = out["_row_id"].eqNullSafe(hit["id"]) & (out["_row_key"] == hit["key"])
+    hit = store(found.select(F.col("id").alias(hit_id), F.col("key").alias(hit_key)).distinct(), "bench-hit-rows")
+    out = docs.withColumn(own_id, F.col(id_col).cast("long")).withColumn(own_key, text_key(text_col))
+    same = F.col(own_id).eqNullSafe(F.col(hit_id)) & (F.col(own_key) == F.col(hit_key))
     return out.join(hit, same, "left_anti").select(*docs.columns)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import free_names, store
 
 ROUND_BITS = 4
 
@@ -92,14 +92,20 @@ def tree_dedup(
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "largest") -> DataFrame:
-    """The input's rows and columns, one row of each group of equal texts."""
+    """The input's rows and columns, one row of each group of equal texts.
+
+    A null text is an empty one. Of rows with the id that stays one is kept, any of
+    them if they differ in other columns. A null id stays only where its group has no other. Columns
+    of any name go through unchanged. An empty table gives no rows.
+    """
+    own_id, own_digest, keep_id, keep_digest = free_names(docs, "_id", "_digest", "_keep_id", "_keep_digest")
     kept = (
         tree_dedup(docs, id_col, text_col, keep)
         .where("kept")
-        .select(F.col(id_col).alias("_keep_id"), F.unhex("text_sha256").alias("_digest"))
+        .select(F.col(id_col).alias(keep_id), F.unhex("text_sha256").alias(keep_digest))
     )
     digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    out = docs.withColumn("_digest", digest).withColumn("_keep_id", F.col(id_col).cast("long"))
-    same = out["_keep_id"].eqNullSafe(kept["_keep_id"]) & (out["_digest"] == kept["_digest"])
+    out = docs.withColumn(own_digest, digest).withColumn(own_id, F.col(id_col).cast("long"))
+    same = F.col(own_id).eqNullSafe(F.col(keep_id)) & (F.col(own_digest) == F.col(keep_digest))
     # rows that repeat id and text both match their group's winner
-    return out.join(kept, same, "left_semi").dropDuplicates(["_keep_id", "_digest"]).select(*docs.columns)
+    return out.join(kept, same, "left_semi").dropDuplicates([own_id, own_digest]).select(*docs.columns)

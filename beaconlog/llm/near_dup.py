@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store, text_key
+from .common import free_names, store, text_key
 from .components import components
 from .odd_sketch import Family, largest_distance, shingles
 
@@ -393,14 +393,16 @@ def drop_near_duplicates(
     """The input's rows and columns, of every group of linked rows the one with the smallest id.
 
     Of rows with that id the one with the smallest text hash stays; rows that repeat id
-    and text are one row.
+    and text are one row. Null and empty texts are linked with nothing and stay; a null id stays
+    only where its group has no other. Columns of any name go through unchanged. An empty table gives no rows.
     """
     out = _classes(docs, id_col, text_col, shingle, percent, SAMPLES, BANDS, ROWS, BITS, SEED)
     # nulls last: a row without id stays only if its group has no other
     rank = F.struct(F.col("id").isNull(), "id", "text_key")
     best = out.where("component is not null").groupBy("component").agg(F.min(rank).alias("r")).select("r.id", "r.text_key")
     alone = out.where("component is null").select("id", "text_key")
-    stay = store(best.unionByName(alone).distinct(), "near-stay")
-    rows = docs.withColumn("_row_id", F.col(id_col).cast("long")).withColumn("_row_key", text_key(text_col))
-    same = rows["_row_id"].eqNullSafe(stay["id"]) & (rows["_row_key"] == stay["text_key"])
-    return rows.join(stay, same, "left_semi").dropDuplicates(["_row_id", "_row_key"]).select(*docs.columns)
+    own_id, own_key, stay_id, stay_key = free_names(docs, "_id", "_key", "_stay_id", "_stay_key")
+    stay = store(best.unionByName(alone).distinct().toDF(stay_id, stay_key), "near-stay")
+    rows = docs.withColumn(own_id, F.col(id_col).cast("long")).withColumn(own_key, text_key(text_col))
+    same = F.col(own_id).eqNullSafe(F.col(stay_id)) & (F.col(own_key) == F.col(stay_key))
+    return rows.join(stay, same, "left_semi").dropDuplicates([own_id, own_key]).select(*docs.columns)

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from beaconlog.llm import decontaminate, exact_dedup, queries, shard_shuffle, url_rules
+from beaconlog.llm import decontaminate, exact_dedup, near_dup, queries, shard_shuffle, url_rules
 from check import TABLES, canonical
 
 
@@ -156,3 +156,18 @@ def test_only_the_rarest_shingle_is_joined(spark, monkeypatch):
     assert [(r.doc_id, r.n_hit, r.items) for r in got] == [(50, 10, ["1"])]
     # a row for each document and one for the window's rarest shingle, none for the three common ones
     assert stored["bench-meetings"].where("hit").count() == 1 and stored["bench-meetings"].count() == 53
+
+
+def test_columns_of_any_name_go_through(spark, odd_docs, no_docs):
+    """The filtering functions give back their input's columns, also those that look like their own."""
+    import corpus_pipeline
+
+    names = ["_digest", "_keep_id", "_row_id", "_row_key", "_id", "_key", "_hit_id", "_stay_id", "id"]
+    docs = odd_docs.select("doc_id", "text").withColumns({n: F.lit(f"mine {n}") for n in names})
+    bench = spark.createDataFrame([(1, "no such words")], "item_id long, text string")
+    for kept in (exact_dedup.drop_copies(docs), near_dup.drop_near_duplicates(docs), decontaminate.drop_contaminated(docs, bench)):
+        rows = kept.collect()
+        assert kept.columns == docs.columns and rows
+        assert all(r[n] == f"mine {n}" for r in rows for n in names)
+    assert exact_dedup.drop_copies(no_docs).count() == near_dup.drop_near_duplicates(no_docs).count() == 0
+    assert corpus_pipeline.pack(spark, no_docs, "").count() == 0
