@@ -147,26 +147,37 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
+def quota_of(sizes: list[int], total: int) -> float:
+    """Rows of a language such that all languages together, each at most with what it has, give ``total``."""
+    left, rest = float(total), sorted(sizes)
+    while rest and rest[0] <= left / len(rest):
+        left -= rest.pop(0)
+    return left / len(rest) if rest else float("inf")
+
+
 def train(
     docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = ENTRIES, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang",
 ) -> Model:
-    """Fit on the labelled rows of ``docs``: at most ``sample_rows`` ids, as many of each language as there are.
+    """Fit on the labelled rows of ``docs``: about ``sample_rows`` ids and no more, as many of each language as there are.
 
-    Ids are taken by a hash, language by language in turn, so a rare language is not crowded out and
-    the order of rows is of no account. Rows with a null id or language are left out; an id
-    that occurs more than once counts with every row of its language. Without any row
-    the model knows no language, and every text is ``und``.
+    Every language has a quota of rows, the same for all that have as many, and its ids are taken by a
+    hash below the quota's share, so a rare language is not crowded out and the order of rows
+    is of no account. Rows with a null id or language are left out; an id that occurs more than once
+    counts with every row of its language. Without any row the model knows no language, and every text
+    is ``und``. The languages themselves are taken to be few: the model holds a column for each.
     """
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
     ).where("id is not null and lang is not null")
-    chance = F.xxhash64("id")
-    # the rank is bounded, so a task passes on no more rows than that of a language
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("chance", "id"))
-    ranked = rows.select("id", "lang", chance.alias("chance")).withColumn("rank", rank).where(F.col("rank") <= sample_rows)
-    wanted = ranked.orderBy("rank", "lang").limit(sample_rows).select("id", "lang").distinct()
+    spark = docs.sparkSession
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    quota = quota_of(list(sizes.values()), sample_rows)
+    shares = spark.createDataFrame([(x, min(1.0, quota / n)) for x, n in sizes.items()], "lang string, share double")
+    chance = F.pmod(F.xxhash64("id"), F.lit(1 << 30)) / (1 << 30)
+    chosen = rows.select("id", "lang", chance.alias("chance")).join(F.broadcast(shares), "lang").where("chance < share")
+    wanted = chosen.select("id", "lang", "chance").distinct().orderBy("chance", "id", "lang").limit(sample_rows).select("id", "lang")
     sample = rows.join(F.broadcast(wanted), ["id", "lang"]).select("lang", "text")
     counted = sample.mapInArrow(_counts, "lang string, size int, gram string, n long")
     counts = store(counted.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")), "language-counts")

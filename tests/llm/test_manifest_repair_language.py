@@ -250,6 +250,20 @@ def test_backoff_goes_to_shorter_grams():
     assert scorer.text("12 !") == scorer.text(None) == scorer.text("") == ("und", 0.0)
 
 
+@pytest.mark.parametrize("sizes,total,taken", [([], 5, 0), ([3, 4], 10, 7), ([2, 100, 1000], 20, 20), ([5, 5], 6, 6)])
+def test_quotas(sizes, total, taken):
+    quota = language_id.quota_of(sizes, total)
+    assert sum(min(n, quota) for n in sizes) == pytest.approx(taken)
+
+
+def test_rare_languages_are_learned(spark):
+    rows = [(k, "common words here", "aa") for k in range(3000)] + [(5000 + k, "seldom heard voices", "bb") for k in range(9)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample_rows=60)
+    assert sorted(model.langs) == ["aa", "bb"]
+    scorer = language_id.Scorer(model)
+    assert (scorer.text("heard voices")[0], scorer.text("words")[0]) == ("bb", "aa")
+
+
 def test_identify_odd_rows(spark, odd_docs, no_docs):
     docs = odd_docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "zz").otherwise(F.lit("yy")))
     model = language_id.train(docs)
