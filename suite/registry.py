@@ -1067,6 +1067,75 @@ def _(spark, sf):
     return rows.groupBy("service").agg(F.count("*").alias("log_rows"))
 
 
+# Eight days a file. Every eleventh row comes one file late; by then the watermark stands two days behind the
+# newest row of its own file, and windows that ended before are closed.
+PERIODS = 4
+ARRIVALS = f"""arrived AS (SELECT *, (day(ingest_ts) - 1) // 8 AS period, event_id % 11 = 0 AS late FROM {{}}),
+newest AS (SELECT period, MAX(ingest_ts) AS m FROM arrived WHERE NOT late GROUP BY 1),
+counted AS (SELECT a.* FROM arrived a JOIN newest USING (period) WHERE NOT late
+  OR time_bucket(INTERVAL '6 hours', ingest_ts) + INTERVAL '6 hours' > m - INTERVAL '2 days')"""
+
+
+def arriving(spark, sf, folder: str, files) -> None:
+    """Write some of the files in which the events arrive: ``period`` 0 to 4, each with the late rows of the one before."""
+    df = adapters.events(spark, sf)
+    period, late = F.floor((F.dayofmonth("ts") - 1) / 8), F.col("event_id") % 11 == 0
+    for number in files:
+        chosen = (~late & (period == number)) | (late & (period == number - 1))
+        df.filter(chosen).coalesce(1).write.mode("append").parquet(folder)
+
+
+def drain_files(spark, sf, streamed, keys: list[str]) -> DataFrame:
+    """One file a batch; stopped after each, and started again from the checkpoint.
+
+    Within a run Spark tests for late rows with the watermark of one batch before; between runs an
+    empty batch brings it up to date.
+    """
+    out = fresh_dir(spark, "arrivals")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/rows/batch_id={batch_id}")
+
+    for number in range(PERIODS + 1):
+        arriving(spark, sf, f"{out}/in", [number])
+        events = spark.readStream.schema(adapters.EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+        stream = streamed(adapters.events_as_logs(events))
+        stream.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", f"{out}/checkpoint").trigger(
+            availableNow=True).start().awaitTermination()
+    rows = tables.read_table(spark, f"{out}/rows", ddl(stream.dtypes) + ", batch_id bigint")
+    if not keys:
+        return rows
+    rest = [c for c in stream.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("_r")).select(*keys, "_r.*").select(*stream.columns)
+
+
+@query("stream_late_requests", sql.with_(sql.LOGS, sql.VIEWS, ARRIVALS.format("http"), select=f"""
+  SELECT time_bucket(INTERVAL '6 hours', ingest_ts) AS time_bin, service || '::' || route AS series_key, service, route,
+  COUNT(*) AS requests, CAST(SUM({sql.BAD}) AS BIGINT) AS errors,
+  round(SUM({sql.BAD}) / CAST(COUNT(*) AS DOUBLE), 6) AS error_rate FROM counted GROUP BY 1, 2, 3, 4"""))
+def _(spark, sf):
+    return drain_files(spark, sf, lambda rows: windows.stream_http_error_rate(rows, "2 days", CFG), ["time_bin", "service", "route"])
+
+
+@query("stream_late_signatures", sql.with_(sql.LOGS, sql.VIEWS, ARRIVALS.format("errs"), select="""
+  SELECT time_bucket(INTERVAL '6 hours', ingest_ts) AS time_bin, service || '::' || error_signature AS series_key, service,
+  error_signature, COUNT(*) AS error_count FROM counted GROUP BY 1, 2, 3, 4"""))
+def _(spark, sf):
+    return drain_files(spark, sf, lambda rows: windows.stream_error_signatures(rows, "2 days", CFG),
+                       ["time_bin", "service", "error_signature"])
+
+
+@query("stream_dedup_files", sql.logs("SELECT service, COUNT(*) AS log_rows, COUNT(DISTINCT insert_id) AS ids FROM logs GROUP BY 1"))
+def _(spark, sf):
+    # each row comes again with the batch in which it arrives; what arrived late is no copy
+    def twice(rows: DataFrame) -> DataFrame:
+        rows = rows.select("ingest_ts", "service", "insert_id")
+        return json_logs.dedup_logs(rows.unionByName(rows), "40 days")
+
+    rows = drain_files(spark, sf, twice, [])
+    return rows.groupBy("service").agg(F.count("*").alias("log_rows"), F.count_distinct("insert_id").alias("ids"))
+
+
 @query("stream_refresh", sql.rollups(f"SELECT {sql.T2_LIST} FROM t2"))
 def _(spark, sf):
     out = fresh_dir(spark, "follow")
