@@ -27,7 +27,7 @@ from ..config import (
     as_utc,
     ts_lit,
 )
-from ..functions import div0
+from ..functions import div0, join_same, time_bin
 from ..schemas import SIGNAL_COLUMNS
 from ..session import materialize
 from .rollups import latest_shas, signal_rollup, since
@@ -116,7 +116,12 @@ def deployment_frame(ts: DataFrame) -> DataFrame:
 # ── scoring ─────────────────────────────────────────────────────────────────
 
 # Deployments are judged against the whole service, other series against themselves.
-_BASELINE_KEY = f"IF(signal_type = '{SIG_DEPLOY}', service, series_key) AS base_key"
+_BASELINE_RULES = {
+    "base_key": f"IF(signal_type = '{SIG_DEPLOY}', service, series_key)",
+    "_service": "service",
+    "_route": f"IF(signal_type = '{SIG_DEPLOY}', NULL, route)",
+}
+_BASELINE_KEY = f"{_BASELINE_RULES['base_key']} AS base_key"
 
 
 def _gate(cfg: ObsConfig) -> str:
@@ -132,6 +137,7 @@ def zscore_detect(
     cfg: ObsConfig = ObsConfig(),
     recent: DataFrame | None = None,
     latest: DataFrame | None = None,
+    spans: DataFrame | None = None,
 ) -> DataFrame:
     """Signals of a series frame: bins of the holdback window against older bins.
 
@@ -144,6 +150,9 @@ def zscore_detect(
     With ``cfg.latest_sha_only``, ``latest`` names the newest SHA per service
     (``rollups.latest_shas``). Bins do not tell the order of SHAs within a bin, so
     without it the greatest SHA of the newest bin is taken.
+
+    ``spans`` may hold the moments (:func:`span_moments`) of bins that are not in ``past``; they
+    join the baseline.
     """
     recent = past if recent is None else recent
     cut = ts_lit(as_of - cfg.holdback)
@@ -153,18 +162,13 @@ def zscore_detect(
         whole = ts_lit(as_of - timedelta(seconds=cfg.bin_seconds))
         recent = recent.filter(F.col("time_bin") <= whole)
     if cfg.latest_sha_only:
+        if latest is None:
+            latest = _newest_bin_shas(recent)
         past, recent = _latest_sha_only(past, recent, latest)
+        spans = None if spans is None else _without(spans, latest)
 
-    baseline = (
-        past.groupBy(
-            "signal_type",
-            F.expr(_BASELINE_KEY),
-            F.expr("service AS _service"),
-            F.expr(f"IF(signal_type = '{SIG_DEPLOY}', NULL, route) AS _route"),
-        )
-        .agg(F.expr("avg(value) AS baseline_mean"), F.expr("stddev_samp(value) AS baseline_stddev"))
-        .filter("baseline_stddev > 0")
-        .drop("_service", "_route")
+    baseline = _baseline(past) if spans is None else merge_moments(
+        span_moments(past, cfg).unionByName(spans.select(*MOMENTS))
     )
     detection = (
         recent.withColumn("time_bin", F.when(F.expr(f"signal_type = '{SIG_DEPLOY}'"), ts_lit(as_of)).otherwise(F.col("time_bin")))
@@ -196,27 +200,66 @@ def zscore_detect(
     )
 
 
-def _latest_sha_only(
-    past: DataFrame, recent: DataFrame, latest: DataFrame | None
-) -> tuple[DataFrame, DataFrame]:
-    """Judge only the newest SHA of a service, against the bins of its other SHAs."""
-    deploy = F.col("signal_type") == SIG_DEPLOY
-    if latest is None:
-        latest = (
-            recent.filter(deploy)
-            .groupBy("signal_type", "service")
-            .agg(F.max_by("route", F.struct("time_bin", "route")).alias("route"))
-        )
-    else:
-        latest = latest.select(F.lit(SIG_DEPLOY).alias("signal_type"), "service", F.col("deployment_sha").alias("route"))
-    keys = ["signal_type", "service", "route"]
-    kept = recent.filter(deploy).join(latest, keys, "left_semi").select(*recent.columns)
+def _baseline(past: DataFrame) -> DataFrame:
     return (
-        past.join(latest, keys, "left_anti").select(*past.columns),
-        recent.filter(~deploy).unionByName(kept),
+        past.groupBy("signal_type", *[F.expr(rule).alias(name) for name, rule in _BASELINE_RULES.items()])
+        .agg(F.expr("avg(value) AS baseline_mean"), F.expr("stddev_samp(value) AS baseline_stddev"))
+        .filter("baseline_stddev > 0")
+        .drop("_service", "_route")
     )
 
 
+MOMENTS = ["span_start", "signal_type", "series_key", "service", "route", "n", "mean", "m2"]
+
+
+def span_moments(frame: DataFrame, cfg: ObsConfig = ObsConfig()) -> DataFrame:
+    """Per series and refresh span the number of bins, their mean and sum of squared distances from it.
+
+    Moments of spans merge to those of any longer time (:func:`merge_moments`), so a
+    baseline reads one row per span instead of its bins.
+    """
+    return (
+        frame.filter("value IS NOT NULL")
+        .groupBy(time_bin("time_bin", cfg.refresh_span).alias("span_start"), "signal_type", "series_key", "service", "route")
+        .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.expr("var_pop(value) * count(value) AS m2"))
+    )
+
+
+def merge_moments(spans: DataFrame) -> DataFrame:
+    """Baselines from moments; the distances of the spans' means are taken from the merged mean, so nothing cancels out."""
+    keyed = spans.withColumns({name: F.expr(rule) for name, rule in _BASELINE_RULES.items()})
+    keys = list(_BASELINE_RULES)
+    whole = keyed.groupBy("signal_type", *keys).agg(F.sum("n").alias("_all"), (F.sum(F.col("mean") * F.col("n")) / F.sum("n")).alias("_mean"))
+    same = join_same(keyed.select("signal_type", *keys, "n", "mean", "m2"), whole, ["signal_type", *keys])
+    apart = F.col("m2") + F.col("n") * (F.col("mean") - F.col("_mean")) * (F.col("mean") - F.col("_mean"))
+    merged = same.groupBy("signal_type", *keys).agg(F.sum(apart).alias("_m2"), F.max("_all").alias("_n"), F.max("_mean").alias("baseline_mean"))
+    spread = F.when(F.col("_n") > 1, F.sqrt(F.col("_m2") / (F.col("_n") - 1)))
+    return merged.select("signal_type", "base_key", "baseline_mean", spread.alias("baseline_stddev")).filter("baseline_stddev > 0")
+
+
+def _newest_bin_shas(recent: DataFrame) -> DataFrame:
+    return (
+        recent.filter(F.col("signal_type") == SIG_DEPLOY)
+        .groupBy("service")
+        .agg(F.max_by("route", F.struct("time_bin", "route")).alias("deployment_sha"))
+    )
+
+
+def _without(rows: DataFrame, latest: DataFrame) -> DataFrame:
+    """Rows of all series but the deployments of the newest SHAs."""
+    keys = ["signal_type", "service", "route"]
+    newest = latest.select(F.lit(SIG_DEPLOY).alias("signal_type"), "service", F.col("deployment_sha").alias("route"))
+    return rows.join(newest, keys, "left_anti").select(*rows.columns)
+
+
+def _latest_sha_only(past: DataFrame, recent: DataFrame, latest: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Judge only the newest SHA of a service, against the bins of its other SHAs."""
+    deploy = F.col("signal_type") == SIG_DEPLOY
+    newest = latest.select(F.lit(SIG_DEPLOY).alias("signal_type"), "service", F.col("deployment_sha").alias("route"))
+    kept = recent.filter(deploy).join(newest, ["signal_type", "service", "route"], "left_semi").select(*recent.columns)
+    return _without(past, latest), recent.filter(~deploy).unionByName(kept)
+
+
 # ── detectors ───────────────────────────────────────────────────────────────
 
 def _both(frame, ts, recent, *args):

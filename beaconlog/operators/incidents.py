@@ -144,7 +144,8 @@ def group_incidents(candidates: DataFrame, open_incidents: DataFrame) -> DataFra
     known = both.filter("_open").join(causes, "node").select("cause").distinct()
     signals = both.filter("NOT _open").join(causes, "node").join(known, "cause", "left_anti")
     first = clues.join(causes, "node").groupBy("cause").agg(F.min("clue").alias("_clue"))
-    order = F.struct("anomaly_score", "time_bin", "signal_type", "route")
+    # rounded, so that two signals of one spike tie whatever order their baselines are summed in
+    order = F.struct(F.round("anomaly_score", 9), "time_bin", "signal_type", "route")
     best = signals.groupBy("cause").agg(
         F.max_by(F.struct(*own), order).alias("_row"), F.count_distinct("node").alias("signals"), F.min("time_bin").alias("_seen")
     )

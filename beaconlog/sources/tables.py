@@ -49,6 +49,16 @@ LATENCY_BIN_COLUMNS = [
     ("avg_duration_ms", "double"),
     ("p95_duration_ms", "double"),
 ]
+MOMENT_COLUMNS = [
+    ("span_start", "timestamp"),
+    ("signal_type", "string"),
+    ("series_key", "string"),
+    ("service", "string"),
+    ("route", "string"),
+    ("n", "bigint"),
+    ("mean", "double"),
+    ("m2", "double"),
+]
 
 
 def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -172,11 +182,13 @@ def read_ml_detections(spark: SparkSession, path: str) -> DataFrame:
 
 # ── bins ────────────────────────────────────────────────────────────────────
 
-COUNT_BINS, LATENCY_BINS, BIN_DAY = "count_bins", "latency_bins", "bin_date"
+COUNT_BINS, LATENCY_BINS, MOMENTS, BIN_DAY = "count_bins", "latency_bins", "moments", "bin_date"
 
 
-def bin_changes(counts: DataFrame, latency: DataFrame, path: str, spans: Sequence[datetime], span_seconds: int) -> list[Change]:
-    """Bins that replace all bins of ``spans``, in both tables.
+def bin_changes(
+    counts: DataFrame, latency: DataFrame, moments: DataFrame, path: str, spans: Sequence[datetime], span_seconds: int
+) -> list[Change]:
+    """Bins and their moments that replace all of ``spans``, in the three tables.
 
     The rebalance hint lets AQE split a crowded day over several tasks
     and merge sparse ones, so neither one hot day nor many tiny files result.
@@ -185,12 +197,16 @@ def bin_changes(counts: DataFrame, latency: DataFrame, path: str, spans: Sequenc
     for start in spans:
         second = (start - EPOCH) % timedelta(days=1) // timedelta(seconds=1)
         keys.setdefault(f"{start:%Y-%m-%d}", set()).add(str(second // span_seconds))
-    second = F.pmod(F.unix_seconds("time_bin"), F.lit(86400))
-    own = {BIN_DAY: F.to_date("time_bin"), KEY: F.floor(second / span_seconds).cast("int").cast("string")}
-    return [
-        Change(place(path, name)[1], rows.select(*names(columns)).withColumns(own).hint("rebalance", F.col(BIN_DAY)), keys, BIN_DAY)
-        for name, rows, columns in ((COUNT_BINS, counts, COUNT_BIN_COLUMNS), (LATENCY_BINS, latency, LATENCY_BIN_COLUMNS))
-    ]
+    out = []
+    for name, rows, columns in (
+        (COUNT_BINS, counts, COUNT_BIN_COLUMNS), (LATENCY_BINS, latency, LATENCY_BIN_COLUMNS), (MOMENTS, moments, MOMENT_COLUMNS)
+    ):
+        time = columns[0][0]
+        second = F.pmod(F.unix_seconds(time), F.lit(86400))
+        own = {BIN_DAY: F.to_date(time), KEY: F.floor(second / span_seconds).cast("int").cast("string")}
+        rows = rows.select(*names(columns)).withColumns(own).hint("rebalance", F.col(BIN_DAY))
+        out.append(Change(place(path, name)[1], rows, keys, BIN_DAY))
+    return out
 
 
 def read_count_bins(spark: SparkSession, path: str) -> DataFrame:
@@ -201,11 +217,15 @@ def read_latency_bins(spark: SparkSession, path: str) -> DataFrame:
     return snapshots.read(spark, *place(path, LATENCY_BINS), ddl(LATENCY_BIN_COLUMNS), BIN_DAY).drop(KEY)
 
 
+def read_moments(spark: SparkSession, path: str) -> DataFrame:
+    return snapshots.read(spark, *place(path, MOMENTS), ddl(MOMENT_COLUMNS), BIN_DAY).drop(KEY)
+
+
 # ── upkeep ──────────────────────────────────────────────────────────────────
 
 # day columns of the tables below a store's root, for compaction
 DAYS = {
-    "raw_logs": RAW_DAY, "load_history": None, f"bins/{COUNT_BINS}": BIN_DAY, f"bins/{LATENCY_BINS}": BIN_DAY,
+    "raw_logs": RAW_DAY, "load_history": None, f"bins/{COUNT_BINS}": BIN_DAY, f"bins/{LATENCY_BINS}": BIN_DAY, f"bins/{MOMENTS}": BIN_DAY,
     "signals": "day", "alert_log": "day", "outbox": "day", "fixed_alerts": "day", "ml_detections": "day",
     "incidents": "day", "closed_incidents": "day",
 }

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..config import EPOCH, SIG_DEPLOY, ObsConfig, ts_lit
+from ..config import EPOCH, SIG_DEPLOY, ObsConfig, as_utc, ts_lit
 from ..functions import time_bin
-from ..operators.detect import first_recent_bin, stored_bins, zscore_detect
+from ..operators.detect import first_recent_bin, span_moments, stored_bins, zscore_detect
 from ..operators.rollups import count_bins, rollups_from_bins, series_frame, ts_route_latency
+from ..session import materialize
 from ..sources.snapshots import added_by, commit, place, stream_commits
-from ..sources.tables import bin_changes, read_count_bins, read_latency_bins, read_raw_logs, read_raw_paths
+from ..sources.tables import bin_changes, read_count_bins, read_latency_bins, read_moments, read_raw_logs, read_raw_paths
 
 
 def touched_spans(rows: DataFrame, cfg: ObsConfig = ObsConfig()) -> list[datetime]:
@@ -52,7 +53,10 @@ def refresh_bins(
         raw = raw.withColumn("_span", F.unix_seconds(time_bin("ingest_ts", cfg.refresh_span))).join(
             wanted, "_span", "left_semi"
         ).drop("_span")
-    changes = bin_changes(count_bins(raw, None, cfg), ts_route_latency(raw, None, cfg), bins_path, spans, cfg.refresh_span)
+    # stored before use: bins are read again for their moments
+    counts, latency = materialize(count_bins(raw, None, cfg), "counts"), materialize(ts_route_latency(raw, None, cfg), "latency")
+    moments = span_moments(series_frame(counts, latency), cfg)
+    changes = bin_changes(counts, latency, moments, bins_path, spans, cfg.refresh_span)
     commit(spark, place(bins_path)[0], changes)
 
 
@@ -64,13 +68,30 @@ def stored_rollups(spark: SparkSession, bins_path: str) -> dict[str, DataFrame]:
 def stored_signals(
     spark: SparkSession, bins_path: str, as_of: datetime, cfg: ObsConfig = ObsConfig()
 ) -> DataFrame:
-    """All signals from stored bins; only the history window's days are read."""
-    counts = stored_bins(read_count_bins(spark, bins_path), as_of, cfg)
-    latency = stored_bins(read_latency_bins(spark, bins_path), as_of, cfg)
+    """All signals from stored bins and moments.
+
+    The baseline comes from the moments of the spans that lie whole between the start of the history and the
+    holdback; bins are read for the detection window and the two spans at the ends only.
+    """
+    span, start, cut = timedelta(seconds=cfg.refresh_span), as_utc(as_of) - cfg.history, as_utc(as_of) - cfg.holdback
+    first, last = EPOCH - ((EPOCH - start) // span) * span, EPOCH + ((cut - EPOCH) // span) * span
+    first = first if first >= start else first + span
+    last = max(first, last)
+
+    def ends(bins: DataFrame) -> DataFrame:
+        days = (F.col("bin_date") <= F.lit(first.date())) | (F.col("bin_date") >= F.lit(last.date()))
+        return bins.filter(days & ((F.col("time_bin") < ts_lit(first)) | (F.col("time_bin") >= ts_lit(last))))
+
+    counts = stored_bins(ends(read_count_bins(spark, bins_path)), as_of, cfg)
+    latency = stored_bins(ends(read_latency_bins(spark, bins_path)), as_of, cfg)
+    moments = read_moments(spark, bins_path).filter(
+        F.col("bin_date").between(F.lit(first.date()), F.lit(last.date()))
+        & (F.col("span_start") >= ts_lit(first)) & (F.col("span_start") < ts_lit(last))
+    )
     latest = None
     if cfg.latest_sha_only:
         latest = latest_stored_shas(counts.filter(F.col("time_bin") >= ts_lit(first_recent_bin(as_of, cfg))))
-    return zscore_detect(series_frame(counts, latency), as_of, cfg, latest=latest)
+    return zscore_detect(series_frame(counts, latency), as_of, cfg, latest=latest, spans=moments)
 
 
 def latest_stored_shas(counts: DataFrame) -> DataFrame:

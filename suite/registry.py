@@ -955,7 +955,7 @@ reach(clue, other) AS (SELECT clue, other FROM near UNION SELECT r.clue, n.other
 causes AS (SELECT c.signal_type, c.service, c.route, c.deployment_sha, MIN(r.other) AS cause
   FROM clues c JOIN reach r ON r.clue = c.clue GROUP BY 1, 2, 3, 4),
 grouped AS (SELECT a.*, cause, COUNT(DISTINCT (signal_type, service, route, deployment_sha)) OVER (PARTITION BY cause) AS signals,
-  row_number() OVER (PARTITION BY cause ORDER BY anomaly_score DESC, time_bin DESC, signal_type DESC, route DESC) AS rn
+  row_number() OVER (PARTITION BY cause ORDER BY round(anomaly_score, 9) DESC, time_bin DESC, signal_type DESC, route DESC) AS rn
   FROM attached a JOIN causes USING (signal_type, service, route, deployment_sha) WHERE anomaly_score >= 2.0)"""
 
 

@@ -186,3 +186,26 @@ def test_replay_ignores_later_rows(spark):
 
 def test_raw_log_columns(spark):
     assert generate_log_fixture(spark, ALIGNED).columns == names(RAW_LOGS_COLUMNS)
+
+
+def test_merged_moments_equal_the_bins(spark):
+    """Baselines from spans of any cut equal those from the bins, also far from zero."""
+    import random
+
+    rng = random.Random(2)
+    start = datetime(2026, 1, 1)
+    rows = [
+        (start + timedelta(minutes=5 * k), kind, f"s::{key}", "s", key, 10, None, 1e6 + rng.random())
+        for k in range(400) for kind in ("backend_http_error_rate", "post_deployment_regression") for key in ("/a", "/b")
+        if rng.random() < 0.8
+    ]
+    frame = spark.createDataFrame(
+        rows, "time_bin timestamp, signal_type string, series_key string, service string, route string, requests long, errors double, value double"
+    )
+    want = {(r.signal_type, r.base_key): (r.baseline_mean, r.baseline_stddev) for r in detect._baseline(frame).collect()}
+    for span in (300, 3600, 86400):
+        got = detect.merge_moments(detect.span_moments(frame, ObsConfig().with_(refresh_seconds=span))).collect()
+        assert len(got) == len(want) == 3
+        for r in got:
+            mean, spread = want[r.signal_type, r.base_key]
+            assert abs(r.baseline_mean / mean - 1) < 1e-12 and abs(r.baseline_stddev / spread - 1) < 1e-9
