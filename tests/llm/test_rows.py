@@ -39,6 +39,32 @@ def test_tree_dedup(spark, odd_docs, keep, winner, bits):
     assert {r.doc_id for r in blank} == {4, 5, None}
 
 
+def test_runs_are_merged_in_order_by_ranges(spark, tmp_path):
+    rows = spark.range(6000).selectExpr(
+        "unhex(sha2(cast(id % 900 as string), 256)) digest", "cast(3 as long) n_bytes", "cast(id % 8 as int) run",
+        "struct(id as rank, id as row, id as keep_id) best", "1L n",
+    )
+    level = exact_dedup.merge_runs(rows, 0)
+    for bits in (2, 4):
+        level = exact_dedup.merge_runs(level.withColumn("run", F.shiftright("run", 2)), bits)
+        plan = level._jdf.queryExecution().executedPlan().toString()
+        last = plan[:plan.index("REPARTITION_BY_COL")]
+        # one exchange a round, by run and range; the merge itself reads sorted rows
+        assert last.count("Exchange") == 1 and "SortAggregate" in last and "Sort [run" in last
+        path = str(tmp_path / str(bits))
+        level.write.parquet(path)
+        level = spark.read.parquet(path)
+        for file in level.inputFiles():
+            found = [(r.run, r.part, bytes(r.digest)) for r in spark.read.parquet(file).collect()]
+            assert found == sorted(found) and len(set(found)) == len(found)
+            assert all(digest[0] >> (8 - bits) == part for _, part, digest in found)
+    got = {bytes(r.digest): (r.best.keep_id, r.n) for r in level.collect()}
+    assert level.count() == len(got) == 900 and sum(n for _, n in got.values()) == 6000
+    for k in range(900):
+        ids = range(k, 6000, 900)
+        assert got[hashlib.sha256(str(k).encode()).digest()] == (max(ids), len(ids))
+
+
 def test_drop_copies_keeps_columns(odd_docs, no_docs):
     left = exact_dedup.drop_copies(odd_docs)
     assert left.columns == odd_docs.columns
