@@ -1,7 +1,7 @@
 """Absence detection: remember when each forwarder was last heard of.
 
-A stream keeps a small table of last-seen times. Silence itself produces no
-rows and hence no batch, so the check is a separate scheduled read.
+A stream keeps a small table of last-seen times, for a check that is a separate
+scheduled read; ``silence`` tells the same by timers of its own.
 """
 
 from __future__ import annotations
@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..config import ObsConfig, ts_lit
 from ..operators import views
-from ..sources.tables import read_table
+from ..sources import snapshots
+from ..sources.snapshots import KEY, Change, place
 
 _SEEN = "service string, last_seen timestamp"
 
@@ -24,22 +25,24 @@ def last_seen(rows: DataFrame, cfg: ObsConfig = ObsConfig()) -> DataFrame:
     return sent.groupBy("service").agg(F.max("ingest_ts").alias("last_seen"))
 
 
+def _read(spark: SparkSession, path: str, newest: bool = False) -> DataFrame:
+    return snapshots.read(spark, *place(path), _SEEN, newest=newest).drop(KEY)
+
+
 def track_last_seen(
     logs: DataFrame, path: str, checkpoint: str, cfg: ObsConfig = ObsConfig(), trigger: dict | None = None
 ) -> StreamingQuery:
     """Keep the newest time per service in a table of one row per service.
 
-    Batches alternate between two folders: each merges the other folder with
-    its own rows, so a repeated batch gives the same result and one folder is
-    always whole.
+    A batch replaces the table by one commit, merged with its own rows: a repeated batch gives the
+    same result, and readers meet the table before or after it.
     """
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        earlier = read_table(batch.sparkSession, f"{path}/slot={(batch_id + 1) % 2}", _SEEN)
-        merged = earlier.unionByName(last_seen(batch, cfg))
-        merged.groupBy("service").agg(F.max("last_seen").alias("last_seen")).write.mode("overwrite").parquet(
-            f"{path}/slot={batch_id % 2}"
-        )
+        spark, (root, table) = batch.sparkSession, place(path)
+        merged = _read(spark, path, newest=True).unionByName(last_seen(batch, cfg))
+        merged = merged.groupBy("service").agg(F.max("last_seen").alias("last_seen")).withColumn(KEY, F.lit("seen"))
+        snapshots.commit(spark, root, [Change(table, merged, {"seen"})])
 
     writer = logs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"processingTime": "1 minute"})).start()
@@ -49,9 +52,8 @@ def silent_forwarders(
     spark: SparkSession, path: str, as_of: datetime, cfg: ObsConfig = ObsConfig()
 ) -> DataFrame:
     """One row when nothing was sent within the holdback, also if nothing ever was."""
-    seen = read_table(spark, path, _SEEN + ", slot int")
     return (
-        seen.agg(F.max("last_seen").alias("last_seen"))
+        _read(spark, path).agg(F.max("last_seen").alias("last_seen"))
         .filter(F.col("last_seen").isNull() | (F.col("last_seen") < ts_lit(as_of - cfg.holdback)))
         .select(ts_lit(as_of).alias("checked_at"), "last_seen")
     )

@@ -33,7 +33,7 @@ from beaconlog.schemas import ML_DETECTION_COLUMNS, RAW_LOGS_COLUMNS, SIGNAL_COL
 from beaconlog.session import fresh_dir, materialize, tune
 from beaconlog.sources import adapters, json_logs, snapshots, tables
 from beaconlog.sources.adapters import AS_OF, TABLE_CONFIG as CFG
-from beaconlog.streaming import ingest, presence, refresh, windows
+from beaconlog.streaming import ingest, presence, refresh, silence, windows
 
 from . import sql
 
@@ -1169,6 +1169,22 @@ def _(spark, sf):
     return presence.silent_forwarders(spark, f"{out}/seen", AS_OF + timedelta(days=5), CFG)
 
 
+@query("stream_silence", sql.logs("""SELECT service, kind, CASE kind WHEN 'silent' THEN last_seen + INTERVAL '15 minutes' ELSE ingest_ts END AS at,
+  last_seen FROM (SELECT service, ingest_ts, lag(ingest_ts) OVER (PARTITION BY service ORDER BY ingest_ts) AS last_seen
+    FROM fwd WHERE event_type = 'batch_sent') CROSS JOIN (VALUES ('silent'), ('heard')) kinds(kind)
+  WHERE ingest_ts - last_seen > INTERVAL '15 minutes'"""))
+def _(spark, sf):
+    # one file a batch, started again from the checkpoint after each
+    out, cfg = fresh_dir(spark, "silence"), CFG.with_(holdback=timedelta(minutes=15))
+    df = adapters.events(spark, sf)
+    for number in range(PERIODS):
+        df.filter(F.floor((F.dayofmonth("ts") - 1) / 8) == number).coalesce(1).write.mode("append").parquet(f"{out}/in")
+        events = spark.readStream.schema(adapters.EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{out}/in")
+        silence.track_silence(adapters.events_as_logs(events), f"{out}/told", f"{out}/checkpoint", cfg,
+                              {"availableNow": True}, "10 minutes").awaitTermination()
+    return silence.read_silence(spark, f"{out}/told")
+
+
 # ── scalar rules ────────────────────────────────────────────────────────────
 
 @query("scalar_parsing", """SELECT event_id,

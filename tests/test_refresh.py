@@ -1,4 +1,5 @@
 import os
+import time
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from beaconlog.schemas import FIXED_ALERT_COLUMNS, INCIDENT_COLUMNS
 from beaconlog.session import shared_dir
 from beaconlog.sources import tables
 from beaconlog.sources.fixture import generate_log_fixture
-from beaconlog.streaming import presence, refresh
+from beaconlog.streaming import presence, refresh, silence
 
 AS_OF = datetime(2026, 1, 3)
 CFG = ObsConfig()
@@ -113,6 +114,57 @@ def test_presence(spark, tmp_path):
     assert presence.silent_forwarders(spark, seen, AS_OF).count() == 0
 
 
+def test_a_stream_that_stops_is_noticed_without_input(spark, tmp_path):
+    logs, told = str(tmp_path / "logs"), str(tmp_path / "told")
+    schema = "ingest_ts timestamp, service string, event_type string"
+    cfg = ObsConfig(holdback=timedelta(seconds=4))
+
+    def send():
+        now = spark.sql("SELECT current_timestamp() AS ingest_ts, 'log-forwarder' AS service, 'batch_sent' AS event_type")
+        now.unionByName(now.limit(0)).write.mode("append").parquet(logs)
+
+    def wait(wanted):
+        end = time.time() + 90
+        while time.time() < end:
+            found = [r.kind for r in silence.read_silence(spark, told).orderBy("last_seen", F.desc("kind")).collect()]
+            if found == wanted:
+                return
+            time.sleep(0.5)
+        raise AssertionError(found)
+
+    spark.createDataFrame([(None, "log-forwarder", "batch_sent")], schema).write.parquet(logs)
+    send()
+    query = silence.track_silence(spark.readStream.schema(schema).parquet(logs), told, str(tmp_path / "c"), cfg,
+                                  {"processingTime": "500 milliseconds"})
+    try:
+        wait(["silent"])
+        (row,) = silence.silent_now(spark, told).collect()
+        assert row.since - row.last_seen == timedelta(seconds=4)
+        send()
+        wait(["silent", "heard", "silent"])
+        assert silence.silent_now(spark, told).count() == 1
+    finally:
+        query.stop()
+
+
+def test_silence_of_a_replay(spark, tmp_path):
+    logs, told = str(tmp_path / "logs"), str(tmp_path / "told")
+    schema = "ingest_ts timestamp, service string, event_type string"
+    at = lambda minutes: AS_OF + timedelta(minutes=minutes)
+    # a: a gap inside a file, one over files; b: speaks on, so that the watermark tells a's silence
+    files = [[("a", 0), ("a", 5), ("a", 30), ("b", 30)], [("b", 40), ("b", 50)], [("b", 60), ("a", 60), ("a", 58)], [("b", 70)]]
+    for rows in files:
+        spark.createDataFrame([(at(m), s, "batch_sent") for s, m in rows], schema).coalesce(1).write.mode("append").parquet(logs)
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(logs)
+        silence.track_silence(stream, told, str(tmp_path / "c"), ObsConfig(), {"availableNow": True}, "1 minute").awaitTermination()
+        if rows is files[1]:
+            assert [r.service for r in silence.silent_now(spark, told).collect()] == ["a"]
+    found = {(r.service, r.kind, r.at, r.last_seen) for r in silence.read_silence(spark, told).collect()}
+    assert found == {("a", "silent", at(20), at(5)), ("a", "heard", at(30), at(5)),
+                     ("a", "silent", at(45), at(30)), ("a", "heard", at(58), at(30))}
+    assert silence.silent_now(spark, told).count() == 0
+
+
 def test_forecast_flags_a_spike_and_needs_history(spark):
     start = AS_OF - timedelta(days=2)
     points = [(start + timedelta(minutes=5 * i), "s::r", "s", "r", 10.0 + 0.01 * i + 3 * ((i // 12) % 24) + (i * 7919 % 5))
