@@ -170,17 +170,33 @@ def _shown(value: Column) -> Column:
     )
 
 
+def _release_lines() -> Column:
+    """Two lines on a release: the errors on its SHA, and where and after which other one it was deployed."""
+    share = F.when(F.col("errors") > 0, F.concat(F.lit(" ("), F.format_string("%.1f%%", F.round(100 * F.col("sha_errors") / F.col("errors"), 1)), F.lit(")")))
+    on_sha = F.concat(
+        F.lit("Errors on SHA "), F.coalesce("deployment_sha", F.lit("unknown")), F.lit(": "), F.col("sha_errors").cast("string"),
+        F.lit(" of "), F.col("errors").cast("string"), F.coalesce(share, F.lit("")),
+    )
+    when = F.coalesce(F.concat(iso_z(F.col("deployed_at")), F.lit(" to "), F.coalesce("environment", F.lit("unknown"))), F.lit("unknown"))
+    before = F.coalesce(
+        F.concat(F.col("previous_sha"), F.lit(" with "), F.col("previous_errors").cast("string"), F.lit(" errors")), F.lit("none")
+    )
+    return F.concat(on_sha, F.lit("\nDeployed: "), when, F.lit(" | Previous SHA: "), before)
+
+
 def incident_report(
     incidents: DataFrame,
     evidence: DataFrame,
     hits: DataFrame | None,
     as_of: datetime,
     cfg: ObsConfig = ObsConfig(),
+    release: DataFrame | None = None,
 ) -> DataFrame:
     """One row per incident: title, text, labels, SHA.
 
     ``evidence`` has ranked error rows per signal; ``hits`` (optional) the best
-    article per signal in columns signal_type, service, route, title, snippet.
+    article per signal in columns signal_type, service, route, title, snippet; ``release`` (optional)
+    one row per signal and SHA about the deployment behind it.
     """
     series = ["signal_type", "service", "route"]
     line = F.format_string(
@@ -200,6 +216,14 @@ def incident_report(
                        series, "left")
     else:
         out = out.withColumn("_title", F.lit(None).cast("string")).withColumn("_snippet", F.lit(None).cast("string"))
+    facts = []
+    if release is not None:
+        told = release.select(*series, F.col("deployment_sha").alias("_sha"), _release_lines().alias("_release"))
+        same = F.col("_sha").eqNullSafe(F.col("deployment_sha"))
+        for key in series:
+            same = same & out[key].eqNullSafe(told[key])
+        out = out.join(told, same, "left").select(*[out[c] for c in out.columns], "_release")
+        facts = [F.col("_release")]
     name = F.col("signal_type")
     for signal, text in TITLES.items():
         name = F.when(F.col("signal_type") == signal, text).otherwise(name)
@@ -218,6 +242,7 @@ def incident_report(
         F.concat(F.lit("Fired at: "), iso_z(ts_lit(as_of))),
         F.lit("Evidence:"),
         F.coalesce(F.col("_evidence"), F.lit("no matching errors")),
+        *facts,
         F.coalesce(article, F.lit("Related article: none")),
     )
     return out.select(

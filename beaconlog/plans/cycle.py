@@ -42,7 +42,7 @@ from ..sources.tables import (
     write_signals,
 )
 from ..streaming.refresh import stored_rollups, stored_signals
-from .evidence import evidence_errors, evidence_shas
+from .evidence import evidence_errors, evidence_release, evidence_shas, matched_errors
 
 
 @dataclass(frozen=True)
@@ -80,16 +80,18 @@ def build_incidents(
     grouped: bool = False,
 ) -> DataFrame:
     """Incident rows for stored ``signals``: one per service, route and SHA, or one per cause (``grouped``)."""
-    shas = evidence_shas(signals, raw, as_of, cfg)
+    matched = materialize(matched_errors(signals, raw, as_of, cfg), "matched")
+    shas = evidence_shas(signals, raw, as_of, cfg, matched=matched)
     attached = attach_deployment(signals, shas)
     if grouped:
         strong = remediation_candidates(attached, open_incidents.limit(0), cfg)
         chosen = materialize(group_incidents(strong, open_incidents), "incidents")
     else:
         chosen = materialize(dedup_incidents(remediation_candidates(attached, open_incidents, cfg)), "incidents")
-    evidence = evidence_errors(chosen, raw, as_of, cfg)
+    evidence = evidence_errors(chosen, raw, as_of, cfg, matched=matched)
+    release = evidence_release(chosen, raw, as_of, cfg, matched=matched)
     hits = None if articles is None else best_articles(chosen, articles)
-    return incident_report(chosen, evidence, hits, as_of, cfg)
+    return incident_report(chosen, evidence, hits, as_of, cfg, release)
 
 
 def fit_models(spark: SparkSession, store: Store, as_of: datetime, cfg: ObsConfig = ObsConfig()) -> None:

@@ -19,9 +19,13 @@ from ..operators.rollups import since
 SERIES = ["signal_type", "service", "route"]
 
 
-def _matched(signals: DataFrame, raw: DataFrame, as_of: datetime, cfg: ObsConfig, literal: bool) -> DataFrame:
+def matched_errors(
+    signals: DataFrame, raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(), literal: bool = False
+) -> DataFrame:
     """Error groups (signature and SHA) that belong to each signal.
 
+    All evidence about errors is drawn from these; stored once, they serve for every kind of it (``matched``).
+
     ``route`` of a signature signal holds the signature, that of a deployment
     signal the SHA; each is matched against the field it names. ``literal``
     compares it with the error's route for every signal.
@@ -51,6 +55,13 @@ def _matched(signals: DataFrame, raw: DataFrame, as_of: datetime, cfg: ObsConfig
     )
 
 
+def _groups(signals, raw, as_of, cfg, literal, matched: DataFrame | None) -> DataFrame:
+    """The error groups of ``signals``, from ``matched`` if given."""
+    if matched is None:
+        return matched_errors(signals, raw, as_of, cfg, literal)
+    return matched.join(signals.select(*SERIES).distinct(), SERIES, "left_semi")
+
+
 def evidence_errors(
     signals: DataFrame,
     raw: DataFrame,
@@ -58,10 +69,11 @@ def evidence_errors(
     cfg: ObsConfig = ObsConfig(),
     limit: int = 10,
     literal: bool = False,
+    matched: DataFrame | None = None,
 ) -> DataFrame:
     """Most frequent error signatures of each signal, with the SHAs they occurred on."""
     per_signature = (
-        _matched(signals, raw, as_of, cfg, literal)
+        _groups(signals, raw, as_of, cfg, literal, matched)
         .groupBy(*SERIES, "error_signature")
         .agg(
             F.sum("n").alias("error_count"),
@@ -74,11 +86,12 @@ def evidence_errors(
 
 
 def evidence_shas(
-    signals: DataFrame, raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(), literal: bool = False
+    signals: DataFrame, raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(), literal: bool = False,
+    matched: DataFrame | None = None,
 ) -> DataFrame:
     """The SHA most errors of a signal occurred on."""
     per_sha = (
-        _matched(signals, raw, as_of, cfg, literal)
+        _groups(signals, raw, as_of, cfg, literal, matched)
         .filter("deployment_sha IS NOT NULL")
         .groupBy(*SERIES, "deployment_sha")
         .agg(F.sum("n").alias("n"))
@@ -88,6 +101,36 @@ def evidence_shas(
     )
 
 
+def evidence_release(
+    signals: DataFrame, raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(), literal: bool = False,
+    matched: DataFrame | None = None,
+) -> DataFrame:
+    """What the release behind a signal tells: one row per series and ``deployment_sha`` of ``signals``.
+
+    ``errors`` of the signal in all, ``sha_errors`` on its SHA, ``previous_errors`` on the SHA that the service
+    deployed first before it (``previous_sha``); ``deployed_at`` is the SHA's first deployment within the
+    history, ``environment`` that of its newest one. A SHA that was not deployed within the history has neither.
+    """
+    counted = _groups(signals, raw, as_of, cfg, literal, matched).groupBy(*SERIES, F.col("deployment_sha").alias("_sha"))
+    counted = counted.agg(F.sum("n").alias("n"))
+    deployed = (
+        views.deployments(since(raw, as_of, cfg.history, cfg)).filter("deployment_sha IS NOT NULL")
+        .groupBy("service", "deployment_sha")
+        .agg(F.min("ingest_ts").alias("deployed_at"), F.max(F.struct("ingest_ts", "environment"))["environment"].alias("environment"))
+    )
+    order = Window.partitionBy("service").orderBy("deployed_at", "deployment_sha")
+    released = deployed.withColumn("previous_sha", F.lag("deployment_sha").over(order))
+    own = signals.select(*SERIES, "deployment_sha").distinct().join(released, ["service", "deployment_sha"], "left")
+    errors = lambda rule: F.coalesce(F.sum(F.when(rule, F.col("n"))), F.lit(0)).cast("long")
+    return own.join(counted, SERIES, "left").groupBy(
+        *SERIES, "deployment_sha", "deployed_at", "environment", "previous_sha"
+    ).agg(
+        errors(F.lit(True)).alias("errors"),
+        errors(F.col("_sha") == F.col("deployment_sha")).alias("sha_errors"),
+        errors(F.col("_sha") == F.col("previous_sha")).alias("previous_errors"),
+    )
+
+
 def evidence_top_routes(raw: DataFrame, as_of: datetime, cfg: ObsConfig = ObsConfig(), limit: int = 10) -> DataFrame:
     flag = is_error()
     return (

@@ -966,6 +966,11 @@ def _(spark, sf):
     return incidents.group_incidents(strong, open_incidents(spark, sf).limit(0)).drop("incident_id")
 
 
+@query("evidence_release", sql.signals("SELECT * FROM release", sql.EVIDENCE, sql.RELEASE))
+def _(spark, sf):
+    return evidence.evidence_release(attached(spark, sf), logs(spark, sf), AS_OF, CFG)
+
+
 def _shown(column: str) -> str:
     return f"""CASE WHEN signal_type IN ('backend_http_error_rate','post_deployment_regression')
   THEN printf('%.1f%%', round({column} * 100, 1)) ELSE printf('%.1f', round({column}, 1)) END"""
@@ -987,17 +992,22 @@ report AS (SELECT '[Anomaly] ' || CASE signal_type WHEN 'backend_http_error_rate
   ' | Baseline stddev: ' || {_shown('baseline_stddev')} || chr(10) ||
   'Detection window: last 1 day | Baseline window: last 30 days' || chr(10) ||
   'Fired at: 2024-01-31T00:00:00Z' || chr(10) || 'Evidence:' || chr(10) ||
-  COALESCE(lines.txt, 'no matching errors') || chr(10) || COALESCE('Related article: ' || a.title || chr(10) ||
+  COALESCE(lines.txt, 'no matching errors') || chr(10) || 'Errors on SHA ' || deployment_sha || ': ' || sha_errors || ' of ' ||
+  errors_of || CASE WHEN errors_of > 0 THEN ' (' || printf('%.1f%%', round(100.0 * sha_errors / errors_of, 1)) || ')' ELSE '' END || chr(10) ||
+  'Deployed: ' || COALESCE(strftime(deployed_at, '%Y-%m-%dT%H:%M:%SZ') || ' to ' || env_of, 'unknown') ||
+  ' | Previous SHA: ' || COALESCE(previous_sha || ' with ' || previous_errors || ' errors', 'none') || chr(10) || COALESCE('Related article: ' || a.title || chr(10) ||
     CASE WHEN a.body IS NULL OR a.body = '' THEN '(no body)' ELSE substring(a.body, 1, 300) || '...' END,
     'Related article: none') AS body,
   'observability, anomaly, critical' AS labels, {sql.AS_OF} AS fired_at
-  FROM incidents LEFT JOIN lines USING (signal_type, service, route)
+  FROM incidents LEFT JOIN (SELECT signal_type, service, route, deployment_sha, deployed_at, environment AS env_of, previous_sha,
+    errors AS errors_of, sha_errors, previous_errors FROM release) USING (signal_type, service, route, deployment_sha)
+  LEFT JOIN lines USING (signal_type, service, route)
   LEFT JOIN iq USING (signal_type, service, route) LEFT JOIN hits h ON h.query_id = iq.query
   LEFT JOIN articles a ON a.article_id = h.article_id)"""
 
 
 @query("incident_report", sql.signals(
-    "SELECT * FROM report", sql.EVIDENCE, sql.ARTICLES, sql.INDEX,
+    "SELECT * FROM report", sql.EVIDENCE, sql.RELEASE, sql.ARTICLES, sql.INDEX,
     REPORT.replace("\nreport AS", sql.bm25("SELECT DISTINCT query AS query_id, query FROM iq", 1) + ",\nreport AS")))
 def _(spark, sf):
     return cycle.build_incidents(stored_signals(spark, sf), logs(spark, sf), open_incidents(spark, sf), AS_OF, CFG,

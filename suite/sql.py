@@ -176,6 +176,20 @@ candidates AS (SELECT * FROM attached a WHERE anomaly_score >= 2.0
 incidents AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY service, route, deployment_sha
   ORDER BY anomaly_score DESC, time_bin DESC, signal_type DESC) AS rn FROM candidates) WHERE rn = 1)"""
 
+# what the deployment behind each signal tells; after EVIDENCE
+RELEASE = f"""
+released AS (SELECT *, lag(deployment_sha) OVER (PARTITION BY service ORDER BY deployed_at, deployment_sha) AS previous_sha FROM (
+  SELECT service, deployment_sha, MIN(ingest_ts) AS deployed_at, arg_max(environment, ingest_ts) AS environment
+  FROM deps WHERE ingest_ts >= {FROM_30D} AND deployment_sha IS NOT NULL GROUP BY 1, 2)),
+release AS (SELECT o.signal_type, o.service, o.route, o.deployment_sha, r.deployed_at, r.environment, r.previous_sha,
+  CAST(COALESCE(SUM(m.n), 0) AS BIGINT) AS errors,
+  CAST(COALESCE(SUM(m.n) FILTER (WHERE m.deployment_sha = o.deployment_sha), 0) AS BIGINT) AS sha_errors,
+  CAST(COALESCE(SUM(m.n) FILTER (WHERE m.deployment_sha = r.previous_sha), 0) AS BIGINT) AS previous_errors
+  FROM (SELECT DISTINCT signal_type, service, route, deployment_sha FROM attached) o
+  LEFT JOIN released r ON r.service = o.service AND r.deployment_sha = o.deployment_sha
+  LEFT JOIN matched m ON m.signal_type = o.signal_type AND m.service = o.service AND m.route = o.route
+  GROUP BY 1, 2, 3, 4, 5, 6, 7)"""
+
 
 def model(table: str, value: str, route: str = "route") -> str:
     """CTEs of the trend + phase model: ``pts`` to ``forecasts``."""

@@ -152,3 +152,29 @@ def test_metric_layer(spark):
     with pytest.raises(KeyError):
         metrics.metric_query(raw, "deployments", [], ["route"])
     assert names(SIGNAL_COLUMNS)[0] == "time_bin"
+
+
+def test_release_behind_a_signal(spark):
+    at = lambda minutes: AS_OF - timedelta(minutes=minutes)
+    log = "ingest_ts timestamp, source_ts timestamp, service string, environment string, event_type string, severity string, "
+    log += "deployment_sha string, error_type string, error_message string, error_signature string, route string, "
+    log += "trace_id string, request_id string, source string"
+    deploy = lambda m, sha, env: (at(m), at(m), "s", env, "deployment", "INFO", sha) + (None,) * 7
+    error = lambda m, sha: (at(m), at(m), "s", "e", "http_request", "ERROR", sha, "E", "m", "E:/r", "/r", None, None, None)
+    # b is deployed again after c, which does not make it newer; d never is
+    rows = [deploy(300, "a", "test"), deploy(200, "b", "prod"), deploy(100, "c", "test"), deploy(90, "c", "prod"), deploy(80, "b", "prod")]
+    rows += [error(5, "c"), error(4, "c"), error(3, "b"), error(2, None)]
+    logs = spark.createDataFrame(rows, log)
+    signals = spark.createDataFrame(
+        [("backend_http_error_rate", "s", "/r", sha) for sha in ("a", "c", "d", None)] + [("backend_http_error_rate", "s", "/other", "c")],
+        "signal_type string, service string, route string, deployment_sha string",
+    )
+    got = {(r.route, r.deployment_sha): r for r in evidence.evidence_release(signals, logs, AS_OF).collect()}
+    assert len(got) == 5
+    fields = lambda r: (r.deployed_at, r.environment, r.previous_sha, r.errors, r.sha_errors, r.previous_errors)
+    assert fields(got["/r", "c"]) == (at(100), "prod", "b", 4, 2, 1)
+    assert fields(got["/r", "a"]) == (at(300), "test", None, 4, 0, 0)
+    assert fields(got["/r", "d"]) == fields(got["/r", None]) == (None, None, None, 4, 0, 0)
+    assert fields(got["/other", "c"]) == (at(100), "prod", "b", 0, 0, 0)
+    empty = evidence.evidence_release(signals, logs.limit(0), AS_OF)
+    assert empty.count() == 5 and empty.filter("errors > 0 OR deployed_at IS NOT NULL").count() == 0
