@@ -266,6 +266,27 @@ def test_sketch_distances():
             assert (np.bitwise_count(a ^ b).sum() <= cut) == inside
 
 
+@pytest.mark.parametrize("hub", [0, 9999])
+def test_components_of_hubs(spark, hub):
+    # a star around the smallest or the largest node, 1,500 pairs beside it, and a chain
+    star = spark.range(1, 3001).selectExpr(f"cast({hub} as long) a", "id b")
+    pairs = spark.range(10000, 13000, 2).selectExpr("id a", "id + 1 b")
+    chain = spark.range(20000, 20030).selectExpr("id + 1 a", "id b")
+    edges = star.unionByName(pairs).unionByName(chain)
+    got = dict(map(tuple, components.components(edges).collect()))
+    want = {n: min(hub, 1) for n in [*range(1, 3001), hub]} | {n: n // 2 * 2 for n in range(10000, 13000)}
+    assert got == want | {n: 20000 for n in range(20000, 20031)}
+
+
+def test_hubs_are_no_key_of_an_exchange(spark, tmp_path):
+    rows = spark.range(4000).selectExpr("if(id < 3000, 7L, id) u", "id v")
+    least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    told = components._tell(rows, least, 4000)
+    assert {(r.u, r.v): r.m for r in told.collect()} == {(7 if v < 3000 else v, v): 0 if v < 3000 else v for v in range(4000)}
+    plan = told._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
+    assert plan.count("BroadcastHashJoin") >= 2
+
+
 def test_components(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (300, 299)]
     got = dict(map(tuple, components.components(spark.createDataFrame(edges, "a long, b long")).collect()))
