@@ -13,7 +13,7 @@ QUICK = [
     "ts_deployment_error_rate", "route_latency_large_groups", "recent_anomaly_signals", "anomaly_score_trend",
     "fit_series_model_latency", "detect_anomalies_error_rate", "tile_top_error_signatures", "metric_query_requests",
     "evidence_errors", "search_articles", "search_articles_dense", "remediation_candidates", "stream_http_error_rate",
-    "group_incidents", "stream_late_signatures", "compact_tables",
+    "group_incidents", "stream_late_signatures", "compact_tables", "evidence_release", "stream_silence",
     "scalar_parsing",
 ]
 
