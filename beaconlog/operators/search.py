@@ -8,12 +8,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
 
 K1, B = 1.2, 0.75
+# queries and articles that meet in one matrix product, about, and terms that it adds up at once
+QUERY_BLOCK, ARTICLE_BLOCK, TERM_CHUNK = 512, 4096, 512
 # query vectors and vectors that meet in one matrix product, about
 DENSE_BLOCK, VECTOR_BLOCK = 1024, 8192
 # vectors from which cells are made, and the most cells
@@ -40,11 +44,12 @@ class ArticleIndex:
 
 def tokens(text: Column) -> Column:
     """Lower-case runs of ASCII letters and digits."""
-    return F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0))
+    return F.array_remove(F.split(F.lower(text), "[^a-z0-9]+"), "")
 
 
 def _tokenised(articles: DataFrame) -> DataFrame:
-    rows = articles.filter(F.col("body").isNotNull()).withColumn("_tokens", tokens(F.col("body")))
+    # explode() of a one-element array keeps later steps from cutting the body again
+    rows = articles.filter(F.col("body").isNotNull()).withColumn("_tokens", F.explode(F.array(tokens(F.col("body")))))
     return rows.withColumn("doc_len", F.size("_tokens").cast("bigint"))
 
 
@@ -79,9 +84,11 @@ def queried_postings(articles: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings of the given terms only, for searching articles without an index.
 
     Other words are dropped before counting. An article is split inside one
-    task, so its counts are complete before the (small) shuffle.
+    task, so its counts are complete before the (small) shuffle. Every article
+    has the empty word once, which tells the length also of those without any term.
     """
-    words = _tokenised(articles).select("article_id", "doc_len", F.explode("_tokens").alias("term"))
+    terms = terms.union(terms.sparkSession.sql("SELECT '' AS term"))
+    words = _tokenised(articles).select("article_id", "doc_len", F.explode(F.concat("_tokens", F.array(F.lit("")))).alias("term"))
     counted = words.join(terms, "term", "left_semi").groupBy("term", "article_id", "doc_len")
     return counted.agg(F.count("*").alias("tf"))
 
@@ -112,39 +119,86 @@ def search_articles(
     then counted), or an ``index`` in memory; :mod:`article_index` searches a stored one. Filters narrow the hits, not the
     word statistics. Ties go to the smaller article id.
     """
-    terms = queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term"))
-    wanted = terms.select("term").distinct()
+    terms = materialize(
+        queries.select("query_id", F.explode(F.array_distinct(tokens(F.col("query")))).alias("term")), "asked-terms"
+    )
+    # stored, so that the planner knows its size before words are compared with it
+    wanted = materialize(terms.select("term").distinct(), "asked-words")
     if index is None:
-        index = ArticleIndex(_tokenised(articles).select(*ATTRIBUTES, "doc_len"), None)
-        # needed twice: stored once, in their real size
-        postings = materialize(queried_postings(articles, wanted), "postings")
+        # the only reading of the bodies, needed several times: stored once, in its real size
+        found = materialize(queried_postings(articles, wanted), "postings")
+        lengths, postings = found.filter("term = ''"), found.filter("term <> ''")
+        n, mean_len = lengths.agg(F.sum("tf"), F.sum(F.col("tf") * F.col("doc_len")) / F.sum("tf")).first()  # two numbers
+        docs = articles.filter(F.col("body").isNotNull()).select(*ATTRIBUTES)
     else:
-        postings = index.postings.join(wanted, "term", "left_semi")
-    n, mean_len = index.docs.agg(F.count("*"), F.avg("doc_len")).first()  # two numbers
+        postings, docs = index.postings.join(wanted, "term", "left_semi"), index.docs
+        n, mean_len = docs.agg(F.count("*"), F.avg("doc_len")).first()
     if not n:
         n, mean_len = 0, 1.0
 
     frequency = postings.groupBy("term").agg(F.count("*").alias("df"))
-    weighted = terms.join(frequency, "term").withColumn(
-        "idf", F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weighted = terms.join(frequency, "term").select(
+        "query_id", "term", F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
     )
+    weighted = materialize(weighted, "weighted-terms")
     kept = postings
     if filters:
-        kept = postings.join(_apply_filters(index.docs, filters).select("article_id"), "article_id", "left_semi")
-    length = 1 - B + B * F.col("doc_len") / F.lit(mean_len or 1.0)
-    part = F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
-    scores = (
-        kept.join(weighted, "term")
-        .groupBy("query_id", "article_id")
-        # rounded, so that equal articles tie whatever order the parts are summed in
-        .agg(F.round(F.sum(part), 6).alias("score"))
+        kept = postings.join(_apply_filters(docs, filters).select("article_id"), "article_id", "left_semi")
+    # a frequent term is met by every block of articles, so none gathers its rows in one task
+    sides = math.ceil(queries.count() / QUERY_BLOCK) or 1, math.ceil(n / ARTICLE_BLOCK) or 1
+    asked = _blocks_of(weighted, "query_id", "_q", sides[0], "_a", sides[1])
+    met = _blocks_of(kept.select("article_id", "term", "tf", "doc_len"), "article_id", "_a", sides[1], "_q", sides[0])
+    kinds = dict(queries.dtypes)["query_id"], dict(docs.dtypes)["article_id"]
+    scores = asked.groupBy("_q", "_a").cogroup(met.groupBy("_q", "_a")).applyInArrow(
+        _score_words(k, mean_len or 1.0), f"query_id {kinds[0]}, article_id {kinds[1]}, score double"
     )
-    hits = _top(scores, k)
-    return index.docs.join(hits, "article_id").select(
+    hits = materialize(_top(scores, k), "hits")
+    return docs.join(hits, "article_id").select(
         "query_id", "rank", "article_id", "title", "category", "service", "tags", "score"
     )
 
 
+def _blocks_of(rows: DataFrame, key: str, own: str, blocks: int, other: str, others: int) -> DataFrame:
+    """Rows with the block of their key, once for every block of the other side."""
+    rows = rows.withColumn(own, F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int"))
+    return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(others - 1))))
+
+
+def _score_words(k: int, mean_len: float):
+    """Scores of a block of queries in a block of articles; the best ``k`` of each query leave it."""
+
+    def score(asked: pa.Table, postings: pa.Table) -> pa.Table:
+        words = pc.unique(asked["term"])
+        postings = postings.filter(pc.is_in(postings["term"], value_set=words))
+        query = asked["query_id"].combine_chunks().dictionary_encode(null_encoding="encode")
+        article = postings["article_id"].combine_chunks().dictionary_encode(null_encoding="encode")
+        ids, queries = article.dictionary, query.dictionary
+        q, a = query.indices.to_numpy(), article.indices.to_numpy()
+        here = pc.unique(postings["term"])  # terms without an article in this block are left out
+        term, found = (pc.index_in(t["term"], value_set=here) for t in (asked, postings))
+        term, found = term.fill_null(-1).to_numpy(), found.to_numpy()
+        tf, length = (postings[c].to_numpy() for c in ("tf", "doc_len"))
+        share = tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean_len))
+        idf, total = asked["idf"].to_numpy(), np.zeros((len(queries), len(ids)))
+        for low in range(0, len(here), TERM_CHUNK):
+            n = min(TERM_CHUNK, len(here) - low)
+            x, y = (term >= low) & (term < low + n), (found >= low) & (found < low + n)
+            left = np.bincount(q[x] * n + term[x] - low, idf[x], len(queries) * n).reshape(-1, n)
+            right = np.bincount((found[y] - low) * len(ids) + a[y], share[y], n * len(ids)).reshape(n, -1)
+            total += left @ right
+        # rounded, so that equal articles tie whatever order the parts are summed in
+        order = pc.sort_indices(pa.table({"id": ids}), [("id", "ascending")], null_placement="at_start").to_numpy()
+        matched, ranked = total[:, order] > 0, np.round(total[:, order], 6)
+        best = [np.flatnonzero(m)[np.argsort(-row[m], kind="stable")[:k]] for m, row in zip(matched, ranked)]
+        rows = np.repeat(np.arange(len(best)), [len(b) for b in best])
+        columns = np.concatenate(best).astype("int64") if best else rows
+        return pa.table({
+            "query_id": queries.take(pa.array(rows)), "article_id": ids.take(pa.array(order[columns])), "score": ranked[rows, columns],
+        })
+
+    return score
+
+
 def _top(scores: DataFrame, k: int) -> DataFrame:
     """Best ``k`` per query; Spark keeps only k rows per task before shuffling."""
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "article_id")

@@ -66,6 +66,23 @@ def test_word_search_equals_brute_force(spark, corpus, threshold):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_word_search_in_blocks(spark, corpus, monkeypatch):
+    # a word that every article has is met block by block, not in the one task of the word
+    for name, size in (("QUERY_BLOCK", 2), ("ARTICLE_BLOCK", 8), ("TERM_CHUNK", 3)):
+        monkeypatch.setattr(search, name, size)
+    rows, articles = corpus
+    texts = QUERIES + [("q5", " ".join(WORDS)), ("q6", ""), (None, "alpha cache")]
+    asked = spark.createDataFrame(texts, "query_id string, query string")
+    want = {q: brute(rows, text, 5) for q, text in texts if brute(rows, text, 5)}
+    got = {}
+    for r in search.search_articles(asked, articles).collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.article_id, r.score)
+    assert {q: [v[k] for k in sorted(v)] for q, v in got.items()} == want
+    assert search.search_articles(asked, articles, index=search.build_article_index(articles)).count() == sum(map(len, want.values()))
+    assert search.search_articles(asked, articles.limit(0)).count() == 0
+    assert search.search_articles(asked.limit(0), articles).count() == 0
+
+
 def test_stored_index_and_refresh(spark, corpus, tmp_path):
     rows, articles = corpus
     asked = spark.createDataFrame(QUERIES, "query_id string, query string")
