@@ -9,27 +9,35 @@ quantile of the training strengths that leaves as large a share above it as the
 preferred documents are, and strengths are mapped to scores from 0 to 1 such that
 this quantile has the score ``threshold``.
 
-The model is fitted on a bounded sample of labelled rows (``sample_rows``, drawn
-by a hash of the id) whose features, not texts, come to the driver; everything
-else scores every whole text where it lies, without a shuffle.
+The model is fitted on every labelled row. Rows are dealt to blocks of about
+``BLOCK_ROWS`` by a hash, and in a block every preferred text is paired with every
+other one; of a rare label rows go to several blocks, so that none is without
+it. Centres, spreads, gradients, the quantile and the slope are sums over stored
+features of all these rows, which tasks add up; only the sums, whose length does not
+depend on the input, come to the driver. Scoring reads every whole text where it
+lies, without a shuffle.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_ROWS = 20_000
-PAIRS = 20_000
+from .common import store
+
+# labelled rows that are paired with one another, about, and rows of the rarer label among them at least
+BLOCK_ROWS, BLOCK_RARE = 1024, 64
+RIDGE = 1e-3
 THRESHOLD = 0.7
+# parts that a range of strengths is cut into, again and again, until the quantile's stands alone
+CUTS = 4096
 
 FEATURES = [
     "words", "word_length", "upper", "symbols", "digits", "spaces", "distinct_words", "top_word", "distinct_pairs",
@@ -90,81 +98,167 @@ class Model:
         return 1 / (1 + np.exp(-z))
 
 
-def fit(rows: np.ndarray, labels: np.ndarray, threshold: float = THRESHOLD, pairs: int = PAIRS, seed: int = 11) -> Model:
-    """Bradley-Terry weights from up to ``pairs`` random preference pairs.
+# adds up a function that makes one array of features and labels
+Sums = Callable[[Callable[[np.ndarray, np.ndarray], np.ndarray]], np.ndarray]
+
+
+def _scaled(x: np.ndarray, center: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((expand(x) - center) / scale, -8, 8)
+
+
+def _newton_sums(center: np.ndarray, scale: np.ndarray, weights: np.ndarray):
+    """Pairs, gradient and Hessian of the pairwise loss over all pairs of a block."""
+
+    def sums(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+        z = _scaled(x, center, scale)
+        good, bad = z[label == 1], z[label == 0]
+        lost = 1 / (1 + np.exp(np.clip((good @ weights)[:, None] - (bad @ weights)[None, :], -40, 40)))
+        gradient = good.T @ lost.sum(axis=1) - bad.T @ lost.sum(axis=0)
+        bend = lost * (1 - lost)
+        cross = good.T @ bend @ bad
+        hessian = (good.T * bend.sum(axis=1)) @ good + (bad.T * bend.sum(axis=0)) @ bad - cross - cross.T
+        return np.concatenate([[lost.size], gradient, hessian.ravel()])
+
+    return sums
 
-    Newton's method on the pairwise logistic loss with a small ridge. Without
+
+def fit_sums(paired: Sums, rows: Sums, n_good: int, n_bad: int, threshold: float = THRESHOLD) -> Model:
+    """Bradley-Terry weights from all pairs of ``paired`` blocks; quantile and slope from all ``rows``.
+
+    Both add up a function of features and labels over their blocks. Newton's
+    method on the pairwise logistic loss with a small ridge. Without
     both labels there is no preference: every text then scores ``threshold`` (all
     preferred, or no label) or just below it (none preferred).
     """
-    x = expand(rows)
-    center = x.mean(axis=0) if len(x) else np.zeros(3 * len(FEATURES))
-    scale = x.std(axis=0) + 1e-6 if len(x) else np.ones(3 * len(FEATURES))
-    x = np.clip((x - center) / scale, -8, 8)
-    good, bad = np.flatnonzero(labels == 1), np.flatnonzero(labels == 0)
-    weights = np.zeros(x.shape[1])
-    if not (good.size and bad.size):
-        return Model(center, scale, weights, -1e-9 if good.size or not bad.size else 1.0, 1.0, threshold)
-    rng = np.random.default_rng(seed)
-    diff = x[rng.choice(good, pairs)] - x[rng.choice(bad, pairs)]
-    ridge = 1e-3 * pairs * np.eye(x.shape[1])
+    n, wide = n_good + n_bad, 3 * len(FEATURES)
+    center, scale, weights = np.zeros(wide), np.ones(wide), np.zeros(wide)
+    if n:
+        center = rows(lambda x, _: expand(x).sum(axis=0)) / n
+        scale = np.sqrt(rows(lambda x, _: ((expand(x) - center) ** 2).sum(axis=0)) / n) + 1e-6
+    if not (n_good and n_bad):
+        return Model(center, scale, weights, -1e-9 if n_good or not n_bad else 1.0, 1.0, threshold)
     for _ in range(15):
-        p = 1 / (1 + np.exp(np.clip(diff @ weights, -40, 40)))  # chance that the preferred one loses
-        gradient = diff.T @ p - ridge @ weights
-        hessian = (diff * (p * (1 - p))[:, None]).T @ diff + ridge
-        step = np.linalg.solve(hessian, gradient)
+        pairs, *found = np.split(paired(_newton_sums(center, scale, weights)), [1, 1 + wide])
+        ridge = RIDGE * pairs[0] * np.eye(wide)
+        step = np.linalg.solve(found[1].reshape(wide, wide) + ridge, found[0] - ridge @ weights)
         weights += step
         if np.abs(step).max() < 1e-4:
             break
-    strength = x @ weights
-    quantile = float(np.quantile(strength, bad.size / labels.size))
+
+    def strength(x: np.ndarray) -> np.ndarray:
+        return _scaled(x, center, scale) @ weights
+
+    # the strength of the rank at the share of the texts that are not preferred: its range is cut until it holds no other
+    rank, below = int((n - 1) * n_bad / n), 0
+    low, high = -8 * np.abs(weights).sum() - 1, 8 * np.abs(weights).sum() + 1
+    for _ in range(5):
+        edges = np.linspace(low, high, CUTS + 1)
+        counts = rows(lambda x, _: np.histogram(strength(x), edges)[0].astype("float64"))
+        part = int(np.searchsorted(below + np.cumsum(counts), rank, side="right"))
+        below += int(counts[:part].sum())
+        low, high = edges[part], edges[part + 1]
+        if counts[part] <= 1 or high - low < 1e-12:
+            break
+    quantile = float((low + high) / 2)
     # the slope fits the scores to the labels around the fixed point of the quantile
     base, slopes = np.log(threshold / (1 - threshold)), np.geomspace(0.05, 20, 60)
-    sign = np.where(labels == 1, 1.0, -1.0)
-    loss = [np.logaddexp(0, -sign * (s * (strength - quantile) + base)).mean() for s in slopes]
-    return Model(center, scale, weights, quantile, float(slopes[int(np.argmin(loss))]), threshold)
+
+    def losses(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+        sign, off = np.where(label == 1, 1.0, -1.0), strength(x) - quantile
+        return np.array([np.logaddexp(0, -sign * (s * off + base)).sum() for s in slopes])
+
+    return Model(center, scale, weights, quantile, float(slopes[int(np.argmin(rows(losses)))]), threshold)
+
+
+def fit(rows: np.ndarray, labels: np.ndarray, threshold: float = THRESHOLD) -> Model:
+    """The model of rows at hand, which are one block."""
+    rows, labels = np.asarray(rows, "float64"), np.asarray(labels)
+    return fit_sums(lambda f: f(rows, labels), lambda f: f(rows, labels), int((labels == 1).sum()), int((labels == 0).sum()), threshold)
 
 
 # ── on Spark ────────────────────────────────────────────────────────────────
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [features(t) for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["label"], pa.array(rows, pa.list_(pa.float64()))], ["label", "x"])
+        rows = [np.array(features(t), "<f8").tobytes() for t in batch["text"].to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch["id"], batch["label"], pa.array(rows, pa.binary())], ["id", "label", "x"])
+
+
+def _unpack(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), "<f8").reshape(-1, len(FEATURES))
+
+
+def _block(rows: pa.Table) -> pa.Table:
+    """A block's rows as one; the blocks are what the passes of the fit read."""
+    x, label = rows["x"].to_pylist(), rows["label"].to_numpy().astype("i1")
+    return pa.table({"x": pa.array([b"".join(x)], pa.binary()), "label": pa.array([label.tobytes()], pa.binary())})
+
+
+def _adder(blocks: DataFrame) -> Sums:
+    """Adds a function of features and labels up over stored blocks; tasks give one row of sums each."""
+
+    def add(of) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0.0
+            for batch in batches:
+                for x, label in zip(batch["x"], batch["label"]):
+                    total = total + of(_unpack([x.as_py()]), np.frombuffer(label.as_py(), "i1"))
+            if not np.isscalar(total):
+                yield pa.RecordBatch.from_pydict({"at": pa.array(np.arange(total.size), pa.int32()), "v": pa.array(total)})
+
+        sums = blocks.mapInArrow(run, "at int, v double").groupBy("at").agg(F.sum("v").alias("v")).toArrow()
+        out = np.zeros(sums.num_rows)
+        out[sums["at"].to_numpy()] = sums["v"].to_numpy()
+        return out
+
+    return add
 
 
 def train(
-    docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD,
+    docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
 ) -> Model:
-    """Fit on at most ``sample_rows`` labelled documents.
+    """Fit on all labelled documents.
 
-    Rows with a null id or a label other than 0 and 1 are left out; the sample is
-    the labelled ids with the smallest hashes, so it does not depend on order. An id
-    that is labelled or occurs more than once counts once per match, up to twice
-    the sample in all.
+    Rows with a null id or a label other than 0 and 1 are left out. An id
+    that is labelled or occurs more than once counts once per match.
     """
-    wanted = (
+    # stored in its real size, by which Spark chooses the join
+    wanted = store(
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
-        .where("id is not null and label in (0, 1)")
-        .orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows)
+        .where("id is not null and label in (0, 1)"), "quality-labels",
     )
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = (
-        rows.join(F.broadcast(wanted), "id").select("label", "text")
-        .mapInArrow(_features, "label int, x array<double>").limit(2 * sample_rows).toArrow()
+    found = store(
+        rows.join(wanted, "id").select("id", "label", "text").mapInArrow(_features, "id long, label int, x binary"), "quality-features"
     )
-    x = np.array(found["x"].to_pylist(), "float64").reshape(-1, len(FEATURES))
-    return fit(x, np.array(found["label"].to_pylist(), "int64"), threshold)
+    number = {r.label: r.n for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
+    good, bad = number.get(1, 0), number.get(0, 0)
+    blocks = -(-(good + bad) // BLOCK_ROWS) or 1
+    place = F.pmod(F.xxhash64("id", "x"), F.lit(blocks))
+    rare, times = (1 if good < bad else 0), min(blocks, -(-BLOCK_RARE * blocks // max(1, min(good, bad))))
+    # row of a rare label: one block after another, evenly apart, beginning with its own
+    step = max(1, blocks // times)
+    more = F.expr(f"transform(sequence(0, IF(label = {rare}, {times}, 1) - 1), i -> i * {step})")
+
+    def dealt(frame: DataFrame, label: str) -> DataFrame:
+        return store(frame.groupBy("block").applyInArrow(_block, "x binary, label binary"), label)
+
+    once = dealt(found.select(place.alias("block"), "x", "label"), "quality-rows")
+    paired = once
+    if times > 1:
+        each = found.select(place.alias("_at"), F.explode(more).alias("_i"), "x", "label")
+        paired = dealt(each.select(F.pmod(F.col("_at") + F.col("_i"), F.lit(blocks)).alias("block"), "x", "label"), "quality-pairs")
+    return fit_sums(_adder(paired), _adder(once), good, bad, threshold)
 
 
 def scorer(model: Model):
-    """A Pandas UDF from text to score; a null text is scored as an empty one."""
+    """An Arrow UDF from text to score; a null text is scored as an empty one."""
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        rows = np.array([features(t or "") for t in texts]).reshape(-1, len(FEATURES))
-        return pd.Series(model.score(rows))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        rows = np.array([features(t or "") for t in texts.to_pylist()]).reshape(-1, len(FEATURES))
+        return pa.array(model.score(rows), pa.float64())
 
     return score
 

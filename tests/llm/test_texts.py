@@ -179,6 +179,32 @@ def test_threshold_is_the_quantile():
     assert abs((score >= 0.7).mean() - labels.mean()) < 0.02
 
 
+def test_fit_takes_every_labelled_row(spark, monkeypatch):
+    monkeypatch.setattr(quality_rank, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(quality_rank, "BLOCK_RARE", 4)
+    rng = np.random.default_rng(2)
+    rows = [(k, " ".join(rng.choice(["One", "two", "|", "3."], rng.integers(1, 30), p=[.7, .2, .05, .05] if k % 5 else [.1, .1, .5, .3]))) for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 5 > 0)) for k in range(90)], "doc_id long, quality int")
+    seen, fit_sums = [], quality_rank.fit_sums
+
+    def watched(paired, all_rows, good, bad, threshold):
+        seen.append((all_rows(lambda x, label: np.array([len(x), label.sum(), x.sum()])), good, bad))
+        seen.append(paired(lambda x, label: np.array([1, (label == 1).any() and (label == 0).any(), (label == 1).sum()])))
+        return fit_sums(paired, all_rows, good, bad, threshold)
+
+    monkeypatch.setattr(quality_rank, "fit_sums", watched)
+    model = quality_rank.train(docs, labels)
+    x = np.array([quality_rank.features(t) for _, t in rows])
+    (sums, good, bad), (blocks, both, good_pairs) = seen
+    assert (good, bad) == (72, 18) and good_pairs == 72 and blocks == both == 6  # every block has pairs
+    assert sums[:2].tolist() == [90, 72] and abs(sums[2] - x.sum()) < 1e-6
+    assert np.allclose(model.center, quality_rank.expand(x).mean(axis=0))
+    scores = model.score(x)
+    assert abs((scores >= 0.7).mean() - 0.8) <= 2 / 90
+    assert all((s >= 0.7) == (k % 5 > 0) for (k, t), s in zip(rows, scores) if len(t.split()) > 8)
+
+
 def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (None, 1, 0), (8, None, 0), (7, 0, 0)], "doc_id long, quality int, toxic int")
     model = quality_rank.train(odd_docs, labels)
