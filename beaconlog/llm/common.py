@@ -70,7 +70,12 @@ def text_key(text: str = "text") -> Column:
     return F.substring(F.sha2(value, 256), 1, 32)
 
 
-def worker_memo() -> dict:
-    """A dictionary that lives as long as the Python worker, across tasks."""
-    home = sys.modules.setdefault("_llm_worker_memo", types.ModuleType("_llm_worker_memo"))
-    return home.__dict__.setdefault("memo", {})
+def worker_memo(owner: str) -> dict:
+    """A dictionary that lives as long as the Python worker, across tasks, until another owner asks for one.
+
+    A worker serves one step after another, so it holds what one of them remembers, not all.
+    """
+    home = sys.modules.setdefault("_llm_worker_memo", types.ModuleType("_llm_worker_memo")).__dict__
+    if home.get("owner") != owner:
+        home["owner"], home["memo"] = owner, {}
+    return home["memo"]

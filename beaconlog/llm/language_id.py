@@ -62,7 +62,7 @@ class Model:
 
     def tables(self) -> list[dict[str, int]]:
         """Key -> row, built once per worker."""
-        memo = worker_memo()
+        memo = worker_memo("language_id")
         if ("language", self.name) not in memo:
             memo["language", self.name] = [{k: n for n, k in enumerate(keys)} for keys in self.keys]
         return memo["language", self.name]
@@ -224,7 +224,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = worker_memo()
+        memo = worker_memo("language_id")
         if ("scorer", model.name) not in memo:
             memo["scorer", model.name] = Scorer(model)
         score = memo["scorer", model.name].text

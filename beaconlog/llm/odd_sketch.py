@@ -34,7 +34,7 @@ def shingles(text: str, size: int) -> np.ndarray:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return np.zeros(0, "u8")
-    hashes = worker_memo().setdefault("word hashes", _WordHashes())
+    hashes = worker_memo("odd_sketch").setdefault("word hashes", _WordHashes())
     each = np.fromiter(map(hashes.__getitem__, words), "u8", len(words))
     n = max(len(words) - size + 1, 1)
     # the number of words is part of the hash: a short whole is no shingle of a longer text

@@ -38,7 +38,7 @@ def compile_model(path: str) -> Transducer:
 
 def _count(path: str, chunk_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = worker_memo()
+        memo = worker_memo("token_counts")
         if ("transducer", path) not in memo:
             memo["transducer", path] = compile_model(path)
         count = memo["transducer", path].count

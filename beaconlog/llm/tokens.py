@@ -221,7 +221,7 @@ class WholeTexts(PieceMemo):
 
 def encoder(path: str):
     """The worker's encoder for a tokenizer file; the file's own settings choose the cut."""
-    memo = worker_memo()
+    memo = worker_memo("tokens")
     if ("ids", path) not in memo:
         with open(path) as file:
             settings = json.load(file)

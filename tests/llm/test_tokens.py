@@ -165,3 +165,12 @@ def test_write_and_read_codes(spark, odd_docs, no_docs):
     flat = [t for x in order[:1] for t in x]
     assert [r.token for r in direct_codes.read_tokens(segments, list(range(len(flat)))).orderBy("position").collect()] == flat
     assert direct_codes.read_documents(direct_codes.write_codes(no_docs, path, 0)).count() == 0
+
+
+def test_worker_remembers_one_step_at_a_time():
+    from beaconlog.llm.common import worker_memo
+
+    first = worker_memo("one step")
+    first["word"] = 1
+    assert worker_memo("one step") is first
+    assert worker_memo("next step") == {} and worker_memo("one step") == {}
