@@ -23,6 +23,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -168,12 +169,12 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for docs, start, payload in zip(batch["docs"].to_pylist(), batch["start"].to_pylist(), batch["payload"].to_pylist()):
             segment = Segment(payload)
-            raw, offsets = segment.tokens().astype("<u4").tobytes(), segment.offsets.astype("int64")
+            raw, offsets = memoryview(segment.tokens().astype("<u4", copy=False)).cast("B"), segment.offsets.astype("int64")
             yield pa.RecordBatch.from_pydict({
                 "doc_id": pa.array(docs, pa.int64()),
                 "start": pa.array(offsets[:-1] + start, pa.int64()),
                 "n_tokens": pa.array(np.diff(offsets), pa.int64()),
-                "ids_crc32": pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.int64()),
+                "ids_crc32": pa.array([zlib.crc32(raw[4 * a:4 * b]) for a, b in pairwise(offsets.tolist())], pa.int64()),
             })
 
 

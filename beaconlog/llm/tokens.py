@@ -135,22 +135,22 @@ class SpacePieces(PieceMemo):
         """Remember the ids of new pieces."""
         for at in range(0, len(pieces), CALL_PIECES):
             some = pieces[at:at + CALL_PIECES]
-            if not self.in_rows or self.odd.search(" " + " ".join(some)):
+            row = " " + " ".join(some)
+            if not self.in_rows or self.odd.search(row):
                 odd = [p for p in some if not self.in_rows or not self.plain.fullmatch(p)]
                 self.now.update((p, self.fresh(p)) for p in odd)
                 some = [p for p in some if p not in self.now]
+                row = " " + " ".join(some)
             if not some:
                 continue
-            row = " " + " ".join(some)
             for c in set(row).intersection(self.letters):  # for few letters far quicker than translate()
                 row = row.replace(c, self.letters[c])
-            row = self.model.tokenize(row)
-            ids = np.array([t.id for t in row], "<u4")
-            starts = np.flatnonzero(self.opens[ids]).tolist()
+            ids = np.array([t.id for t in self.model.tokenize(row)], "<u4")
+            starts = (4 * np.flatnonzero(self.opens[ids])).tolist()
             if len(starts) != len(some):
                 raise ValueError("the tokenizer file joins pieces across spaces")
             raw = ids.tobytes()
-            self.now.update(zip(some, (raw[4 * a:4 * b] for a, b in zip(starts, [*starts[1:], len(ids)]))))
+            self.now.update(zip(some, [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]))
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -164,8 +164,11 @@ class SpacePieces(PieceMemo):
             self.old, self.now = self.now, {}
         found = list(map(self.now.get, pieces))
         if None in found:
-            self.learn_all({p for p, ids in zip(pieces, found) if ids is None})
-            found = map(self.now.__getitem__, pieces)
+            missing = [k for k, ids in enumerate(found) if ids is None]
+            self.learn_all({pieces[k] for k in missing})
+            now = self.now
+            for k in missing:  # the others are not looked up again
+                found[k] = now[pieces[k]]
         return first + b"".join(found)
 
     def learn_all(self, pieces: set[str]) -> None:
