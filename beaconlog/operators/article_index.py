@@ -132,13 +132,14 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segment(articles: DataFrame, segment: str, buckets: int, mean: float) -> dict[str, DataFrame]:
-    """The tables of a segment, from articles with a body."""
-    index = build_article_index(articles.withColumn("snippet", search_snippet(F.col("body"))), ("snippet",))
+    """The tables of a segment, from articles with a body and their lengths; bodies are cut into words once here."""
     postings = materialize(
-        index.postings.filter("article_id IS NOT NULL").withColumn("term_bucket", _bucket("term", buckets)), "postings"
+        build_article_index(articles).postings.filter("article_id IS NOT NULL").withColumn("term_bucket", _bucket("term", buckets)),
+        "postings",
     )
     counts = postings.groupBy("article_id").agg(F.map_from_entries(F.collect_list(F.struct("term", "tf"))).alias("counts"))
-    docs = index.docs.filter("article_id IS NOT NULL").join(counts, "article_id", "left").withColumn(
+    shown = articles.select(*ATTRIBUTES, search_snippet(F.col("body")).alias("snippet"), "doc_len")
+    docs = shown.filter("article_id IS NOT NULL").join(counts, "article_id", "left").withColumn(
         "counts", F.coalesce("counts", F.expr("cast(map() as map<string, bigint>)"))
     )
     order = ["term_bucket", "term", F.desc("_share"), "article_id"]
@@ -149,7 +150,7 @@ def _segment(articles: DataFrame, segment: str, buckets: int, mean: float) -> di
     words = postings.groupBy("term_bucket", "term").agg(
         F.count("*").alias("df"), F.max("tf").alias("max_tf"), F.min("doc_len").alias("min_len")
     )
-    stats = index.docs.agg(F.count("*").alias("articles"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("words"))
+    stats = articles.agg(F.count("*").alias("articles"), F.coalesce(F.sum("doc_len"), F.lit(0)).alias("words"))
     return {"docs": docs.withColumn("doc_bucket", _bucket("article_id", buckets)), "postings": blocks, "terms": words, "stats": stats}
 
 
@@ -175,8 +176,8 @@ def save_article_index(articles: DataFrame, path: str, buckets: int = BUCKETS) -
     Articles without id or body are not indexed; of an id that occurs more than once every row is.
     """
     spark, segment = articles.sparkSession, uuid.uuid4().hex
-    rows = materialize(_with_body(articles), "articles")
-    mean = _tokenised(rows).agg(F.avg("doc_len")).first()[0] or 1.0
+    rows = materialize(_tokenised(_with_body(articles)).drop("_tokens"), "articles")
+    mean = rows.agg(F.avg("doc_len")).first()[0] or 1.0
     tables = _segment(rows, segment, buckets, mean) | {"dead": spark.createDataFrame([], DEAD)}
     layout = spark.createDataFrame([(buckets,)], LAYOUT).withColumn(KEY, F.lit("layout"))
     changes = _changes(tables, segment, everything=True)
@@ -211,7 +212,8 @@ def refresh_article_index(articles: DataFrame, path: str, changed_since: Column)
     old = index.live(index.table("docs", DOCS, DOC_BUCKET, buckets))
     old = old.join(dead.select("article_id"), "article_id", "left_semi").select("article_id", "doc_len", "counts")
     old = materialize(old, "replaced-articles")
-    fresh = materialize(now.join(touched.select("article_id").distinct(), "article_id", "left_semi"), "fresh-articles")
+    fresh = now.join(touched.select("article_id").distinct(), "article_id", "left_semi")
+    fresh = materialize(_tokenised(fresh).drop("_tokens"), "fresh-articles")
     n, mean = index.size()
     tables = _segment(fresh, segment, index.buckets, mean)
     lost = old.select(F.explode(F.map_keys("counts")).alias("term")).groupBy("term").agg((-F.count("*")).alias("df"))
