@@ -14,8 +14,10 @@ The model is fitted on every labelled row. Rows are dealt to blocks of about
 other one; of a rare label rows go to several blocks, so that none is without
 it. Centres, spreads, gradients, the quantile and the slope are sums over stored
 features of all these rows, which tasks add up; only the sums, whose length does not
-depend on the input, come to the driver. Scoring reads every whole text where it
-lies, without a shuffle.
+depend on the input, come to the driver. Every whole text is read where it
+lies: its 25 features are joined with the labels, never the text, so what is shuffled and
+stored does not depend on the length of texts. :func:`measure` stores the features of a table
+once, for the fit and the scores.
 """
 
 from __future__ import annotations
@@ -178,12 +180,6 @@ def fit(rows: np.ndarray, labels: np.ndarray, threshold: float = THRESHOLD) -> M
 
 # ── on Spark ────────────────────────────────────────────────────────────────
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [np.array(features(t), "<f8").tobytes() for t in batch["text"].to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch["id"], batch["label"], pa.array(rows, pa.binary())], ["id", "label", "x"])
-
-
 def _unpack(rows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(rows), "<f8").reshape(-1, len(FEATURES))
 
@@ -214,24 +210,35 @@ def _adder(blocks: DataFrame) -> Sums:
     return add
 
 
+def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One stored row per input row: id and ``x``, the features of the whole text; a null text counts as an empty one."""
+
+    @F.arrow_udf("binary")
+    def measured(texts: pa.Array) -> pa.Array:
+        return pa.array([np.array(features(t or ""), "<f8").tobytes() for t in texts.to_pylist()], pa.binary())
+
+    return store(docs.select(F.col(id_col).alias(id_col), measured(F.col(text_col)).alias("x")), "quality-measures")
+
+
 def train(
     docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
-    id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", x_col: str | None = None,
 ) -> Model:
     """Fit on all labelled documents.
 
     Rows with a null id or a label other than 0 and 1 are left out. An id
-    that is labelled or occurs more than once counts once per match.
+    that is labelled or occurs more than once counts once per match. With ``x_col``,
+    ``docs`` holds features as :func:`measure` stores them, not texts.
     """
+    if x_col is None:
+        docs, x_col = measure(docs, id_col, text_col), "x"
     # stored in its real size, by which Spark chooses the join
     wanted = store(
         labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("label"))
         .where("id is not null and label in (0, 1)"), "quality-labels",
     )
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    found = store(
-        rows.join(wanted, "id").select("id", "label", "text").mapInArrow(_features, "id long, label int, x binary"), "quality-features"
-    )
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(x_col).alias("x"))
+    found = store(rows.join(wanted, "id").select("id", "label", "x"), "quality-features")
     number = {r.label: r.n for r in found.groupBy("label").agg(F.count("*").alias("n")).collect()}  # two rows
     good, bad = number.get(1, 0), number.get(0, 0)
     blocks = -(-(good + bad) // BLOCK_ROWS) or 1
@@ -263,11 +270,25 @@ def scorer(model: Model):
     return score
 
 
-def score_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def measured_scorer(model: Model):
+    """An Arrow UDF from stored features to score."""
+
+    @F.arrow_udf("double")
+    def score(rows: pa.Array) -> pa.Array:
+        return pa.array(model.score(_unpack(rows.to_pylist())), pa.float64())
+
+    return score
+
+
+def score_documents(
+    docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", x_col: str | None = None
+) -> DataFrame:
     """One row per input row: ``id, score, predicted`` (1 from the threshold up).
 
     Null and empty texts get the score of a text without words, never null. Ids
-    may be null or repeat; other columns are ignored. An empty table gives no rows.
+    may be null or repeat; other columns are ignored. An empty table gives no rows. With ``x_col``,
+    ``docs`` holds features as :func:`measure` stores them, not texts.
     """
-    out = docs.select(F.col(id_col).alias(id_col), scorer(model)(F.col(text_col)).alias("score"))
+    score = scorer(model)(F.col(text_col)) if x_col is None else measured_scorer(model)(F.col(x_col))
+    out = docs.select(F.col(id_col).alias(id_col), score.alias("score"))
     return out.withColumn("predicted", (F.col("score") >= model.threshold).cast("int"))

@@ -108,16 +108,16 @@ def held_out(id_col: str = "doc_id"):
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % FOLDS == HELD_OUT_FOLD
 
 
-def quality_model(docs: DataFrame, labels: DataFrame) -> quality_rank.Model:
+def quality_model(docs: DataFrame, labels: DataFrame, x_col: str | None = None) -> quality_rank.Model:
     """Fitted without the rows that are held out."""
-    return quality_rank.train(docs, labels.where(~held_out()))
+    return quality_rank.train(docs, labels.where(~held_out()), x_col=x_col)
 
 
 @query()
 def op5_quality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    model = quality_model(docs, table(spark, sf_dir, "labels"))
-    return quality_rank.score_documents(docs, model).withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
+    rows = quality_rank.measure(table(spark, sf_dir, "documents"))
+    model = quality_model(rows, table(spark, sf_dir, "labels"), x_col="x")
+    return quality_rank.score_documents(rows, model, x_col="x").withColumn("held_out", F.coalesce(held_out(), F.lit(False)))
 
 
 @query()

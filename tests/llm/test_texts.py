@@ -213,6 +213,30 @@ def test_quality_of_odd_rows(spark, odd_docs, no_docs):
     assert quality_rank.score_documents(no_docs, quality_rank.train(no_docs, labels)).count() == 0
 
 
+def test_fit_moves_features_not_texts(spark, monkeypatch):
+    """What is joined with labels is 25 numbers, whatever the length of a text."""
+    rng = np.random.default_rng(3)
+    rows = [(k, " ".join(f"{w:x}" for w in rng.integers(0, 2**60, 3000))) for k in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(100)], "doc_id long, quality int")
+    joined, join = [], type(docs).join
+
+    def watched(left, right, *args, **kw):
+        joined.extend([left.columns, right.columns])
+        return join(left, right, *args, **kw)
+
+    monkeypatch.setattr(type(docs), "join", watched)
+    texts = quality_rank.train(docs, labels)
+    assert joined and not any("text" in columns for columns in joined)
+    stored = quality_rank.measure(docs)
+    model = quality_rank.train(stored, labels, x_col="x")
+    # features stored once give the same model and scores as texts
+    assert np.allclose(model.weights, texts.weights) and abs(model.quantile - texts.quantile) < 1e-9
+    once = {r.doc_id: r.score for r in quality_rank.score_documents(stored, model, x_col="x").collect()}
+    again = {r.doc_id: r.score for r in quality_rank.score_documents(docs, model).collect()}
+    assert once.keys() == again.keys() and all(abs(once[k] - again[k]) < 1e-12 for k in once)
+
+
 # ── near duplicates ─────────────────────────────────────────────────────────
 
 def _classes(rows, size, percent):
