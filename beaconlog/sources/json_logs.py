@@ -67,7 +67,7 @@ def _lines(lines: DataFrame) -> DataFrame:
         F.col("_metadata.file_path").alias("file_name"),
         F.col("_metadata.file_modification_time").alias("file_time"),
         F.col("_metadata.file_block_start").alias("file_block"),
-    ).filter(F.length(F.trim("value")) > 0)
+    ).filter(F.trim("value") != "")
 
 
 def parse_lines(
@@ -76,21 +76,24 @@ def parse_lines(
     """Log columns plus ``is_bad`` (line is no JSON) and ``bad_values``.
 
     A line is parsed once against the declared envelope. Lines that do not fit
-    it, such as text where an object is expected, are looked up path by path
-    instead; that path also tells broken JSON from merely unusual JSON. Each
-    step is its own projection, so no conversion is evaluated twice.
+    it, such as text where an object is expected, are read once more as a variant and
+    looked up path by path; that also tells broken JSON from merely unusual JSON. Each
+    step is its own projection, so no conversion is evaluated twice. The lookups stand
+    in a lambda, which is one call in the generated code: code of this length is not compiled by the
+    JVM otherwise, but interpreted line after line.
     """
     envelope = F.from_json("value", _envelope_schema(), {"columnNameOfCorruptRecord": _CORRUPT})
     # explode() also keeps filters on the result from repeating the parse below it
     parsed = lines.withColumn("_p", F.explode(F.array(envelope)))
     parsed = parsed.withColumn("_odd", F.expr(f"_p.{_CORRUPT} IS NOT NULL OR _p IS NULL"))
+    lookups = ", ".join(f"try_variant_get(j, '$.{path}', 'string') AS {name}" for name, path in ENVELOPE.items())
+    parsed = parsed.withColumn("_q", F.expr(
+        f"get(transform(transform(IF(_odd, array(value), array()), t -> try_parse_json(t)), j -> struct(j IS NULL AS is_bad, {lookups})), 0)"
+    ))
     texts = parsed.selectExpr(
         *lines.columns,
-        "_odd AND try_parse_json(value) IS NULL AS is_bad",
-        *[
-            f"IF(_odd, try_variant_get(try_parse_json(value), '$.{path}', 'string'), _p.{path}) AS _t_{name}"
-            for name, path in ENVELOPE.items()
-        ],
+        "_odd AND _q.is_bad AS is_bad",
+        *[f"IF(_odd, _q.{name}, _p.{path}) AS _t_{name}" for name, path in ENVELOPE.items()],
     )
     if null_if:
         wanted = [

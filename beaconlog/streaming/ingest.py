@@ -68,7 +68,9 @@ def load_batch(
     batch replaces what an earlier attempt of it left behind.
     """
     spark, key = parsed.sparkSession, str(batch_id)
-    parsed = parsed.persist()
+    # kept without the lines themselves, the largest column: only the start of a broken one is read again
+    start = F.when(F.col("is_bad"), F.substring("value", 1, MESSAGE_CHARS))
+    parsed = parsed.withColumn("value", start).drop("file_time").persist()
     try:
         # a small stored table, which Spark broadcasts by its real size
         records = materialize(load_record(parsed, skip_bad_files), "load-records")

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -75,6 +76,16 @@ def test_unusual_documents(spark):
     assert rows[5].service is None and rows[6].service is None
 
 
+def test_generated_code_is_compiled(spark, place):
+    """The JVM leaves methods above 8,000 bytes of code to its interpreter, which costs more than the parsing itself."""
+    folder, _ = place
+    (folder / "a.jsonl").write_text(line() + "\n")
+    plan = json_logs.parse_lines(json_logs.read_log_files(spark, str(folder)))._jdf.queryExecution().executedPlan()
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) < 8000
+
+
 def test_options(spark):
     row = parse(spark, line(page="null", source=""), null_if=("NULL", "null", ""), keep_envelope=True).first()
     assert row.page is None and row.source is None
@@ -142,6 +153,22 @@ def test_repeated_batch_replaces_itself(spark, place):
     assert tables.read_raw_batch(spark, f"{base}/raw", 7).count() == 2
 
 
+def test_batch_keeps_no_whole_lines(spark, place, monkeypatch):
+    folder, _ = place
+    (folder / "a.jsonl").write_text(line() + "\n" + "b" * 5000 + "\n")
+    seen, record = [], ingest.load_record
+
+    def watched(parsed, *args):
+        seen.append((parsed.columns, sorted((r.is_bad, r.value) for r in parsed.collect())))
+        return record(parsed, *args)
+
+    monkeypatch.setattr(ingest, "load_record", watched)
+    raw, history = poll(spark, place)
+    (columns, rows), = seen
+    assert rows == [(False, None), (True, "b" * 200)] and "file_time" not in columns
+    assert raw.count() == 1 and history.first().first_error_message == "Error parsing JSON: " + "b" * 200
+
+
 def test_rescan_loads_only_unknown_files(spark, place):
     folder, base = place
     (folder / "old.jsonl").write_text(line() + "\n")
