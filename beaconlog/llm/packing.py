@@ -77,8 +77,8 @@ def _pack(path: str, end_id: int, capacity: int, max_piece: int, block_tokens: i
             return out
 
         for batch in batches:
-            for doc, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
-                ids = encode(text) + end
+            for doc, text in zip(batch["id"].to_pylist(), batch["text"]):  # one text at a time as a string
+                ids = encode(text.as_py()) + end
                 n = len(ids) // 4
                 for start, length in cut(n, capacity, max_piece):
                     pieces.append((doc, start, length, n, ids[4 * start:4 * (start + length)]))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import store, worker_memo
 
 # labelled rows that are paired with one another, about, and rows of the rarer label among them at least
 BLOCK_ROWS, BLOCK_RARE = 1024, 64
@@ -180,6 +180,12 @@ def fit(rows: np.ndarray, labels: np.ndarray, threshold: float = THRESHOLD) -> M
 
 # ── on Spark ────────────────────────────────────────────────────────────────
 
+def _measured(texts: pa.Array) -> np.ndarray:
+    """Features of texts, one at a time; the worker lets go what it remembers of an earlier step."""
+    worker_memo("quality_rank")
+    return np.array([features(t.as_py() or "") for t in texts], "<f8").reshape(-1, len(FEATURES))
+
+
 def _unpack(rows: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(rows), "<f8").reshape(-1, len(FEATURES))
 
@@ -215,7 +221,7 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     @F.arrow_udf("binary")
     def measured(texts: pa.Array) -> pa.Array:
-        return pa.array([np.array(features(t or ""), "<f8").tobytes() for t in texts.to_pylist()], pa.binary())
+        return pa.array([row.tobytes() for row in _measured(texts)], pa.binary())
 
     return store(docs.select(F.col(id_col).alias(id_col), measured(F.col(text_col)).alias("x")), "quality-measures")
 
@@ -264,8 +270,7 @@ def scorer(model: Model):
 
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
-        rows = np.array([features(t or "") for t in texts.to_pylist()]).reshape(-1, len(FEATURES))
-        return pa.array(model.score(rows), pa.float64())
+        return pa.array(model.score(_measured(texts)), pa.float64())
 
     return score
 

@@ -30,6 +30,8 @@ LETTERS = "A-Za-zµÀ-ÖØ-öø-ÿ"
 MARKS = "!-&(-/:;=>?@\\[-`{-~"
 # pieces in the young half of the memo; the old half is as large
 MEMO_PIECES = 500_000
+# the same for words without the space before them; longer pieces are not remembered, so that the memo's size is bounded
+WORD_PIECES, KEPT_CHARS = 250_000, 64
 # new pieces that go to the model in one call at most
 CALL_PIECES = 4096
 
@@ -51,31 +53,13 @@ class PieceMemo(dict):
         self.model = self.tokenizer.model
         self.bytes = _byte_letters()
         self.old: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
-        self.simple = re.compile(f"(?:[{LETTERS}]+|[{MARKS}]+)*")
-        self.parts = re.compile(f"[{LETTERS}]+|[{MARKS}]+|\n")
+
+    def limit(self) -> int:
+        return MEMO_PIECES
 
     def library(self, text: str) -> bytes:
         return array.array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def by_model(self, words: list[str]) -> bytes:
-        out = []
-        for word in words:
-            ids = self.words.get(word)
-            if ids is None:
-                ids = self.old_words.get(word)
-                if ids is None:
-                    # the stand-in of a printable ASCII byte is the character itself
-                    plain = word.isascii() and word.isprintable() and " " not in word
-                    mapped = word if plain else word.encode("utf-8").decode("latin-1").translate(self.bytes)
-                    ids = array.array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
-                if len(self.words) >= MEMO_PIECES:
-                    self.old_words, self.words = self.words, {}
-                self.words[word] = ids
-            out.append(ids)
-        return b"".join(out)
-
     def fresh(self, piece: str) -> bytes:
         return self.library(piece)
 
@@ -83,10 +67,12 @@ class PieceMemo(dict):
         ids = self.old.get(piece)
         if ids is None:
             ids = self.fresh(piece)
-        if len(self) >= MEMO_PIECES:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = ids
+        if len(piece) <= KEPT_CHARS:
+            if len(self) >= self.limit():
+                self.old.clear()  # first: three halves are never held at once
+                self.old.update(self)
+                self.clear()
+            self[piece] = ids
         return ids
 
 
@@ -99,6 +85,7 @@ class SpacePieces(PieceMemo):
 
     def __init__(self, path: str):
         super().__init__(path)
+        self.words: dict[str, bytes] = {}  # marks that stand behind a word
         self.now: dict[str, bytes] = {}  # an exact dict, which a set can be compared with by look-ups
         plain = f"{SPACE_LETTERS}{MARKS}0-9"
         self.plain = re.compile(f"[{plain}](?:[{plain}]|\n(?!\n))*")
@@ -201,11 +188,23 @@ class WordPieces(PieceMemo):
         super().__init__(path)
         # str.split() also cuts at these four, which are not white space to the tokenizer
         self.odd = re.compile("[\x1c-\x1f]")
+        self.simple = re.compile(f"(?:[{LETTERS}]+|[{MARKS}]+)*")
+        self.parts = re.compile(f"[{LETTERS}]+|[{MARKS}]+")
+
+    def limit(self) -> int:
+        return WORD_PIECES
+
+    def by_model(self, word: str) -> bytes:
+        # the stand-in of a printable ASCII byte is the character itself
+        mapped = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(self.bytes)
+        return array.array("I", [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
     def fresh(self, piece: str) -> bytes:
-        if self.simple.fullmatch(piece):
-            return self.by_model(self.parts.findall(piece.lower()))
-        return self.library(piece)
+        if not self.simple.fullmatch(piece):
+            return self.library(piece)
+        parts = self.parts.findall(piece.lower())
+        # a part alone is a piece like any other, held once
+        return self.by_model(piece) if parts == [piece] else b"".join(map(self.__getitem__, parts))
 
     def encode(self, text: str) -> bytes:
         if self.odd.search(text):

@@ -48,6 +48,19 @@ def test_memo_turns_over(monkeypatch):
         assert ids_of(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_word_memo_is_bounded(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), tokens.WordPieces(path)
+    monkeypatch.setattr(tokens, "WORD_PIECES", 5)
+    long = "unforgettable," * 50
+    for text in mixed(500, 5) + ["One word, two words; three (words) and more... ÀÉ école-école ÉCOLE", long] * 2:
+        assert ids_of(own.encode(text)) == library.encode(text, add_special_tokens=False).ids
+        # words and their marks are held once, and nothing else is remembered
+        held = [own, *(d for d in vars(own).values() if isinstance(d, dict) and d is not own.bytes)]
+        assert sum(map(len, held)) <= 2 * 5
+    assert long not in own and long not in own.old
+
+
 @pytest.fixture(scope="module")
 def transducer():
     return token_counts.compile_model(public_tokenizers.path("piece_bpe_32k.model"))
@@ -174,3 +187,15 @@ def test_worker_remembers_one_step_at_a_time():
     first["word"] = 1
     assert worker_memo("one step") is first
     assert worker_memo("next step") == {} and worker_memo("one step") == {}
+
+
+def test_quality_step_lets_go_of_the_words_before():
+    import pyarrow as pa
+
+    from beaconlog.llm import quality_rank
+    from beaconlog.llm.common import worker_memo
+
+    words = worker_memo("tokens")
+    words["word"] = 1
+    assert quality_rank._measured(pa.array(["one text", None])).shape == (2, len(quality_rank.FEATURES))
+    assert worker_memo("tokens") == {} and worker_memo("tokens") is not words
