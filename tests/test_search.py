@@ -4,6 +4,7 @@ import re
 from datetime import datetime
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +188,77 @@ def test_dense_search_skips_cells(spark):
     nothing = df.limit(0)
     assert search.search_articles_dense(asked, nothing, 5).count() == 0
     assert search.search_articles_dense(nothing.selectExpr("vec_id AS query_id", "embedding AS vector"), df, 5).count() == 0
+
+
+ODD = ["", "...", "Alpha alphaKelvin İstanbul", "a1-b2\nA1 straße Ångström", "x" * 70000, "café", "\U0001f600q\U0001f600", "end", "begin end", " 7 7 7"]
+
+
+def test_words_are_cut_as_in_a_search_of_raw_articles(spark):
+    rows = [(f"o{i}", "t", "faq", None, ["x"], body, datetime(2026, 1, 1), datetime(2026, 1, 1)) for i, body in enumerate(ODD)]
+    articles = spark.createDataFrame(rows, ddl(ARTICLE_COLUMNS))
+    want = sorted(tuple(r) for r in search.build_article_index(articles).postings.select("article_id", "term", "tf", "doc_len").collect())
+    docs = article_index._docs(articles, 4).collect()
+    assert sorted((r.article_id, w, tf, r.doc_len) for r in docs for w, tf in zip(r.words.split(), r.tfs)) == want
+    assert sorted(r.article_id for r in docs) == [r[0] for r in rows] and len({r.number for r in docs}) == len(rows)
+
+
+@pytest.mark.parametrize("buckets, slots", [(3, 2), (2, 8)])
+def test_runs_give_every_posting_once_in_blocks_by_share(monkeypatch, buckets, slots):
+    for name, size in (("RUN", 50), ("HOT", 4), ("TEXT_BYTES", 100)):  # many runs, terms that go to several tasks
+        monkeypatch.setattr(article_index, name, size)
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(WORDS, weights=range(12, 0, -1), k=rng.randint(0, 30))) for _ in range(80)]
+    held = pa.RecordBatch.from_pydict({"article_id": [f"a{i}" for i in range(80)], "_text": texts})
+    docs = [b.append_column("number", pa.array([((r // 20) << 33) + r for r in rows], pa.int64()))
+            for b, rows in _numbered(article_index._count_words(iter([held])))]
+    runs = list(article_index._runs(buckets, slots)(iter(docs)))
+    assert sum(map(len, runs)) > slots
+    got, tasks, by_slot = [], {}, {}
+    for batch in runs:
+        for slot, run in zip(batch["slot"].to_pylist(), batch["run"].to_pylist()):
+            by_slot.setdefault(slot, []).append(pa.RecordBatch.from_pydict({"slot": [slot], "run": [run]}))
+    assert set(by_slot) <= set(range(article_index._slots(buckets, slots)))
+    for slot, mine in by_slot.items():
+        last = {}
+        for row in (r for b in article_index._blocks(buckets, 15.0, 8)(iter(mine)) for r in b.to_pylist()):
+            assert row["n"] == len(row["articles"]) <= 8 and row["block"] == last.get(row["term"], (-1, 0))[0] + 1
+            assert (row["max_tf"], row["min_len"]) == (max(row["tfs"]), min(row["lens"]))
+            shares = [round(article_index._share(tf, n, 15.0), 5) for tf, n in zip(row["tfs"], row["lens"])]
+            assert shares == sorted(shares, reverse=True) and (not row["block"] or shares[0] <= last[row["term"]][1])
+            last[row["term"]] = row["block"], shares[-1]
+            tasks.setdefault(row["term"], set()).add(slot)
+            got += [(row["term"], number, tf, n) for number, tf, n in zip(row["articles"], row["tfs"], row["lens"])]
+    want = [(t, ((i // 20) << 33) + i, text.split().count(t), len(text.split())) for i, text in enumerate(texts) for t in set(text.split())]
+    assert sorted(got) == sorted(want)
+    assert (max(map(len, tasks.values())) > 1) == (slots > buckets)
+
+
+def _numbered(batches):
+    at = 0
+    for batch in batches:
+        yield batch, range(at, at + len(batch))
+        at += len(batch)
+
+
+def test_saving_an_index_stores_no_bodies_and_no_postings_besides_it(spark, corpus, tmp_path, monkeypatch):
+    stored, real = [], article_index.materialize
+    monkeypatch.setattr(article_index, "materialize", lambda df, label: stored.append(label) or real(df, label))
+    article_index.save_article_index(corpus[1], str(tmp_path / "index"), buckets=4)
+    assert not stored
+
+
+@pytest.mark.parametrize("few", [0, 20_000])
+def test_many_queries_meet_ranges_of_articles(spark, corpus, tmp_path, monkeypatch, few):
+    # articles of several tasks, queries in several blocks, and all terms summed where the bounds leave too many articles
+    monkeypatch.setattr(article_index, "FEW", few)
+    monkeypatch.setattr(article_index, "QUERY_BLOCK", 2)
+    rows, articles = corpus
+    texts = QUERIES + [("q5", " ".join(WORDS)), ("q6", "")]
+    asked, path = spark.createDataFrame(texts, "query_id string, query string"), str(tmp_path / "index")
+    article_index.save_article_index(articles.repartition(5), path, buckets=4)
+    index = article_index.load_article_index(spark, path)
+    assert hits(article_index.search_index(index, asked, 4)) == {q: brute(rows, text, 4) for q, text in texts if brute(rows, text, 4)}
+    want = {q: brute(rows, text, 2, lambda r: r[2] == "faq") for q, text in texts}
+    assert hits(article_index.search_index(index, asked, 2, {"category": "faq"})) == {q: v for q, v in want.items() if v}
+    if not few:  # what is scored from the words of an article is the best of a query and what ties with them
+        assert article_index.candidates(index, asked, 4)[0].count() <= 4 * 5 + 2
