@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import materialize, shuffles_removed
 from ..sources import snapshots
 from ..sources.snapshots import KEY, Change
 from .search import ATTRIBUTES, K1, QUERY_BLOCK, B, _apply_filters, _top, search_snippet, tokens
@@ -343,10 +343,11 @@ def save_article_index(articles: DataFrame, path: str, buckets: int = BUCKETS) -
     Articles without id or body are not indexed; of an id that occurs more than once every row is.
     """
     spark, segment = articles.sparkSession, uuid.uuid4().hex
-    tables = _segment(_with_body(articles), path, segment, buckets, None, True)
-    tables["dead"] = _change("dead", spark.createDataFrame([], DEAD), segment, True)
-    layout = spark.createDataFrame([(buckets, FORMAT)], LAYOUT).withColumn(KEY, F.lit("layout"))
-    snapshots.commit(spark, path, [*tables.values(), Change("layout", layout, {"layout"}, None, True)])
+    with shuffles_removed(spark):
+        tables = _segment(_with_body(articles), path, segment, buckets, None, True)
+        tables["dead"] = _change("dead", spark.createDataFrame([], DEAD), segment, True)
+        layout = spark.createDataFrame([(buckets, FORMAT)], LAYOUT).withColumn(KEY, F.lit("layout"))
+        snapshots.commit(spark, path, [*tables.values(), Change("layout", layout, {"layout"}, None, True)])
 
 
 def load_article_index(spark: SparkSession, path: str) -> StoredIndex:
@@ -362,6 +363,11 @@ def refresh_article_index(articles: DataFrame, path: str, changed_since: Column)
     Ids are compared in full, which tells deletions; all else is done for the changed
     articles alone: a segment of their new texts, and negative counts of their old words.
     """
+    with shuffles_removed(articles.sparkSession):
+        return _refresh(articles, path, changed_since)
+
+
+def _refresh(articles: DataFrame, path: str, changed_since: Column) -> int:
     spark, segment = articles.sparkSession, uuid.uuid4().hex
     index = load_article_index(spark, path)
     now = _with_body(articles)
@@ -434,12 +440,12 @@ def _deal(mean: float):
         term, segment = (pa.concat_arrays(rows[c].chunks).dictionary_encode() for c in ("term", KEY))
         source = np.repeat(np.arange(len(sizes)), sizes)
         home, code = segment.indices.to_numpy()[source], term.indices.to_numpy()[source]
-        at = np.lexsort((number, code, home))
-        at = at[np.lexsort((code[at], number[at] >> RANGE_BITS, home[at]))]
-        home, code, number, share = home[at], code[at], number[at], _share(tf[at], length[at], mean)
         block = number >> RANGE_BITS
-        new = np.ones(len(at), bool)
-        new[1:] = (home[1:] != home[:-1]) | (block[1:] != block[:-1]) | (code[1:] != code[:-1])
+        blocks, place = np.unique(block, return_inverse=True)
+        group = (home.astype("int64") * len(blocks) + place) * len(term.dictionary) + code
+        at = np.argsort(group)
+        home, code, block, number, share = home[at], code[at], block[at], number[at], _share(tf[at], length[at], mean)
+        new = np.diff(group[at], prepend=-1) != 0
         first = np.flatnonzero(new)
         n = np.diff(np.append(first, len(at)))
         return pa.RecordBatch.from_arrays(
@@ -531,6 +537,13 @@ def candidates(
     index: StoredIndex, queries: DataFrame, k: int = 5, filters: Mapping[str, object] | None = None,
 ) -> tuple[DataFrame, DataFrame, float]:
     """Articles (segment's key and number) that may be among the best ``k`` of a query, its weighed terms, and the mean length."""
+    with shuffles_removed(index.spark):
+        return _candidates(index, queries, k, filters)
+
+
+def _candidates(
+    index: StoredIndex, queries: DataFrame, k: int, filters: Mapping[str, object] | None,
+) -> tuple[DataFrame, DataFrame, float]:
     n, mean = index.size()
     asked = _asked(index, queries, n, mean)
     buckets = {str(r.term_bucket) for r in asked.select("term_bucket").distinct().collect()}
@@ -566,7 +579,8 @@ def candidates(
         return least.select("query_id", F.when(F.col("_n") == k, _lower(F.col("_least"))).otherwise(0.0).alias("floor"))
 
     # the k-th best of what the first blocks give is a bound from below
-    words = asked.groupBy("term").agg(F.max("df").alias("df"))
+    # words are stored before they meet blocks, so that the planner knows that they are few and leaves the blocks where they are
+    words = materialize(asked.groupBy("term").agg(F.max("df").alias("df")), "asked-words")
     first = blocks.join(words, "term").filter((F.col("block") == 0) | (F.col("df") <= RARE))
     least = kth(met(asked.select("query_id", "term", "idf"), first, True))
 
@@ -585,7 +599,7 @@ def candidates(
     def reaching(asked: DataFrame, bounds: DataFrame) -> DataFrame:
         # a block is read if it reaches the floor of some query; what that adds to the sums of others is theirs as well
         needed = asked.groupBy("term").agg(F.min((F.col("floor") - F.col("_total") + F.col("bound")) / F.col("idf")).alias("_needed"))
-        useful = blocks.join(needed, "term").filter(_share(F.col("max_tf"), F.col("min_len"), mean) >= F.col("_needed") - SLACK)
+        useful = blocks.join(materialize(needed, "needed-shares"), "term").filter(_share(F.col("max_tf"), F.col("min_len"), mean) >= F.col("_needed") - SLACK)
         found = materialize(met(asked.select("query_id", "term", "idf", "floor", "_others"), useful, False), "met-articles")
         # the k-th best sum is a better bound
         found = found.join(bounds.join(kth(found), "query_id"), "query_id")
@@ -628,7 +642,7 @@ def search_index(
     buckets = {str(r.b) for r in found.select(_doc_bucket(index.buckets).alias("b")).distinct().collect()}
     docs = index.table("docs", DOCS, DOC_BUCKET, buckets).select(KEY, "number", *shown, "doc_len", "words", "tfs")
     weights = asked.groupBy("query_id").agg(F.collect_list(F.struct("term", "idf")).alias("_w"))
-    weights = weights.select("query_id", F.col("_w.term").alias("terms"), F.col("_w.idf").alias("idfs"))
+    weights = materialize(weights.select("query_id", F.col("_w.term").alias("terms"), F.col("_w.idf").alias("idfs")), "weights")
     rows = docs.join(F.broadcast(found) if found.count() <= FEW else found, [KEY, "number"]).join(weights, "query_id")
     rows = rows.select("query_id", *shown, "doc_len", "words", "tfs", "terms", "idfs")
     kinds = dict(rows.dtypes)

@@ -61,6 +61,23 @@ def scratch(spark: SparkSession, label: str) -> Iterator[None]:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_REMOVE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the jobs inside the block are deleted when a job ends, not when the driver collects its garbage.
+
+    For steps that store what they make: nothing reads their shuffles again.
+    """
+    outer = spark.conf.get(_REMOVE, None)
+    spark.conf.set(_REMOVE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_REMOVE) if outer is None else spark.conf.set(_REMOVE, outer)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

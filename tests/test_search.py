@@ -262,3 +262,26 @@ def test_many_queries_meet_ranges_of_articles(spark, corpus, tmp_path, monkeypat
     assert hits(article_index.search_index(index, asked, 2, {"category": "faq"})) == {q: v for q, v in want.items() if v}
     if not few:  # what is scored from the words of an article is the best of a query and what ties with them
         assert article_index.candidates(index, asked, 4)[0].count() <= 4 * 5 + 2
+
+
+def test_refresh_reads_bodies_of_changed_articles_where_they_are(spark, corpus, tmp_path, monkeypatch):
+    rows, articles = corpus
+    asked, path = spark.createDataFrame(QUERIES, "query_id string, query string"), str(tmp_path / "index")
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    article_index.save_article_index(articles.filter("article_id <> 'a30'"), path, buckets=4)
+    changed = [r[:5] + ("cache cache cache", r[6], datetime(2026, 2, 1)) if r[0] == "a20" else r for r in rows if r[0] != "a40"]
+    changed = [r[:5] + ("timeout", r[6], None) if r[0] == "a21" else r for r in changed]
+    now = spark.createDataFrame(changed, ddl(ARTICLE_COLUMNS))
+    stored, real = {}, article_index.materialize
+    monkeypatch.setattr(article_index, "materialize", lambda df, label: stored.setdefault(label, df.columns) and real(df, label))
+    # updated, without a time, new with an old time, gone
+    assert article_index.refresh_article_index(now, path, F.lit(datetime(2026, 1, 15))) == 4
+    assert not any({"body", "counts", "words", "term"} & set(columns) for columns in stored.values())
+    index = article_index.load_article_index(spark, path)
+    got = hits(article_index.search_index(index, asked, 5))
+    assert got == hits(search.search_articles(asked, now)) and got["q2"][0][0] == "a20"
+    assert spark.conf.get(setting, None) == before
+    terms = {r.term: r.df for r in index.table("terms", article_index.TERMS, "term_bucket int").groupBy("term").agg(F.sum("df").alias("df")).collect()}
+    want = {w: sum(w in set(r[5].split()) for r in changed if r[5]) for w in WORDS}
+    assert {w: terms[w] for w in WORDS} == want
